@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-# Shared CTEs -----------------------------------------------------------------
+from ..operators.labels import WARM_MAP
+from ..operators.stance import template_rows
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+TOKEN_RE = "'[^ \\t\\n\\r]+'"
 
 GOLD = """
 gold AS (
@@ -12,27 +20,47 @@ gold AS (
                      CASE WHEN l.toxic = 1 THEN ['toxic'] ELSE []::VARCHAR[] END) AS actors
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 ),
+clauses AS (
+  SELECT row_id, clause, actors,
+         CASE WHEN len(actors) = 0 THEN '[]'
+              WHEN row_id % 3 = 0 THEN '[''' || array_to_string(actors, ''', ''') || ''']'
+              WHEN row_id % 3 = 1 THEN '["' || array_to_string(actors, '", "') || '"]'
+              ELSE '[ ''' || array_to_string(actors, ''',''') || ''', ]' END AS actors_text
+  FROM gold
+),
 labels_all AS (SELECT DISTINCT unnest(actors) AS label FROM gold),
 vocab AS (SELECT (row_number() OVER (ORDER BY label) - 1)::INTEGER AS label_id, label FROM labels_all)
 """
 
-HEAD = """
-head AS (
+
+def head_cte(name: str = "head", vocab: str = "vocab", salt: str = "init") -> str:
+    return f"""
+{name} AS (
   SELECT v.label_id, v.label, f.feature::INTEGER AS feature,
-         ((('0x' || substr(md5('init:' || v.label || ':' || f.feature::VARCHAR), 1, 8))::BIGINT::DOUBLE
+         ((('0x' || substr(md5({_q(salt)} || ':' || v.label || ':' || f.feature::VARCHAR), 1, 8))::BIGINT::DOUBLE
             / 4294967296.0::DOUBLE) - 0.5::DOUBLE) * 0.1::DOUBLE AS weight
-  FROM vocab v CROSS JOIN range(-1, 256) f(feature)
+  FROM {vocab} v CROSS JOIN range(-1, 256) f(feature)
 )
 """
 
 
+HEAD = head_cte()
+
+
 def token_ids_sql(text: str) -> str:
-    return (f"list_transform(regexp_extract_all({text}, '[^ \\t\\n\\r]+'), "
+    return (f"list_transform(regexp_extract_all({text}, {TOKEN_RE}), "
             f"lambda w: (3 + (('0x' || substr(md5(lower(w)), 1, 8))::BIGINT % 65533))::INTEGER)")
 
 
-OVERLAP_WINDOWS = """
-ids AS (SELECT row_id, {ids} AS ids FROM {src}),
+def parse_sql(text: str) -> str:
+    """Items of a plainly quoted list literal (the generated spellings)."""
+    return (f"list_transform(regexp_extract_all({text}, '(''[^'']*''|\"[^\"]*\")', 1), "
+            f"lambda x: substr(x, 2, length(x) - 2))")
+
+
+def overlap_windows_cte(src: str, text: str) -> str:
+    return f"""
+ids AS (SELECT row_id, {token_ids_sql(text)} AS ids FROM {src}),
 nwin AS (SELECT row_id, ids,
                 CASE WHEN len(ids) <= 510 THEN 1 ELSE 1 + ceil((len(ids) - 510) / 254.0)::BIGINT END AS cnt
          FROM ids),
@@ -43,11 +71,25 @@ wins AS (
 )
 """
 
-TAG_FROM_WINDOWS = """
+
+def fixed_windows_cte(src: str, text: str) -> str:
+    return f"""
+ids AS (SELECT row_id, list_concat(list_concat([1], {token_ids_sql(text)}), [2]) AS full_ids FROM {src}),
+wins AS (
+  SELECT row_id, w::INTEGER AS "window", full_ids[w * 256 + 1 : w * 256 + 512] AS window_ids
+  FROM (SELECT row_id, full_ids, unnest(range(0, ceil(len(full_ids) / 256.0)::BIGINT)) AS w FROM ids)
+)
+"""
+
+
+LOGITS = """
 feats AS (SELECT row_id, "window", unnest(list_concat([-1], list_transform(window_ids, lambda x: x % 256))) AS feature
           FROM wins),
 logits AS (SELECT f.row_id, f."window", h.label_id, sum(h.weight) AS logit
-           FROM feats f JOIN head h ON f.feature = h.feature GROUP BY f.row_id, f."window", h.label_id),
+           FROM feats f JOIN head h ON f.feature = h.feature GROUP BY f.row_id, f."window", h.label_id)
+"""
+
+DECIDE = """
 probs AS (SELECT row_id, label_id, avg(1.0 / (1.0 + exp(-logit))) AS p FROM logits GROUP BY row_id, label_id),
 pv AS (SELECT p.row_id, p.label_id, p.p, v.label FROM probs p JOIN vocab v ON p.label_id = v.label_id),
 decided AS (
@@ -58,18 +100,232 @@ decided AS (
 )
 """
 
+TRUTH = """
+truth AS (SELECT DISTINCT e.row_id, v.label_id
+          FROM (SELECT row_id, unnest(actors) AS label FROM gold) e JOIN vocab v ON e.label = v.label)
+"""
+
+CELLS = """
+cells AS (SELECT l.row_id, l."window", l.label_id, l.logit, CASE WHEN t.row_id IS NULL THEN 0 ELSE 1 END AS y
+          FROM logits l LEFT JOIN truth t ON l.row_id = t.row_id AND l.label_id = t.label_id),
+conf AS (SELECT count(*) FILTER (WHERE pred AND y = 1) AS tp, count(*) FILTER (WHERE pred AND y = 0) AS fp,
+                count(*) FILTER (WHERE NOT pred AND y = 1) AS fn, count(*) FILTER (WHERE NOT pred AND y = 0) AS tn
+         FROM (SELECT y, (1.0 / (1.0 + exp(-logit))) >= 0.5 AS pred FROM cells))
+"""
+
 
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes)
 
 
-TAG_DOCUMENTS = _with(
-    GOLD, HEAD,
-    OVERLAP_WINDOWS.format(ids=token_ids_sql("coalesce(clause, 'nan')"), src="gold"),
-    TAG_FROM_WINDOWS,
-) + "\nSELECT row_id, predicted_actors FROM decided"
+def _values(rows, cols) -> str:
+    body = ", ".join("(" + ", ".join(_q(v) if isinstance(v, str) else str(v) for v in r) + ")" for r in rows)
+    return f"(VALUES {body}) AS t({', '.join(cols)})"
+
+
+TEMPLATES = f"templates AS (SELECT * FROM {_values(template_rows(), ['stance_rank', 'stance', 'template_id', 'template'])})"
+
+
+def stance_ctes(prep: str) -> str:
+    """From ``{prep}(row_id, premise, actors)`` to ``pairs_out`` and ``lists``."""
+    return f"""
+pairs AS (
+  SELECT row_id, premise, regexp_extract_all(lower(premise), {TOKEN_RE}) AS ptoks,
+         unnest(actors) AS actor, unnest(range(0, len(actors)))::INTEGER AS pos
+  FROM {prep}
+),
+fan AS (
+  SELECT p.row_id, p.pos, p.actor, p.ptoks, length(p.premise) = 0 OR length(p.actor) = 0 AS guard,
+         t.stance, t.template_id, regexp_extract_all(lower(replace(t.template, '{{actor}}', p.actor)), {TOKEN_RE}) AS htoks
+  FROM pairs p CROSS JOIN templates t
+),
+scored AS (
+  SELECT row_id, pos, actor, guard, stance, template_id,
+         CASE WHEN 509 - len(htoks) < 0 OR len(list_distinct(htoks)) = 0 THEN NULL
+              ELSE len(list_filter(list_distinct(htoks),
+                        lambda h: coalesce(list_position(ptoks, h), 0) > 0
+                              AND coalesce(list_position(ptoks, h), 0) <= 509 - len(htoks)))::DOUBLE
+                   / len(list_distinct(htoks)) END AS score
+  FROM fan
+),
+means AS (
+  SELECT row_id, pos, actor, bool_or(guard) AS guard,
+         coalesce(avg(coalesce(score, 0.0)) FILTER (WHERE stance = 'positive'), 0.0) AS positive,
+         coalesce(avg(coalesce(score, 0.0)) FILTER (WHERE stance = 'negative'), 0.0) AS negative,
+         coalesce(avg(coalesce(score, 0.0)) FILTER (WHERE stance = 'neutral'), 0.0) AS neutral
+  FROM scored GROUP BY row_id, pos, actor
+),
+pairs_out AS (
+  SELECT row_id, pos, actor,
+         CASE WHEN guard THEN 'neutral'
+              WHEN positive >= negative AND positive >= neutral THEN 'positive'
+              WHEN negative >= neutral THEN 'negative' ELSE 'neutral' END AS stance,
+         CASE WHEN guard THEN 0.0 ELSE positive END AS positive,
+         CASE WHEN guard THEN 0.0 ELSE negative END AS negative,
+         CASE WHEN guard THEN 1.0 ELSE neutral END AS neutral
+  FROM means
+),
+lists AS (
+  SELECT r.row_id,
+         coalesce(string_agg(o.stance, '|' ORDER BY o.pos), '') AS predicted_sentiments,
+         coalesce(string_agg(printf('%.6f/%.6f/%.6f', o.positive, o.negative, o.neutral), '|' ORDER BY o.pos), '')
+           AS sentiment_scores
+  FROM {prep} r LEFT JOIN pairs_out o ON r.row_id = o.row_id
+  GROUP BY r.row_id
+)
+"""
+
+
+PREP = """
+prep AS (
+  SELECT row_id,
+         CASE WHEN length(coalesce(clause, '')) > 2000 THEN substr(coalesce(clause, ''), 1, 2000) || '...'
+              ELSE coalesce(clause, '') END AS premise,
+         {actors} AS actors
+  FROM {src}
+)
+"""
+
+WARM = f"""
+fixed AS (SELECT * FROM {_values(WARM_MAP, ['new_label', 'old_label'])}),
+cnt AS (SELECT source, lang, count(*) AS n FROM documents WHERE source IS NOT NULL AND lang IS NOT NULL
+        GROUP BY source, lang),
+top AS (SELECT source AS new_label, lang AS old_label
+        FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, lang ASC) AS rk FROM cnt)
+        WHERE rk = 1),
+warm AS (SELECT * FROM fixed UNION ALL SELECT * FROM top),
+old_labels AS (SELECT DISTINCT lang AS label FROM documents WHERE lang IS NOT NULL),
+old_vocab AS (SELECT (row_number() OVER (ORDER BY label) - 1)::INTEGER AS label_id, label FROM old_labels),
+pairs AS (SELECT new_label, old_label FROM warm
+          WHERE new_label IN (SELECT label FROM vocab) AND old_label IN (SELECT label FROM old_vocab))
+"""
+
+MULTI_HOT_IDS = """
+ex AS (SELECT row_id, unnest(actors) AS label FROM gold),
+ids0 AS (SELECT ex.row_id, list_sort(list(DISTINCT v.label_id)) AS label_ids
+         FROM ex JOIN vocab v ON ex.label = v.label GROUP BY ex.row_id),
+idsl AS (SELECT g.row_id, coalesce(i.label_ids, []::INTEGER[]) AS label_ids
+         FROM gold g LEFT JOIN ids0 i ON g.row_id = i.row_id)
+"""
+
+
+def _macro() -> str:
+    tp, fp, fn, tn = "tp::DOUBLE", "fp::DOUBLE", "fn::DOUBLE", "tn::DOUBLE"
+
+    def ratio(a, b):
+        return f"(CASE WHEN ({b}) > 0 THEN ({a}) / ({b}) ELSE 0.0 END)"
+
+    p1, p0 = ratio(tp, f"{tp} + {fp}"), ratio(tn, f"{tn} + {fn}")
+    r1, r0 = ratio(tp, f"{tp} + {fn}"), ratio(tn, f"{tn} + {fp}")
+    f1_1 = ratio(f"2 * {p1} * {r1}", f"{p1} + {r1}")
+    f1_0 = ratio(f"2 * {p0} * {r0}", f"{p0} + {r0}")
+    has1 = f"(CASE WHEN {tp} + {fn} + {fp} > 0 THEN 1.0 ELSE 0.0 END)"
+    has0 = f"(CASE WHEN {tn} + {fp} + {fn} > 0 THEN 1.0 ELSE 0.0 END)"
+
+    def macro(a, b):
+        return ratio(f"{a} * {has1} + {b} * {has0}", f"{has1} + {has0}")
+
+    return (f"SELECT round({ratio(f'{tp} + {tn}', f'{tp} + {fp} + {fn} + {tn}')}, 6) AS accuracy, "
+            f"round({macro(f1_1, f1_0)}, 6) AS f1, round({macro(p1, p0)}, 6) AS precision, "
+            f"round({macro(r1, r0)}, 6) AS recall FROM conf")
+
+
+TAG_DOCUMENTS = _with(GOLD, HEAD, overlap_windows_cte("gold", "coalesce(clause, 'nan')"), LOGITS, DECIDE) + \
+    "\nSELECT row_id, predicted_actors FROM decided"
+
+SAMPLE_N, FIRST_N = 300, 100
+ORDER_KEY = "('0x' || substr(md5('42:' || {k}::VARCHAR), 1, 15))::BIGINT"
+UNIT = "(('0x' || substr(md5('42:' || {k}::VARCHAR), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE)"
 
+_STANCE_PREP = PREP.format(actors=parse_sql("actors_text"), src="clauses")
 
 ORACLE: dict[str, str] = {
     "tag_documents": TAG_DOCUMENTS,
+    "tag_batch_udf": TAG_DOCUMENTS,
+    "tag_sample": _with(
+        GOLD, HEAD,
+        f"sampled AS (SELECT * FROM gold ORDER BY {ORDER_KEY.format(k='row_id')}, row_id LIMIT {SAMPLE_N})",
+        overlap_windows_cte("sampled", "coalesce(clause, 'nan')"), LOGITS, DECIDE)
+    + "\nSELECT row_id, predicted_actors FROM decided",
+    "tag_probs": _with(GOLD, HEAD, overlap_windows_cte("gold", "coalesce(clause, 'nan')"), LOGITS, DECIDE)
+    + "\nSELECT row_id, label_id, round(p, 6) AS p FROM probs",
+    "clean_fill": _with(GOLD) + """
+SELECT row_id, length(coalesce(clause, ''))::BIGINT AS clause_chars, coalesce(actors_text, '[]') AS predicted_actors,
+       md5(coalesce(clause, 'nan')) AS text_md5 FROM clauses""",
+    "cut_text": _with(GOLD) + """
+SELECT row_id, length(cut)::BIGINT AS cut_chars, md5(cut) AS cut_md5
+FROM (SELECT row_id, CASE WHEN length(clause) > 2000 THEN substr(clause, 1, 2000) || '...' ELSE clause END AS cut
+      FROM clauses)""",
+    "profile": _with(GOLD) + """
+SELECT count(*) AS n_rows, count(clause) AS n_clause, count(actors_text) AS n_predicted_actors FROM clauses""",
+    "preview": _with(GOLD) + """
+SELECT row_id, CASE WHEN length(clause) > 100 THEN substr(clause, 1, 100) || '...' ELSE clause END AS clause,
+       actors_text AS predicted_actors
+FROM clauses ORDER BY row_id LIMIT 3""",
+    "parse_actors": _with(GOLD) + f"""
+SELECT row_id, array_to_string(p, '|') AS actors, len(p)::INTEGER AS n_actors
+FROM (SELECT row_id, {parse_sql('actors_text')} AS p FROM clauses)""",
+    "sample_exact": f"""
+SELECT doc_id AS row_id, md5(coalesce(text, '')) AS text_md5 FROM documents
+ORDER BY {ORDER_KEY.format(k='doc_id')}, doc_id LIMIT {SAMPLE_N}""",
+    "first_n": f"SELECT doc_id AS row_id, lang FROM documents ORDER BY doc_id LIMIT {FIRST_N}",
+    "split_hash": f"""
+SELECT doc_id AS row_id, CASE WHEN {UNIT.format(k='doc_id')} < 0.2 THEN 'test' ELSE 'train' END AS split
+FROM documents""",
+    "split_exact": f"""
+SELECT row_id, CASE WHEN rn <= ceil(0.2::DOUBLE * n) THEN 'test' ELSE 'train' END AS split
+FROM (SELECT doc_id AS row_id, row_number() OVER (ORDER BY {ORDER_KEY.format(k='doc_id')}, doc_id) AS rn,
+             count(*) OVER () AS n FROM documents)""",
+    "label_vocab": _with(GOLD) + "\nSELECT label_id, label FROM vocab",
+    "multi_hot": _with(GOLD, MULTI_HOT_IDS) + """
+SELECT i.row_id, array_to_string(i.label_ids, '|') AS label_ids,
+       (SELECT string_agg(CASE WHEN list_contains(i.label_ids, v.label_id) THEN '1' ELSE '0' END, ','
+                          ORDER BY v.label_id) FROM vocab v) AS labels
+FROM idsl i""",
+    "label_wide": _with(GOLD, """
+dense AS (SELECT g.row_id, v.label, list_contains(g.actors, v.label)::INTEGER AS hit FROM gold g CROSS JOIN vocab v)
+""") + "\nSELECT * FROM (PIVOT dense ON label USING max(hit) GROUP BY row_id)",
+    "warm_pairs": _with(GOLD, WARM) + "\nSELECT new_label, old_label FROM pairs",
+    "warm_skipped": _with(GOLD, WARM)
+    + "\nSELECT DISTINCT new_label FROM warm WHERE new_label NOT IN (SELECT new_label FROM pairs)",
+    "warm_copy": _with(GOLD, WARM, HEAD, head_cte("old_head", "old_vocab", "old")) + """
+SELECT n.label_id, n.label, n.feature, round(coalesce(o.weight, n.weight), 6) AS weight
+FROM head n LEFT JOIN pairs p ON n.label = p.new_label
+LEFT JOIN old_head o ON o.label = p.old_label AND o.feature = n.feature""",
+    "windows_fixed": _with(GOLD, MULTI_HOT_IDS, fixed_windows_cte("gold", "clause")) + """
+SELECT w.row_id, w."window", len(w.window_ids)::INTEGER AS n_tokens,
+       array_to_string(list_resize(w.window_ids, 512, 0), ' ') AS input_ids,
+       len(w.window_ids)::INTEGER AS mask_sum, array_to_string(i.label_ids, '|') AS label_ids
+FROM wins w JOIN idsl i ON w.row_id = i.row_id""",
+    "windows_overlap": _with(GOLD, overlap_windows_cte("gold", "clause")) + """
+SELECT row_id, "window", len(window_ids)::INTEGER AS n_tokens,
+       array_to_string(list_resize(window_ids, 512, 0), ' ') AS input_ids
+FROM wins""",
+    "confusion": _with(GOLD, HEAD, fixed_windows_cte("gold", "clause"), LOGITS, TRUTH, CELLS)
+    + "\nSELECT tp, fp, fn, tn FROM conf",
+    "macro_metrics": _with(GOLD, HEAD, fixed_windows_cte("gold", "clause"), LOGITS, TRUTH, CELLS) + "\n" + _macro(),
+    "bce_loss": _with(GOLD, HEAD, fixed_windows_cte("gold", "clause"), LOGITS, TRUTH, CELLS) + """
+SELECT round(avg(greatest(logit, 0.0) - logit * y + ln(1 + exp(-abs(logit)))), 6) AS loss, count(*) AS n_cells
+FROM cells""",
+    "stance_templates": _with(GOLD, TEMPLATES, _STANCE_PREP) + """
+SELECT p.row_id, p.pos, t.stance, t.template_id, replace(t.template, '{actor}', p.actor) AS hypothesis
+FROM (SELECT row_id, unnest(actors) AS actor, unnest(range(0, len(actors)))::INTEGER AS pos FROM prep) p
+CROSS JOIN templates t""",
+    "pair_scores": _with(GOLD, TEMPLATES, _STANCE_PREP, stance_ctes("prep"))
+    + "\nSELECT row_id, pos, stance, template_id, round(score, 6) AS score FROM scored",
+    "stance_pairs": _with(GOLD, TEMPLATES, _STANCE_PREP, stance_ctes("prep")) + """
+SELECT row_id, pos, actor, stance, round(positive, 6) AS positive, round(negative, 6) AS negative,
+       round(neutral, 6) AS neutral FROM pairs_out""",
+    "stance_lists": _with(GOLD, TEMPLATES, _STANCE_PREP, stance_ctes("prep"))
+    + "\nSELECT row_id, predicted_sentiments, sentiment_scores FROM lists",
+    "stance_tagged": _with(GOLD, HEAD, overlap_windows_cte("gold", "coalesce(clause, 'nan')"), LOGITS, DECIDE,
+                           TEMPLATES,
+                           "src AS (SELECT g.row_id, g.clause, string_split(d.predicted_actors, '|') AS actors "
+                           "FROM gold g JOIN decided d ON g.row_id = d.row_id)",
+                           PREP.format(actors="actors", src="src"), stance_ctes("prep"))
+    + "\nSELECT row_id, predicted_sentiments, sentiment_scores FROM lists",
+    "roundtrip": _with(GOLD, TEMPLATES, _STANCE_PREP, stance_ctes("prep")) + """
+SELECT c.row_id, md5(coalesce(c.clause, '')) AS clause_md5, l.predicted_sentiments
+FROM clauses c JOIN lists l ON c.row_id = l.row_id""",
+    "head_roundtrip": _with(GOLD, HEAD) + "\nSELECT label_id, label, feature, round(weight, 6) AS weight FROM head",
 }

@@ -12,16 +12,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import labels as L
-from ..operators import scoring
-from ..sources import tables
+from ..functions.lists import parse_list_strict, parse_list_tolerant
+from ..functions.text import render_template, tokens
+from ..operators import clean, head as H, labels as L, metrics as M, sampling as P, scoring, stance as Z, windows as W
+from ..session import scratch_path
+from ..sources import io, tables
 from . import pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+SAMPLE_N = 300        # rows drawn by the exact-sample queries
+FIRST_N = 100         # rows kept by the first-n query
 
-def _joined(c) -> F.Column:
-    return F.array_join(c, "|")
+
+def _joined(c, sep: str = "|") -> F.Column:
+    return F.array_join(c, sep)
+
+
+def _r6(c) -> F.Column:
+    return F.round(c, 6)
 
 
 def _vocab_head(spark: SparkSession, sf: str):
@@ -30,13 +39,349 @@ def _vocab_head(spark: SparkSession, sf: str):
     return c, vocab, scoring.hash_head(vocab)
 
 
-def q_tag_documents(spark: SparkSession, sf: str) -> DataFrame:
+def _truth(c: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(row_id, label_id) of every gold label."""
+    ex = c.select("row_id", F.explode("actors").alias("label"))
+    return ex.join(F.broadcast(vocab), "label").select("row_id", "label_id").distinct()
+
+
+# --- step 0: tagging ----------------------------------------------------------
+
+def q_tag_documents(spark, sf):
     """Pooled multi-label tags for every document (relational scorer)."""
     c, vocab, head = _vocab_head(spark, sf)
     res = pipelines.tag(c.select("row_id", "clause"), head, vocab)
     return res.select("row_id", _joined("predicted_actors").alias("predicted_actors"))
 
 
+def q_tag_sample(spark, sf):
+    """P1 + I2: tag an exact seeded sample of the documents."""
+    c, vocab, head = _vocab_head(spark, sf)
+    res = pipelines.tag(c.select("row_id", "clause"), head, vocab, sample_size=SAMPLE_N)
+    return res.select("row_id", _joined("predicted_actors").alias("predicted_actors"))
+
+
+def q_tag_batch_udf(spark, sf):
+    """U2 + U5: the same tags through the plug-in batch scorer (head read from a model path)."""
+    c, vocab, head = _vocab_head(spark, sf)
+    path = scratch_path(spark, "head")
+    io.write_table(head, path)
+    res = pipelines.tag(c.select("row_id", "clause"), head, vocab, scorer="batch",
+                        make_predict_fn=scoring.linear_head_predict_fn(path), batch_size=64)
+    return res.select("row_id", _joined("predicted_actors").alias("predicted_actors"))
+
+
+def q_tag_probs(spark, sf):
+    """A1: pooled probability per (document, label)."""
+    c, vocab, head = _vocab_head(spark, sf)
+    ids = W.with_token_ids(c.select("row_id", F.coalesce("clause", F.lit("nan")).alias("clause")))
+    wins = W.overlap_windows(ids)
+    from ..operators import tagging
+    probs = tagging.pool(scoring.score_windows(wins, head))
+    return probs.select("row_id", "label_id", _r6("p").alias("p"))
+
+
+# --- step 1: cleaning, validation, parsing ----------------------------------
+
+def q_clean_fill(spark, sf):
+    """C1 + C2: nulls filled per column; the text also cast as pandas would ("nan")."""
+    raw = tables.stance_input(spark, sf).withColumn("as_text", F.col("clause"))
+    df = clean.text_column(clean.fill_missing(raw), "as_text", "nan")
+    return df.select("row_id", F.length("clause").cast("bigint").alias("clause_chars"), "predicted_actors",
+                     F.md5("as_text").alias("text_md5"))
+
+
+def q_cut_text(spark, sf):
+    """Premise cut to 2,000 characters + '...'."""
+    df = clean.cut(tables.stance_input(spark, sf), "clause", out="cut")
+    return df.select("row_id", F.length("cut").cast("bigint").alias("cut_chars"), F.md5("cut").alias("cut_md5"))
+
+
+def q_profile(spark, sf):
+    """V1 + V2 + V3: validated input, row and non-null counts in one pass."""
+    df = clean.validate(tables.stance_input(spark, sf))
+    return clean.profile(df)
+
+
+def q_preview(spark, sf):
+    """The first three rows with the clause cut to 100 characters."""
+    return clean.preview(tables.stance_input(spark, sf)).select("row_id", "clause", "predicted_actors")
+
+
+def q_parse_actors(spark, sf):
+    """C3 + C4: list literals parsed (strict and tolerant agree on these)."""
+    df = tables.stance_input(spark, sf)
+    return df.select("row_id", _joined(parse_list_tolerant(F.col("predicted_actors"))).alias("actors"),
+                     F.size(parse_list_strict(F.col("predicted_actors"))).alias("n_actors"))
+
+
+# --- step 2: sampling and split ----------------------------------------------
+
+def q_sample_exact(spark, sf):
+    """P1 + P2: exactly SAMPLE_N rows, seed 42, no replacement."""
+    s = P.sample_exact(tables.table(spark, sf, "documents"), SAMPLE_N, key="doc_id")
+    return s.select(F.col("doc_id").alias("row_id"), F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
+
+
+def q_first_n(spark, sf):
+    """The first FIRST_N rows by key."""
+    s = P.first_n(tables.table(spark, sf, "documents"), FIRST_N, key="doc_id")
+    return s.select(F.col("doc_id").alias("row_id"), "lang")
+
+
+def q_split_hash(spark, sf):
+    """P4 (hash bucket): train/test side of every row."""
+    docs = tables.table(spark, sf, "documents").select(F.col("doc_id").alias("row_id"))
+    train, test = P.split_hash(docs)
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+
+
+def q_split_exact(spark, sf):
+    """P4 (exact): ceil(20 %) rows in test by the seeded order."""
+    docs = tables.table(spark, sf, "documents").select(F.col("doc_id").alias("row_id"))
+    train, test = P.split_exact(docs)
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+
+
+# --- step 3: labels and joins -------------------------------------------------
+
+def q_label_vocab(spark, sf):
+    """L1 + L4 + P5: sorted vocabulary with dense ids."""
+    c = tables.clauses(spark, sf)
+    c = c.withColumn("actors", parse_list_strict(F.col("actors_text")))
+    return L.labels_in_id_order(L.vocabulary(c, "actors"))
+
+
+def q_multi_hot(spark, sf):
+    """L2 + J1: sparse ids and the dense 0/1 vector per row."""
+    c = tables.clauses(spark, sf)
+    vocab = L.vocabulary(c, "actors")
+    k = vocab.count()
+    ids = L.multi_hot(L.label_ids(c, vocab, vocab_rows=k), k)
+    return ids.select("row_id", _joined("label_ids").alias("label_ids"), _joined("labels", ",").alias("labels"))
+
+
+def q_label_wide(spark, sf):
+    """L3 + J6: one 0/1 column per label beside the key."""
+    c = tables.clauses(spark, sf)
+    return L.label_wide(c, L.vocabulary(c, "actors"))
+
+
+def _warm(spark, sf):
+    c = tables.clauses(spark, sf)
+    new_vocab = L.vocabulary(c, "actors")
+    docs = tables.table(spark, sf, "documents")
+    old_vocab = L.vocabulary(docs.select(F.array("lang").alias("actors")), "actors")
+    warm = tables.cooccurrence_warm_map(spark, sf)
+    return new_vocab, old_vocab, warm
+
+
+def q_warm_pairs(spark, sf):
+    """M1 + J4: usable warm-start pairs (both ends exist)."""
+    new_vocab, old_vocab, warm = _warm(spark, sf)
+    return L.warm_pairs(warm, new_vocab, old_vocab)
+
+
+def q_warm_skipped(spark, sf):
+    """M2 + J5: names of the map that were dropped."""
+    new_vocab, old_vocab, warm = _warm(spark, sf)
+    return L.warm_skipped(warm, new_vocab, old_vocab)
+
+
+def q_warm_copy(spark, sf):
+    """M3: new head with mapped rows (weights and bias) copied from the old head."""
+    new_vocab, old_vocab, warm = _warm(spark, sf)
+    pairs = L.warm_pairs(warm, new_vocab, old_vocab)
+    out = L.warm_copy(scoring.hash_head(new_vocab), scoring.hash_head(old_vocab, salt="old"), pairs)
+    return out.select("label_id", "label", "feature", _r6("weight").alias("weight"))
+
+
+# --- step 4: windows ---------------------------------------------------------
+
+def q_windows_fixed(spark, sf):
+    """T1 + T2 + T3 + T4: training windows with padding, mask and the clause's label ids."""
+    c = tables.clauses(spark, sf)
+    vocab = L.vocabulary(c, "actors")
+    ids = L.label_ids(c, vocab)
+    tok = W.with_token_ids(c.select("row_id", "clause")).join(ids, "row_id")
+    wins = W.pad_windows(W.fixed_step_windows(tok, keep=("row_id", "label_ids")))
+    return wins.select("row_id", F.col("window").cast("int").alias("window"), "n_tokens",
+                       _joined("input_ids", " ").alias("input_ids"),
+                       F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"),
+                       _joined("label_ids").alias("label_ids"))
+
+
+def q_windows_overlap(spark, sf):
+    """T1 + T5 + T3: prediction windows with their own specials."""
+    c = tables.clauses(spark, sf)
+    wins = W.pad_windows(W.overlap_windows(W.with_token_ids(c.select("row_id", "clause"))))
+    return wins.select("row_id", F.col("window").cast("int").alias("window"), "n_tokens",
+                       _joined("input_ids", " ").alias("input_ids"))
+
+
+# --- step 5: metrics -----------------------------------------------------------
+
+def _eval_cells(spark, sf):
+    c, vocab, head = _vocab_head(spark, sf)
+    wins = W.fixed_step_windows(W.with_token_ids(c.select("row_id", "clause")))
+    return M.cells(scoring.score_windows(wins, head), _truth(c, vocab))
+
+
+def q_confusion(spark, sf):
+    """E1 + E2: confusion counts over all (window, label) cells."""
+    return M.confusion(_eval_cells(spark, sf))
+
+
+def q_macro_metrics(spark, sf):
+    """Accuracy and macro precision / recall / F1 over cells."""
+    m = M.macro_metrics(M.confusion(_eval_cells(spark, sf)))
+    return m.select(*[_r6(c).alias(c) for c in m.columns])
+
+
+def q_bce_loss(spark, sf):
+    """Mean binary cross-entropy with logits."""
+    b = M.bce_loss(_eval_cells(spark, sf))
+    return b.select(_r6("loss").alias("loss"), "n_cells")
+
+
+# --- step 6: stance ------------------------------------------------------------
+
+def _prepared(spark, sf):
+    return Z.prepare(tables.stance_input(spark, sf))
+
+
+def q_stance_templates(spark, sf):
+    """J3 + T7 + Z1: every (clause, actor) pair over every template, rendered."""
+    p = _prepared(spark, sf)
+    rows = Z.template_rows()
+    arr = F.array(*[F.struct(F.lit(r).alias("stance_rank"), F.lit(s).alias("stance"),
+                             F.lit(i).alias("template_id"), F.lit(t).alias("template")) for r, s, i, t in rows])
+    pairs = p.select("row_id", F.posexplode("actors").alias("pos", "actor"))
+    fan = pairs.select("row_id", "pos", "actor", F.explode(arr).alias("t"))
+    return fan.select("row_id", F.col("pos").cast("int").alias("pos"), F.col("t.stance").alias("stance"),
+                      F.col("t.template_id").cast("int").alias("template_id"),
+                      render_template(F.col("t.template"), F.col("actor")).alias("hypothesis"))
+
+
+def q_pair_scores(spark, sf):
+    """Z2 + T8 + T10: entailment score of every (premise, hypothesis) pair."""
+    p = _prepared(spark, sf)
+    rows = Z.template_rows()
+    arr = F.array(*[F.struct(F.lit(s).alias("stance"), F.lit(i).alias("template_id"), F.lit(t).alias("template"))
+                    for _, s, i, t in rows])
+    base = p.select("row_id", F.posexplode("actors").alias("pos", "actor"),
+                    tokens(F.lower("premise")).alias("premise_tokens"))
+    fan = base.select("row_id", "pos", "actor", "premise_tokens", F.explode(arr).alias("t"))
+    score = Z.overlap_score(F.col("premise_tokens"), render_template(F.col("t.template"), F.col("actor")), 512)
+    return fan.select("row_id", F.col("pos").cast("int").alias("pos"), F.col("t.stance").alias("stance"),
+                      F.col("t.template_id").cast("int").alias("template_id"), _r6(score).alias("score"))
+
+
+def q_stance_pairs(spark, sf):
+    """Z3 + A2 + P7 + A5 + C9: stance and mean scores per (clause, actor)."""
+    s = Z.stance_pairs(_prepared(spark, sf))
+    return s.select("row_id", F.col("pos").cast("int").alias("pos"), "actor", "stance",
+                    *[_r6(c).alias(c) for c in ("positive", "negative", "neutral")])
+
+
+def _lists_flat(df: DataFrame) -> DataFrame:
+    return df.select("row_id", _joined("predicted_sentiments").alias("predicted_sentiments"),
+                     _joined(F.transform("sentiment_scores", lambda s: F.format_string(
+                         "%.6f/%.6f/%.6f", s["positive"], s["negative"], s["neutral"]))).alias("sentiment_scores"))
+
+
+def q_stance_lists(spark, sf):
+    """Z4 + A3 + Z6: stance lists parallel to each clause's actor list, attached to the rows."""
+    out = Z.stance(tables.stance_input(spark, sf))
+    return _lists_flat(out)
+
+
+def q_stance_tagged(spark, sf):
+    """Both stages: tag every document, then the stance of each predicted actor."""
+    c, vocab, head = _vocab_head(spark, sf)
+    tagged = pipelines.tag(c.select("row_id", "clause"), head, vocab)
+    lit = F.concat(F.lit("['"), F.array_join("predicted_actors", "', '"), F.lit("']"))
+    src = c.select("row_id", "clause").join(tagged.select("row_id", lit.alias("predicted_actors")), "row_id")
+    return _lists_flat(Z.stance(src))
+
+
+# --- step 7: sinks -------------------------------------------------------------
+
+def q_roundtrip(spark, sf):
+    """S1 + S2 + S3 + S4 + S5: stance result written as CSV with a backup, read back."""
+    from pyspark.sql import types as T
+    out = Z.stance(tables.stance_input(spark, sf))
+    path = scratch_path(spark, "stance-csv")
+    report = io.save_with_backup(out, path)
+    if report["rows_written"] != report["rows_read"]:
+        raise RuntimeError(f"round trip lost rows: {report}")
+    schema = T.StructType([T.StructField("row_id", T.LongType()), T.StructField("clause", T.StringType()),
+                           T.StructField("predicted_actors", T.StringType()),
+                           T.StructField("predicted_sentiments", T.StringType()),
+                           T.StructField("sentiment_scores", T.StringType())])
+    back = io.read_csv(spark, path, schema)
+    sents = F.from_json("predicted_sentiments", "array<string>")
+    return back.select("row_id", F.md5(F.coalesce("clause", F.lit(""))).alias("clause_md5"),
+                       _joined(sents).alias("predicted_sentiments"))
+
+
+def q_head_roundtrip(spark, sf):
+    """S8 + S9: vocabulary and head written as parquet and read back."""
+    c, vocab, head = _vocab_head(spark, sf)
+    vp, hp = scratch_path(spark, "vocab"), scratch_path(spark, "head")
+    io.write_table(vocab, vp)
+    io.write_table(head, hp)
+    v, h = io.read_table(spark, vp), io.read_table(spark, hp)
+    return h.join(v, ["label_id", "label"]).select("label_id", "label", "feature", _r6("weight").alias("weight"))
+
+
+# --- step 8: fitting -----------------------------------------------------------
+
+def q_fit_head(spark, sf):
+    """F1 + F2 + F3 + P8: fit a head on the 80 % side, evaluate each epoch on the 20 % side."""
+    c = tables.clauses(spark, sf).withColumn("actors", parse_list_strict(F.col("actors_text")))
+    vocab = L.vocabulary(c, "actors")
+    truth = _truth(c, vocab)
+    train, test = P.split_hash(c)
+    wins = {name: W.fixed_step_windows(W.with_token_ids(side.select("row_id", "clause")))
+            for name, side in (("train", train), ("test", test))}
+    init = scoring.hash_head(vocab)
+    _, epochs = H.fit(wins["train"], truth, init, eval_windows=wins["test"], eval_truth=truth,
+                      epochs=5, steps_per_epoch=2)
+    return epochs
+
+
 QUERIES: dict[str, Query] = {
     "tag_documents": q_tag_documents,
+    "tag_sample": q_tag_sample,
+    "tag_batch_udf": q_tag_batch_udf,
+    "tag_probs": q_tag_probs,
+    "clean_fill": q_clean_fill,
+    "cut_text": q_cut_text,
+    "profile": q_profile,
+    "preview": q_preview,
+    "parse_actors": q_parse_actors,
+    "sample_exact": q_sample_exact,
+    "first_n": q_first_n,
+    "split_hash": q_split_hash,
+    "split_exact": q_split_exact,
+    "label_vocab": q_label_vocab,
+    "multi_hot": q_multi_hot,
+    "label_wide": q_label_wide,
+    "warm_pairs": q_warm_pairs,
+    "warm_skipped": q_warm_skipped,
+    "warm_copy": q_warm_copy,
+    "windows_fixed": q_windows_fixed,
+    "windows_overlap": q_windows_overlap,
+    "confusion": q_confusion,
+    "macro_metrics": q_macro_metrics,
+    "bce_loss": q_bce_loss,
+    "stance_templates": q_stance_templates,
+    "pair_scores": q_pair_scores,
+    "stance_pairs": q_stance_pairs,
+    "stance_lists": q_stance_lists,
+    "stance_tagged": q_stance_tagged,
+    "roundtrip": q_roundtrip,
+    "head_roundtrip": q_head_roundtrip,
+    "fit_head": q_fit_head,
 }
