@@ -25,3 +25,17 @@ def require_columns(df: DataFrame, required: list[str]) -> None:
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"Missing required columns: {missing}")
+
+
+def spread(df: DataFrame, key: str = "row_id", min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition on ``key`` when the input has fewer partitions than cores.
+
+    Text work (tokenizing, windows, pair scoring) is CPU-bound per row; an
+    input of one large file would otherwise run in one task. On a cluster
+    scan the input already has many splits and nothing is shuffled. Once
+    partitioned on the key, later aggregates keyed by (key, ...) reuse it.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target, key)
+    return df

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.lists import FAILED, parse_list
+from ._util import spread
 from ..functions.text import CUT_CHARS, MAX_LENGTH, UNKNOWN, cut_text, render_template, tokens
 
 # Stances in tie-break order, three hypothesis templates each,
@@ -162,6 +163,6 @@ def stance(df: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH, max
     per-pair and per-clause aggregates and the join back to the input rows
     need no further exchange.
     """
-    src = df.repartition(key) if attach else df
+    src = df.repartition(key) if attach else spread(df, key)
     lists = stance_lists(prepare(src, key, clause, actors, max_chars), templates, max_length, key)
     return src.join(lists, key, "left") if attach else lists

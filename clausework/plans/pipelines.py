@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import MAX_LENGTH, PREDICT_OVERLAP, THRESHOLD, as_text
 from ..operators import scoring, stance as stance_ops, tagging, windows
-from ..operators._util import BROADCAST_MAX_ROWS
+from ..operators._util import BROADCAST_MAX_ROWS, spread
 from ..operators.sampling import SEED, sample_exact
 
 
@@ -22,6 +22,7 @@ def tag(clauses: DataFrame, head: DataFrame, vocab: DataFrame, *, key: str = "ro
     ``make_predict_fn`` through ``predict_batch_udf`` on padded windows.
     """
     src = clauses if sample_size is None else sample_exact(clauses, sample_size, seed, key)
+    src = spread(src.select(key, text), key)
     ids = src.select(key, as_text(F.col(text), null_text).alias("clause"))
     ids = windows.with_token_ids(ids, "clause", "ids")
     wins = windows.overlap_windows(ids, "ids", max_length, overlap, keep=(key,))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators._util import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -41,7 +43,7 @@ def list_literal(actors: F.Column, style: F.Column) -> F.Column:
 
 def clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(row_id, clause, actors, actors_text)`` over the whole documents table."""
-    g = gold_actors(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    g = spread(gold_actors(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), "row_id")
     return g.withColumn("actors_text", list_literal(F.col("actors"), F.pmod(F.col("row_id"), F.lit(3))))
 
 
