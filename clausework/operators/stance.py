@@ -15,6 +15,8 @@ the hypothesis in ``max_length`` (only the premise is truncated).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,9 +90,7 @@ def overlap_score(premise_tokens: Column, hypothesis: Column, max_length: int) -
             .otherwise(found.cast("double") / F.size(distinct)))
 
 
-def prepare(df: DataFrame, key: str = "row_id", clause: str = "clause", actors: str = "predicted_actors",
-            max_chars: int | None = CUT_CHARS) -> DataFrame:
-    """C1 + C4 + C5: ``(key, premise, actors)``; an unreadable row becomes ("", ["Unknown"])."""
+def _prepared_columns(clause: str, actors: str, max_chars: int | None):
     text = F.coalesce(F.col(clause).cast("string"), F.lit(""))
     parsed = parse_list(F.coalesce(F.col(actors), F.lit("[]")))
     failed = parsed.getField("status") == F.lit(FAILED)
@@ -99,19 +99,89 @@ def prepare(df: DataFrame, key: str = "row_id", clause: str = "clause", actors:
         premise = cut_text(premise, max_chars)
     items = F.when(failed, F.array(F.lit(UNKNOWN))).otherwise(
         F.coalesce(parsed.getField("items"), F.array().cast("array<string>")))
+    return premise, items
+
+
+def prepare(df: DataFrame, key: str = "row_id", clause: str = "clause", actors: str = "predicted_actors",
+            max_chars: int | None = CUT_CHARS) -> DataFrame:
+    """C1 + C4 + C5: ``(key, premise, actors)``; an unreadable row becomes ("", ["Unknown"])."""
+    premise, items = _prepared_columns(clause, actors, max_chars)
     return df.select(key, premise.alias("premise"), items.alias("actors"))
 
 
-def stance_pairs_all(prepared: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH,
-                     key: str = "row_id") -> DataFrame:
-    """Z2-Z3 + A2 + A5 + P7 + C9 + J3: one row per (clause, actor position).
+_SLOT = "{actor}"
+_WORD = re.compile(r"[^ \t\n\r]+")
 
-    Rows of clauses with no actor keep a null position (they regroup to
-    empty lists).
+
+def hoistable(templates=TEMPLATES) -> bool:
+    """True when every template has the slot once, as a whitespace-delimited
+    token, and is ASCII (so Python's lower() equals Spark's)."""
+    for _, t in templates:
+        words = _WORD.findall(t)
+        if t.count(_SLOT) != 1 or words.count(_SLOT) != 1 or not t.isascii():
+            return False
+    return True
+
+
+def _template_words(templates):
+    """Union of the templates' own words, and per template (word indexes, words, token count)."""
+    vocab: list[str] = []
+    per = []
+    for _, t in templates:
+        words = [w for w in _WORD.findall(t.lower()) if w != _SLOT]
+        distinct = list(dict.fromkeys(words))
+        for w in distinct:
+            if w not in vocab:
+                vocab.append(w)
+        per.append(([vocab.index(w) + 1 for w in distinct], distinct, len(words)))
+    return vocab, per
+
+
+def _scores_hoisted(prepared: DataFrame, templates, max_length: int, key: str) -> DataFrame:
+    """Per-template scores, with every premise scan hoisted out of the template fan-out.
+
+    Same value as ``overlap_score`` on the rendered hypothesis: its tokens are
+    the template's own words plus the actor's tokens (the slot is a whole
+    token), so a template word's first position in the premise is found once
+    per clause and an actor token's once per actor.
     """
-    names = stance_names(templates)
+    vocab, per = _template_words(templates)
     rows = template_rows(templates)
-    ranks = {s: r for r, s, _, _ in rows}
+    tarr = F.array(*[F.struct(F.lit(r).cast("int").alias("stance_rank"), F.lit(st).alias("stance"),
+                              F.lit(i).cast("int").alias("template_id"),
+                              F.array(*[F.lit(x) for x in idx]).cast("array<int>").alias("idx"),
+                              F.array(*[F.lit(w) for w in words]).cast("array<string>").alias("tw"),
+                              F.lit(ntok).cast("int").alias("ntok"))
+                     for (r, st, i, _), (idx, words, ntok) in zip(rows, per)])
+    prem = tokens(F.lower(F.col("premise")))
+    base = prepared.select(key, (F.length("premise") == 0).alias("empty_clause"), prem.alias("ptoks"),
+                           "actors")
+    base = base.select(key, "empty_clause", "ptoks",
+                       F.transform(F.array(*[F.lit(w) for w in vocab]),
+                                   lambda w: F.array_position(F.col("ptoks"), w)).alias("twpos"),
+                       F.posexplode_outer("actors").alias("pos", "actor"))
+    atoks = tokens(F.lower(F.col("actor")))
+    pairs = base.select(key, "pos", "actor", "twpos",
+                        (F.col("empty_clause") | F.col("actor").isNull() | (F.length("actor") == 0)).alias("guard"),
+                        F.size(atoks).alias("n_actor"),
+                        F.transform(F.array_distinct(atoks),
+                                    lambda a: F.struct(a.alias("tok"),
+                                                       F.array_position(F.col("ptoks"), a).alias("p"))).alias("ap"))
+    fan = pairs.select(key, "pos", "actor", "guard", "twpos", "n_actor", "ap",
+                       F.explode(F.when(F.col("guard"), F.array(F.lit(None))).otherwise(tarr)).alias("t"))
+    budget = F.lit(max_length - 3) - (F.col("t.ntok") + F.col("n_actor"))
+    extra = F.filter("ap", lambda x: ~F.array_contains(F.col("t.tw"), x["tok"]))
+    hit_tw = F.size(F.filter("t.idx", lambda i: (F.element_at("twpos", i) > 0) & (F.element_at("twpos", i) <= budget)))
+    hit_a = F.size(F.filter(extra, lambda x: (x["p"] > 0) & (x["p"] <= budget)))
+    denom = F.size("t.tw") + F.size(extra)
+    score = (F.when((budget < 0) | (denom == 0), F.lit(None).cast("double"))
+             .otherwise((hit_tw + hit_a).cast("double") / denom))
+    return fan.select(key, "pos", "actor", "guard", F.col("t.stance").alias("stance"),
+                      F.col("t.template_id").alias("template_id"), score.alias("score"))
+
+
+def _scores_general(prepared: DataFrame, templates, max_length: int, key: str) -> DataFrame:
+    """Per-template scores on the rendered hypothesis (any template shape)."""
     base = prepared.select(key, (F.length("premise") == 0).alias("empty_clause"),
                            tokens(F.lower(F.col("premise"))).alias("premise_tokens"),
                            F.posexplode_outer("actors").alias("pos", "actor"))
@@ -120,8 +190,32 @@ def stance_pairs_all(prepared: DataFrame, templates=TEMPLATES, max_length: int =
     fan = base.select(key, "pos", "actor", guard.alias("guard"), "premise_tokens",
                       F.explode(F.when(guard, none).otherwise(_template_array(templates))).alias("t"))
     hyp = render_template(F.col("t.template"), F.col("actor"))
-    scored = fan.select(key, "pos", "actor", "guard", F.col("t.stance").alias("stance"),
-                        F.coalesce(overlap_score(F.col("premise_tokens"), hyp, max_length), F.lit(0.0)).alias("score"))
+    return fan.select(key, "pos", "actor", "guard", F.col("t.stance").alias("stance"),
+                      F.col("t.template_id").alias("template_id"),
+                      overlap_score(F.col("premise_tokens"), hyp, max_length).alias("score"))
+
+
+def template_scores(prepared: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH,
+                    key: str = "row_id", hoist: bool | None = None) -> DataFrame:
+    """Z2 + T8: ``(key, pos, actor, guard, stance, template_id, score)``; null score = failed template."""
+    use = hoistable(templates) if hoist is None else hoist
+    if use and not hoistable(templates):
+        raise ValueError("templates do not allow the hoisted scorer")
+    return (_scores_hoisted if use else _scores_general)(prepared, templates, max_length, key)
+
+
+def stance_pairs_all(prepared: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH,
+                     key: str = "row_id", hoist: bool | None = None) -> DataFrame:
+    """Z2-Z3 + A2 + A5 + P7 + C9 + J3: one row per (clause, actor position).
+
+    Rows of clauses with no actor keep a null position (they regroup to
+    empty lists).
+    """
+    names = stance_names(templates)
+    rows = template_rows(templates)
+    ranks = {s: r for r, s, _, _ in rows}
+    scored = template_scores(prepared, templates, max_length, key, hoist).withColumn(
+        "score", F.coalesce(F.col("score"), F.lit(0.0)))
     means = scored.groupBy(key, "pos", "actor", "guard").agg(
         *[F.avg(F.when(F.col("stance") == s, F.col("score"))).alias(s) for s in names])
     filled = [F.coalesce(F.col(s), F.lit(0.0)) for s in names]
@@ -159,10 +253,16 @@ def stance(df: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH, max
            attach: bool = True) -> DataFrame:
     """Z4 end to end: the input rows plus ``predicted_sentiments`` and ``sentiment_scores``.
 
-    With ``attach`` the input is hash-partitioned on the key once, so the
-    per-pair and per-clause aggregates and the join back to the input rows
-    need no further exchange.
+    The actor lists are parsed first (the Python slow path of the parser sits
+    below any exchange). With ``attach`` the parsed input is hash-partitioned
+    on the key once, so the per-pair and per-clause aggregates and the join
+    back to the input rows reuse that one exchange. Without it only the
+    result lists are returned.
     """
-    src = df.repartition(key) if attach else spread(df, key)
-    lists = stance_lists(prepare(src, key, clause, actors, max_chars), templates, max_length, key)
-    return src.join(lists, key, "left") if attach else lists
+    premise, items = _prepared_columns(clause, actors, max_chars)
+    cols = df.columns
+    parsed = df.select(*cols, premise.alias("__premise"), items.alias("__actors"))
+    src = parsed.repartition(key) if attach else spread(parsed, key)
+    prepared = src.select(key, F.col("__premise").alias("premise"), F.col("__actors").alias("actors"))
+    lists = stance_lists(prepared, templates, max_length, key)
+    return src.select(*cols).join(lists, key, "left") if attach else lists

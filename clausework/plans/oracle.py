@@ -312,7 +312,7 @@ SELECT p.row_id, p.pos, t.stance, t.template_id, replace(t.template, '{actor}',
 FROM (SELECT row_id, unnest(actors) AS actor, unnest(range(0, len(actors)))::INTEGER AS pos FROM prep) p
 CROSS JOIN templates t""",
     "pair_scores": _with(GOLD, TEMPLATES, _STANCE_PREP, stance_ctes("prep"))
-    + "\nSELECT row_id, pos, stance, template_id, round(score, 6) AS score FROM scored",
+    + "\nSELECT row_id, pos, stance, template_id, round(score, 6) AS score FROM scored WHERE NOT guard",
     "stance_pairs": _with(GOLD, TEMPLATES, _STANCE_PREP, stance_ctes("prep")) + """
 SELECT row_id, pos, actor, stance, round(positive, 6) AS positive, round(negative, 6) AS negative,
        round(neutral, 6) AS neutral FROM pairs_out""",

@@ -264,17 +264,10 @@ def q_stance_templates(spark, sf):
 
 
 def q_pair_scores(spark, sf):
-    """Z2 + T8 + T10: entailment score of every (premise, hypothesis) pair."""
-    p = _prepared(spark, sf)
-    rows = Z.template_rows()
-    arr = F.array(*[F.struct(F.lit(s).alias("stance"), F.lit(i).alias("template_id"), F.lit(t).alias("template"))
-                    for _, s, i, t in rows])
-    base = p.select("row_id", F.posexplode("actors").alias("pos", "actor"),
-                    tokens(F.lower("premise")).alias("premise_tokens"))
-    fan = base.select("row_id", "pos", "actor", "premise_tokens", F.explode(arr).alias("t"))
-    score = Z.overlap_score(F.col("premise_tokens"), render_template(F.col("t.template"), F.col("actor")), 512)
-    return fan.select("row_id", F.col("pos").cast("int").alias("pos"), F.col("t.stance").alias("stance"),
-                      F.col("t.template_id").cast("int").alias("template_id"), _r6(score).alias("score"))
+    """Z2 + T8 + T10: entailment score of every scored (premise, hypothesis) pair."""
+    sc = Z.template_scores(_prepared(spark, sf)).where(~F.col("guard"))
+    return sc.select("row_id", F.col("pos").cast("int").alias("pos"), "stance",
+                     F.col("template_id").cast("int").alias("template_id"), _r6("score").alias("score"))
 
 
 def q_stance_pairs(spark, sf):
@@ -299,7 +292,8 @@ def q_stance_lists(spark, sf):
 def q_stance_tagged(spark, sf):
     """Both stages: tag every document, then the stance of each predicted actor."""
     c, vocab, head = _vocab_head(spark, sf)
-    tagged = pipelines.tag(c.select("row_id", "clause"), head, vocab)
+    # stage boundary: the tagging result is materialised in the shared folder
+    tagged = pipelines.tag(c.select("row_id", "clause"), head, vocab).checkpoint(eager=True)
     lit = F.concat(F.lit("['"), F.array_join("predicted_actors", "', '"), F.lit("']"))
     src = c.select("row_id", "clause").join(tagged.select("row_id", lit.alias("predicted_actors")), "row_id")
     return _lists_flat(Z.stance(src))
