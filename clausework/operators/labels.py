@@ -106,9 +106,17 @@ def label_wide(df: DataFrame, vocab: DataFrame, actors: str = "actors", key: str
     if n > MAX_WIDE_LABELS:
         raise ValueError(f"{n} labels: too many for a wide table; use label_ids/multi_hot")
     names = [r["label"] for r in labels_in_id_order(vocab).select("label").collect()]
-    clash = [c for c in names if c == key]
+    case_sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    fold = (lambda x: x) if case_sensitive else str.lower
+    clash = [c for c in names if fold(c) == fold(key)]
     if clash:
         raise ValueError(f"label names clash with the key column: {clash}")
+    seen: dict[str, str] = {}
+    for c in names:
+        if fold(c) in seen:
+            raise ValueError(f"labels {seen[fold(c)]!r} and {c!r} differ only by case; use label_ids/multi_hot "
+                             "or set spark.sql.caseSensitive=true")
+        seen[fold(c)] = c
     ex = df.select(key, F.explode_outer(actors).alias("label")).withColumn("hit", F.lit(1))
     wide = ex.groupBy(key).pivot("label", names).agg(F.max("hit"))
     return wide.na.fill(0, names) if names else wide

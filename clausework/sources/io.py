@@ -23,7 +23,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_values: tu
     A missing path raises Spark's PATH_NOT_FOUND analysis error.
     """
     df = spark.read.csv(path, schema=schema, header=True, multiLine=True, quote='"', escape='"',
-                        mode="FAILFAST")
+                        mode="FAILFAST", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     strings = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
     return null_tokens_to_null(df, strings, na_values)
 
@@ -36,7 +36,8 @@ def _flat(df: DataFrame) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """S2 (+S5): CSV with header, no index; nested columns as JSON text."""
-    _flat(df).write.mode(mode).csv(path, header=True, quote='"', escape='"')
+    _flat(df).write.mode(mode).csv(path, header=True, quote='"', escape='"',
+                                   ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def backup_path(path: str, when: datetime.datetime | None = None) -> str:
