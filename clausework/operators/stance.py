@@ -16,7 +16,10 @@ the hypothesis in ``max_length`` (only the premise is truncated).
 from __future__ import annotations
 
 import re
+import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -195,9 +198,73 @@ def _scores_general(prepared: DataFrame, templates, max_length: int, key: str) -
                       overlap_score(F.col("premise_tokens"), hyp, max_length).alias("score"))
 
 
+_PAIR_MODELS: dict[str, object] = {}
+
+
+def _scores_batch(prepared: DataFrame, templates, max_length: int, key: str, make_pair_fn,
+                  entail_idx: int = ENTAIL_IDX, dedup: bool = True) -> DataFrame:
+    """Per-template scores from a plug-in entailment model (Z2 "P" + T10 + Z6).
+
+    ``make_pair_fn()`` returns ``fn(premises, hypotheses, max_length) ->
+    logits[n, classes]``; it is built once per Python worker and scores a
+    whole Arrow batch. The entailment logit is column ``entail_idx``. If a
+    batch fails, its pairs are retried one by one; a pair that still fails
+    gets a null score (0.0 in the mean). With ``dedup`` each distinct
+    (premise, hypothesis) is scored once and joined back: repeated clauses
+    and actors are common, and the model is the expensive part.
+    """
+    token = uuid.uuid4().hex
+
+    @F.pandas_udf(T.DoubleType())
+    def entail(prem: pd.Series, hyp: pd.Series) -> pd.Series:
+        fn = _PAIR_MODELS.get(token)
+        if fn is None:
+            fn = _PAIR_MODELS[token] = make_pair_fn()
+        out = np.full(len(prem), np.nan)
+        ok = (prem.notna() & hyp.notna()).to_numpy()
+        idx = np.flatnonzero(ok)
+        if len(idx):
+            ps, hs = list(prem.iloc[idx]), list(hyp.iloc[idx])
+            try:
+                out[idx] = np.asarray(fn(ps, hs, max_length), dtype=float)[:, entail_idx]
+            except Exception:
+                for j, p, h in zip(idx, ps, hs):
+                    try:
+                        out[j] = float(np.asarray(fn([p], [h], max_length), dtype=float)[0, entail_idx])
+                    except Exception:
+                        out[j] = np.nan
+        return pd.Series(out).where(~np.isnan(out), None)
+
+    base = prepared.select(key, (F.length("premise") == 0).alias("empty_clause"), "premise",
+                           F.posexplode_outer("actors").alias("pos", "actor"))
+    guard = F.col("empty_clause") | F.col("actor").isNull() | (F.length("actor") == 0)
+    none = F.array(F.lit(None).cast(TEMPLATE_STRUCT))
+    fan = base.select(key, "pos", "actor", guard.alias("guard"), "premise",
+                      F.explode(F.when(guard, none).otherwise(_template_array(templates))).alias("t"))
+    fan = fan.select(key, "pos", "actor", "guard", F.col("t.stance").alias("stance"),
+                     F.col("t.template_id").alias("template_id"), "premise",
+                     render_template(F.col("t.template"), F.col("actor")).alias("hypothesis"))
+    if not dedup:
+        return fan.select(key, "pos", "actor", "guard", "stance", "template_id",
+                          F.when(~F.col("guard"), entail(F.col("premise"), F.col("hypothesis"))).alias("score"))
+    keyed = fan.withColumn("ph", F.md5(F.col("premise")))
+    todo = keyed.where(~F.col("guard")).select("ph", "hypothesis", "premise").dropDuplicates(["ph", "hypothesis"])
+    scored = todo.select("ph", "hypothesis", entail(F.col("premise"), F.col("hypothesis")).alias("score"))
+    return (keyed.drop("premise").join(scored, ["ph", "hypothesis"], "left")
+            .select(key, "pos", "actor", "guard", "stance", "template_id",
+                    F.when(~F.col("guard"), F.col("score")).alias("score")))
+
+
 def template_scores(prepared: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH,
-                    key: str = "row_id", hoist: bool | None = None) -> DataFrame:
-    """Z2 + T8: ``(key, pos, actor, guard, stance, template_id, score)``; null score = failed template."""
+                    key: str = "row_id", hoist: bool | None = None, pair_model=None,
+                    entail_idx: int = ENTAIL_IDX) -> DataFrame:
+    """Z2 + T8: ``(key, pos, actor, guard, stance, template_id, score)``; null score = failed template.
+
+    ``pair_model`` (a ``make_pair_fn``) switches from the relational overlap
+    scorer to a plug-in entailment model.
+    """
+    if pair_model is not None:
+        return _scores_batch(prepared, templates, max_length, key, pair_model, entail_idx)
     use = hoistable(templates) if hoist is None else hoist
     if use and not hoistable(templates):
         raise ValueError("templates do not allow the hoisted scorer")
@@ -205,7 +272,7 @@ def template_scores(prepared: DataFrame, templates=TEMPLATES, max_length: int =
 
 
 def stance_pairs_all(prepared: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH,
-                     key: str = "row_id", hoist: bool | None = None) -> DataFrame:
+                     key: str = "row_id", hoist: bool | None = None, pair_model=None) -> DataFrame:
     """Z2-Z3 + A2 + A5 + P7 + C9 + J3: one row per (clause, actor position).
 
     Rows of clauses with no actor keep a null position (they regroup to
@@ -214,11 +281,23 @@ def stance_pairs_all(prepared: DataFrame, templates=TEMPLATES, max_length: int =
     names = stance_names(templates)
     rows = template_rows(templates)
     ranks = {s: r for r, s, _, _ in rows}
-    scored = template_scores(prepared, templates, max_length, key, hoist).withColumn(
+    scored = template_scores(prepared, templates, max_length, key, hoist, pair_model).withColumn(
         "score", F.coalesce(F.col("score"), F.lit(0.0)))
+    # each template's score in its own slot, then the mean per stance summed in
+    # template order: the result does not depend on row order, so ties stay ties
+    slots = {s: [i for _, st, i, _ in rows if st == s] for s in names}
     means = scored.groupBy(key, "pos", "actor", "guard").agg(
-        *[F.avg(F.when(F.col("stance") == s, F.col("score"))).alias(s) for s in names])
-    filled = [F.coalesce(F.col(s), F.lit(0.0)) for s in names]
+        *[F.max(F.when((F.col("stance") == s) & (F.col("template_id") == i), F.col("score"))).alias(f"_{s}_{i}")
+          for s in names for i in slots[s]])
+
+    def mean(s):
+        total = None
+        for i in slots[s]:
+            v = F.coalesce(F.col(f"_{s}_{i}"), F.lit(0.0))
+            total = v if total is None else total + v
+        return total / F.lit(float(len(slots[s])))
+
+    filled = [mean(s) for s in names]
     best = F.greatest(*[F.struct(v.alias("s"), F.lit(-ranks[s]).alias("r"), F.lit(s).alias("name"))
                         for s, v in zip(names, filled)])["name"] if len(names) > 1 else F.lit(names[0])
     unscored = [F.lit(1.0 if s == NEUTRAL else 0.0) for s in names]
@@ -231,16 +310,17 @@ def stance_pairs_all(prepared: DataFrame, templates=TEMPLATES, max_length: int =
 
 
 def stance_pairs(prepared: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH,
-                 key: str = "row_id") -> DataFrame:
+                 key: str = "row_id", pair_model=None) -> DataFrame:
     """Long result ``(key, pos, actor, stance, <one score column per stance>)``."""
-    return stance_pairs_all(prepared, templates, max_length, key).where(F.col("pos").isNotNull())
+    return stance_pairs_all(prepared, templates, max_length, key, pair_model=pair_model).where(
+        F.col("pos").isNotNull())
 
 
 def stance_lists(prepared: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH,
-                 key: str = "row_id") -> DataFrame:
+                 key: str = "row_id", pair_model=None) -> DataFrame:
     """Z4 + A3: ``(key, predicted_sentiments, sentiment_scores)`` parallel to the actor list."""
     names = stance_names(templates)
-    pairs = stance_pairs_all(prepared, templates, max_length, key)
+    pairs = stance_pairs_all(prepared, templates, max_length, key, pair_model=pair_model)
     entry = F.when(F.col("pos").isNotNull(),
                    F.struct("pos", "stance", F.struct(*[F.col(s) for s in names]).alias("scores")))
     per = pairs.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("xs"))
@@ -250,7 +330,7 @@ def stance_lists(prepared: DataFrame, templates=TEMPLATES, max_length: int = MAX
 
 def stance(df: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH, max_chars: int | None = CUT_CHARS,
            key: str = "row_id", clause: str = "clause", actors: str = "predicted_actors",
-           attach: bool = True) -> DataFrame:
+           attach: bool = True, pair_model=None) -> DataFrame:
     """Z4 end to end: the input rows plus ``predicted_sentiments`` and ``sentiment_scores``.
 
     The actor lists are parsed first (the Python slow path of the parser sits
@@ -264,5 +344,5 @@ def stance(df: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH, max
     parsed = df.select(*cols, premise.alias("__premise"), items.alias("__actors"))
     src = parsed.repartition(key) if attach else spread(parsed, key)
     prepared = src.select(key, F.col("__premise").alias("premise"), F.col("__actors").alias("actors"))
-    lists = stance_lists(prepared, templates, max_length, key)
+    lists = stance_lists(prepared, templates, max_length, key, pair_model=pair_model)
     return src.select(*cols).join(lists, key, "left") if attach else lists

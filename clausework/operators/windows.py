@@ -15,8 +15,13 @@ built once from the token array (linear in the text length).
 
 from __future__ import annotations
 
+import uuid
+
+import pandas as pd
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import CLS_ID, MAX_LENGTH, PAD_ID, PREDICT_OVERLAP, SEP_ID, TRAIN_STEP, token_ids
 
@@ -27,11 +32,12 @@ def with_token_ids(df: DataFrame, text: str = "clause", out: str = "ids") -> Dat
 
 
 def fixed_step_windows(df: DataFrame, ids: str = "ids", max_length: int = MAX_LENGTH, step: int = TRAIN_STEP,
-                       keep: tuple[str, ...] = ("row_id",), out: str = "window_ids") -> DataFrame:
+                       keep: tuple[str, ...] = ("row_id",), out: str = "window_ids",
+                       cls_id: int = CLS_ID, sep_id: int = SEP_ID) -> DataFrame:
     """One row per window ``(keep..., window, window_ids)``; carried columns repeat per window."""
     if step < 1 or max_length < 1:
         raise ValueError("step and max_length must be positive")
-    full = F.concat(F.array(F.lit(CLS_ID)), F.col(ids), F.array(F.lit(SEP_ID)))
+    full = F.concat(F.array(F.lit(cls_id)), F.col(ids), F.array(F.lit(sep_id)))
     starts = F.sequence(F.lit(0), F.size(full) - 1, F.lit(step))
     wins = F.transform(starts, lambda s: F.slice(full, s + 1, max_length))
     return df.select(*keep, F.posexplode(wins).alias("window", out))
@@ -48,7 +54,7 @@ def overlap_count(n_tokens, max_length: int = MAX_LENGTH, overlap: int = PREDICT
 
 def overlap_windows(df: DataFrame, ids: str = "ids", max_length: int = MAX_LENGTH,
                     overlap: int = PREDICT_OVERLAP, keep: tuple[str, ...] = ("row_id",),
-                    out: str = "window_ids") -> DataFrame:
+                    out: str = "window_ids", cls_id: int = CLS_ID, sep_id: int = SEP_ID) -> DataFrame:
     """T5: overflow windows with their own specials; ``overlap`` is the shared span."""
     cap = max_length - 2
     step = cap - overlap
@@ -56,15 +62,45 @@ def overlap_windows(df: DataFrame, ids: str = "ids", max_length: int = MAX_LENGT
         raise ValueError("need max_length - 2 > overlap")
     count = overlap_count(F.size(F.col(ids)), max_length, overlap)
     starts = F.sequence(F.lit(0), (count - 1) * F.lit(step), F.lit(step))
-    wins = F.transform(starts, lambda s: F.concat(F.array(F.lit(CLS_ID)), F.slice(F.col(ids), s + 1, cap),
-                                                  F.array(F.lit(SEP_ID))))
+    wins = F.transform(starts, lambda s: F.concat(F.array(F.lit(cls_id)), F.slice(F.col(ids), s + 1, cap),
+                                                  F.array(F.lit(sep_id))))
     return df.select(*keep, F.posexplode(wins).alias("window", out))
 
 
-def pad_windows(df: DataFrame, window_ids: str = "window_ids", max_length: int = MAX_LENGTH) -> DataFrame:
+def pad_windows(df: DataFrame, window_ids: str = "window_ids", max_length: int = MAX_LENGTH,
+                pad_id: int = PAD_ID) -> DataFrame:
     """Right-pad to ``max_length`` with the pad id and add the 0/1 mask."""
     n = F.size(F.col(window_ids))
     pad = F.lit(max_length) - n
     return (df.withColumn("n_tokens", n.cast("int"))
-            .withColumn("input_ids", F.concat(F.col(window_ids), F.array_repeat(F.lit(PAD_ID), pad)))
+            .withColumn("input_ids", F.concat(F.col(window_ids), F.array_repeat(F.lit(pad_id), pad)))
             .withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), pad))))
+
+
+# --- foreign tokenizers (U1) -------------------------------------------------
+
+_TOKENIZERS: dict[str, object] = {}
+
+
+def with_foreign_token_ids(df: DataFrame, make_tokenizer, text: str = "clause", out: str = "ids") -> DataFrame:
+    """T1 through a plug-in tokenizer, as an Arrow-batched pandas UDF.
+
+    ``make_tokenizer()`` returns ``encode(texts: list[str]) -> list[list[int]]``
+    (ids without specials). It is built once per Python worker and applied to
+    whole Arrow batches; windows, scoring and pooling stay Spark expressions.
+    """
+    token = uuid.uuid4().hex
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def encode(texts: pd.Series) -> pd.Series:
+        fn = _TOKENIZERS.get(token)
+        if fn is None:
+            fn = _TOKENIZERS[token] = make_tokenizer()
+        mask = texts.isna()
+        got = fn([t for t in texts[~mask]]) if (~mask).any() else []
+        res = [None] * len(texts)
+        for i, ids in zip(texts.index[~mask], got):
+            res[texts.index.get_loc(i)] = [int(x) for x in ids]
+        return pd.Series(res)
+
+    return df.withColumn(out, encode(F.col(text)))

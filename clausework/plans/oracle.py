@@ -126,8 +126,21 @@ def _values(rows, cols) -> str:
 TEMPLATES = f"templates AS (SELECT * FROM {_values(template_rows(), ['stance_rank', 'stance', 'template_id', 'template'])})"
 
 
+def _slot_sql() -> tuple[str, str]:
+    rows = template_rows()
+    names = list(dict.fromkeys(st for _, st, _, _ in rows))
+    slot_cols = ",\n".join(
+        f"         max(coalesce(score, 0.0)) FILTER (WHERE stance = {_q(st)} AND template_id = {i}) AS s_{st}_{i}"
+        for _, st, i, _ in rows)
+    mean_cols = ",\n".join(
+        "         (" + " + ".join(f"coalesce(s_{st}_{i}, 0.0)" for _, st2, i, _ in rows if st2 == st)
+        + f") / {sum(1 for r in rows if r[1] == st)}.0 AS {st}" for st in names)
+    return slot_cols, mean_cols
+
+
 def stance_ctes(prep: str) -> str:
     """From ``{prep}(row_id, premise, actors)`` to ``pairs_out`` and ``lists``."""
+    slot_cols, mean_cols = _slot_sql()
     return f"""
 pairs AS (
   SELECT row_id, premise, regexp_extract_all(lower(premise), {TOKEN_RE}) AS ptoks,
@@ -148,13 +161,16 @@ scored AS (
                    / len(list_distinct(htoks)) END AS score
   FROM fan
 ),
-means AS (
+slots AS (
   SELECT row_id, pos, actor, bool_or(guard) AS guard,
-         coalesce(avg(coalesce(score, 0.0)) FILTER (WHERE stance = 'positive'), 0.0) AS positive,
-         coalesce(avg(coalesce(score, 0.0)) FILTER (WHERE stance = 'negative'), 0.0) AS negative,
-         coalesce(avg(coalesce(score, 0.0)) FILTER (WHERE stance = 'neutral'), 0.0) AS neutral
+{slot_cols}
   FROM scored GROUP BY row_id, pos, actor
 ),
+means AS (
+  SELECT row_id, pos, actor, guard,
+{mean_cols}
+  FROM slots
+),
 pairs_out AS (
   SELECT row_id, pos, actor,
          CASE WHEN guard THEN 'neutral'

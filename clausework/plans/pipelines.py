@@ -54,4 +54,53 @@ def stance(df: DataFrame, **kwargs) -> DataFrame:
     return stance_ops.stance(df, **kwargs)
 
 
-__all__ = ["tag", "attach", "stance", "BROADCAST_MAX_ROWS"]
+__all__ = ["tag", "attach", "stance", "fit_tagger", "BROADCAST_MAX_ROWS"]
+
+
+def fit_tagger(clauses: DataFrame, *, key: str = "row_id", text: str = "clause",
+               actors_text: str = "regularized_actors", old_head: DataFrame | None = None,
+               old_vocab: DataFrame | None = None, warm_map: DataFrame | None = None,
+               test_share: float = 0.2, seed: int = SEED, exact_split: bool = False,
+               epochs: int = 5, steps_per_epoch: int = 2, lr: float = 0.05, weight_decay: float = 0.01,
+               warmup_ratio: float = 0.1, max_length: int = MAX_LENGTH, step: int = 256) -> dict:
+    """Training end to end (3.1): strict parse -> vocabulary -> split -> fixed-step
+    windows -> (warm-started) head -> fit -> hold-out metrics at window level.
+
+    Returns ``{"head", "vocab", "epochs", "metrics", "skipped"}`` as DataFrames.
+    The vocabulary is built on all rows before the split, and the split comes
+    before windowing, so no clause has windows on both sides.
+    """
+    from ..functions.lists import parse_list_strict
+    from ..operators import head as H
+    from ..operators import labels as L
+    from ..operators import metrics as M
+    from ..operators._util import bounded_broadcast
+    from ..operators.sampling import split_exact, split_hash
+
+    rows = spread(clauses.select(F.col(key).alias("row_id"), F.col(text).alias("clause"),
+                                 parse_list_strict(F.col(actors_text)).alias("actors")), "row_id")
+    vocab = L.vocabulary(rows, "actors")
+    n_labels = vocab.count()
+    truth = (rows.select("row_id", F.explode("actors").alias("label"))
+             .join(bounded_broadcast(vocab, rows=n_labels), "label").select("row_id", "label_id").distinct())
+    train, test = (split_exact if exact_split else split_hash)(rows, test_share, seed, "row_id")
+
+    def wins(side):
+        ids = windows.with_token_ids(side.select("row_id", "clause"), "clause", "ids")
+        return windows.fixed_step_windows(ids, "ids", max_length, step)
+
+    init = scoring.hash_head(vocab)
+    skipped = None
+    if old_head is not None:
+        from ..operators.labels import warm_map_table
+        wm = warm_map if warm_map is not None else warm_map_table(rows.sparkSession)
+        ov = old_vocab if old_vocab is not None else old_head.select("label_id", "label").distinct()
+        pairs = L.warm_pairs(wm, vocab, ov)
+        skipped = L.warm_skipped(wm, vocab, ov)
+        init = L.warm_copy(init, old_head, pairs)
+    head, epoch_table = H.fit(wins(train), truth, init, eval_windows=wins(test), eval_truth=truth,
+                              epochs=epochs, steps_per_epoch=steps_per_epoch, lr=lr,
+                              weight_decay=weight_decay, warmup_ratio=warmup_ratio)
+    cells = M.cells(scoring.score_windows(wins(test), head), truth)
+    metrics = M.macro_metrics(M.confusion(cells))
+    return {"head": head, "vocab": vocab, "epochs": epoch_table, "metrics": metrics, "skipped": skipped}
