@@ -140,22 +140,27 @@ def _template_words(templates):
     return vocab, per
 
 
-def _scores_hoisted(prepared: DataFrame, templates, max_length: int, key: str) -> DataFrame:
-    """Per-template scores, with every premise scan hoisted out of the template fan-out.
+def _not_in(words: Column):
+    return lambda x: ~F.array_contains(words, x["tok"])
+
+
+def _fits_at(fits):
+    return lambda x: fits(x["p"])
+
+
+def _pair_scores_wide(prepared: DataFrame, templates, max_length: int, key: str) -> DataFrame:
+    """One row per (clause, actor position) with one score column per template.
 
-    Same value as ``overlap_score`` on the rendered hypothesis: its tokens are
+    Same value as ``overlap_score`` on each rendered hypothesis: its tokens are
     the template's own words plus the actor's tokens (the slot is a whole
-    token), so a template word's first position in the premise is found once
-    per clause and an actor token's once per actor.
+    token). A template word's first position in the premise is found once per
+    clause and an actor token's once per actor; each template's score is then
+    a fixed expression over those positions (templates are parameters, so the
+    per-word checks are unrolled), with no fan-out over templates.
+    Columns: ``key, pos, actor, guard, _s<rank>_<template_id>...``.
     """
     vocab, per = _template_words(templates)
     rows = template_rows(templates)
-    tarr = F.array(*[F.struct(F.lit(r).cast("int").alias("stance_rank"), F.lit(st).alias("stance"),
-                              F.lit(i).cast("int").alias("template_id"),
-                              F.array(*[F.lit(x) for x in idx]).cast("array<int>").alias("idx"),
-                              F.array(*[F.lit(w) for w in words]).cast("array<string>").alias("tw"),
-                              F.lit(ntok).cast("int").alias("ntok"))
-                     for (r, st, i, _), (idx, words, ntok) in zip(rows, per)])
     prem = tokens(F.lower(F.col("premise")))
     base = prepared.select(key, (F.length("premise") == 0).alias("empty_clause"), prem.alias("ptoks"),
                            "actors")
@@ -170,17 +175,36 @@ def _scores_hoisted(prepared: DataFrame, templates, max_length: int, key: str) -
                         F.transform(F.array_distinct(atoks),
                                     lambda a: F.struct(a.alias("tok"),
                                                        F.array_position(F.col("ptoks"), a).alias("p"))).alias("ap"))
-    fan = pairs.select(key, "pos", "actor", "guard", "twpos", "n_actor", "ap",
-                       F.explode(F.when(F.col("guard"), F.array(F.lit(None))).otherwise(tarr)).alias("t"))
-    budget = F.lit(max_length - 3) - (F.col("t.ntok") + F.col("n_actor"))
-    extra = F.filter("ap", lambda x: ~F.array_contains(F.col("t.tw"), x["tok"]))
-    hit_tw = F.size(F.filter("t.idx", lambda i: (F.element_at("twpos", i) > 0) & (F.element_at("twpos", i) <= budget)))
-    hit_a = F.size(F.filter(extra, lambda x: (x["p"] > 0) & (x["p"] <= budget)))
-    denom = F.size("t.tw") + F.size(extra)
-    score = (F.when((budget < 0) | (denom == 0), F.lit(None).cast("double"))
-             .otherwise((hit_tw + hit_a).cast("double") / denom))
-    return fan.select(key, "pos", "actor", "guard", F.col("t.stance").alias("stance"),
-                      F.col("t.template_id").alias("template_id"), score.alias("score"))
+    cols = []
+    for (r, _, i, _), (idx, words, ntok) in zip(rows, per):
+        budget = F.lit(max_length - 3 - ntok) - F.col("n_actor")
+
+        def fits(p, budget=budget):
+            return (p > 0) & (p <= budget)
+
+        hit_tw = F.lit(0)
+        for j in idx:
+            hit_tw = hit_tw + fits(F.element_at("twpos", j)).cast("int")
+        own = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
+        extra = F.filter("ap", _not_in(own))
+        hit_a = F.size(F.filter(extra, _fits_at(fits)))
+        denom = F.lit(len(words)) + F.size(extra)
+        score = (F.when(F.col("guard") | (budget < 0) | (denom == 0), F.lit(None).cast("double"))
+                 .otherwise((hit_tw + hit_a).cast("double") / denom))
+        cols.append(score.alias(f"_s{r}_{i}"))
+    return pairs.select(key, "pos", "actor", "guard", *cols)
+
+
+def _scores_hoisted(prepared: DataFrame, templates, max_length: int, key: str) -> DataFrame:
+    """Long form of ``_pair_scores_wide``: one row per (clause, actor, template)."""
+    rows = template_rows(templates)
+    wide = _pair_scores_wide(prepared, templates, max_length, key)
+    entries = F.array(*[F.struct(F.lit(st).alias("stance"), F.lit(i).cast("int").alias("template_id"),
+                                 F.col(f"_s{r}_{i}").alias("score")) for r, st, i, _ in rows])
+    none = F.array(F.lit(None).cast("struct<stance:string,template_id:int,score:double>"))
+    long = wide.select(key, "pos", "actor", "guard", F.explode(F.when(F.col("guard"), none).otherwise(entries)).alias("t"))
+    return long.select(key, "pos", "actor", "guard", F.col("t.stance").alias("stance"),
+                      F.col("t.template_id").alias("template_id"), F.col("t.score").alias("score"))
 
 
 def _scores_general(prepared: DataFrame, templates, max_length: int, key: str) -> DataFrame:
@@ -276,25 +300,34 @@ def stance_pairs_all(prepared: DataFrame, templates=TEMPLATES, max_length: int =
     """Z2-Z3 + A2 + A5 + P7 + C9 + J3: one row per (clause, actor position).
 
     Rows of clauses with no actor keep a null position (they regroup to
-    empty lists).
+    empty lists). Each stance's mean adds its templates' scores in template
+    order (a failed template counts 0.0), so the result does not depend on
+    row order and equal means stay equal.
     """
     names = stance_names(templates)
     rows = template_rows(templates)
     ranks = {s: r for r, s, _, _ in rows}
-    scored = template_scores(prepared, templates, max_length, key, hoist, pair_model).withColumn(
-        "score", F.coalesce(F.col("score"), F.lit(0.0)))
-    # each template's score in its own slot, then the mean per stance summed in
-    # template order: the result does not depend on row order, so ties stay ties
     slots = {s: [i for _, st, i, _ in rows if st == s] for s in names}
-    means = scored.groupBy(key, "pos", "actor", "guard").agg(
-        *[F.max(F.when((F.col("stance") == s) & (F.col("template_id") == i), F.col("score"))).alias(f"_{s}_{i}")
-          for s in names for i in slots[s]])
+    use_wide = pair_model is None and (hoistable(templates) if hoist is None else hoist)
+    if use_wide:
+        # scores are columns of the pair row: no fan-out, no per-pair aggregate
+        means = _pair_scores_wide(prepared, templates, max_length, key)
+
+        def slot(s, i):
+            return F.coalesce(F.col(f"_s{ranks[s]}_{i}"), F.lit(0.0))
+    else:
+        scored = template_scores(prepared, templates, max_length, key, hoist, pair_model)
+        means = scored.groupBy(key, "pos", "actor", "guard").agg(
+            *[F.max(F.when((F.col("stance") == s) & (F.col("template_id") == i), F.col("score")))
+              .alias(f"_s{ranks[s]}_{i}") for s in names for i in slots[s]])
+
+        def slot(s, i):
+            return F.coalesce(F.col(f"_s{ranks[s]}_{i}"), F.lit(0.0))
 
     def mean(s):
         total = None
         for i in slots[s]:
-            v = F.coalesce(F.col(f"_{s}_{i}"), F.lit(0.0))
-            total = v if total is None else total + v
+            total = slot(s, i) if total is None else total + slot(s, i)
         return total / F.lit(float(len(slots[s])))
 
     filled = [mean(s) for s in names]
