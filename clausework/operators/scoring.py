@@ -116,3 +116,29 @@ def score_windows_batch(padded: DataFrame, make_predict_fn, n_labels: int, batch
     scored = padded.select(*keys, udf(F.col("input_ids"), F.col("attention_mask")).alias("logits"))
     return scored.select(*keys, F.posexplode_outer("logits").alias("label_id", "logit")).select(
         *keys, F.col("label_id").cast("int").alias("label_id"), "logit")
+
+
+# --- plug-in pair model: the overlap scorer as a batch model ------------------
+
+def overlap_pair_model():
+    """``make_pair_fn`` for the stance plug-in surface that scores like the
+    relational overlap scorer (entailment logit in column 0). Used to check
+    the plug-in path end to end against the relational one; a real
+    entailment model plugs in the same way."""
+    import re
+
+    word = re.compile(r"[^ \t\n\r]+")
+
+    def fn(premises, hypotheses, max_length):
+        out = np.zeros((len(premises), 3))
+        for k, (p, h) in enumerate(zip(premises, hypotheses)):
+            hyp = word.findall(h.lower())
+            budget = max_length - 3 - len(hyp)
+            distinct = list(dict.fromkeys(hyp))
+            if budget < 0 or not distinct:
+                raise ValueError("hypothesis does not fit beside the premise")
+            seen = set(word.findall(p.lower())[:budget])
+            out[k, 0] = sum(1 for x in distinct if x in seen) / len(distinct)
+        return out
+
+    return fn

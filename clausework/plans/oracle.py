@@ -334,6 +334,8 @@ SELECT row_id, pos, actor, stance, round(positive, 6) AS positive, round(negativ
        round(neutral, 6) AS neutral FROM pairs_out""",
     "stance_lists": _with(GOLD, TEMPLATES, _STANCE_PREP, stance_ctes("prep"))
     + "\nSELECT row_id, predicted_sentiments, sentiment_scores FROM lists",
+    "stance_pair_model": _with(GOLD, TEMPLATES, _STANCE_PREP, stance_ctes("prep"))
+    + "\nSELECT row_id, predicted_sentiments, sentiment_scores FROM lists",
     "stance_tagged": _with(GOLD, HEAD, overlap_windows_cte("gold", "coalesce(clause, 'nan')"), LOGITS, DECIDE,
                            TEMPLATES,
                            "src AS (SELECT g.row_id, g.clause, string_split(d.predicted_actors, '|') AS actors "

@@ -289,6 +289,12 @@ def q_stance_lists(spark, sf):
     return _lists_flat(out)
 
 
+def q_stance_pair_model(spark, sf):
+    """Z2 (plug-in) + U2: stance lists through the batch entailment-model surface."""
+    out = Z.stance(tables.stance_input(spark, sf), pair_model=scoring.overlap_pair_model)
+    return _lists_flat(out)
+
+
 def q_stance_tagged(spark, sf):
     """Both stages: tag every document, then the stance of each predicted actor."""
     c, vocab, head = _vocab_head(spark, sf)
@@ -374,6 +380,7 @@ QUERIES: dict[str, Query] = {
     "pair_scores": q_pair_scores,
     "stance_pairs": q_stance_pairs,
     "stance_lists": q_stance_lists,
+    "stance_pair_model": q_stance_pair_model,
     "stance_tagged": q_stance_tagged,
     "roundtrip": q_roundtrip,
     "head_roundtrip": q_head_roundtrip,
