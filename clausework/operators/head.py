@@ -32,15 +32,32 @@ from .scoring import window_features
 KEYS = ("row_id", "window")
 
 
-def feature_counts(windows: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """X: ``(keys..., feature, x)`` with x the count of the feature in the window (bias x = 1)."""
-    return (window_features(windows, keys).groupBy(*keys, "feature")
-            .agg(F.count(F.lit(1)).cast("double").alias("x")))
+def feature_counts(windows: DataFrame, truth: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """X: ``(wk, feature, x, labels)``; ``wk`` is the window key as one struct
+    column, x the count of the feature in the window (bias x = 1), and
+    ``labels`` the true label ids of the window's clause.
+
+    Hash-partitioned on ``wk`` and persisted by the caller (a cached relation
+    keeps its partitioning; a checkpointed one does not), so the per-window
+    sums and the gradient join need no exchange: a step shuffles only the
+    (label, feature) partials. X is derived from the scan, so lost blocks are
+    recomputed from its lineage; the head is checkpointed every step.
+    """
+    ids = truth.groupBy("row_id").agg(F.collect_set("label_id").alias("labels"))
+    counts = (window_features(windows, keys).groupBy(*keys, "feature")
+              .agg(F.count(F.lit(1)).cast("double").alias("x")))
+    return (counts.join(ids, "row_id", "left")
+            .select(F.struct(*keys).alias("wk"), "feature", "x",
+                    F.coalesce("labels", F.array().cast("array<int>")).alias("labels"))
+            .repartition(int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "wk"))
 
 
-def _logits(X: DataFrame, W: DataFrame, keys, head_rows: int) -> DataFrame:
+def _logits(X: DataFrame, W: DataFrame, head_rows: int) -> DataFrame:
+    """``(wk, label_id, logit, y)`` for every window and label."""
     w = bounded_broadcast(W.select("feature", "label_id", "weight"), rows=head_rows)
-    return X.join(w, "feature").groupBy(*keys, "label_id").agg(F.sum(F.col("x") * F.col("weight")).alias("logit"))
+    return X.join(w, "feature").groupBy("wk", "label_id").agg(
+        F.sum(F.col("x") * F.col("weight")).alias("logit"),
+        F.max(F.array_contains("labels", F.col("label_id")).cast("int")).alias("y"))
 
 
 def _lr(step: int, total: int, lr: float, warmup_ratio: float) -> float:
@@ -62,20 +79,19 @@ def fit(train_windows: DataFrame, train_truth: DataFrame, init_head: DataFrame,
     """
     spark = train_windows.sparkSession
     checkpoint_dir(spark)
-    X = feature_counts(train_windows, keys).checkpoint(eager=True)
+    X = feature_counts(train_windows, train_truth, keys).persist(StorageLevel.MEMORY_AND_DISK)
     n_windows = train_windows.select(*keys).distinct().count()
-    truth = train_truth.select("row_id", "label_id", F.lit(1.0).alias("y"))
     W = init_head.select("label_id", "label", "feature", F.col("weight").cast("double")).checkpoint(eager=True)
     head_rows = W.count()
     total = epochs * steps_per_epoch
-    ev_X = feature_counts(eval_windows, keys).persist(StorageLevel.MEMORY_AND_DISK) if eval_windows is not None else None
+    ev_X = (feature_counts(eval_windows, eval_truth, keys).persist(StorageLevel.MEMORY_AND_DISK)
+            if eval_windows is not None else None)
     rows, heads, step = [], [], 0
     for epoch in range(1, epochs + 1):
         for _ in range(steps_per_epoch):
-            z = _logits(X, W, keys, head_rows)
-            r = (z.join(truth, ["row_id", "label_id"], "left")
-                 .select(*keys, "label_id", (sigmoid(F.col("logit")) - F.coalesce("y", F.lit(0.0))).alias("r")))
-            g = X.join(r, list(keys)).groupBy("label_id", "feature").agg(F.sum(F.col("x") * F.col("r")).alias("g"))
+            r = _logits(X, W, head_rows).select(
+                "wk", "label_id", (sigmoid(F.col("logit")) - F.col("y").cast("double")).alias("r"))
+            g = X.join(r, "wk").groupBy("label_id", "feature").agg(F.sum(F.col("x") * F.col("r")).alias("g"))
             rate = _lr(step, total, lr, warmup_ratio)
             decay = F.when(F.col("feature") == BIAS_FEATURE, F.lit(0.0)).otherwise(F.lit(weight_decay))
             W = (W.join(g, ["label_id", "feature"], "left")
@@ -86,14 +102,14 @@ def fit(train_windows: DataFrame, train_truth: DataFrame, init_head: DataFrame,
             step += 1
         heads.append(W)
         if ev_X is not None:
-            c = M.cells(_logits(ev_X, W, keys, head_rows), eval_truth, keys)
-            conf = M.confusion(c, threshold)
-            m = M.macro_metrics(conf).first()
+            c = _logits(ev_X, W, head_rows)
+            m = M.macro_metrics(M.confusion(c, threshold)).first()
             loss = M.bce_loss(c).first()["loss"]
             rows.append((epoch, float(loss), float(m["accuracy"]), float(m["f1"]),
                          float(m["precision"]), float(m["recall"])))
         else:
             rows.append((epoch, None, None, None, None, None))
+    X.unpersist()
     if ev_X is not None:
         ev_X.unpersist()
     best = max(range(len(rows)), key=lambda i: (rows[i][3] if rows[i][3] is not None else -1.0, -i))
