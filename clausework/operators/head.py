@@ -124,5 +124,6 @@ def best_epoch(epochs_table: DataFrame, metric: str = "f1", keep: int = 2) -> Da
     """Rank epochs by ``metric`` (first epoch wins ties); keep the top ``keep``."""
     from pyspark.sql import Window
 
+    # one row per epoch: a bounded table, so a single ordered window is fine
     w = Window.orderBy(F.col(metric).desc(), F.col("epoch").asc())
     return epochs_table.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= keep)

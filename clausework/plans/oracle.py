@@ -263,6 +263,14 @@ ORACLE: dict[str, str] = {
         f"sampled AS (SELECT * FROM gold ORDER BY {ORDER_KEY.format(k='row_id')}, row_id LIMIT {SAMPLE_N})",
         overlap_windows_cte("sampled", "coalesce(clause, 'nan')"), LOGITS, DECIDE)
     + "\nSELECT row_id, predicted_actors FROM decided",
+    "tag_benchmark": _with(
+        GOLD, HEAD, "items AS (SELECT item_id AS row_id, text AS clause FROM benchmark)",
+        overlap_windows_cte("items", "coalesce(clause, 'nan')"), LOGITS, DECIDE)
+    + "\nSELECT row_id, predicted_actors FROM decided",
+    "tag_conversations": _with(
+        GOLD, HEAD, "turns AS (SELECT {'conv_id': conv_id, 'turn': turn} AS row_id, text AS clause FROM conversations)",
+        overlap_windows_cte("turns", "coalesce(clause, 'nan')"), LOGITS, DECIDE)
+    + "\nSELECT row_id.conv_id AS conv_id, row_id.turn AS turn, predicted_actors FROM decided",
     "tag_probs": _with(GOLD, HEAD, overlap_windows_cte("gold", "coalesce(clause, 'nan')"), LOGITS, DECIDE)
     + "\nSELECT row_id, label_id, round(p, 6) AS p FROM probs",
     "clean_fill": _with(GOLD) + """

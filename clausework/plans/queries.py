@@ -71,6 +71,24 @@ def q_tag_batch_udf(spark, sf):
     return res.select("row_id", _joined("predicted_actors").alias("predicted_actors"))
 
 
+def q_tag_benchmark(spark, sf):
+    """I2 on a second clause table: the short benchmark items, with the documents' labels and head."""
+    _, vocab, head = _vocab_head(spark, sf)
+    items = tables.table(spark, sf, "benchmark").select(F.col("item_id").alias("row_id"), F.col("text").alias("clause"))
+    res = pipelines.tag(items, head, vocab)
+    return res.select("row_id", _joined("predicted_actors").alias("predicted_actors"))
+
+
+def q_tag_conversations(spark, sf):
+    """I2 keyed by a composite key: conversation turns, key (conv_id, turn) as one struct column."""
+    _, vocab, head = _vocab_head(spark, sf)
+    turns = tables.table(spark, sf, "conversations").select(F.struct("conv_id", "turn").alias("turn_key"),
+                                                             F.col("text").alias("clause"))
+    res = pipelines.tag(turns, head, vocab, key="turn_key")
+    return res.select(F.col("turn_key.conv_id").alias("conv_id"), F.col("turn_key.turn").alias("turn"),
+                      _joined("predicted_actors").alias("predicted_actors"))
+
+
 def q_tag_probs(spark, sf):
     """A1: pooled probability per (document, label)."""
     c, vocab, head = _vocab_head(spark, sf)
@@ -356,6 +374,8 @@ QUERIES: dict[str, Query] = {
     "tag_sample": q_tag_sample,
     "tag_batch_udf": q_tag_batch_udf,
     "tag_probs": q_tag_probs,
+    "tag_benchmark": q_tag_benchmark,
+    "tag_conversations": q_tag_conversations,
     "clean_fill": q_clean_fill,
     "cut_text": q_cut_text,
     "profile": q_profile,
