@@ -35,7 +35,11 @@ def spread(df: DataFrame, key: str = "row_id", min_partitions: int | None = None
     scan the input already has many splits and nothing is shuffled. Once
     partitioned on the key, later aggregates keyed by (key, ...) reuse it.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # a Spark Connect session exposes neither; leave the input as it is
+        return df
+    if current < target:
         return df.repartition(target, key)
     return df

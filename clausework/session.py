@@ -38,7 +38,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` is the cluster's shared folder. Only when the
     session names none (a local test run) do we create one of our own.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
