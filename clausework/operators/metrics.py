@@ -15,10 +15,14 @@ from ..functions.text import THRESHOLD, sigmoid
 
 def cells(logits: DataFrame, truth: DataFrame, keys: tuple[str, ...] = ("row_id", "window"),
           row_key: str = "row_id") -> DataFrame:
-    """``(keys..., label_id, logit, y)``; ``truth`` is ``(row_key, label_id)`` of positive cells."""
-    t = truth.select(row_key, "label_id", F.lit(1).alias("y"))
-    return (logits.join(t, [row_key, "label_id"], "left")
-            .select(*keys, "label_id", "logit", F.coalesce("y", F.lit(0)).alias("y")))
+    """``(keys..., label_id, logit, y)``; ``truth`` is ``(row_key, label_id)`` of positive cells.
+
+    The truth is gathered into one small array per row and joined on the row
+    key alone, so inputs already partitioned on the key need no exchange.
+    """
+    t = truth.groupBy(row_key).agg(F.collect_set("label_id").alias("_truth"))
+    y = F.coalesce(F.array_contains("_truth", F.col("label_id")), F.lit(False)).cast("int")
+    return logits.join(t, row_key, "left").select(*keys, "label_id", "logit", y.alias("y"))
 
 
 def confusion(cells_df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
