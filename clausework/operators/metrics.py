@@ -25,6 +25,25 @@ def cells(logits: DataFrame, truth: DataFrame, keys: tuple[str, ...] = ("row_id"
     return logits.join(t, row_key, "left").select(*keys, "label_id", "logit", y.alias("y"))
 
 
+def clause_cells(probs: DataFrame, decided_ids: DataFrame, truth: DataFrame, key: str = "row_id") -> DataFrame:
+    """E1 at clause level: ``(key, label_id, y, pred)`` with the pooled decision
+    (threshold, else argmax) as the prediction. ``probs`` is ``(key, label_id, p)``
+    from ``tagging.pool``, ``decided_ids`` is ``(key, label_ids ARRAY<INT>)``."""
+    t = truth.groupBy(key).agg(F.collect_set("label_id").alias("_truth"))
+    return (probs.select(key, "label_id").join(decided_ids, key, "left").join(t, key, "left")
+            .select(key, "label_id",
+                    F.coalesce(F.array_contains("_truth", F.col("label_id")), F.lit(False)).cast("int").alias("y"),
+                    F.coalesce(F.array_contains("label_ids", F.col("label_id")), F.lit(False)).alias("pred")))
+
+
+def confusion_from_pred(cells_df: DataFrame) -> DataFrame:
+    """E2 for cells that carry a boolean ``pred`` (clause level)."""
+    pred, y = F.col("pred"), F.col("y") == 1
+    return cells_df.agg(
+        F.count_if(pred & y).alias("tp"), F.count_if(pred & ~y).alias("fp"),
+        F.count_if(~pred & y).alias("fn"), F.count_if(~pred & ~y).alias("tn"))
+
+
 def confusion(cells_df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row ``tp, fp, fn, tn`` (BIGINT) at p >= threshold."""
     p = sigmoid(F.col("logit"))

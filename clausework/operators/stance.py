@@ -93,6 +93,11 @@ def overlap_score(premise_tokens: Column, hypothesis: Column, max_length: int) -
             .otherwise(found.cast("double") / F.size(distinct)))
 
 
+def effective_max_length(model_max_length: int | None, max_length: int = MAX_LENGTH) -> int:
+    """The smaller of the model's own limit (when known) and the requested length."""
+    return max_length if model_max_length is None else min(int(model_max_length), int(max_length))
+
+
 def _prepared_columns(clause: str, actors: str, max_chars: int | None):
     text = F.coalesce(F.col(clause).cast("string"), F.lit(""))
     parsed = parse_list(F.coalesce(F.col(actors), F.lit("[]")))
@@ -363,15 +368,22 @@ def stance_lists(prepared: DataFrame, templates=TEMPLATES, max_length: int = MAX
 
 def stance(df: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH, max_chars: int | None = CUT_CHARS,
            key: str = "row_id", clause: str = "clause", actors: str = "predicted_actors",
-           attach: bool = True, pair_model=None) -> DataFrame:
+           attach: bool = True, pair_model=None, model_max_length: int | None = None,
+           limit_n: int | None = None) -> DataFrame:
     """Z4 end to end: the input rows plus ``predicted_sentiments`` and ``sentiment_scores``.
 
     The actor lists are parsed first (the Python slow path of the parser sits
     below any exchange). With ``attach`` the parsed input is hash-partitioned
     on the key once, so the per-pair and per-clause aggregates and the join
     back to the input rows reuse that one exchange. Without it only the
-    result lists are returned.
+    result lists are returned. ``model_max_length`` caps ``max_length`` (Z5:
+    the smaller of the model's limit and the requested length); ``limit_n``
+    keeps the first n clauses by key, applied before any work (P3).
     """
+    max_length = effective_max_length(model_max_length, max_length)
+    if limit_n is not None:
+        from .sampling import first_n
+        df = first_n(df, limit_n, key)
     premise, items = _prepared_columns(clause, actors, max_chars)
     cols = df.columns
     parsed = df.select(*cols, premise.alias("__premise"), items.alias("__actors"))

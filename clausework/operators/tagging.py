@@ -24,8 +24,14 @@ def pool(logits: DataFrame, key: str = "row_id") -> DataFrame:
 
 
 def decide(probs: DataFrame, vocab: DataFrame, threshold: float = THRESHOLD, key: str = "row_id",
-           out: str = "predicted_actors", vocab_rows: int | None = None) -> DataFrame:
-    """C8 + A4 + P6 + J2 + I3: ``(key, out ARRAY<STRING>)``."""
+           out: str = "predicted_actors", vocab_rows: int | None = None, on_error: str = "unknown") -> DataFrame:
+    """C8 + A4 + P6 + J2 + I3: ``(key, out ARRAY<STRING>)``.
+
+    A clause whose scoring failed gets ``["Unknown"]`` (``on_error="unknown"``)
+    or fails the job (``on_error="raise"``).
+    """
+    if on_error not in ("unknown", "raise"):
+        raise ValueError("on_error must be 'unknown' or 'raise'")
     pv = probs.join(bounded_broadcast(vocab, rows=vocab_rows), "label_id", "left")
     hit = (F.col("p") >= F.lit(threshold)) & ~F.isnan("p")
     per = pv.groupBy(key).agg(
@@ -33,7 +39,9 @@ def decide(probs: DataFrame, vocab: DataFrame, threshold: float = THRESHOLD, key
         F.max(F.when(F.col("label_id").isNotNull(),
                      F.struct(F.col("p"), (-F.col("label_id")).alias("neg"), F.col("label")))).alias("best"),
         F.max("failed").alias("failed"))
-    labels = (F.when(F.col("failed"), F.array(F.lit(UNKNOWN)))
+    failed_value = (F.array(F.lit(UNKNOWN)) if on_error == "unknown" else
+                    F.raise_error(F.concat(F.lit("scoring failed for clause "), F.col(key).cast("string"))))
+    labels = (F.when(F.col("failed"), failed_value)
               .when(F.size("hits") > 0, F.transform("hits", lambda h: h["label"]))
               .otherwise(F.array(F.col("best")["label"])))
     return per.select(key, labels.alias(out))
@@ -42,3 +50,12 @@ def decide(probs: DataFrame, vocab: DataFrame, threshold: float = THRESHOLD, key
 def class_probs(probs: DataFrame, vocab: DataFrame, key: str = "row_id", vocab_rows: int | None = None) -> DataFrame:
     """Long ``(key, label_id, label, p)`` for reports."""
     return probs.join(bounded_broadcast(vocab, rows=vocab_rows), "label_id").select(key, "label_id", "label", "p")
+
+
+def decided_ids(probs: DataFrame, threshold: float = THRESHOLD, key: str = "row_id") -> DataFrame:
+    """``(key, label_ids ARRAY<INT>)``: the ids ``decide`` would predict (threshold, else argmax)."""
+    hit = (F.col("p") >= F.lit(threshold)) & ~F.isnan("p")
+    per = probs.groupBy(key).agg(F.array_sort(F.collect_list(F.when(hit, F.col("label_id")))).alias("hits"),
+                                 F.max(F.struct(F.col("p"), (-F.col("label_id")).alias("neg"))).alias("best"))
+    return per.select(key, F.when(F.size("hits") > 0, F.col("hits"))
+                      .otherwise(F.array(-F.col("best")["neg"])).alias("label_ids"))

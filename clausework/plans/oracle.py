@@ -328,6 +328,18 @@ FROM wins""",
     "confusion": _with(GOLD, HEAD, fixed_windows_cte("gold", "clause"), LOGITS, TRUTH, CELLS)
     + "\nSELECT tp, fp, fn, tn FROM conf",
     "macro_metrics": _with(GOLD, HEAD, fixed_windows_cte("gold", "clause"), LOGITS, TRUTH, CELLS) + "\n" + _macro(),
+    "clause_metrics": _with(
+        GOLD, HEAD, overlap_windows_cte("gold", "coalesce(clause, 'nan')"), LOGITS, DECIDE, TRUTH, """
+dec_ids AS (SELECT row_id,
+                   coalesce(list(label_id ORDER BY label_id) FILTER (WHERE p >= 0.5 AND NOT isnan(p)),
+                            [first(label_id ORDER BY p DESC, label_id ASC)]) AS ids
+            FROM probs GROUP BY row_id),
+conf AS (SELECT count(*) FILTER (WHERE pred AND y = 1) AS tp, count(*) FILTER (WHERE pred AND y = 0) AS fp,
+                count(*) FILTER (WHERE NOT pred AND y = 1) AS fn, count(*) FILTER (WHERE NOT pred AND y = 0) AS tn
+         FROM (SELECT CASE WHEN t.row_id IS NULL THEN 0 ELSE 1 END AS y, list_contains(d.ids, p.label_id) AS pred
+               FROM probs p JOIN dec_ids d ON p.row_id = d.row_id
+               LEFT JOIN truth t ON p.row_id = t.row_id AND p.label_id = t.label_id))
+""") + "\n" + _macro(),
     "bce_loss": _with(GOLD, HEAD, fixed_windows_cte("gold", "clause"), LOGITS, TRUTH, CELLS) + """
 SELECT round(avg(greatest(logit, 0.0) - logit * y + ln(1 + exp(-abs(logit)))), 6) AS loss, count(*) AS n_cells
 FROM cells""",

@@ -15,7 +15,7 @@ def tag(clauses: DataFrame, head: DataFrame, vocab: DataFrame, *, key: str = "ro
         threshold: float = THRESHOLD, null_text: str = "nan", sample_size: int | None = None,
         seed: int = SEED, max_length: int = MAX_LENGTH, overlap: int = PREDICT_OVERLAP,
         scorer: str = "relational", make_predict_fn=None, batch_size: int = 16,
-        head_rows: int | None = None, vocab_rows: int | None = None) -> DataFrame:
+        head_rows: int | None = None, vocab_rows: int | None = None, on_error: str = "unknown") -> DataFrame:
     """``(key, predicted_actors)`` for every clause (after an optional exact sample).
 
     ``scorer="relational"`` joins the head table; ``scorer="batch"`` calls
@@ -41,7 +41,7 @@ def tag(clauses: DataFrame, head: DataFrame, vocab: DataFrame, *, key: str = "ro
     else:
         raise ValueError(f"unknown scorer {scorer!r}")
     probs = tagging.pool(logits, key)
-    return tagging.decide(probs, vocab, threshold, key, vocab_rows=vocab_rows)
+    return tagging.decide(probs, vocab, threshold, key, vocab_rows=vocab_rows, on_error=on_error)
 
 
 def attach(rows: DataFrame, result: DataFrame, key: str = "row_id") -> DataFrame:

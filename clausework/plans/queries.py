@@ -256,6 +256,17 @@ def q_macro_metrics(spark, sf):
     return m.select(*[_r6(c).alias(c) for c in m.columns])
 
 
+def q_clause_metrics(spark, sf):
+    """E1-E3 at clause level: pooled decisions (threshold, else argmax) against the gold labels."""
+    from ..operators import tagging
+    c, vocab, head = _vocab_head(spark, sf)
+    ids = W.with_token_ids(c.select("row_id", F.coalesce("clause", F.lit("nan")).alias("clause")))
+    probs = tagging.pool(scoring.score_windows(W.overlap_windows(ids), head))
+    cells = M.clause_cells(probs, tagging.decided_ids(probs), _truth(c, vocab))
+    m = M.macro_metrics(M.confusion_from_pred(cells))
+    return m.select(*[_r6(x).alias(x) for x in m.columns])
+
+
 def q_bce_loss(spark, sf):
     """Mean binary cross-entropy with logits."""
     b = M.bce_loss(_eval_cells(spark, sf))
@@ -396,6 +407,7 @@ QUERIES: dict[str, Query] = {
     "confusion": q_confusion,
     "macro_metrics": q_macro_metrics,
     "bce_loss": q_bce_loss,
+    "clause_metrics": q_clause_metrics,
     "stance_templates": q_stance_templates,
     "pair_scores": q_pair_scores,
     "stance_pairs": q_stance_pairs,

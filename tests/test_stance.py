@@ -71,3 +71,14 @@ def test_output_length_equals_actor_count(spark, sf_small):
     out = Z.stance(src)
     bad = out.where(F.size("predicted_sentiments") != F.size(F.from_json("predicted_actors", "array<string>")))
     assert bad.count() == 0
+
+
+def test_limit_n_and_model_max_length(spark):
+    rows = [(i, "comments about a are favorable.", "['a']") for i in range(5)]
+    df = spark.createDataFrame(rows, "row_id long, clause string, predicted_actors string")
+    out = Z.stance(df, limit_n=2).collect()
+    assert sorted(r["row_id"] for r in out) == [0, 1]
+    # a model limit of 5 tokens leaves no room for any hypothesis: every template fails -> 0.0
+    r = Z.stance(df, model_max_length=5, limit_n=1).first()
+    assert [tuple(s) for s in r["sentiment_scores"]] == [(0.0, 0.0, 0.0)]
+    assert Z.effective_max_length(8192, 512) == 512 and Z.effective_max_length(None, 512) == 512

@@ -64,3 +64,24 @@ def test_null_clause_is_text_nan(spark):
     df = spark.createDataFrame([(1, None), (2, "nan")], "row_id long, clause string")
     got = {r[0]: r[1] for r in pipelines.tag(df, head, vocab).collect()}
     assert got[1] == got[2]
+
+
+def test_on_error_raise(spark):
+    import pytest
+    vocab = spark.createDataFrame([(0, "A")], "label_id int, label string")
+    probs = spark.createDataFrame([(1, 0, 0.9, True)], "row_id long, label_id int, p double, failed boolean")
+    assert tagging.decide(probs, vocab).first()[1] == ["Unknown"]
+    with pytest.raises(Exception):
+        tagging.decide(probs, vocab, on_error="raise").collect()
+
+
+def test_decided_ids_match_decide(spark, sf_small):
+    from clausework.operators import windows as W
+    c = tables.clauses(spark, sf_small)
+    vocab = L.vocabulary(c, "actors")
+    ids = W.with_token_ids(c.select("row_id", "clause"))
+    probs = tagging.pool(scoring.score_windows(W.overlap_windows(ids), scoring.hash_head(vocab)))
+    names = {r[0]: r[1] for r in vocab.collect()}
+    a = {r[0]: [names[i] for i in r[1]] for r in tagging.decided_ids(probs).collect()}
+    b = {r[0]: r[1] for r in tagging.decide(probs, vocab).collect()}
+    assert a == b
