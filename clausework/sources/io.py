@@ -9,8 +9,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,26 +46,28 @@ def backup_path(path: str, when: datetime.datetime | None = None) -> str:
 
 
 def save_with_backup(df: DataFrame, path: str, fmt: str = "csv") -> dict:
-    """S3 + S4: write the result and a timestamped copy, then count the rows read back.
+    """S3 + S4: write the result, copy it to a timestamped folder, count the rows read back.
 
-    The frame is persisted first so the work behind it runs once for both
-    writes.
+    The result is computed once: its rows are counted while it is written
+    (an ``Observation``, no extra pass), and the backup is written from the
+    files just written, which are durable, so no executor-held cache is
+    needed and a lost executor costs no re-scoring.
     """
     spark = df.sparkSession
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        backup = backup_path(path)
-        for target in (path, backup):
-            if fmt == "csv":
-                write_csv(cached, target)
-            else:
-                cached.write.mode("overwrite").parquet(target)
-        written = cached.count()
-    finally:
-        cached.unpersist()
-    back = (spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"') if fmt == "csv"
-            else spark.read.parquet(path))
-    return {"path": path, "backup": backup, "rows_written": written, "rows_read": back.count()}
+    obs = Observation("written")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    backup = backup_path(path)
+    if fmt == "csv":
+        write_csv(observed, path)
+        back = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"',
+                              ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        back.write.mode("overwrite").csv(backup, header=True, quote='"', escape='"',
+                                         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    else:
+        observed.write.mode("overwrite").parquet(path)
+        back = spark.read.parquet(path)
+        back.write.mode("overwrite").parquet(backup)
+    return {"path": path, "backup": backup, "rows_written": obs.get["rows"], "rows_read": back.count()}
 
 
 def write_json_row(df: DataFrame, path: str) -> None:
