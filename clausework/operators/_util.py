@@ -43,3 +43,19 @@ def spread(df: DataFrame, key: str = "row_id", min_partitions: int | None = None
     if current < target:
         return df.repartition(target, key)
     return df
+
+
+def worker_cache() -> dict:
+    """A dict that lives as long as the Python worker process.
+
+    Plug-in models and tokenizers are built once per worker and kept here.
+    It hangs off the ``pyspark`` module, which every worker has imported, so
+    it survives even when this package's functions are pickled by value.
+    """
+    import pyspark
+
+    cache = getattr(pyspark, "_clausework_cache", None)
+    if cache is None:
+        cache = {}
+        pyspark._clausework_cache = cache
+    return cache

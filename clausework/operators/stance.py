@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.lists import FAILED, parse_list
-from ._util import spread
+from ._util import spread, worker_cache
 from ..functions.text import CUT_CHARS, MAX_LENGTH, UNKNOWN, cut_text, render_template, tokens
 
 # Stances in tie-break order, three hypothesis templates each,
@@ -227,9 +227,6 @@ def _scores_general(prepared: DataFrame, templates, max_length: int, key: str) -
                       overlap_score(F.col("premise_tokens"), hyp, max_length).alias("score"))
 
 
-_PAIR_MODELS: dict[str, object] = {}
-
-
 def _scores_batch(prepared: DataFrame, templates, max_length: int, key: str, make_pair_fn,
                   entail_idx: int = ENTAIL_IDX, dedup: bool = True) -> DataFrame:
     """Per-template scores from a plug-in entailment model (Z2 "P" + T10 + Z6).
@@ -246,9 +243,10 @@ def _scores_batch(prepared: DataFrame, templates, max_length: int, key: str, mak
 
     @F.pandas_udf(T.DoubleType())
     def entail(prem: pd.Series, hyp: pd.Series) -> pd.Series:
-        fn = _PAIR_MODELS.get(token)
+        cache = worker_cache()
+        fn = cache.get(token)
         if fn is None:
-            fn = _PAIR_MODELS[token] = make_pair_fn()
+            fn = cache[token] = make_pair_fn()
         out = np.full(len(prem), np.nan)
         ok = (prem.notna() & hyp.notna()).to_numpy()
         idx = np.flatnonzero(ok)

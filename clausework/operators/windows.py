@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._util import worker_cache
 from ..functions.text import CLS_ID, MAX_LENGTH, PAD_ID, PREDICT_OVERLAP, SEP_ID, TRAIN_STEP, token_ids
 
 
@@ -79,9 +80,6 @@ def pad_windows(df: DataFrame, window_ids: str = "window_ids", max_length: int =
 
 # --- foreign tokenizers (U1) -------------------------------------------------
 
-_TOKENIZERS: dict[str, object] = {}
-
-
 def with_foreign_token_ids(df: DataFrame, make_tokenizer, text: str = "clause", out: str = "ids") -> DataFrame:
     """T1 through a plug-in tokenizer, as an Arrow-batched pandas UDF.
 
@@ -93,9 +91,10 @@ def with_foreign_token_ids(df: DataFrame, make_tokenizer, text: str = "clause",
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pd.Series) -> pd.Series:
-        fn = _TOKENIZERS.get(token)
+        cache = worker_cache()
+        fn = cache.get(token)
         if fn is None:
-            fn = _TOKENIZERS[token] = make_tokenizer()
+            fn = cache[token] = make_tokenizer()
         mask = texts.isna()
         got = fn([t for t in texts[~mask]]) if (~mask).any() else []
         res = [None] * len(texts)
