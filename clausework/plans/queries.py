@@ -380,6 +380,18 @@ def q_fit_head(spark, sf):
     return epochs
 
 
+def q_train_tag_stance(spark, sf):
+    """The three stages end to end: fit a head on the documents' gold lists, tag every
+    document with it, then the stance of each predicted actor (rows-only check)."""
+    c = tables.clauses(spark, sf)
+    fitted = pipelines.fit_tagger(c.select("row_id", "clause", F.col("actors_text").alias("regularized_actors")))
+    tagged = pipelines.tag(c.select("row_id", "clause"), fitted["head"], fitted["vocab"]).checkpoint(eager=True)
+    lit = F.concat(F.lit("['"), F.array_join("predicted_actors", "', '"), F.lit("']"))
+    src = c.select("row_id", "clause").join(tagged.select("row_id", lit.alias("predicted_actors")), "row_id")
+    out = Z.stance(src)
+    return out.select("row_id", "predicted_actors", _joined("predicted_sentiments").alias("predicted_sentiments"))
+
+
 QUERIES: dict[str, Query] = {
     "tag_documents": q_tag_documents,
     "tag_sample": q_tag_sample,
@@ -417,4 +429,5 @@ QUERIES: dict[str, Query] = {
     "roundtrip": q_roundtrip,
     "head_roundtrip": q_head_roundtrip,
     "fit_head": q_fit_head,
+    "train_tag_stance": q_train_tag_stance,
 }
