@@ -200,6 +200,86 @@ def _pair_scores_wide(prepared: DataFrame, templates, max_length: int, key: str)
     return pairs.select(key, "pos", "actor", "guard", *cols)
 
 
+def _narrow_lists(premise: Column, actors: Column, templates, max_length: int):
+    # ``premise`` is the array of the premise's lower-cased tokens (one column, computed once per row)
+    """(predicted_sentiments, sentiment_scores) of one clause as array expressions.
+
+    The same values as the pair path, computed inside the row: template words'
+    first positions once per clause, then per actor (``transform`` keeps the
+    list order, so no regroup) its tokens' positions and the 9 template
+    scores, the per-stance means in template order and the ordered argmax.
+    """
+    vocab, per = _template_words(templates)
+    rows = template_rows(templates)
+    names = stance_names(templates)
+    ranks = {s: r for r, s, _, _ in rows}
+    ptoks = premise                      # the premise's tokens, materialised by the caller
+    empty_clause = F.size(premise) == 0
+    twpos = F.transform(F.array(*[F.lit(w) for w in vocab]), lambda w: F.array_position(ptoks, w))
+
+    def per_actor_data(a):
+        atoks = tokens(F.lower(a))
+        ap = F.transform(F.array_distinct(atoks), lambda t: F.struct(t.alias("tok"),
+                                                                     F.array_position(ptoks, t).alias("p")))
+        return F.struct(a.alias("actor"), F.size(atoks).alias("n_actor"), ap.alias("ap"))
+
+    def result(x, twpos_row, empty):
+        guard = empty | x["actor"].isNull() | (F.length(x["actor"]) == 0)
+        slots = {}
+        for (r, st, i, _), (idx, words, ntok) in zip(rows, per):
+            budget = F.lit(max_length - 3 - ntok) - x["n_actor"]
+
+            def fits(p, budget=budget):
+                return (p > 0) & (p <= budget)
+
+            hit_tw = F.lit(0)
+            for j in idx:
+                hit_tw = hit_tw + fits(F.element_at(twpos_row, j)).cast("int")
+            own = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
+            extra = F.filter(x["ap"], _not_in(own))
+            hit_a = F.size(F.filter(extra, _fits_at(fits)))
+            denom = F.lit(len(words)) + F.size(extra)
+            score = F.when((budget < 0) | (denom == 0), F.lit(0.0)).otherwise((hit_tw + hit_a).cast("double") / denom)
+            slots.setdefault(st, []).append(score)
+        means = {}
+        for st in names:
+            total = None
+            for v in slots[st]:
+                total = v if total is None else total + v
+            means[st] = total / F.lit(float(len(slots[st])))
+        best = (F.greatest(*[F.struct(means[st].alias("s"), F.lit(-ranks[st]).alias("r"), F.lit(st).alias("name"))
+                             for st in names])["name"] if len(names) > 1 else F.lit(names[0]))
+        return F.struct(
+            F.when(guard, F.lit(NEUTRAL)).otherwise(best).alias("stance"),
+            F.struct(*[F.when(guard, F.lit(1.0 if st == NEUTRAL else 0.0)).otherwise(means[st]).alias(st)
+                       for st in names]).alias("scores"))
+
+    return ptoks, empty_clause, twpos, per_actor_data, result
+
+
+def stance_narrow(df: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH,
+                  premise: str = "premise", actors: str = "actors", keep: list[str] | None = None) -> DataFrame:
+    """Z3 + Z4 as one projection: ``keep... + predicted_sentiments, sentiment_scores``.
+
+    No fan-out, no aggregate, no join: every row keeps its columns and the
+    plan has no exchange, so it runs as well on a stream as on a batch.
+    Needs templates whose slot is a whole token (``hoistable``).
+    """
+    if not hoistable(templates):
+        raise ValueError("templates do not allow the narrow stance path")
+    keep = list(df.columns) if keep is None else keep
+    step1 = df.select(*keep, tokens(F.lower(F.col(premise))).alias("__p"),
+                      (F.length(F.col(premise)) == 0).alias("__e"), F.col(actors).alias("__a"))
+    ptoks, _, twpos, per_actor_data, result = _narrow_lists(F.col("__p"), F.col("__a"), templates, max_length)
+    empty_clause = F.col("__e")
+    step2 = step1.select(*keep, empty_clause.alias("__empty"), twpos.alias("__twpos"),
+                         F.transform("__a", per_actor_data).alias("__ad"))
+    res = F.transform("__ad", lambda x: result(x, F.col("__twpos"), F.col("__empty")))
+    step3 = step2.select(*keep, res.alias("__res"))
+    return step3.select(*keep, F.transform("__res", lambda r: r["stance"]).alias("predicted_sentiments"),
+                        F.transform("__res", lambda r: r["scores"]).alias("sentiment_scores"))
+
+
 def _scores_hoisted(prepared: DataFrame, templates, max_length: int, key: str) -> DataFrame:
     """Long form of ``_pair_scores_wide``: one row per (clause, actor, template)."""
     rows = template_rows(templates)
@@ -385,6 +465,10 @@ def stance(df: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH, max
     premise, items = _prepared_columns(clause, actors, max_chars)
     cols = df.columns
     parsed = df.select(*cols, premise.alias("__premise"), items.alias("__actors"))
+    if pair_model is None and hoistable(templates):
+        # narrow: each clause's lists come from its own row, no exchange and no join
+        keep = cols if attach else [key]
+        return stance_narrow(spread(parsed, key), templates, max_length, "__premise", "__actors", keep)
     src = parsed.repartition(key) if attach else spread(parsed, key)
     prepared = src.select(key, F.col("__premise").alias("premise"), F.col("__actors").alias("actors"))
     lists = stance_lists(prepared, templates, max_length, key, pair_model=pair_model)

@@ -20,11 +20,12 @@ def test_tag_relational_plan(spark, sf_small):
     assert "ENSURE_REQUIREMENTS" not in plan          # keyed aggregates reuse the row_id partitioning
 
 
-def test_stance_attach_single_key_exchange(spark, sf_small):
+def test_stance_is_one_projection(spark, sf_small):
     out = Z.stance(tables.stance_input(spark, sf_small))
     plan = _plan(out)
-    assert "ENSURE_REQUIREMENTS" not in plan          # pair scores, regroup and join back reuse it
-    assert "REPARTITION_BY_COL" in plan
+    # each clause's lists come from its own row: no aggregate exchange, no key exchange, no join back
+    assert "ENSURE_REQUIREMENTS" not in plan and "REPARTITION_BY_COL" not in plan
+    assert "SortMergeJoin" not in plan and "ObjectHashAggregate" not in plan
 
 
 def test_scan_prunes_columns(spark, sf_small):

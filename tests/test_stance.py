@@ -82,3 +82,12 @@ def test_limit_n_and_model_max_length(spark):
     r = Z.stance(df, model_max_length=5, limit_n=1).first()
     assert [tuple(s) for s in r["sentiment_scores"]] == [(0.0, 0.0, 0.0)]
     assert Z.effective_max_length(8192, 512) == 512 and Z.effective_max_length(None, 512) == 512
+
+
+def test_narrow_equals_pair_path(spark, sf_small):
+    src = tables.stance_input(spark, sf_small)
+    narrow = Z.stance(src, attach=False)
+    pair = Z.stance_lists(Z.prepare(src))
+    a = {r[0]: (r[1], [tuple(x) for x in r[2]]) for r in narrow.collect()}
+    b = {r[0]: (r[1], [tuple(x) for x in r[2]]) for r in pair.collect()}
+    assert a == b and len(a) == src.count()
