@@ -96,3 +96,18 @@ def test_stream_equals_batch(spark, sf_small):
     want = Z.stance(src)
     assert got.count() == want.count()
     assert got.select("row_id", "predicted_sentiments").exceptAll(want.select("row_id", "predicted_sentiments")).count() == 0
+
+
+def _signed_model():
+    def fn(premises, hypotheses, max_length):
+        # entailment logit -1 for the "positive" templates, 0 for the others
+        pos = ("is positive.", "are favorable.", "is supportive.")
+        return np.array([[-1.0 if h.endswith(pos) else 0.0, 0.0, 0.0] for h in hypotheses])
+    return fn
+
+
+def test_negative_beats_neutral_on_equal_zero(spark):
+    df = spark.createDataFrame([(1, "text", "['A']")], "row_id long, clause string, predicted_actors string")
+    r = Z.stance(df, pair_model=_signed_model).first()
+    assert r["predicted_sentiments"] == ["negative"]
+    assert [tuple(s) for s in r["sentiment_scores"]] == [(-1.0, 0.0, 0.0)]
