@@ -36,3 +36,31 @@ def test_csv_roundtrip_and_backup(spark):
     assert back[3]["clause"] == rows[2][1] and back[3]["predicted_actors"] is None
     assert back[4]["clause"] is None                      # "NA" reads as null, as pandas does
     assert back[1]["lst"] == '["x","y"]'
+
+
+def test_one_step_equals_numpy_gradient(spark):
+    import numpy as np
+
+    from clausework.functions.text import N_FEATURES
+
+    wins = spark.createDataFrame([(1, 0, [5, 6, 6]), (1, 1, [7]), (2, 0, [5, 300, 9])],
+                                 "row_id long, window int, window_ids array<int>")
+    truth = spark.createDataFrame([(1, 0), (2, 1)], "row_id long, label_id int")
+    vocab = spark.createDataFrame([(0, "A"), (1, "B")], "label_id int, label string")
+    init = scoring.hash_head(vocab)
+    lr = 0.5
+    head, _ = H.fit(wins, truth, init, epochs=1, steps_per_epoch=1, lr=lr, weight_decay=0.0, warmup_ratio=0.0)
+
+    w0 = {(r["label_id"], r["feature"]): r["weight"] for r in init.collect()}
+    feats = [-1] + list(range(N_FEATURES))
+    W0 = np.array([[w0[(k, f)] for f in feats] for k in range(2)])
+    X = np.zeros((3, len(feats)))
+    for i, ids in enumerate([[5, 6, 6], [7], [5, 300, 9]]):
+        X[i, 0] = 1.0
+        for t in ids:
+            X[i, 1 + t % N_FEATURES] += 1
+    Y = np.array([[1, 0], [1, 0], [0, 1]], dtype=float)
+    R = 1 / (1 + np.exp(-(X @ W0.T))) - Y
+    W1 = W0 - lr * (R.T @ X) / 3
+    got = {(r["label_id"], r["feature"]): r["weight"] for r in head.collect()}
+    assert np.allclose([[got[(k, f)] for f in feats] for k in range(2)], W1, atol=1e-12)
