@@ -15,8 +15,10 @@ the hypothesis in ``max_length`` (only the premise is truncated).
 
 from __future__ import annotations
 
+import hashlib
 import re
 import uuid
+from collections import OrderedDict
 
 import numpy as np
 import pandas as pd
@@ -307,17 +309,24 @@ def _scores_general(prepared: DataFrame, templates, max_length: int, key: str) -
                       overlap_score(F.col("premise_tokens"), hyp, max_length).alias("score"))
 
 
+MEMO_SIZE = 200_000    # (premise, hypothesis) scores remembered per Python worker
+
+
 def _scores_batch(prepared: DataFrame, templates, max_length: int, key: str, make_pair_fn,
-                  entail_idx: int = ENTAIL_IDX, dedup: bool = True) -> DataFrame:
+                  entail_idx: int = ENTAIL_IDX, memo_size: int = MEMO_SIZE) -> DataFrame:
     """Per-template scores from a plug-in entailment model (Z2 "P" + T10 + Z6).
 
     ``make_pair_fn()`` returns ``fn(premises, hypotheses, max_length) ->
     logits[n, classes]``; it is built once per Python worker and scores a
     whole Arrow batch. The entailment logit is column ``entail_idx``. If a
     batch fails, its pairs are retried one by one; a pair that still fails
-    gets a null score (0.0 in the mean). With ``dedup`` each distinct
-    (premise, hypothesis) is scored once and joined back: repeated clauses
-    and actors are common, and the model is the expensive part.
+    gets a null score (0.0 in the mean).
+
+    Repeated clauses and actors are common and the model is the expensive
+    part, so each worker remembers up to ``memo_size`` scores keyed by
+    (md5 of the premise, hypothesis) and sends only unseen pairs to the model.
+    This de-duplicates without a shuffle or a join back, so a group of copies
+    holding a large share of all rows stays spread over all tasks.
     """
     token = uuid.uuid4().hex
 
@@ -327,19 +336,37 @@ def _scores_batch(prepared: DataFrame, templates, max_length: int, key: str, mak
         fn = cache.get(token)
         if fn is None:
             fn = cache[token] = make_pair_fn()
+        memo = cache.setdefault(token + ":memo", OrderedDict())
         out = np.full(len(prem), np.nan)
-        ok = (prem.notna() & hyp.notna()).to_numpy()
-        idx = np.flatnonzero(ok)
-        if len(idx):
-            ps, hs = list(prem.iloc[idx]), list(hyp.iloc[idx])
+        keys = [None if (p is None or h is None) else (hashlib.md5(p.encode("utf-8")).hexdigest(), h)
+                for p, h in zip(prem.where(prem.notna(), None), hyp.where(hyp.notna(), None))]
+        todo: dict[tuple, list[int]] = {}
+        for j, k in enumerate(keys):
+            if k is None:
+                continue
+            if k in memo:
+                out[j] = memo[k]
+                memo.move_to_end(k)
+            else:
+                todo.setdefault(k, []).append(j)
+        if todo:
+            firsts = [rows[0] for rows in todo.values()]
+            ps, hs = [prem.iloc[j] for j in firsts], [hyp.iloc[j] for j in firsts]
             try:
-                out[idx] = np.asarray(fn(ps, hs, max_length), dtype=float)[:, entail_idx]
+                got = np.asarray(fn(ps, hs, max_length), dtype=float)[:, entail_idx]
             except Exception:
-                for j, p, h in zip(idx, ps, hs):
+                got = np.full(len(ps), np.nan)
+                for n, (p, h) in enumerate(zip(ps, hs)):
                     try:
-                        out[j] = float(np.asarray(fn([p], [h], max_length), dtype=float)[0, entail_idx])
+                        got[n] = float(np.asarray(fn([p], [h], max_length), dtype=float)[0, entail_idx])
                     except Exception:
-                        out[j] = np.nan
+                        got[n] = np.nan
+            for (k, rows), v in zip(todo.items(), got):
+                out[rows] = v
+                if not np.isnan(v):
+                    memo[k] = v
+                    if len(memo) > memo_size:
+                        memo.popitem(last=False)
         return pd.Series(out).where(~np.isnan(out), None)
 
     base = prepared.select(key, (F.length("premise") == 0).alias("empty_clause"), "premise",
@@ -351,15 +378,8 @@ def _scores_batch(prepared: DataFrame, templates, max_length: int, key: str, mak
     fan = fan.select(key, "pos", "actor", "guard", F.col("t.stance").alias("stance"),
                      F.col("t.template_id").alias("template_id"), "premise",
                      render_template(F.col("t.template"), F.col("actor")).alias("hypothesis"))
-    if not dedup:
-        return fan.select(key, "pos", "actor", "guard", "stance", "template_id",
-                          F.when(~F.col("guard"), entail(F.col("premise"), F.col("hypothesis"))).alias("score"))
-    keyed = fan.withColumn("ph", F.md5(F.col("premise")))
-    todo = keyed.where(~F.col("guard")).select("ph", "hypothesis", "premise").dropDuplicates(["ph", "hypothesis"])
-    scored = todo.select("ph", "hypothesis", entail(F.col("premise"), F.col("hypothesis")).alias("score"))
-    return (keyed.drop("premise").join(scored, ["ph", "hypothesis"], "left")
-            .select(key, "pos", "actor", "guard", "stance", "template_id",
-                    F.when(~F.col("guard"), F.col("score")).alias("score")))
+    return fan.select(key, "pos", "actor", "guard", "stance", "template_id",
+                      F.when(~F.col("guard"), entail(F.col("premise"), F.col("hypothesis"))).alias("score"))
 
 
 def template_scores(prepared: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH,
