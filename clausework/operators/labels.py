@@ -61,6 +61,7 @@ def dense_ids(df: DataFrame, column: str, out: str) -> DataFrame:
         acc += cnt
     schema = T.StructType([T.StructField("_pid", T.LongType()), T.StructField("_off", T.LongType())])
     offs = spark.createDataFrame(offsets or [(0, 0)], schema)
+    # one row per partition of the distinct labels: bounded by the partition count
     return (ranked.join(F.broadcast(offs), "_pid")
             .select((F.col("_off") + F.col("_local")).cast("int").alias(out), column))
 

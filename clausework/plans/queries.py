@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.lists import parse_list_strict, parse_list_tolerant
 from ..functions.text import render_template, tokens
 from ..operators import clean, head as H, labels as L, metrics as M, sampling as P, scoring, stance as Z, windows as W
+from ..operators._util import bounded_broadcast
 from ..session import scratch_path
 from ..sources import io, tables
 from . import pipelines
@@ -42,7 +43,7 @@ def _vocab_head(spark: SparkSession, sf: str):
 def _truth(c: DataFrame, vocab: DataFrame) -> DataFrame:
     """(row_id, label_id) of every gold label."""
     ex = c.select("row_id", F.explode("actors").alias("label"))
-    return ex.join(F.broadcast(vocab), "label").select("row_id", "label_id").distinct()
+    return ex.join(bounded_broadcast(vocab), "label").select("row_id", "label_id").distinct()
 
 
 # --- step 0: tagging ----------------------------------------------------------
