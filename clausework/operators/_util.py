@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,33 @@ def require_columns(df: DataFrame, required: list[str]) -> None:
         raise ValueError(f"Missing required columns: {missing}")
 
 
+_EXCHANGE = re.compile(r"Exchange (?:hashpartitioning|rangepartitioning)\(.*, (\d+)\)|"
+                       r"Exchange RoundRobinPartitioning\((\d+)\)|Exchange (SinglePartition)")
+
+
+def num_partitions(df: DataFrame) -> int | None:
+    """Partition count of ``df`` without running it.
+
+    The topmost shuffle exchange in the physical plan decides it (a Python
+    node above it may hide the partitioning, not the count). Only a plan with
+    no shuffle asks the RDD, which plans the scan splits without running jobs.
+    """
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    except Exception:  # no JVM handle (Spark Connect)
+        return None
+    for line in plan.splitlines():
+        if "BroadcastExchange" in line:
+            continue
+        m = _EXCHANGE.search(line)
+        if m:
+            return 1 if m.group(3) else int(m.group(1) or m.group(2))
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:
+        return None
+
+
 def spread(df: DataFrame, key: str = "row_id", min_partitions: int | None = None) -> DataFrame:
     """Hash-partition on ``key`` when the input has fewer partitions than cores.
 
@@ -35,11 +64,10 @@ def spread(df: DataFrame, key: str = "row_id", min_partitions: int | None = None
     scan the input already has many splits and nothing is shuffled. Once
     partitioned on the key, later aggregates keyed by (key, ...) reuse it.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # a Spark Connect session exposes neither; leave the input as it is
+    current = num_partitions(df)
+    if current is None:  # a Spark Connect session: leave the input as it is
         return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if current < target:
         return df.repartition(target, key)
     return df
