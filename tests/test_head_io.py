@@ -64,3 +64,18 @@ def test_one_step_equals_numpy_gradient(spark):
     W1 = W0 - lr * (R.T @ X) / 3
     got = {(r["label_id"], r["feature"]): r["weight"] for r in head.collect()}
     assert np.allclose([[got[(k, f)] for f in feats] for k in range(2)], W1, atol=1e-12)
+
+
+def test_metrics_and_label_map_sinks(spark):
+    from clausework.operators import metrics as M
+
+    conf = spark.createDataFrame([(3, 1, 1, 4)], "tp long, fp long, fn long, tn long")
+    path = scratch_path(spark, "eval-json")
+    io.write_json_row(M.macro_metrics(conf), path)
+    back = spark.read.json(path).first()
+    assert abs(back["accuracy"] - 7 / 9) < 1e-12 and abs(back["f1"] - 0.775) < 1e-12
+
+    vocab = L.vocabulary(spark.createDataFrame([(1, ["b", "a"]), (2, ["c", "a"])], "row_id long, actors array<string>"))
+    lpath = scratch_path(spark, "label-map")
+    io.write_json_row(L.label_map(vocab), lpath)
+    assert spark.read.json(lpath).first()["classes"] == ["a", "b", "c"]
