@@ -102,17 +102,23 @@ def linear_head_predict_fn(head_path: str) -> Callable[[], Callable[[np.ndarray,
 
 
 def score_windows_batch(padded: DataFrame, make_predict_fn, n_labels: int, batch_size: int = 16,
-                        keys: tuple[str, ...] = ("row_id", "window"), max_length: int = 512) -> DataFrame:
+                        keys: tuple[str, ...] = ("row_id", "window"), max_length: int = 512,
+                        partition_by: str | None = None) -> DataFrame:
     """I1 through the plug-in surface (U2/U5): ``(keys..., label_id, logit)``.
 
     A failed batch or row gives a null logits array, kept as one row with a
-    null label so the tagger can mark the clause as failed.
+    null label so the tagger can mark the clause as failed. A Python node
+    hides its input's partitioning from Spark, so with ``partition_by`` the
+    per-window logit arrays are hash-partitioned on that key once, right after
+    the model; the pooling and decision aggregates above then need no exchange.
     """
     from pyspark.ml.functions import predict_batch_udf
 
     udf = predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size,
                             input_tensor_shapes=[[max_length], [max_length]])
     scored = padded.select(*keys, udf(F.col("input_ids"), F.col("attention_mask")).alias("logits"))
+    if partition_by is not None:
+        scored = scored.repartition(partition_by)
     return scored.select(*keys, F.posexplode_outer("logits").alias("label_id", "logit")).select(
         *keys, F.col("label_id").cast("int").alias("label_id"), "logit")
 

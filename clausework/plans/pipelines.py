@@ -37,7 +37,7 @@ def tag(clauses: DataFrame, head: DataFrame, vocab: DataFrame, *, key: str = "ro
             raise ValueError("scorer='batch' needs make_predict_fn")
         padded = windows.pad_windows(wins, "window_ids", max_length)
         logits = scoring.score_windows_batch(padded, make_predict_fn, vocab_rows, batch_size,
-                                             keys=(key, "window"), max_length=max_length)
+                                             keys=(key, "window"), max_length=max_length, partition_by=key)
     else:
         raise ValueError(f"unknown scorer {scorer!r}")
     probs = tagging.pool(logits, key)
