@@ -87,11 +87,6 @@ def sigmoid(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
-def timestamp_suffix() -> Column:
-    """yyyyMMdd_HHmmss of the current time."""
-    return F.date_format(F.current_timestamp(), "yyyyMMdd_HHmmss")
-
-
 def as_text(c: Column, null_text: str = "") -> Column:
     """Cast to text; a null becomes ``null_text`` (C2). Use "nan" for the
     behaviour of a pandas ``astype(str)``."""

@@ -60,8 +60,3 @@ def preview(df: DataFrame, n: int = 3, column: str = "clause", chars: int = 100,
     """First ``n`` rows by key with the text cut to ``chars`` (a top-n report)."""
     return (df.orderBy(order_by).limit(n)
             .withColumn(column, cut_text(F.col(column), chars, CUT_SUFFIX)))
-
-
-def empty_guard(clause: str = "clause", actor: str = "actor"):
-    """The pair is not scored when the clause or the actor is empty."""
-    return (F.coalesce(F.length(F.col(clause)), F.lit(0)) == 0) | (F.coalesce(F.length(F.col(actor)), F.lit(0)) == 0)

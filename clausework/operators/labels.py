@@ -39,10 +39,6 @@ WARM_MAP = [
 
 MAX_WIDE_LABELS = 10_000   # a wide table needs its column names at plan time
 
-VOCAB_SCHEMA = T.StructType([T.StructField("label_id", T.IntegerType(), False),
-                             T.StructField("label", T.StringType(), False)])
-
-
 def dense_ids(df: DataFrame, column: str, out: str) -> DataFrame:
     """Dense 0-based ids for the distinct values of ``column`` in sorted order."""
     spark = df.sparkSession

@@ -47,10 +47,6 @@ def decide(probs: DataFrame, vocab: DataFrame, threshold: float = THRESHOLD, key
     return per.select(key, labels.alias(out))
 
 
-def class_probs(probs: DataFrame, vocab: DataFrame, key: str = "row_id", vocab_rows: int | None = None) -> DataFrame:
-    """Long ``(key, label_id, label, p)`` for reports."""
-    return probs.join(bounded_broadcast(vocab, rows=vocab_rows), "label_id").select(key, "label_id", "label", "p")
-
 
 def decided_ids(probs: DataFrame, threshold: float = THRESHOLD, key: str = "row_id") -> DataFrame:
     """``(key, label_ids ARRAY<INT>)``: the ids ``decide`` would predict (threshold, else argmax)."""

@@ -79,3 +79,9 @@ def test_metrics_and_label_map_sinks(spark):
     lpath = scratch_path(spark, "label-map")
     io.write_json_row(L.label_map(vocab), lpath)
     assert spark.read.json(lpath).first()["classes"] == ["a", "b", "c"]
+
+
+def test_best_epoch_keeps_top_two_first_wins_ties(spark):
+    t = spark.createDataFrame([(1, 0.5), (2, 0.7), (3, 0.7), (4, 0.6)], "epoch int, f1 double")
+    got = [(r["epoch"], r["rank"]) for r in H.best_epoch(t).orderBy("rank").collect()]
+    assert got == [(2, 1), (3, 2)]

@@ -91,3 +91,14 @@ def test_narrow_equals_pair_path(spark, sf_small):
     a = {r[0]: (r[1], [tuple(x) for x in r[2]]) for r in narrow.collect()}
     b = {r[0]: (r[1], [tuple(x) for x in r[2]]) for r in pair.collect()}
     assert a == b and len(a) == src.count()
+
+
+def test_templates_table_and_first_version(spark):
+    t = Z.templates_table(spark).orderBy("stance_rank", "template_id").collect()
+    assert len(t) == 9 and [r["stance"] for r in t[::3]] == ["positive", "negative", "neutral"]
+    # the first version's templates (curly apostrophe) take the general path end to end
+    assert not Z.hoistable(Z.TEMPLATES_FIRST_VERSION)
+    df = spark.createDataFrame([(1, "comments about zed are unfavorable.", "['Zed']")],
+                               "row_id long, clause string, predicted_actors string")
+    r = Z.stance(df, templates=Z.TEMPLATES_FIRST_VERSION).first()
+    assert r["predicted_sentiments"] == ["negative"]
