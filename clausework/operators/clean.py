@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.text import CUT_CHARS, CUT_SUFFIX, as_text, cut_text
 from ._util import require_columns
 
-# pandas reads these field values as missing; Spark's CSV reader knows one.
+# The field values a pandas CSV read treats as missing (Spark's
+# CSV reader knows one null token, so the rest are mapped after the read).
 NA_VALUES = ("", "NA", "null", "None", "nan")
 
 

@@ -43,9 +43,10 @@ TEMPLATES = [
     ("neutral", "Sentiment expressed about {actor} is moderate."),
     ("neutral", "The tone regarding {actor} is impartial."),
 ]
-TEMPLATES_FIRST_VERSION = [(s, t.replace("UNSC's", "UNSC’s")) for s, t in TEMPLATES]
-NEUTRAL = "neutral"            # stance of an unscored pair
+NEUTRAL = "neutral"            # stance of an unscored pair, scored {positive 0, negative 0, neutral 1}
 ENTAIL_IDX = 0                 # position of the entailment logit in a model's output
+# ---------------------------------------------------------------------------
+TEMPLATES_FIRST_VERSION = [(s, t.replace("UNSC's", "UNSC’s")) for s, t in TEMPLATES]
 
 TEMPLATE_STRUCT = T.StructType([
     T.StructField("stance_rank", T.IntegerType()),
