@@ -85,3 +85,19 @@ def test_best_epoch_keeps_top_two_first_wins_ties(spark):
     t = spark.createDataFrame([(1, 0.5), (2, 0.7), (3, 0.7), (4, 0.6)], "epoch int, f1 double")
     got = [(r["epoch"], r["rank"]) for r in H.best_epoch(t).orderBy("rank").collect()]
     assert got == [(2, 1), (3, 2)]
+
+
+def test_validation_and_missing_path(spark):
+    import pytest
+
+    from clausework.operators import clean
+
+    with pytest.raises(ValueError, match="Missing required columns"):
+        clean.validate(spark.createDataFrame([(1, "x")], "row_id long, clause string"))
+    with pytest.raises(ValueError, match="empty"):
+        clean.validate(spark.createDataFrame([], "clause string, predicted_actors string"))
+    schema = T.StructType([T.StructField("clause", T.StringType())])
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        io.read_csv(spark, scratch_path(spark, "missing") + "/none.csv", schema).collect()
+    prof = clean.profile(spark.createDataFrame([("a", None), (None, "[]")], "clause string, predicted_actors string"))
+    assert tuple(prof.first()) == (2, 1, 1)
