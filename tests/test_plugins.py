@@ -111,3 +111,18 @@ def test_negative_beats_neutral_on_equal_zero(spark):
     r = Z.stance(df, pair_model=_signed_model).first()
     assert r["predicted_sentiments"] == ["negative"]
     assert [tuple(s) for s in r["sentiment_scores"]] == [(-1.0, 0.0, 0.0)]
+
+
+def test_tag_stream_equals_batch(spark, sf_small):
+    c = tables.clauses(spark, sf_small).select("row_id", "clause")
+    vocab = L.vocabulary(tables.clauses(spark, sf_small), "actors")
+    head = scoring.hash_head(vocab)
+    inbox = scratch_path(spark, "tag-inbox")
+    c.repartition(2).write.parquet(inbox)
+    sink = scratch_path(spark, "tag-out")
+    from clausework.streaming import tag_stream
+    q = tag_stream(spark.readStream.schema(c.schema).parquet(inbox), head, vocab, sink, available_now=True)
+    q.awaitTermination(300)
+    got = {r[0]: r[1] for r in spark.read.parquet(sink).select("row_id", "predicted_actors").collect()}
+    want = {r[0]: r[1] for r in pipelines.tag(c, head, vocab).collect()}
+    assert got == want and len(got) == c.count()
