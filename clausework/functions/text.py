@@ -46,9 +46,17 @@ def word_id(tok: Column) -> Column:
     return (F.lit(FIRST_WORD_ID) + F.pmod(md5_bits(F.lower(tok)), F.lit(WORD_BUCKETS))).cast("int")
 
 
+def _lowered_word_id(tok: Column) -> Column:
+    return (F.lit(FIRST_WORD_ID) + F.pmod(md5_bits(tok), F.lit(WORD_BUCKETS))).cast("int")
+
+
 def token_ids(text: Column) -> Column:
-    """Token ids without specials: hashed lower-cased whitespace tokens."""
-    return F.transform(tokens(text), word_id)
+    """Token ids without specials: hashed lower-cased whitespace tokens.
+
+    The text is lower-cased once before splitting (the same tokens as
+    lower-casing each one: lower-casing never adds or removes whitespace).
+    """
+    return F.transform(tokens(F.lower(text)), _lowered_word_id)
 
 
 def feature_of(token_id: Column) -> Column:
