@@ -36,17 +36,27 @@ _EXCHANGE = re.compile(r"Exchange (?:hashpartitioning|rangepartitioning)\(.*, (\
 def num_partitions(df: DataFrame) -> int | None:
     """Partition count of ``df`` without running it.
 
-    The topmost shuffle exchange in the physical plan decides it (a Python
-    node above it may hide the partitioning, not the count). Only a plan with
-    no shuffle asks the RDD, which plans the scan splits without running jobs.
+    The plan's declared output partitioning decides it when known; else the
+    topmost shuffle exchange does (a Python node above it hides the
+    partitioning, not the count). Only a plan with no shuffle asks the RDD,
+    which plans the scan splits without running jobs.
     """
     try:
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        physical = df._jdf.queryExecution().executedPlan()
+        declared = physical.outputPartitioning().numPartitions()
+        plan = physical.toString()
     except Exception:  # no JVM handle (Spark Connect)
         return None
-    for line in plan.splitlines():
+    if declared > 0:   # the root states it (an exchange, a single-partition top-k, ...)
+        return int(declared)
+    for line in plan.splitlines():   # from the root down: the first operator that fixes the count wins
         if "BroadcastExchange" in line:
             continue
+        if any(op in line for op in ("TakeOrderedAndProject", "GlobalLimit", "CollectLimit")):
+            return 1
+        c = re.search(r"Coalesce (\d+)", line)
+        if c:
+            return int(c.group(1))
         m = _EXCHANGE.search(line)
         if m:
             return 1 if m.group(3) else int(m.group(1) or m.group(2))
