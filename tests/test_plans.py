@@ -32,3 +32,21 @@ def test_scan_prunes_columns(spark, sf_small):
     df = tables.table(spark, sf_small, "documents").select("doc_id", "lang")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<doc_id:bigint,lang:string>" in plan
+
+
+def test_num_partitions_without_running(spark, sf_small):
+    from clausework.operators._util import num_partitions, spread
+    from clausework.operators.sampling import sample_exact
+
+    st = spark.sparkContext.statusTracker()
+
+    def last_job():
+        return max(st.getJobIdsForGroup() or [-1])
+
+    c = tables.clauses(spark, sf_small)
+    for df in (c, sample_exact(c, 30), c.coalesce(3), c.repartition(5, "row_id")):
+        before = last_job()
+        n = num_partitions(df)
+        assert last_job() == before                  # counting ran no job
+        assert n == df.rdd.getNumPartitions()
+    assert num_partitions(spread(sample_exact(c, 30))) == spark.sparkContext.defaultParallelism
