@@ -41,6 +41,12 @@ MAX_WIDE_LABELS = 10_000   # a wide table needs its column names at plan time
 
 def dense_ids(df: DataFrame, column: str, out: str) -> DataFrame:
     """Dense 0-based ids for the distinct values of ``column`` in sorted order."""
+    return dense_ids_sized(df, column, out)[0]
+
+
+def dense_ids_sized(df: DataFrame, column: str, out: str) -> tuple[DataFrame, int]:
+    """``dense_ids`` and the number of distinct values (known from the
+    per-partition counts, so no extra job is needed to size a broadcast)."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     ranged = (df.select(column).where(F.col(column).isNotNull()).distinct()
@@ -59,13 +65,18 @@ def dense_ids(df: DataFrame, column: str, out: str) -> DataFrame:
     offs = spark.createDataFrame(offsets or [(0, 0)], schema)
     # one row per partition of the distinct labels: bounded by the partition count
     return (ranked.join(F.broadcast(offs), "_pid")
-            .select((F.col("_off") + F.col("_local")).cast("int").alias(out), column))
+            .select((F.col("_off") + F.col("_local")).cast("int").alias(out), column)), int(acc)
 
 
 def vocabulary(df: DataFrame, actors: str = "actors") -> DataFrame:
     """L1/L4: ``vocab(label_id INT, label STRING)`` over all rows' label lists."""
+    return vocabulary_sized(df, actors)[0]
+
+
+def vocabulary_sized(df: DataFrame, actors: str = "actors") -> tuple[DataFrame, int]:
+    """``vocabulary`` and its number of labels."""
     labels = df.select(F.explode(actors).alias("label"))
-    return dense_ids(labels, "label", "label_id")
+    return dense_ids_sized(labels, "label", "label_id")
 
 
 def labels_in_id_order(vocab: DataFrame) -> DataFrame:

@@ -79,8 +79,7 @@ def fit_tagger(clauses: DataFrame, *, key: str = "row_id", text: str = "clause",
 
     rows = spread(clauses.select(F.col(key).alias("row_id"), F.col(text).alias("clause"),
                                  parse_list_strict(F.col(actors_text)).alias("actors")), "row_id")
-    vocab = L.vocabulary(rows, "actors")
-    n_labels = vocab.count()
+    vocab, n_labels = L.vocabulary_sized(rows, "actors")
     truth = (rows.select("row_id", F.explode("actors").alias("label"))
              .join(bounded_broadcast(vocab, rows=n_labels), "label").select("row_id", "label_id").distinct())
     train, test = (split_exact if exact_split else split_hash)(rows, test_share, seed, "row_id")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lists import parse_list_strict, parse_list_tolerant
-from ..functions.text import render_template, tokens
+from ..functions.text import N_FEATURES, render_template, tokens
 from ..operators import clean, head as H, labels as L, metrics as M, sampling as P, scoring, stance as Z, windows as W
 from ..operators._util import bounded_broadcast
 from ..session import scratch_path
@@ -35,9 +35,11 @@ def _r6(c) -> F.Column:
 
 
 def _vocab_head(spark: SparkSession, sf: str):
+    """Clauses, their vocabulary, its dense hash head, and the known row counts
+    of both (for the broadcast size checks, without a count job)."""
     c = tables.clauses(spark, sf)
-    vocab = L.vocabulary(c, "actors")
-    return c, vocab, scoring.hash_head(vocab)
+    vocab, k = L.vocabulary_sized(c, "actors")
+    return c, vocab, scoring.hash_head(vocab), {"vocab_rows": k, "head_rows": k * (N_FEATURES + 1)}
 
 
 def _truth(c: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -50,49 +52,49 @@ def _truth(c: DataFrame, vocab: DataFrame) -> DataFrame:
 
 def q_tag_documents(spark, sf):
     """Pooled multi-label tags for every document (relational scorer)."""
-    c, vocab, head = _vocab_head(spark, sf)
-    res = pipelines.tag(c.select("row_id", "clause"), head, vocab)
+    c, vocab, head, sizes = _vocab_head(spark, sf)
+    res = pipelines.tag(c.select("row_id", "clause"), head, vocab, **sizes)
     return res.select("row_id", _joined("predicted_actors").alias("predicted_actors"))
 
 
 def q_tag_sample(spark, sf):
     """P1 + I2: tag an exact seeded sample of the documents."""
-    c, vocab, head = _vocab_head(spark, sf)
-    res = pipelines.tag(c.select("row_id", "clause"), head, vocab, sample_size=SAMPLE_N)
+    c, vocab, head, sizes = _vocab_head(spark, sf)
+    res = pipelines.tag(c.select("row_id", "clause"), head, vocab, **sizes, sample_size=SAMPLE_N)
     return res.select("row_id", _joined("predicted_actors").alias("predicted_actors"))
 
 
 def q_tag_batch_udf(spark, sf):
     """U2 + U5: the same tags through the plug-in batch scorer (head read from a model path)."""
-    c, vocab, head = _vocab_head(spark, sf)
+    c, vocab, head, sizes = _vocab_head(spark, sf)
     path = scratch_path(spark, "head")
     io.write_table(head, path)
-    res = pipelines.tag(c.select("row_id", "clause"), head, vocab, scorer="batch",
+    res = pipelines.tag(c.select("row_id", "clause"), head, vocab, **sizes, scorer="batch",
                         make_predict_fn=scoring.linear_head_predict_fn(path), batch_size=64)
     return res.select("row_id", _joined("predicted_actors").alias("predicted_actors"))
 
 
 def q_tag_benchmark(spark, sf):
     """I2 on a second clause table: the short benchmark items, with the documents' labels and head."""
-    _, vocab, head = _vocab_head(spark, sf)
+    _, vocab, head, sizes = _vocab_head(spark, sf)
     items = tables.table(spark, sf, "benchmark").select(F.col("item_id").alias("row_id"), F.col("text").alias("clause"))
-    res = pipelines.tag(items, head, vocab)
+    res = pipelines.tag(items, head, vocab, **sizes)
     return res.select("row_id", _joined("predicted_actors").alias("predicted_actors"))
 
 
 def q_tag_conversations(spark, sf):
     """I2 keyed by a composite key: conversation turns, key (conv_id, turn) as one struct column."""
-    _, vocab, head = _vocab_head(spark, sf)
+    _, vocab, head, sizes = _vocab_head(spark, sf)
     turns = tables.table(spark, sf, "conversations").select(F.struct("conv_id", "turn").alias("turn_key"),
                                                              F.col("text").alias("clause"))
-    res = pipelines.tag(turns, head, vocab, key="turn_key")
+    res = pipelines.tag(turns, head, vocab, **sizes, key="turn_key")
     return res.select(F.col("turn_key.conv_id").alias("conv_id"), F.col("turn_key.turn").alias("turn"),
                       _joined("predicted_actors").alias("predicted_actors"))
 
 
 def q_tag_probs(spark, sf):
     """A1: pooled probability per (document, label)."""
-    c, vocab, head = _vocab_head(spark, sf)
+    c, vocab, head, sizes = _vocab_head(spark, sf)
     ids = W.with_token_ids(c.select("row_id", F.coalesce("clause", F.lit("nan")).alias("clause")))
     wins = W.overlap_windows(ids)
     from ..operators import tagging
@@ -241,7 +243,7 @@ def q_windows_overlap(spark, sf):
 # --- step 5: metrics -----------------------------------------------------------
 
 def _eval_cells(spark, sf):
-    c, vocab, head = _vocab_head(spark, sf)
+    c, vocab, head, sizes = _vocab_head(spark, sf)
     wins = W.fixed_step_windows(W.with_token_ids(c.select("row_id", "clause")))
     return M.cells(scoring.score_windows(wins, head), _truth(c, vocab))
 
@@ -260,7 +262,7 @@ def q_macro_metrics(spark, sf):
 def q_clause_metrics(spark, sf):
     """E1-E3 at clause level: pooled decisions (threshold, else argmax) against the gold labels."""
     from ..operators import tagging
-    c, vocab, head = _vocab_head(spark, sf)
+    c, vocab, head, sizes = _vocab_head(spark, sf)
     ids = W.with_token_ids(c.select("row_id", F.coalesce("clause", F.lit("nan")).alias("clause")))
     probs = tagging.pool(scoring.score_windows(W.overlap_windows(ids), head))
     cells = M.clause_cells(probs, tagging.decided_ids(probs), _truth(c, vocab))
@@ -327,9 +329,9 @@ def q_stance_pair_model(spark, sf):
 
 def q_stance_tagged(spark, sf):
     """Both stages: tag every document, then the stance of each predicted actor."""
-    c, vocab, head = _vocab_head(spark, sf)
+    c, vocab, head, sizes = _vocab_head(spark, sf)
     # stage boundary: the tagging result is materialised in the shared folder
-    tagged = pipelines.tag(c.select("row_id", "clause"), head, vocab).checkpoint(eager=True)
+    tagged = pipelines.tag(c.select("row_id", "clause"), head, vocab, **sizes).checkpoint(eager=True)
     lit = F.concat(F.lit("['"), F.array_join("predicted_actors", "', '"), F.lit("']"))
     src = c.select("row_id", "clause").join(tagged.select("row_id", lit.alias("predicted_actors")), "row_id")
     return _lists_flat(Z.stance(src))
@@ -357,7 +359,7 @@ def q_roundtrip(spark, sf):
 
 def q_head_roundtrip(spark, sf):
     """S8 + S9: vocabulary and head written as parquet and read back."""
-    c, vocab, head = _vocab_head(spark, sf)
+    c, vocab, head, sizes = _vocab_head(spark, sf)
     vp, hp = scratch_path(spark, "vocab"), scratch_path(spark, "head")
     io.write_table(vocab, vp)
     io.write_table(head, hp)
