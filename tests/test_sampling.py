@@ -40,3 +40,15 @@ def test_split_hash_invariant_to_partitioning(spark):
     a = {r[0] for r in P.split_hash(df)[1].collect()}
     b = {r[0] for r in P.split_hash(df.repartition(5).orderBy(F.rand(3)))[1].collect()}
     assert a == b and 300 < len(a) < 500
+
+
+def test_threshold_search_larger_input(spark, monkeypatch):
+    from clausework.functions.text import order_key
+
+    df = spark.range(200_000).withColumnRenamed("id", "row_id").repartition(8)
+    monkeypatch.setattr(P, "TOPK_MAX", 50_000)
+    got = P.sample_exact(df, 150_000)
+    assert "TakeOrderedAndProject" not in got._jdf.queryExecution().executedPlan().toString()
+    want = df.withColumn("_k", order_key(42, F.col("row_id"))).orderBy("_k", "row_id").limit(150_000).select("row_id")
+    assert got.count() == 150_000
+    assert got.select("row_id").exceptAll(want).count() == 0
