@@ -101,8 +101,12 @@ def effective_max_length(model_max_length: int | None, max_length: int = MAX_LEN
     return max_length if model_max_length is None else min(int(model_max_length), int(max_length))
 
 
-def _prepared_columns(clause: str, actors: str, max_chars: int | None):
+def _prepared_columns(clause: str, actors: str, max_chars: int | None, actors_type=None):
     text = F.coalesce(F.col(clause).cast("string"), F.lit(""))
+    if isinstance(actors_type, T.ArrayType):
+        # already a list (e.g. the tagger's output): no parsing, items as text
+        premise = text if max_chars is None else cut_text(text, max_chars)
+        return premise, F.coalesce(F.col(actors).cast("array<string>"), F.array().cast("array<string>"))
     parsed = parse_list(F.coalesce(F.col(actors), F.lit("[]")))
     failed = parsed.getField("status") == F.lit(FAILED)
     premise = F.when(failed, F.lit("")).otherwise(text)
@@ -115,8 +119,11 @@ def _prepared_columns(clause: str, actors: str, max_chars: int | None):
 
 def prepare(df: DataFrame, key: str = "row_id", clause: str = "clause", actors: str = "predicted_actors",
             max_chars: int | None = CUT_CHARS) -> DataFrame:
-    """C1 + C4 + C5: ``(key, premise, actors)``; an unreadable row becomes ("", ["Unknown"])."""
-    premise, items = _prepared_columns(clause, actors, max_chars)
+    """C1 + C4 + C5: ``(key, premise, actors)``; an unreadable row becomes ("", ["Unknown"]).
+
+    The actor column may hold list literals as text or be an array already.
+    """
+    premise, items = _prepared_columns(clause, actors, max_chars, df.schema[actors].dataType)
     return df.select(key, premise.alias("premise"), items.alias("actors"))
 
 
@@ -483,7 +490,7 @@ def stance(df: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH, max
     if limit_n is not None:
         from .sampling import first_n
         df = first_n(df, limit_n, key)
-    premise, items = _prepared_columns(clause, actors, max_chars)
+    premise, items = _prepared_columns(clause, actors, max_chars, df.schema[actors].dataType)
     cols = df.columns
     parsed = df.select(*cols, premise.alias("__premise"), items.alias("__actors"))
     if pair_model is None and hoistable(templates):

@@ -102,3 +102,12 @@ def test_templates_table_and_first_version(spark):
                                "row_id long, clause string, predicted_actors string")
     r = Z.stance(df, templates=Z.TEMPLATES_FIRST_VERSION).first()
     assert r["predicted_sentiments"] == ["negative"]
+
+
+def test_actor_lists_as_arrays(spark):
+    text = spark.createDataFrame([(1, "comments about zed are unfavorable.", "['Zed', 'Other']"), (2, "x", None)],
+                                 "row_id long, clause string, predicted_actors string")
+    arr = text.withColumn("predicted_actors", F.from_json("predicted_actors", "array<string>"))
+    a = {r[0]: (r["predicted_sentiments"], r["sentiment_scores"]) for r in Z.stance(text).collect()}
+    b = {r[0]: (r["predicted_sentiments"], r["sentiment_scores"]) for r in Z.stance(arr).collect()}
+    assert a == b and a[2] == ([], [])
