@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lists import parse_list_strict, parse_list_tolerant
-from ..functions.text import N_FEATURES, render_template, tokens
+from ..functions.text import N_FEATURES, render_template
 from ..operators import clean, head as H, labels as L, metrics as M, sampling as P, scoring, stance as Z, windows as W
 from ..operators._util import bounded_broadcast
 from ..session import scratch_path
