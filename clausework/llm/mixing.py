@@ -9,7 +9,8 @@ The order is cut into ranges of the hash key. A first pass sums the sizes of
 each (source, range); the prefix sums of these few totals say in which range
 the budget ends. Only the rows of that range are sorted and summed one by one,
 so no task holds more than a range, however large a source is. The cut found
-there decides on every other row by comparing places.
+there decides on every other row by comparing places. There are about as many
+ranges as a range has rows: the square root of the row count.
 
 Defined cases: a null text is empty (size 0) and takes nothing; the null source
 is a source of its own, last in order; rows repeated whole
@@ -19,6 +20,8 @@ parts of it; an empty table gives an empty result; a source without words has ta
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,8 +34,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 MAX_EPOCHS = 3
 # the weights of the sources in code-point order, repeating
 WEIGHTS = (1, 2, 3)
-# rows of a key range, about
-RANGE_ROWS = 20_000
 
 
 def word_count(text: F.Column) -> F.Column:
@@ -88,15 +89,14 @@ def keyed_sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) ->
                        word_count(F.col(text_col)).alias("size"))
 
 
-def source_cuts(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
-                range_rows: int = RANGE_ROWS) -> DataFrame:
+def source_cuts(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """One row per source: ``(source, source_size, target, epochs, cut, cut_words)``.
 
     ``rows`` are ``keyed_sizes``. Whole epochs are taken ``epochs`` times; the
     partial one takes every row placed before ``cut`` and ``cut_words`` words of
     the row at it.
     """
-    ranges = 1 << (rows.count() // range_rows).bit_length()
+    ranges = 1 << (math.isqrt(rows.count()).bit_length())
     totals = stored(rows.groupBy("source", bucket_of(F.col("place.key"), ranges).alias("bucket"))
                     .agg(F.sum("size").alias("bucket_size")), "mix-totals")
     per_source = totals.groupBy("source").agg(F.sum("bucket_size").alias("source_size"))
@@ -137,7 +137,7 @@ def with_taken(rows: DataFrame, cuts: DataFrame, source_col: str = "source", pla
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, range_rows: int = RANGE_ROWS) -> DataFrame:
+        weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """``(doc_id, source, size, source_size, target, taken)`` for every row of ``docs``.
 
     ``taken`` counts the words the mix takes, repeats included: whole epochs
@@ -146,7 +146,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     the remainder if the row at the end of the budget is repeated whole).
     """
     rows = stored(keyed_sizes(docs, id_col, text_col, source_col), "mix-sizes")
-    cuts = stored(source_cuts(rows, weights, max_epochs, range_rows), "mix-cuts")
+    cuts = stored(source_cuts(rows, weights, max_epochs), "mix-cuts")
     return with_taken(rows, cuts).select("doc_id", "source", "size", "source_size", "target",
                                          (F.col("epochs") * F.col("size") + F.col("last")).alias("taken"))
 
@@ -158,8 +158,7 @@ def first_words(text: F.Column, n: F.Column) -> F.Column:
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                    weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
-                    range_rows: int = RANGE_ROWS) -> DataFrame:
+                    weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The rows of the mix, columns of ``docs`` kept: each document once per epoch that takes it.
 
     The document in which a source's budget ends appears with its words up to
@@ -167,7 +166,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Texts are not shuffled: every row is placed against its source's cut.
     """
     rows = stored(keyed_sizes(docs, id_col, text_col, source_col), "mix-sizes")
-    cuts = stored(source_cuts(rows, weights, max_epochs, range_rows), "mix-cuts")
+    cuts = stored(source_cuts(rows, weights, max_epochs), "mix-cuts")
     marked = docs.select(F.struct("*").alias("row"), *[F.col(c) for c in dict.fromkeys((id_col, text_col, source_col))])
     keyed = marked.select("row", F.col(source_col).alias("source_"), keyed_place(id_col, text_col).alias("place"),
                           word_count(F.col(text_col)).alias("size"))

@@ -8,12 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import mixing, sharding
+from . import mixing, packing, sharding, simhash
 
 # shards of the placement query
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the installed package keeps a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, fingerprint, component_id)`` of every document: links at 2 or fewer of 64 bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op5_permutation_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, slot, shard)`` of every document on 64 shards."""
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
@@ -24,9 +37,16 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op10_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)`` of all documents' pieces."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_simhash_multi_index": op4_simhash_multi_index,
     "op5_permutation_sharding": op5_permutation_sharding,
     "op9_source_mix": op9_source_mix,
+    "op10_best_two_fit_packing": op10_best_two_fit_packing,
 }
 
 ORACLE: dict[str, str] = {
