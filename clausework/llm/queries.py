@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import mixing, packing, sharding, simhash
+from . import chat, mixing, packing, sharding, simhash
 
 # shards of the placement query
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -32,6 +32,17 @@ def op5_permutation_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
 
 
+def op7_token_level_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, formatted and read back, and of conversation -7, whose texts hold control strings."""
+    import public_tokenizers
+
+    hard = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    vocabulary, pattern = tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return chat.digests(chat.format_conversations(turns, vocabulary, pattern), vocabulary, pattern)
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, size, source_size, target, taken, source)`` of every document."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -45,6 +56,7 @@ def op10_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_multi_index": op4_simhash_multi_index,
     "op5_permutation_sharding": op5_permutation_sharding,
+    "op7_token_level_chat": op7_token_level_chat,
     "op9_source_mix": op9_source_mix,
     "op10_best_two_fit_packing": op10_best_two_fit_packing,
 }
