@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import chat, mixing, packing, sharding, simhash
+from . import chat, html_text, language_id, mixing, packing, sharding, simhash
 
 # shards of the placement query
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -21,6 +21,19 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_tag_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(page_id, url, text, n_chars)`` of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_marginalised_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, held_out, lang_pred, score)`` of every document; held-out documents are not learned from."""
+    docs = table(spark, sf_dir, "documents")
+    out = language_id.held_out("doc_id")
+    model = language_id.fit(docs.where(~out), tokenizer_path("piece_bpe_32k.model"))
+    return language_id.identify(docs.select("doc_id", out.alias("held_out"), "text"), model).drop("text")
+
+
 def op4_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` of every document: links at 2 or fewer of 64 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -54,6 +67,8 @@ def op10_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_tag_path_extraction": op1_tag_path_extraction,
+    "op3_marginalised_language_id": op3_marginalised_language_id,
     "op4_simhash_multi_index": op4_simhash_multi_index,
     "op5_permutation_sharding": op5_permutation_sharding,
     "op7_token_level_chat": op7_token_level_chat,
