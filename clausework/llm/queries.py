@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import chat, html_text, language_id, mixing, packing, sharding, simhash
+from . import ann, chat, html_text, language_id, mixing, packing, sharding, simhash, topk
 
 # shards of the placement query
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -45,6 +45,11 @@ def op5_permutation_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
 
 
+def op6_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(query_id, rank, vec_id, score)``: 10 nearest of every row whose id is divisible by 100."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op7_token_level_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all conversations, formatted and read back, and of conversation -7, whose texts hold control strings."""
     import public_tokenizers
@@ -56,6 +61,11 @@ def op7_token_level_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(turns, vocabulary, pattern), vocabulary, pattern)
 
 
+def op8_pivot_table_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(query_id, rank, vec_id, score)``: 20 highest inner products of every row whose id is divisible by 20."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, size, source_size, target, taken, source)`` of every document."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -71,12 +81,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_marginalised_language_id": op3_marginalised_language_id,
     "op4_simhash_multi_index": op4_simhash_multi_index,
     "op5_permutation_sharding": op5_permutation_sharding,
+    "op6_inverted_multi_index": op6_inverted_multi_index,
     "op7_token_level_chat": op7_token_level_chat,
+    "op8_pivot_table_top_k": op8_pivot_table_top_k,
     "op9_source_mix": op9_source_mix,
     "op10_best_two_fit_packing": op10_best_two_fit_packing,
 }
 
 ORACLE: dict[str, str] = {
+    "op8_pivot_table_top_k": r"""
+WITH v AS (
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS vec
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = len(embedding)),
+s AS (
+  SELECT q.vec_id AS query_id, r.vec_id AS vec_id, CAST(list_dot_product(q.vec, r.vec) AS BIGINT) AS score
+  FROM v q JOIN v r ON q.vec_id <> r.vec_id
+  WHERE q.vec_id % 20 = 0),
+t AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM t WHERE rank <= 20""",
     "op9_source_mix": r"""
 WITH d AS (
   SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k,
