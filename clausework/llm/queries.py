@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import ann, chat, html_text, language_id, mixing, packing, sharding, simhash, topk
+from . import ann, chat, html_text, language_id, mixing, packing, sharding, simhash, substring_dedup, topk
 
 # shards of the placement query
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -26,6 +26,11 @@ def op1_tag_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op2_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per repeated paragraph: ``(doc_id, start, end, n_words, cluster, members, keep_doc_id, kept)``."""
+    return substring_dedup.repeated_paragraphs(table(spark, sf_dir, "documents")).drop("row_hash", "para")
+
+
 def op3_marginalised_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)`` of every document; held-out documents are not learned from."""
     docs = table(spark, sf_dir, "documents")
@@ -78,6 +83,7 @@ def op10_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tag_path_extraction": op1_tag_path_extraction,
+    "op2_paragraph_minhash": op2_paragraph_minhash,
     "op3_marginalised_language_id": op3_marginalised_language_id,
     "op4_simhash_multi_index": op4_simhash_multi_index,
     "op5_permutation_sharding": op5_permutation_sharding,
