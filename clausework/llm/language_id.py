@@ -294,12 +294,12 @@ def predict(text: F.Column, model: Model, spark) -> F.Column:
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (replacing columns of these names)."""
-    keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score", "found_")]
-    got = docs.select(*keep, predict(F.col(text_col), model, docs.sparkSession).alias("found_"))
-    return got.select(*keep, "found_.lang_pred", "found_.score")
+    rows = docs.select(F.struct("*").alias("row"), predict(F.col(text_col), model, docs.sparkSession).alias("found"))
+    keep = [F.col(f"row.`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    return rows.select(*keep, "found.lang_pred", "found.score")
 
 
 def accepted(docs: DataFrame, model: Model, min_score: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose language is told with at least ``min_score``, columns kept."""
-    found = docs.withColumn("found_", predict(F.col(text_col), model, docs.sparkSession))
-    return found.where((F.col("found_.lang_pred") != UNKNOWN) & (F.col("found_.score") >= min_score)).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), predict(F.col(text_col), model, docs.sparkSession).alias("found"))
+    return rows.where((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= min_score)).select("row.*")

@@ -358,15 +358,14 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def cut(texts: pd.Series, gone: pd.Series) -> pd.Series:
         return pd.Series([_without(t, g) for t, g in zip(texts, gone, strict=True)], dtype=object)
 
-    d = docs.withColumn("own_hash", F.xxhash64(F.col(id_col), F.col(text_col)))
-    d = d.join(spans, F.col("own_hash") == F.col("gone_hash"), "left")
-    untouched = d.where(F.col("gone").isNull()).select(*docs.columns)
-    edited = d.where(F.col("gone").isNotNull()).withColumn(
-        text_col, cut(F.col(text_col), F.transform("gone", lambda s: F.array(s["start"], s["end"]))))
-    if "n_chars" in docs.columns:
-        edited = edited.withColumn("n_chars", F.length(text_col).cast("long"))
-    edited = edited.where(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
-    return untouched.unionByName(edited.select(*docs.columns))
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("own_hash"))
+    rows = rows.join(spans, F.col("own_hash") == F.col("gone_hash"), "left")
+    untouched = rows.where(F.col("gone").isNull()).select("row.*")
+    edited = rows.where(F.col("gone").isNotNull()).withColumn(
+        "edited", cut(F.col(f"row.{text_col}"), F.transform("gone", lambda s: F.array(s["start"], s["end"]))))
+    edited = edited.where(F.col("edited").rlike(r"[^\x20\x09-\x0D]"))
+    new = {text_col: F.col("edited"), "n_chars": F.length("edited").cast("long")}
+    return untouched.unionByName(edited.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns]))
 
 
 def _without(text: str, spans: list) -> str:
