@@ -39,7 +39,7 @@ search section summary table tbody td tfoot th thead tr ul""".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # elements that never hold an article's text
 APART = frozenset("""nav footer aside form script style noscript template iframe svg canvas object button select textarea
-dialog menu head title audio video map math datalist search xmp""".split())
+dialog menu head title audio video map datalist search xmp""".split())
 # roles, and words of a class or id, that say the same
 APART_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 APART_WORDS = frozenset("""ad ads advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment comments
@@ -69,13 +69,15 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Element:
-    __slots__ = ("tag", "key", "parent", "apart", "by_name", "has_main", "links")
+    __slots__ = ("tag", "key", "parent", "apart", "by_name", "has_main", "links", "muted")
 
     def __init__(self, tag: str, key: str, parent: Element | None, apart: bool, by_name: bool):
         self.tag, self.key, self.parent = tag, key, parent
         # apart: by its tag or role; by_name: by a word of its class or id, unless an article lies inside
         self.apart, self.by_name, self.has_main = apart, by_name, False
         self.links = tag == "a" or bool(parent and parent.links)
+        # an inline element set apart says nothing in the block around it
+        self.muted = (tag not in BLOCK and (apart or by_name)) or bool(parent and parent.muted)
 
     def chain(self) -> list[Element]:
         """The element and all around it, the root first."""
@@ -125,7 +127,7 @@ def read_blocks(page: str) -> list[Block]:
 
     def add(raw: str) -> None:
         nonlocal link_chars
-        if raw:
+        if raw and not stack[-1].muted:
             text = html.unescape(raw) if "&" in raw else raw
             parts.append(text)
             if stack[-1].links:
