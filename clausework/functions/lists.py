@@ -36,31 +36,22 @@ PARSED = T.StructType([
 ])
 
 
-def _literal(text: str) -> tuple[list[str], int]:
+def _read_literal(text: str | None) -> tuple[list[str] | None, int]:
+    """The items that Python's literal grammar finds, and how it went; no items where the JVM decides."""
+    if not isinstance(text, str):
+        return None, OK
     try:
         value = ast.literal_eval(text)
     except (ValueError, SyntaxError):
-        cleaned = text.strip("[]'\"")
-        return ([cleaned] if cleaned else [UNKNOWN]), FALLBACK
-    except Exception:  # TypeError, MemoryError, RecursionError ...
-        return [UNKNOWN], FAILED
-    if isinstance(value, list):
-        return [str(v) for v in value], OK
-    return [str(value)], WRAPPED
+        return None, FALLBACK
+    except Exception:  # nested too deep, an unhashable key ...
+        return None, FAILED
+    return ([str(v) for v in value], OK) if isinstance(value, list) else ([str(value)], WRAPPED)
 
 
 @F.pandas_udf(PARSED)
 def _slow_parse(texts: pd.Series) -> pd.DataFrame:
-    items, status = [], []
-    for t in texts:
-        if t is None or (isinstance(t, float) and pd.isna(t)):
-            items.append(None)
-            status.append(OK)
-            continue
-        got, st = _literal(t)
-        items.append(got)
-        status.append(st)
-    return pd.DataFrame({"items": items, "status": status})
+    return pd.DataFrame([_read_literal(t) for t in texts], columns=["items", "status"])
 
 
 def is_fast_list(text: Column) -> Column:
@@ -76,9 +67,26 @@ def parse_list(text: Column) -> Column:
     """Struct(items, status) for a list-literal text column; null stays null."""
     fast = is_fast_list(text)
     slow = _slow_parse(F.when(~fast, text))
+    bare = strip_brackets_quotes(text)
+    status = slow.getField("status")
+    items = (F.when(status == FALLBACK, F.array(F.when(F.length(bare) > 0, bare).otherwise(F.lit(UNKNOWN))))
+             .when(status == FAILED, F.array(F.lit(UNKNOWN))).otherwise(slow.getField("items")))
     return (F.when(text.isNull(), F.lit(None).cast(PARSED))
             .when(fast, F.struct(fast_items(text).alias("items"), F.lit(OK).alias("status")))
-            .otherwise(slow))
+            .otherwise(F.struct(items.alias("items"), status.alias("status"))))
+
+
+def write_list(items: Column) -> Column:
+    """A string array as a list literal that reads back to the same items.
+
+    Backslashes, quotes and control characters are escaped; a null array is null.
+    """
+    def quoted(x: Column) -> Column:
+        for raw, escaped in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r"), ("\x00", "\\x00")):
+            x = F.replace(x, F.lit(raw), F.lit(escaped))
+        return F.concat(F.lit("'"), x, F.lit("'"))
+
+    return F.concat(F.lit("["), F.array_join(F.transform(items, quoted), ", "), F.lit("]"))
 
 
 def parse_list_tolerant(text: Column) -> Column:
@@ -94,5 +102,5 @@ def parse_list_strict(text: Column) -> Column:
                   ).otherwise(p.getField("items"))
 
 
-__all__ = ["parse_list", "parse_list_tolerant", "parse_list_strict", "is_fast_list", "fast_items",
+__all__ = ["parse_list", "write_list", "parse_list_tolerant", "parse_list_strict", "is_fast_list", "fast_items",
            "strip_brackets_quotes", "OK", "WRAPPED", "FALLBACK", "FAILED", "FAST_LIST"]

@@ -26,7 +26,7 @@ CLS_ID = 1
 SEP_ID = 2
 FIRST_WORD_ID = 3
 WORD_BUCKETS = 65533      # word ids are 3 .. 65535
-N_FEATURES = 256          # scorer features: token id mod 256
+N_FEATURES = 1 << 14      # scorer features (default): token id modulo this
 BIAS_FEATURE = -1         # the head keeps its bias as feature -1
 
 TOKEN_PATTERN = r"[^ \t\n\r]+"
@@ -59,8 +59,8 @@ def token_ids(text: Column) -> Column:
     return F.transform(tokens(F.lower(text)), _lowered_word_id)
 
 
-def feature_of(token_id: Column) -> Column:
-    return F.pmod(token_id, F.lit(N_FEATURES)).cast("int")
+def feature_of(token_id: Column, n_features: int = N_FEATURES) -> Column:
+    return F.pmod(token_id, F.lit(n_features)).cast("int")
 
 
 def unit_hash(seed: Column | str | int, key: Column) -> Column:

@@ -1,86 +1,68 @@
-"""Small shared helpers: size-checked broadcast and shared-folder checkpoints."""
+"""Small shared helpers: size-checked broadcast, stored tables, scan spreading, worker-side caches."""
 
 from __future__ import annotations
 
-import re
+import hashlib
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side is broadcast only when its row count is checked to be at most this.
-BROADCAST_MAX_ROWS = 2_000_000
+# A side is broadcast only when its checked size is at most this.
+BROADCAST_MAX_BYTES = 64 << 20
+# bytes that a value of a type counts for; anything else counts as a text
+TYPE_BYTES = {T.IntegerType: 4, T.LongType: 8, T.DoubleType: 8, T.FloatType: 4, T.BooleanType: 1}
+TEXT_BYTES = 64
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when its checked row count is within ``max_rows``.
+def row_bytes(schema: T.StructType) -> int:
+    """About how many bytes a row of labels, ids and numbers takes."""
+    return 16 + sum(TYPE_BYTES.get(type(f.dataType), TEXT_BYTES) for f in schema.fields)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None, rows: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when its counted rows stay within ``BROADCAST_MAX_BYTES`` (or ``max_rows``).
 
     Beyond the bound the frame is returned as is, and the join falls back to a
     shuffle join (AQE can still turn it into a broadcast from runtime sizes,
     and splits skewed partitions).
     """
     n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= max_rows else df
+    most = BROADCAST_MAX_BYTES // row_bytes(df.schema) if max_rows is None else max_rows
+    return F.broadcast(df) if n <= most else df
 
 
 def require_columns(df: DataFrame, required: list[str]) -> None:
     """V1: raise listing the missing columns (schema check, no job)."""
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+    absent = [c for c in required if c not in df.columns]
+    if absent:
+        raise ValueError(f"the input table lacks {', '.join(absent)}; it has {', '.join(df.columns)}")
 
 
-_EXCHANGE = re.compile(r"Exchange (?:hashpartitioning|rangepartitioning)\(.*, (\d+)\)|"
-                       r"Exchange RoundRobinPartitioning\((\d+)\)|Exchange (SinglePartition)")
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a table scan on ``key`` when it has fewer splits than the session has cores.
 
+    Text work is CPU-bound per row, and a table of one small file would
+    otherwise run in one task. Meant for plain scans: their splits are planned
+    without running a job. On a cluster scan nothing is shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
 
-def num_partitions(df: DataFrame) -> int | None:
-    """Partition count of ``df`` without running it.
 
-    The plan's declared output partitioning decides it when known; else the
-    topmost shuffle exchange does (a Python node above it hides the
-    partitioning, not the count). Only a plan with no shuffle asks the RDD,
-    which plans the scan splits without running jobs.
-    """
-    try:
-        physical = df._jdf.queryExecution().executedPlan()
-        declared = physical.outputPartitioning().numPartitions()
-        plan = physical.toString()
-    except Exception:  # no JVM handle (Spark Connect)
-        return None
-    if declared > 0:   # the root states it (an exchange, a single-partition top-k, ...)
-        return int(declared)
-    for line in plan.splitlines():   # from the root down: the first operator that fixes the count wins
-        if "BroadcastExchange" in line:
-            continue
-        if any(op in line for op in ("TakeOrderedAndProject", "GlobalLimit", "CollectLimit")):
-            return 1
-        c = re.search(r"Coalesce (\d+)", line)
-        if c:
-            return int(c.group(1))
-        m = _EXCHANGE.search(line)
-        if m:
-            return 1 if m.group(3) else int(m.group(1) or m.group(2))
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:
-        return None
-
-
-def spread(df: DataFrame, key: str = "row_id", min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition on ``key`` when the input has fewer partitions than cores.
-
-    Text work (tokenizing, windows, pair scoring) is CPU-bound per row; an
-    input of one large file would otherwise run in one task. On a cluster
-    scan the input already has many splits and nothing is shuffled. Once
-    partitioned on the key, later aggregates keyed by (key, ...) reuse it.
-    """
-    current = num_partitions(df)
-    if current is None:  # a Spark Connect session: leave the input as it is
-        return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if current < target:
-        return df.repartition(target, key)
-    return df
+def literal(value, kind: T.DataType) -> Column:
+    """A collected value as a literal, structs included."""
+    if isinstance(kind, T.StructType) and isinstance(value, (Row, tuple)):
+        return F.struct(*[literal(v, f.dataType).alias(f.name) for v, f in zip(value, kind.fields, strict=True)])
+    return F.lit(value).cast(kind)
+
+
+def identity_of(make: Callable) -> str:
+    """A name for what a function and everything it holds would do on a worker."""
+    from pyspark import cloudpickle
+
+    return hashlib.md5(cloudpickle.dumps(make)).hexdigest()
 
 
 def worker_cache() -> dict:
@@ -97,3 +79,11 @@ def worker_cache() -> dict:
         cache = {}
         pyspark._clausework_cache = cache
     return cache
+
+
+def built(slot: str, identity: str, make: Callable):
+    """What ``make`` builds, kept per worker under ``slot`` until another identity comes."""
+    cache = worker_cache()
+    if cache.get(slot, ("",))[0] != identity:
+        cache[slot] = (identity, make())
+    return cache[slot][1]

@@ -8,16 +8,17 @@ from pyspark.sql import functions as F
 from ..functions.text import CUT_CHARS, CUT_SUFFIX, as_text, cut_text
 from ._util import require_columns
 
-# The field values a pandas CSV read treats as missing (Spark's
-# CSV reader knows one null token, so the rest are mapped after the read).
-NA_VALUES = ("", "NA", "null", "None", "nan")
+# The field values a pandas CSV read treats as missing by default
+# (Spark's CSV reader knows one null token, so the rest are mapped after the read).
+NA_VALUES = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+             "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
 def validate(df: DataFrame, required: tuple[str, ...] = ("clause", "predicted_actors")) -> DataFrame:
     """V1 + V2: required columns present and at least one row."""
     require_columns(df, list(required))
     if df.isEmpty():
-        raise ValueError("Input dataframe is empty")
+        raise ValueError("the input table has no rows")
     return df
 
 

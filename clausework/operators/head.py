@@ -5,122 +5,197 @@ a bias), binary cross-entropy, decoupled weight decay (not on the bias),
 linear warm-up then linear decay of the step size, optional warm start (the
 initial head is any head table, e.g. from ``labels.warm_copy``).
 
-The whole loop is relational: the head W stays a DataFrame
-``(label_id, label, feature, weight)``; one full-batch step is
-``z = X . W`` (broadcast join + sum), ``r = sigmoid(z) - y``,
-``g = X^T . r`` (join on the window + sum per (label, feature), partial
-aggregates map-side), ``W -= lr * (g / N + decay * W)``. Each new W is
-checkpointed to the shared folder, which cuts the lineage every step. Only
-one metrics row per epoch reaches the driver.
+The training table has one row per window: its features, their counts and its
+label ids, written once to the shared folder. A step broadcasts the weights
+(size-checked: labels x features), every task adds up the gradient of its
+windows, the partial gradients are summed by (label, feature), and the sum, no
+larger than the head, updates the weights. Nothing data-sized leaves the
+executors. Evaluation sums confusion counts and loss per task.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark import StorageLevel
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import BIAS_FEATURE, sigmoid
-from ..session import checkpoint_dir
+from ..functions.text import BIAS_FEATURE, N_FEATURES, THRESHOLD, feature_of
+from ..session import scratch_path
 from . import metrics as M
-from ._util import bounded_broadcast
-from .scoring import window_features
+from .scoring import HEAD_SCHEMA, MAX_CELLS, head_arrays
 
-KEYS = ("row_id", "window")
+# The training settings being matched.
+EPOCHS = 5
+WEIGHT_DECAY = 0.01
+WARMUP_RATIO = 0.1
+KEEP_EPOCHS = 2
 
+EPOCH_SCHEMA = "epoch int, step int, loss double, accuracy double, f1 double, precision double, recall double"
 
-def feature_counts(windows: DataFrame, truth: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """X: ``(wk, feature, x, labels)``; ``wk`` is the window key as one struct
-    column, x the count of the feature in the window (bias x = 1), and
-    ``labels`` the true label ids of the window's clause.
-
-    Hash-partitioned on ``wk`` and persisted by the caller (a cached relation
-    keeps its partitioning; a checkpointed one does not), so the per-window
-    sums and the gradient join need no exchange: a step shuffles only the
-    (label, feature) partials. X is derived from the scan, so lost blocks are
-    recomputed from its lineage; the head is checkpointed every step.
-    """
-    ids = truth.groupBy("row_id").agg(F.collect_set("label_id").alias("labels"))
-    counts = (window_features(windows, keys).groupBy(*keys, "feature")
-              .agg(F.count(F.lit(1)).cast("double").alias("x")))
-    return (counts.join(ids, "row_id", "left")
-            .select(F.struct(*keys).alias("wk"), "feature", "x",
-                    F.coalesce("labels", F.array().cast("array<int>")).alias("labels"))
-            .repartition(int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "wk"))
-
-
-def _logits(X: DataFrame, W: DataFrame, head_rows: int) -> DataFrame:
-    """``(wk, label_id, logit, y)`` for every window and label."""
-    w = bounded_broadcast(W.select("feature", "label_id", "weight"), rows=head_rows)
-    return X.join(w, "feature").groupBy("wk", "label_id").agg(
-        F.sum(F.col("x") * F.col("weight")).alias("logit"),
-        F.max(F.array_contains("labels", F.col("label_id")).cast("int")).alias("y"))
 
+def window_rows(windows: DataFrame, n_features: int = N_FEATURES, window_ids: str = "window_ids",
+                label_ids: str = "label_ids", keys: tuple[str, ...] = ("row_id", "window")) -> DataFrame:
+    """X, one row per window: ``(part, features, counts, labels)``, written and read back.
 
-def _lr(step: int, total: int, lr: float, warmup_ratio: float) -> float:
+    ``part`` is a hash of the key in [0, 2^20), by which mini-batches are cut.
+    """
+    spark = windows.sparkSession
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = [np.unique(f, return_counts=True) for f in b["features"]]
+            yield pd.DataFrame({"part": b["part"], "features": [f for f, _ in found],
+                                "counts": [c.astype(np.float64) for _, c in found], "labels": b["labels"]})
+
+    rows = windows.select(F.pmod(F.xxhash64(*keys), F.lit(1 << 20)).cast("int").alias("part"),
+                          F.transform(F.col(window_ids), lambda t: feature_of(t, n_features)).alias("features"),
+                          F.col(label_ids).alias("labels"))
+    path = scratch_path(spark, "windows")
+    rows.mapInPandas(count, "part int, features array<int>, counts array<double>, labels array<int>").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _logits(w: np.ndarray, b: np.ndarray, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    return counts @ w[features] + b
+
+
+def _truth(labels: np.ndarray, n: int) -> np.ndarray:
+    y = np.zeros(n)
+    y[np.asarray(labels, dtype=np.int64)] = 1.0
+    return y
+
+
+def gradient(x: DataFrame, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Sums over the windows of ``x`` of the loss's gradient by weight and bias, and the number of windows."""
+    shared = x.sparkSession.sparkContext.broadcast((weights, bias))
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        w, b = shared.value
+        g, gb, n = np.zeros_like(w), np.zeros_like(b), 0
+        for batch in batches:
+            for features, counts, labels in zip(batch["features"], batch["counts"], batch["labels"], strict=True):
+                r = 1.0 / (1.0 + np.exp(-_logits(w, b, features, counts))) - _truth(labels, len(b))
+                g[features] += counts[:, None] * r[None]
+                gb += r
+                n += 1
+        if n:
+            feature, label = np.nonzero(g)
+            yield pd.DataFrame({"label_id": label, "feature": feature, "g": g[feature, label]})
+            yield pd.DataFrame({"label_id": np.arange(len(b)), "feature": BIAS_FEATURE, "g": gb})
+            yield pd.DataFrame({"label_id": [-1], "feature": [BIAS_FEATURE], "g": [float(n)]})
+
+    sums = (x.select("features", "counts", "labels").mapInPandas(partial, "label_id long, feature long, g double")
+            .groupBy("label_id", "feature").agg(F.sum("g").alias("g")).toPandas())
+    shared.unpersist()
+    g, gb, own = np.zeros_like(weights), np.zeros_like(bias), sums[sums["label_id"] >= 0]
+    body, side = own[own["feature"] >= 0], own[own["feature"] == BIAS_FEATURE]
+    g[body["feature"].to_numpy(), body["label_id"].to_numpy()] = body["g"].to_numpy()
+    gb[side["label_id"].to_numpy()] = side["g"].to_numpy()
+    return g, gb, int(sums.loc[sums["label_id"] < 0, "g"].sum())
+
+
+def evaluate(x: DataFrame, weights: np.ndarray, bias: np.ndarray, threshold: float = THRESHOLD) -> tuple[float, ...]:
+    """``(loss, accuracy, f1, precision, recall)`` over all (window, label) cells of ``x``."""
+    spark = x.sparkSession
+    shared = spark.sparkContext.broadcast((weights, bias))
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        w, b = shared.value
+        tp = fp = fn = tn = 0
+        loss = 0.0
+        for batch in batches:
+            for features, counts, labels in zip(batch["features"], batch["counts"], batch["labels"], strict=True):
+                z, y = _logits(w, b, features, counts), _truth(labels, len(b))
+                hit, true = 1.0 / (1.0 + np.exp(-z)) >= threshold, y == 1
+                tp, fp = tp + int((hit & true).sum()), fp + int((hit & ~true).sum())
+                fn, tn = fn + int((~hit & true).sum()), tn + int((~hit & ~true).sum())
+                loss += float((np.maximum(z, 0.0) - z * y + np.log1p(np.exp(-np.abs(z)))).sum())
+        yield pd.DataFrame({"tp": [tp], "fp": [fp], "fn": [fn], "tn": [tn], "loss": [loss]})
+
+    sums = (x.select("features", "counts", "labels").mapInPandas(partial, "tp long, fp long, fn long, tn long, loss double")
+            .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tp", "fp", "fn", "tn", "loss")]))
+    row = sums.first()
+    m = M.macro_metrics(spark.createDataFrame([(row["tp"], row["fp"], row["fn"], row["tn"])], "tp long, fp long, fn long, tn long")).first()
+    shared.unpersist()
+    cells = row["tp"] + row["fp"] + row["fn"] + row["tn"]
+    return (row["loss"] / cells if cells else 0.0, m["accuracy"], m["f1"], m["precision"], m["recall"])
+
+
+def _rate(step: int, total: int, lr: float, warmup_ratio: float) -> float:
     warm = math.ceil(total * warmup_ratio)
     if warm and step < warm:
         return lr * (step + 1) / warm
     return lr * max(0.0, (total - step) / max(1, total - warm))
 
 
-def fit(train_windows: DataFrame, train_truth: DataFrame, init_head: DataFrame, *,
-        eval_windows: DataFrame | None = None, eval_truth: DataFrame | None = None,
-        epochs: int = 5, steps_per_epoch: int = 2, lr: float = 0.05, weight_decay: float = 0.01,
-        warmup_ratio: float = 0.1, threshold: float = 0.5, keys: tuple[str, ...] = KEYS):
-    """Returns ``(best_head, epochs_table)``.
-
-    ``*_truth`` is ``(row_id, label_id)`` for the positive cells. The epoch
-    table has ``epoch, loss, accuracy, f1, precision, recall, best``; the best
-    epoch is the highest f1, the first one on ties (P8).
+def head_table(spark, names: dict[int, str], weights: np.ndarray, bias: np.ndarray) -> DataFrame:
+    """Weights as a head table."""
+    features, labels = weights.shape
+    wide = np.concatenate([bias[None], weights]).T
+    return spark.createDataFrame(pd.DataFrame({
+        "label_id": np.repeat(np.arange(labels, dtype=np.int32), features + 1),
+        "label": np.repeat(np.array([names[i] for i in range(labels)], dtype=object), features + 1),
+        "feature": np.tile(np.arange(-1, features, dtype=np.int32), labels),
+        "weight": wide.reshape(-1)}), HEAD_SCHEMA)
+
+
+def fit(train: DataFrame, init_head: DataFrame, *, evaluation: DataFrame | None = None, epochs: int = EPOCHS,
+        steps_per_epoch: int = 2, batches: int | None = None, accumulate: int = 1, lr: float = 0.05,
+        weight_decay: float = WEIGHT_DECAY, warmup_ratio: float = WARMUP_RATIO, threshold: float = THRESHOLD,
+        eval_every: int | None = None, keep: int = KEEP_EPOCHS) -> tuple[DataFrame, DataFrame, dict[int, DataFrame]]:
+    """Returns ``(best head, epoch table, heads of the best epochs by epoch)``.
+
+    ``train`` and ``evaluation`` are ``window_rows``. By default each of an
+    epoch's ``steps_per_epoch`` steps uses all windows; with ``batches`` an
+    epoch goes through that many disjoint parts and updates after every
+    ``accumulate`` of them. The model is evaluated after each epoch, with
+    ``eval_every`` also after every so many steps (rows of the table with the
+    same ``epoch``). The best epoch has the highest f1, the first one on ties
+    (P8); heads of the best ``keep`` epochs are returned.
     """
-    spark = train_windows.sparkSession
-    checkpoint_dir(spark)
-    X = feature_counts(train_windows, train_truth, keys).persist(StorageLevel.MEMORY_AND_DISK)
-    n_windows = train_windows.select(*keys).distinct().count()
-    W = init_head.select("label_id", "label", "feature", F.col("weight").cast("double")).checkpoint(eager=True)
-    head_rows = W.count()
-    total = epochs * steps_per_epoch
-    ev_X = (feature_counts(eval_windows, eval_truth, keys).persist(StorageLevel.MEMORY_AND_DISK)
-            if eval_windows is not None else None)
-    rows, heads, step = [], [], 0
+    spark = train.sparkSession
+    arrays = head_arrays(init_head)
+    if arrays is None:
+        raise ValueError(f"a head of over {MAX_CELLS} weights cannot be broadcast at every step; take fewer features")
+    weights, bias = arrays
+    names = {r["label_id"]: r["label"] for r in init_head.select("label_id", "label").distinct().collect()}
+    per_epoch = steps_per_epoch if batches is None else -(-batches // accumulate)
+    rows, heads, step = [], {}, 0
+
+    def record(epoch: int) -> float:
+        got = evaluate(evaluation, weights, bias, threshold) if evaluation is not None else (None,) * 5
+        rows.append((epoch, step, *got))
+        return -1.0 if got[2] is None else got[2]
+
     for epoch in range(1, epochs + 1):
-        for _ in range(steps_per_epoch):
-            r = _logits(X, W, head_rows).select(
-                "wk", "label_id", (sigmoid(F.col("logit")) - F.col("y").cast("double")).alias("r"))
-            g = X.join(r, "wk").groupBy("label_id", "feature").agg(F.sum(F.col("x") * F.col("r")).alias("g"))
-            rate = _lr(step, total, lr, warmup_ratio)
-            decay = F.when(F.col("feature") == BIAS_FEATURE, F.lit(0.0)).otherwise(F.lit(weight_decay))
-            W = (W.join(g, ["label_id", "feature"], "left")
-                 .select("label_id", "label", "feature",
-                         (F.col("weight") - F.lit(rate) * (F.coalesce("g", F.lit(0.0)) / F.lit(float(max(1, n_windows)))
-                                                           + decay * F.col("weight"))).alias("weight"))
-                 .checkpoint(eager=True))
+        for part in range(per_epoch):
+            x = train
+            if batches is not None:
+                lo, hi = part * accumulate, min(batches, (part + 1) * accumulate)
+                x = train.where((F.col("part") * batches >= (lo << 20)) & (F.col("part") * batches < (hi << 20)))
+            g, gb, n = gradient(x, weights, bias)
+            rate = _rate(step, epochs * per_epoch, lr, warmup_ratio)
+            weights = weights - rate * (g / max(1, n) + weight_decay * weights)
+            bias = bias - rate * gb / max(1, n)
             step += 1
-        heads.append(W)
-        if ev_X is not None:
-            c = _logits(ev_X, W, head_rows)
-            m = M.macro_metrics(M.confusion(c, threshold)).first()
-            loss = M.bce_loss(c).first()["loss"]
-            rows.append((epoch, float(loss), float(m["accuracy"]), float(m["f1"]),
-                         float(m["precision"]), float(m["recall"])))
-        else:
-            rows.append((epoch, None, None, None, None, None))
-    X.unpersist()
-    if ev_X is not None:
-        ev_X.unpersist()
-    best = max(range(len(rows)), key=lambda i: (rows[i][3] if rows[i][3] is not None else -1.0, -i))
-    schema = T.StructType([T.StructField(n, t) for n, t in (
-        ("epoch", T.IntegerType()), ("loss", T.DoubleType()), ("accuracy", T.DoubleType()),
-        ("f1", T.DoubleType()), ("precision", T.DoubleType()), ("recall", T.DoubleType()))])
-    table = spark.createDataFrame(rows, schema).withColumn("best", F.col("epoch") == F.lit(best + 1))
-    return heads[best], table
-
-
-def best_epoch(epochs_table: DataFrame, metric: str = "f1", keep: int = 2) -> DataFrame:
+            if eval_every and step % eval_every == 0 and part + 1 < per_epoch:
+                record(epoch)
+        heads[epoch] = (record(epoch), weights, bias)
+        for worst in sorted(heads, key=lambda e: (-heads[e][0], e))[keep:]:
+            del heads[worst]
+    best = min(heads, key=lambda e: (-heads[e][0], e))
+    table = spark.createDataFrame(rows, EPOCH_SCHEMA).withColumn(
+        "best", (F.col("epoch") == best) & (F.col("step") == best * per_epoch))
+    kept = {e: head_table(spark, names, w, b) for e, (_, w, b) in heads.items()}
+    return kept[best], table, kept
+
+
+def best_epoch(epochs_table: DataFrame, metric: str = "f1", keep: int = KEEP_EPOCHS) -> DataFrame:
     """Rank epochs by ``metric`` (first epoch wins ties); keep the top ``keep``."""
     from pyspark.sql import Window
 

@@ -10,7 +10,7 @@ label's id is its partition offset plus its index in the partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +37,9 @@ WARM_MAP = [
     ("Permanent Members", "Politicians"),
 ]
 
-MAX_WIDE_LABELS = 10_000   # a wide table needs its column names at plan time
+# Vocabularies up to this size travel as a literal array beside a row's own labels; larger ones are joined.
+INLINE_LABELS = 1_000
+
 
 def dense_ids(df: DataFrame, column: str, out: str) -> DataFrame:
     """Dense 0-based ids for the distinct values of ``column`` in sorted order."""
@@ -104,30 +106,49 @@ def multi_hot(ids: DataFrame, n_labels: int, ids_col: str = "label_ids", out: st
                                            lambda i: F.array_contains(F.col(ids_col), i).cast("int")))
 
 
-def label_wide(df: DataFrame, vocab: DataFrame, actors: str = "actors", key: str = "row_id") -> DataFrame:
-    """L3 + J6: one 0/1 INT column per label beside the key.
+def label_names(vocab: DataFrame, rows: int | None = None, most: int = INLINE_LABELS) -> list[str] | None:
+    """The labels in id order if there are at most ``most`` of them, else None."""
+    n = vocab.count() if rows is None else rows
+    return [r["label"] for r in vocab.orderBy("label_id").collect()] if n <= most else None
+
+
+def own_label_ids(actors: Column, names: list[str]) -> Column:
+    """J1 + L2 beside the row: the sorted ids of an actor list, labels outside the vocabulary dropped."""
+    ids = F.transform(actors, lambda a: (F.array_position(F.lit(names) if names else F.array().cast("array<string>"), a) - 1).cast("int"))
+    return F.array_sort(F.array_distinct(F.filter(F.coalesce(ids, F.array().cast("array<int>")), lambda i: i >= 0)))
+
+
+def with_label_ids(df: DataFrame, vocab: DataFrame, actors: str = "actors", key: str = "row_id",
+                   vocab_rows: int | None = None, out: str = "label_ids") -> DataFrame:
+    """``df`` with its label ids as a column: computed in the row, or joined on the key for a large vocabulary."""
+    names = label_names(vocab, vocab_rows)
+    if names is not None:
+        return df.withColumn(out, own_label_ids(F.col(actors), names))
+    return df.join(label_ids(df, vocab, actors, key).withColumnRenamed("label_ids", out), key, "left")
+
+
+def label_cells(df: DataFrame, vocab: DataFrame, actors: str = "actors", key: str = "row_id") -> DataFrame:
+    """L3 in long form: ``(key, label, hit)`` with a row per label that a row has (``hit`` 1)."""
+    ex = df.select(key, F.explode(F.array_distinct(actors)).alias("label"))
+    return ex.join(bounded_broadcast(vocab.select("label")), "label", "left_semi").select(key, "label", F.lit(1).alias("hit"))
+
+
+def label_wide(df: DataFrame, names: list[str], actors: str = "actors", key: str = "row_id") -> DataFrame:
+    """L3 + J6: one 0/1 INT column per label of ``names`` beside the key.
 
-    The column names come from the vocabulary (at most ``MAX_WIDE_LABELS``,
-    checked); a label equal to an existing column name is refused.
+    The caller passes the names, since a table's columns must be known when it
+    is planned; ``label_cells`` and ``multi_hot`` need none. A name equal to
+    the key or differing from another only by case is refused (unless the
+    session is case-sensitive).
     """
-    n = vocab.count()
-    if n > MAX_WIDE_LABELS:
-        raise ValueError(f"{n} labels: too many for a wide table; use label_ids/multi_hot")
-    names = [r["label"] for r in labels_in_id_order(vocab).select("label").collect()]
     case_sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
     fold = (lambda x: x) if case_sensitive else str.lower
-    clash = [c for c in names if fold(c) == fold(key)]
-    if clash:
-        raise ValueError(f"label names clash with the key column: {clash}")
-    seen: dict[str, str] = {}
-    for c in names:
-        if fold(c) in seen:
-            raise ValueError(f"labels {seen[fold(c)]!r} and {c!r} differ only by case; use label_ids/multi_hot "
-                             "or set spark.sql.caseSensitive=true")
-        seen[fold(c)] = c
-    ex = df.select(key, F.explode_outer(actors).alias("label")).withColumn("hit", F.lit(1))
-    wide = ex.groupBy(key).pivot("label", names).agg(F.max("hit"))
-    return wide.na.fill(0, names) if names else wide
+    folded = [fold(c) for c in [key, *names]]
+    twice = sorted({c for c, f in zip([key, *names], folded, strict=True) if folded.count(f) > 1})
+    if twice:
+        raise ValueError(f"these names cannot be columns of one table: {twice}")
+    own = F.coalesce(F.col(actors), F.array().cast("array<string>"))
+    return df.select(key, *[F.array_contains(own, c).cast("int").alias(c) for c in names])
 
 
 def label_map(vocab: DataFrame) -> DataFrame:

@@ -13,27 +13,25 @@ from pyspark.sql import functions as F
 from ..functions.text import THRESHOLD, sigmoid
 
 
-def cells(logits: DataFrame, truth: DataFrame, keys: tuple[str, ...] = ("row_id", "window"),
-          row_key: str = "row_id") -> DataFrame:
-    """``(keys..., label_id, logit, y)``; ``truth`` is ``(row_key, label_id)`` of positive cells.
+def cells(scored: DataFrame, keep: tuple[str, ...] = ("row_id",), logits: str = "logits", label_ids: str = "label_ids") -> DataFrame:
+    """``(keep..., window, label_id, logit, y)`` from rows that carry their windows' logits and their own label ids.
 
-    The truth is gathered into one small array per row and joined on the row
-    key alone, so inputs already partitioned on the key need no exchange.
+    The truth stands beside the logits, so flattening needs no join.
     """
-    t = truth.groupBy(row_key).agg(F.collect_set("label_id").alias("_truth"))
-    y = F.coalesce(F.array_contains("_truth", F.col("label_id")), F.lit(False)).cast("int")
-    return logits.join(t, row_key, "left").select(*keys, "label_id", "logit", y.alias("y"))
-
-
-def clause_cells(probs: DataFrame, decided_ids: DataFrame, truth: DataFrame, key: str = "row_id") -> DataFrame:
-    """E1 at clause level: ``(key, label_id, y, pred)`` with the pooled decision
-    (threshold, else argmax) as the prediction. ``probs`` is ``(key, label_id, p)``
-    from ``tagging.pool``, ``decided_ids`` is ``(key, label_ids ARRAY<INT>)``."""
-    t = truth.groupBy(key).agg(F.collect_set("label_id").alias("_truth"))
-    return (probs.select(key, "label_id").join(decided_ids, key, "left").join(t, key, "left")
-            .select(key, "label_id",
-                    F.coalesce(F.array_contains("_truth", F.col("label_id")), F.lit(False)).cast("int").alias("y"),
-                    F.coalesce(F.array_contains("label_ids", F.col("label_id")), F.lit(False)).alias("pred")))
+    per_window = scored.select(*keep, label_ids, F.posexplode(logits).alias("window", "z"))
+    flat = per_window.select(*keep, label_ids, "window", F.posexplode("z").alias("label_id", "logit"))
+    return flat.select(*keep, "window", "label_id", "logit",
+                       F.array_contains(label_ids, F.col("label_id")).cast("int").alias("y"))
+
+
+def clause_cells(decided: DataFrame, n_labels: int, keep: tuple[str, ...] = ("row_id",), decided_ids: str = "decided_ids",
+                 label_ids: str = "label_ids") -> DataFrame:
+    """E1 at clause level: ``(keep..., label_id, y, pred)`` from rows with their decided and their own label ids."""
+    if n_labels < 1:
+        return decided.limit(0).select(*keep, F.lit(0).alias("label_id"), F.lit(0).alias("y"), F.lit(False).alias("pred"))
+    flat = decided.select(*keep, decided_ids, label_ids, F.explode(F.sequence(F.lit(0), F.lit(n_labels - 1))).alias("label_id"))
+    return flat.select(*keep, "label_id", F.array_contains(label_ids, F.col("label_id")).cast("int").alias("y"),
+                       F.array_contains(decided_ids, F.col("label_id")).alias("pred"))
 
 
 def confusion_from_pred(cells_df: DataFrame) -> DataFrame:

@@ -1,75 +1,75 @@
 """Seeded exact samples, first-n, and hold-out splits.
 
-Rows are ordered by a 60-bit key from md5(seed:row_id), so the result does
-not depend on partitioning or input order. Small n uses Spark's top-k
-(``TakeOrderedAndProject``: n rows per task, merged once). Large n never
-funnels rows through one task: the n-th key is found by a few passes of
-bucketed counts (each pass returns at most ``BUCKETS`` numbers to the
-driver), and the sample is then a plain distributed filter.
+Rows are ordered by a 60-bit key from md5(seed:key), so the result does not
+depend on partitioning or input order. Every exact cut takes one path,
+whatever n is: the order values alone are range-partitioned and written, the
+per-partition counts say in which partition the n-th value lies, and the cut
+is then a plain distributed filter against that one value. No row of text is
+sorted or sent to one task.
+
+Keys may be of any orderable type, structs included. Where the value at the
+cut is repeated, exactly as many of its rows are taken as n asks for.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import order_key, unit_hash
+from ..session import scratch_path
+from ._util import literal
 
 # Seed and hold-out share of the split being matched.
 SEED = 42
 TEST_SHARE = 0.2
 
-TOPK_MAX = 1_000_000   # above this n, use the threshold search
-BUCKETS = 4096
 
+def _cut(df: DataFrame, n: int, order: Column) -> tuple[Column, int, bool] | None:
+    """The n-th smallest order value as a literal, how many rows at it belong to the first n, and whether that is all of them.
 
-def _nth_smallest(keys: DataFrame, k: str, tie: str, n: int) -> tuple[int, int] | None:
-    """(key, tie) of the n-th smallest row by (k, tie); None when n >= rows."""
-    stats = keys.agg(F.min(k).alias("lo"), F.max(k).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    if stats["n"] == 0 or n >= stats["n"]:
+    None when there are at most n rows.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "order")
+    ranged = df.select(order.alias("o"))
+    ranged.repartitionByRange("o").sortWithinPartitions("o").select(
+        "o", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    # one row per range partition
+    parts = stored.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first")).orderBy("part").collect()
+    if sum(p["n"] for p in parts) <= n:
         return None
-    lo, hi, below = stats["lo"], stats["hi"] + 1, 0
-    while True:
-        width = hi - lo
-        size = max(1, math.ceil(width / BUCKETS))
-        rng = keys.where((F.col(k) >= lo) & (F.col(k) < hi))
-        counts = (rng.groupBy(F.floor((F.col(k) - F.lit(lo)) / F.lit(size)).cast("long").alias("b"))
-                  .count().orderBy("b").collect())
-        cum = below
-        for row in counts:
-            if cum + row["count"] >= n:
-                b_lo = lo + row["b"] * size
-                b_hi = min(hi, b_lo + size)
-                if row["count"] <= TOPK_MAX or size == 1:
-                    need = n - cum
-                    last = (keys.where((F.col(k) >= b_lo) & (F.col(k) < b_hi))
-                            .orderBy(k, tie).limit(need).agg(F.max(F.struct(k, tie)).alias("m")).first()["m"])
-                    return last[0], last[1]
-                lo, hi = b_lo, b_hi
-                break
-            cum += row["count"]
-        below = cum
-
-
-def smallest_n(df: DataFrame, n: int, key: Column, tie: str = "row_id") -> DataFrame:
-    """Exactly min(n, rows) rows with the smallest (key, tie)."""
+    before = 0
+    for p in parts:
+        if before + p["n"] >= n:
+            break
+        before += p["n"]
+    kind = stored.schema["o"].dataType
+    edge = literal(stored.where((F.col("part") == p["part"]) & (F.col("at") == p["first"] + n - before - 1)).first()["o"], kind)
+    counts = stored.agg(F.count_if(F.col("o") < edge).alias("below"), F.count_if(F.col("o").eqNullSafe(edge)).alias("equal")).first()
+    take = n - counts["below"]
+    return edge, take, take == counts["equal"]
+
+
+def _order(key: str, *first: Column) -> Column:
+    return F.struct(*first, F.col(key).alias("key"))
+
+
+def smallest_n(df: DataFrame, n: int, order: Column) -> DataFrame:
+    """Exactly min(n, rows) rows with the smallest ``order`` (a struct)."""
     if n <= 0:
         return df.limit(0)
-    keyed = df.withColumn("_k", key)
-    if n <= TOPK_MAX:
-        return keyed.orderBy("_k", tie).limit(n).drop("_k")
-    keys = keyed.select("_k", tie).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        edge = _nth_smallest(keys, "_k", tie, n)
-    finally:
-        keys.unpersist()
-    if edge is None:
+    cut = _cut(df, n, order)
+    if cut is None:
         return df
-    kk, tt = edge
-    return keyed.where((F.col("_k") < kk) | ((F.col("_k") == kk) & (F.col(tie) <= tt))).drop("_k")
+    edge, take, whole = cut
+    if whole:
+        return df.where(order <= edge)
+    # rows that share the n-th value are interchangeable in this order: any of them make up the number
+    return df.where(order < edge).unionByName(df.where(order.eqNullSafe(edge)).limit(take))
 
 
 def sample_exact(df: DataFrame, n: int, seed: int = SEED, key: str = "row_id", strict: bool = False) -> DataFrame:
@@ -78,18 +78,14 @@ def sample_exact(df: DataFrame, n: int, seed: int = SEED, key: str = "row_id", s
     ``strict=True`` fails when n exceeds the row count, as a fixed-n pandas
     sample does.
     """
-    if strict:
-        rows = df.count()
-        if n > rows:
-            raise ValueError(f"Cannot take a larger sample ({n}) than population ({rows})")
-    return smallest_n(df, n, order_key(seed, F.col(key)), key)
+    if strict and n > (rows := df.count()):
+        raise ValueError(f"a sample of {n} rows cannot be drawn from {rows}")
+    return smallest_n(df, n, _order(key, order_key(seed, F.col(key)).alias("k")))
 
 
 def first_n(df: DataFrame, n: int | None, key: str = "row_id") -> DataFrame:
     """The first n rows by key (no limit when n is None)."""
-    if n is None:
-        return df
-    return smallest_n(df, n, F.col(key).cast("long"), key)
+    return df if n is None else smallest_n(df, n, _order(key))
 
 
 def split_hash(df: DataFrame, test_share: float = TEST_SHARE, seed: int = SEED,
@@ -103,25 +99,14 @@ def split_exact(df: DataFrame, test_share: float = TEST_SHARE, seed: int = SEED,
                 key: str = "row_id") -> tuple[DataFrame, DataFrame]:
     """P4 (exact): test = ceil(share * rows) rows of the seeded order, train = the rest.
 
-    Both sides are filters against one threshold (no anti-join).
+    Both sides are filters against one value (no anti-join). Rows that repeat
+    the key at the cut all go to the test side, so that no key is on both.
     """
-    rows = df.count()
-    n_test = math.ceil(test_share * rows)
-    k = order_key(seed, F.col(key))
-    keyed = df.withColumn("_k", k)
+    order = _order(key, order_key(seed, F.col(key)).alias("k"))
+    n_test = math.ceil(test_share * df.count())
     if n_test <= 0:
         return df, df.limit(0)
-    if n_test >= rows:
+    cut = _cut(df, n_test, order)
+    if cut is None:
         return df.limit(0), df
-    keys = keyed.select("_k", key).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if n_test <= TOPK_MAX:
-            m = keys.orderBy("_k", key).limit(n_test).agg(F.max(F.struct("_k", key)).alias("m")).first()["m"]
-            edge = (m[0], m[1])
-        else:
-            edge = _nth_smallest(keys, "_k", key, n_test)
-    finally:
-        keys.unpersist()
-    kk, tt = edge
-    in_test = (F.col("_k") < kk) | ((F.col("_k") == kk) & (F.col(key) <= tt))
-    return keyed.where(~in_test).drop("_k"), keyed.where(in_test).drop("_k")
+    return df.where(order > cut[0]), df.where(order <= cut[0])

@@ -1,32 +1,31 @@
-"""Window scorers.
+"""Window scorers.
 
 A head is a long table ``(label_id INT, label STRING, feature INT, weight
-DOUBLE)``, dense over features 0..255 plus the bias at feature -1. A
-window's logit for a label is ``bias + sum over its tokens of
-weight[label, token_id mod 256]``.
-
-* ``score_windows`` (default, relational): explode the window's features,
-  broadcast-join the size-checked head, and sum per (window, label). The
-  fan-out by labels happens inside the scan stage and feeds the partial
-  aggregate directly, so only (window, label) partial sums are shuffled.
-* ``score_windows_batch`` (plug-in): ``predict_batch_udf`` over padded
-  windows. The model is loaded once per Python worker from a head written
-  as parquet (a model path), and scores a batch with numpy (bincount +
-  matrix product). Any other batch model plugs in through ``make_predict_fn``.
+DOUBLE)``, dense over features 0..n-1 plus the bias at feature -1. A window's
+logit for a label is ``bias + sum over its tokens of weight[label, token_id
+mod n]``.
+
+``window_logits`` scores a clause's windows beside its row: one Arrow UDF takes
+the clause's token ids and gives the logits of all its windows, so nothing is
+shuffled, joined or fanned out by label. Any batch model plugs in through
+``make_predict_fn``; the default is the linear head, whose weights are
+broadcast behind a check of their size. A head beyond that size is scored by
+``score_windows``: feature counts joined with the head table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import BIAS_FEATURE, N_FEATURES, feature_of, md5_bits
-from ..session import local_fs_path
-from ._util import bounded_broadcast
+from ..functions.text import (BIAS_FEATURE, CLS_ID, MAX_LENGTH, N_FEATURES, PAD_ID, PREDICT_OVERLAP, SEP_ID, TRAIN_STEP,
+                              feature_of, md5_bits)
+from ._util import bounded_broadcast, built, identity_of
 
 HEAD_SCHEMA = T.StructType([
     T.StructField("label_id", T.IntegerType(), False),
@@ -34,6 +33,9 @@ HEAD_SCHEMA = T.StructType([
     T.StructField("feature", T.IntegerType(), False),
     T.StructField("weight", T.DoubleType(), False),
 ])
+# weights (labels x features) that are collected and broadcast at most: 64 MB of doubles
+MAX_CELLS = 1 << 23
+BATCH_SIZE = 16
 
 
 def hash_head(vocab: DataFrame, salt: str = "init", scale: float = 0.1, n_features: int = N_FEATURES) -> DataFrame:
@@ -49,78 +51,117 @@ def hash_head(vocab: DataFrame, salt: str = "init", scale: float = 0.1, n_featur
                        ((md5_bits(key) / F.lit(4294967296.0) - F.lit(0.5)) * F.lit(scale)).alias("weight"))
 
 
-def window_features(windows: DataFrame, keys: tuple[str, ...] = ("row_id", "window"),
-                    window_ids: str = "window_ids") -> DataFrame:
-    """One row per token of a window plus one bias row: ``(keys..., feature)``."""
-    feats = F.concat(F.array(F.lit(BIAS_FEATURE)), F.transform(F.col(window_ids), feature_of))
-    return windows.select(*keys, F.explode(feats).alias("feature"))
+def head_arrays(head: DataFrame, rows: int | None = None) -> tuple[np.ndarray, np.ndarray] | None:
+    """``(weights[features, labels], bias[labels])`` of a head of at most ``MAX_CELLS`` rows, else None."""
+    n = head.count() if rows is None else rows
+    if n > MAX_CELLS:
+        return None
+    t = head.select("label_id", "feature", "weight").toPandas()
+    if not len(t):
+        return np.zeros((1, 0)), np.zeros(0)
+    labels, body = int(t["label_id"].max()) + 1, t[t["feature"] >= 0]
+    bias, own = np.zeros(labels), t[t["feature"] == BIAS_FEATURE]
+    weights = np.zeros((int(body["feature"].max()) + 1, labels))
+    weights[body["feature"].to_numpy(), body["label_id"].to_numpy()] = body["weight"].to_numpy()
+    bias[own["label_id"].to_numpy()] = own["weight"].to_numpy()
+    return weights, bias
 
 
-def score_windows(windows: DataFrame, head: DataFrame, keys: tuple[str, ...] = ("row_id", "window"),
-                  window_ids: str = "window_ids", head_rows: int | None = None) -> DataFrame:
-    """I1 (relational): ``(keys..., label_id, logit)`` for every window and label."""
-    feats = window_features(windows, keys, window_ids)
-    h = bounded_broadcast(head.select("feature", "label_id", "weight"), rows=head_rows)
-    return feats.join(h, "feature").groupBy(*keys, "label_id").agg(F.sum("weight").alias("logit"))
+def linear_predict_fn(spark, weights: np.ndarray, bias: np.ndarray) -> Callable:
+    """``make_predict_fn`` of a linear head."""
+    shared = spark.sparkContext.broadcast((weights, bias))
 
+    def make():
+        w, b = shared.value
 
-# --- plug-in batch scorer ----------------------------------------------------
+        def predict(input_ids: np.ndarray, attention_mask: np.ndarray) -> np.ndarray:
+            features = input_ids % len(w)
+            return np.stack([w[f[m]].sum(axis=0) for f, m in zip(features, attention_mask.astype(bool), strict=True)]) + b
 
-def head_matrix(path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Read a head written as parquet into (W[K, F], b[K]) with numpy."""
-    import pyarrow.parquet as pq
+        return predict
 
-    t = pq.read_table(local_fs_path(path), columns=["label_id", "feature", "weight"]).to_pandas()
-    k = int(t["label_id"].max()) + 1
-    w = np.zeros((k, N_FEATURES), dtype=np.float64)
-    b = np.zeros(k, dtype=np.float64)
-    body = t[t["feature"] >= 0]
-    w[body["label_id"].to_numpy(), body["feature"].to_numpy()] = body["weight"].to_numpy()
-    bias = t[t["feature"] == BIAS_FEATURE]
-    b[bias["label_id"].to_numpy()] = bias["weight"].to_numpy()
-    return w, b
+    return make
 
 
-def linear_head_predict_fn(head_path: str) -> Callable[[], Callable[[np.ndarray, np.ndarray], np.ndarray]]:
-    """``make_predict_fn`` for ``predict_batch_udf``: same logits as ``score_windows``."""
+def _starts(n: int, windowing: str, max_length: int, step: int) -> range:
+    """Where the windows of ``n`` tokens begin (``n`` without specials for overlap windows, with them for fixed ones)."""
+    if windowing == "fixed":
+        return range(0, n, step)
+    cap = max_length - 2
+    return range(0, step * max(0, -(-(n - cap) // step)) + 1, step)
 
-    def make():
-        w, b = head_matrix(head_path)
 
-        def predict(input_ids: np.ndarray, attention_mask: np.ndarray) -> np.ndarray:
-            ids = input_ids.reshape(-1, attention_mask.shape[-1] if attention_mask.ndim > 1 else 512)
-            mask = attention_mask.reshape(ids.shape).astype(bool)
-            feats = np.where(mask, ids % N_FEATURES, N_FEATURES)
-            rows = np.repeat(np.arange(ids.shape[0]), ids.shape[1])
-            counts = np.zeros((ids.shape[0], N_FEATURES + 1), dtype=np.float64)
-            np.add.at(counts, (rows, feats.reshape(-1)), 1.0)
-            return counts[:, :N_FEATURES] @ w.T + b
+def _windows(ids: np.ndarray, windowing: str, max_length: int, step: int, cls_id: int, sep_id: int) -> list[np.ndarray]:
+    if windowing == "fixed":
+        full = np.concatenate([[cls_id], ids, [sep_id]])
+        return [full[s:s + max_length] for s in _starts(len(full), windowing, max_length, step)]
+    return [np.concatenate([[cls_id], ids[s:s + max_length - 2], [sep_id]])
+            for s in _starts(len(ids), windowing, max_length, step)]
 
-        return predict
 
-    return make
+def window_logits(ids: Column, make_predict_fn: Callable, *, windowing: str = "overlap", max_length: int = MAX_LENGTH,
+                  overlap: int = PREDICT_OVERLAP, step: int = TRAIN_STEP, cls_id: int = CLS_ID, sep_id: int = SEP_ID,
+                  pad_id: int = PAD_ID, batch_size: int = BATCH_SIZE) -> Column:
+    """``array<array<double>>``, the logits of each window of a clause's token ids, in order.
+
+    ``make_predict_fn()`` returns ``predict(input_ids[n, L], attention_mask[n,
+    L]) -> logits[n, labels]`` and is built once per Python worker. Windows of
+    an Arrow batch are scored ``batch_size`` at a time, padded to the longest of
+    their batch (T6). When a batch fails its windows are scored one by one; a
+    clause with a window that still fails gets null. Null ids have no tokens.
+    """
+    if windowing not in ("overlap", "fixed"):
+        raise ValueError("windowing is 'overlap' or 'fixed'")
+    move = step if windowing == "fixed" else max_length - 2 - overlap
+    if move < 1 or max_length < 3:
+        raise ValueError("windows must move on: max_length - 2 > overlap, step > 0")
+    identity = identity_of(make_predict_fn)
+
+    def score(predict, windows: list[np.ndarray]) -> list:
+        width = max(map(len, windows))
+        batch, mask = np.full((len(windows), width), pad_id, dtype=np.int64), np.zeros((len(windows), width), dtype=np.int64)
+        for i, w in enumerate(windows):
+            batch[i, :len(w)], mask[i, :len(w)] = w, 1
+        try:
+            return list(np.asarray(predict(batch, mask), dtype=np.float64).reshape(len(windows), -1))
+        except Exception:
+            return [None] if len(windows) == 1 else [x for w in windows for x in score(predict, [w])]
+
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        predict = built(f"model-{windowing}", identity, make_predict_fn)
+        for clauses in batches:
+            out, held = [[] for _ in range(len(clauses))], []
+            for n, own in enumerate(clauses):
+                own = np.zeros(0, dtype=np.int64) if own is None else np.asarray(own, dtype=np.int64)
+                held += [(n, w) for w in _windows(own, windowing, max_length, move, cls_id, sep_id)]
+                while len(held) >= batch_size:
+                    for (i, _), z in zip(held[:batch_size], score(predict, [w for _, w in held[:batch_size]]), strict=True):
+                        out[i].append(z)
+                    held = held[batch_size:]
+            if held:
+                for (i, _), z in zip(held, score(predict, [w for _, w in held]), strict=True):
+                    out[i].append(z)
+            yield pd.Series([None if any(z is None for z in w) else w for w in out], dtype=object)
+
+    return run(ids)
 
 
-def score_windows_batch(padded: DataFrame, make_predict_fn, n_labels: int, batch_size: int = 16,
-                        keys: tuple[str, ...] = ("row_id", "window"), max_length: int = 512,
-                        partition_by: str | None = None) -> DataFrame:
-    """I1 through the plug-in surface (U2/U5): ``(keys..., label_id, logit)``.
+def score_windows(windows: DataFrame, head: DataFrame, keys: tuple[str, ...] = ("row_id", "window"),
+                  window_ids: str = "window_ids", head_rows: int | None = None, n_features: int = N_FEATURES) -> DataFrame:
+    """I1 for a head of any size: ``(keys..., label_id, logit)`` for every window and label.
 
-    A failed batch or row gives a null logits array, kept as one row with a
-    null label so the tagger can mark the clause as failed. A Python node
-    hides its input's partitioning from Spark, so with ``partition_by`` the
-    per-window logit arrays are hash-partitioned on that key once, right after
-    the model; the pooling and decision aggregates above then need no exchange.
+    A window's features are counted before they meet the head, and the bias is
+    added at the end, so no feature occurs in every window. Heads within the
+    broadcast bound are broadcast; the shuffle join beyond it splits features
+    that are frequent.
     """
-    from pyspark.ml.functions import predict_batch_udf
-
-    udf = predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size,
-                            input_tensor_shapes=[[max_length], [max_length]])
-    scored = padded.select(*keys, udf(F.col("input_ids"), F.col("attention_mask")).alias("logits"))
-    if partition_by is not None:
-        scored = scored.repartition(partition_by)
-    return scored.select(*keys, F.posexplode_outer("logits").alias("label_id", "logit")).select(
-        *keys, F.col("label_id").cast("int").alias("label_id"), "logit")
+    counts = (windows.select(*keys, F.explode(F.transform(F.col(window_ids), lambda t: feature_of(t, n_features))).alias("feature"))
+              .groupBy(*keys, "feature").agg(F.count(F.lit(1)).alias("x")))
+    h = bounded_broadcast(head.where(F.col("feature") >= 0).select("feature", "label_id", "weight"), rows=head_rows)
+    sums = counts.join(h, "feature").groupBy(*keys, "label_id").agg(F.sum(F.col("x") * F.col("weight")).alias("z"))
+    bias = bounded_broadcast(head.where(F.col("feature") == BIAS_FEATURE).select("label_id", F.col("weight").alias("bias")), rows=head_rows)
+    return sums.join(bias, "label_id").select(*keys, "label_id", (F.col("z") + F.col("bias")).alias("logit"))
 
 
 # --- plug-in pair model: the overlap scorer as a batch model ------------------
@@ -136,13 +177,13 @@ def overlap_pair_model():
 
     def fn(premises, hypotheses, max_length):
         out = np.zeros((len(premises), 3))
-        for k, (p, h) in enumerate(zip(premises, hypotheses)):
+        for k, (p, h) in enumerate(zip(premises, hypotheses, strict=True)):
             hyp = word.findall(h.lower())
-            budget = max_length - 3 - len(hyp)
+            room = None if max_length is None else max_length - 3 - len(hyp)
             distinct = list(dict.fromkeys(hyp))
-            if budget < 0 or not distinct:
+            if not distinct or (room is not None and room < 0):
                 raise ValueError("hypothesis does not fit beside the premise")
-            seen = set(word.findall(p.lower())[:budget])
+            seen = set(word.findall(p.lower())[:room])
             out[k, 0] = sum(1 for x in distinct if x in seen) / len(distinct)
         return out
 

@@ -1,24 +1,25 @@
 """Stance per (clause, actor) from hypothesis templates.
 
-Each clause's actor list is exploded with its positions, each (clause,
-actor) pair fans out over the templates (an ``explode`` of the template
-array, no join), every (premise, hypothesis) pair gets an entailment score,
-scores are averaged per stance (a failed template counts 0.0), and the
-stance with the highest mean wins, ties going to the earlier stance.
-Results are regrouped into lists parallel to the actor list.
-
-The premise is cut (2,000 characters + "...") and tokenized once per clause,
-before the fan-out. The default pair scorer is relational: the share of the
-hypothesis's distinct tokens found among the premise tokens that fit beside
-the hypothesis in ``max_length`` (only the premise is truncated).
+A clause's actors are scored beside its row: every (premise, hypothesis) pair
+of an actor and a template gets an entailment score, scores are averaged per
+stance (a failed template counts 0.0), and the stance with the highest mean
+wins, ties going to the earlier stance. The lists come out parallel to the
+actor list. Nothing is fanned out, shuffled or joined back, whichever scorer
+is used; ``template_scores`` and ``stance_pairs`` unfold the same scores.
+
+Scorers: the default is relational, the share of the hypothesis's distinct
+tokens found among the premise's tokens (with a ``max_length``, among those
+that fit beside the hypothesis: only the premise is truncated); a plug-in
+entailment model gets batches of pairs.
+
+Whole texts are read by default; ``max_chars`` cuts the premise, ``max_length``
+truncates it, for users who want the limits of a model.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
-import uuid
-from collections import OrderedDict
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,11 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.lists import FAILED, parse_list
-from ._util import spread, worker_cache
-from ..functions.text import CUT_CHARS, MAX_LENGTH, UNKNOWN, cut_text, render_template, tokens
+from ..functions.text import MAX_LENGTH, UNKNOWN, cut_text, render_template, tokens
+from ._util import built, identity_of
 
 # Stances in tie-break order, three hypothesis templates each,
-# with one {actor} slot (ASCII apostrophe; the first version used U+2019).
+# with one {actor} slot; the first version writes U+2019 for the apostrophe.
 TEMPLATES = [
     ("positive", "The UNSC's overall stance towards {actor} is positive."),
     ("positive", "Comments about {actor} are favorable."),
@@ -43,10 +44,11 @@ TEMPLATES = [
     ("neutral", "Sentiment expressed about {actor} is moderate."),
     ("neutral", "The tone regarding {actor} is impartial."),
 ]
+TEMPLATES_FIRST_VERSION = [(s, t.replace("UNSC's", "UNSC’s")) for s, t in TEMPLATES]
 NEUTRAL = "neutral"            # stance of an unscored pair, scored {positive 0, negative 0, neutral 1}
 ENTAIL_IDX = 0                 # position of the entailment logit in a model's output
+BATCH_SIZE = 8                 # pairs in one call of a plug-in model
 # ---------------------------------------------------------------------------
-TEMPLATES_FIRST_VERSION = [(s, t.replace("UNSC's", "UNSC’s")) for s, t in TEMPLATES]
 
 TEMPLATE_STRUCT = T.StructType([
     T.StructField("stance_rank", T.IntegerType()),
@@ -83,17 +85,22 @@ def _template_array(templates) -> Column:
                      for r, s, i, t in template_rows(templates)])
 
 
-def overlap_score(premise_tokens: Column, hypothesis: Column, max_length: int) -> Column:
+def overlap_score(premise_tokens: Column, hypothesis: Column, max_length: int | None = None) -> Column:
     """Z2 + T8 (relational pair scorer): share of distinct hypothesis tokens found
-    in the premise tokens that fit beside the hypothesis; null when the
-    hypothesis alone does not fit (the failed template then counts 0.0)."""
+    in the premise tokens (those that fit beside the hypothesis, if ``max_length`` is given); null when the
+    hypothesis has no token or alone does not fit (the failed template then counts 0.0)."""
     hyp = tokens(F.lower(hypothesis))
-    budget = F.lit(max_length - 3) - F.size(hyp)
     distinct = F.array_distinct(hyp)
-    found = F.size(F.filter(distinct, lambda h: (F.array_position(premise_tokens, h) > 0)
-                            & (F.array_position(premise_tokens, h) <= budget)))
-    return (F.when((budget < 0) | (F.size(distinct) == 0), F.lit(None).cast("double"))
-            .otherwise(found.cast("double") / F.size(distinct)))
+    room = None if max_length is None else F.lit(max_length - 3) - F.size(hyp)
+    found = F.size(F.filter(distinct, lambda h: _fits(F.array_position(premise_tokens, h), room)))
+    score = found.cast("double") / F.size(distinct)
+    ok = F.size(distinct) > 0
+    return F.when(ok if room is None else ok & (room >= 0), score)
+
+
+def _fits(position: Column, room: Column | None) -> Column:
+    """Whether a 1-based position (0: none) lies within the room."""
+    return position > 0 if room is None else (position > 0) & (position <= room)
 
 
 def effective_max_length(model_max_length: int | None, max_length: int = MAX_LENGTH) -> int:
@@ -118,8 +125,8 @@ def _prepared_columns(clause: str, actors: str, max_chars: int | None, actors_ty
 
 
 def prepare(df: DataFrame, key: str = "row_id", clause: str = "clause", actors: str = "predicted_actors",
-            max_chars: int | None = CUT_CHARS) -> DataFrame:
-    """C1 + C4 + C5: ``(key, premise, actors)``; an unreadable row becomes ("", ["Unknown"]).
+            max_chars: int | None = None) -> DataFrame:
+    """C1 + C4 (+ C5): ``(key, premise, actors)``; an unreadable row becomes ("", ["Unknown"]).
 
     The actor column may hold list literals as text or be an array already.
     """
@@ -133,10 +140,11 @@ _WORD = re.compile(r"[^ \t\n\r]+")
 
 def hoistable(templates=TEMPLATES) -> bool:
     """True when every template has the slot once, as a whitespace-delimited
-    token, and is ASCII (so Python's lower() equals Spark's)."""
+    token, and lower-cases alike in Python and Spark (ASCII or caseless)."""
     for _, t in templates:
-        words = _WORD.findall(t)
-        if t.count(_SLOT) != 1 or words.count(_SLOT) != 1 or not t.isascii():
+        if t.count(_SLOT) != 1 or _WORD.findall(t).count(_SLOT) != 1:
+            return False
+        if any(not c.isascii() and c.lower() != c.upper() for c in t):
             return False
     return True
 
@@ -148,356 +156,191 @@ def _template_words(templates):
     for _, t in templates:
         words = [w for w in _WORD.findall(t.lower()) if w != _SLOT]
         distinct = list(dict.fromkeys(words))
-        for w in distinct:
-            if w not in vocab:
-                vocab.append(w)
-        per.append(([vocab.index(w) + 1 for w in distinct], distinct, len(words)))
+        vocab += [w for w in distinct if w not in vocab]
+        per.append(([vocab.index(w) for w in distinct], distinct, len(words)))
     return vocab, per
 
 
-def _not_in(words: Column):
-    return lambda x: ~F.array_contains(words, x["tok"])
+def _not_among(words: list[str]) -> Callable[[Column], Column]:
+    return lambda y: ~F.array_contains(F.lit(words), y["tok"]) if words else F.lit(True)
 
 
-def _fits_at(fits):
-    return lambda x: fits(x["p"])
+def _within(room: Column | None) -> Callable[[Column], Column]:
+    return lambda y: _fits(y["p"], room)
 
 
-def _pair_scores_wide(prepared: DataFrame, templates, max_length: int, key: str) -> DataFrame:
-    """One row per (clause, actor position) with one score column per template.
+def _hoisted(df: DataFrame, keep: list[str], templates, max_length: int | None) -> DataFrame:
+    """``keep... + __a, __s`` (scores per actor and template) from ``__p`` (premise tokens) and ``__a`` (actors).
 
-    Same value as ``overlap_score`` on each rendered hypothesis: its tokens are
+    The values of ``overlap_score`` on each rendered hypothesis: its tokens are
     the template's own words plus the actor's tokens (the slot is a whole
     token). A template word's first position in the premise is found once per
-    clause and an actor token's once per actor; each template's score is then
-    a fixed expression over those positions (templates are parameters, so the
-    per-word checks are unrolled), with no fan-out over templates.
-    Columns: ``key, pos, actor, guard, _s<rank>_<template_id>...``.
-    """
-    vocab, per = _template_words(templates)
-    rows = template_rows(templates)
-    prem = tokens(F.lower(F.col("premise")))
-    base = prepared.select(key, (F.length("premise") == 0).alias("empty_clause"), prem.alias("ptoks"),
-                           "actors")
-    base = base.select(key, "empty_clause", "ptoks",
-                       F.transform(F.array(*[F.lit(w) for w in vocab]),
-                                   lambda w: F.array_position(F.col("ptoks"), w)).alias("twpos"),
-                       F.posexplode_outer("actors").alias("pos", "actor"))
-    atoks = tokens(F.lower(F.col("actor")))
-    pairs = base.select(key, "pos", "actor", "twpos",
-                        (F.col("empty_clause") | F.col("actor").isNull() | (F.length("actor") == 0)).alias("guard"),
-                        F.size(atoks).alias("n_actor"),
-                        F.transform(F.array_distinct(atoks),
-                                    lambda a: F.struct(a.alias("tok"),
-                                                       F.array_position(F.col("ptoks"), a).alias("p"))).alias("ap"))
-    cols = []
-    for (r, _, i, _), (idx, words, ntok) in zip(rows, per):
-        budget = F.lit(max_length - 3 - ntok) - F.col("n_actor")
-
-        def fits(p, budget=budget):
-            return (p > 0) & (p <= budget)
-
-        hit_tw = F.lit(0)
-        for j in idx:
-            hit_tw = hit_tw + fits(F.element_at("twpos", j)).cast("int")
-        own = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
-        extra = F.filter("ap", _not_in(own))
-        hit_a = F.size(F.filter(extra, _fits_at(fits)))
-        denom = F.lit(len(words)) + F.size(extra)
-        score = (F.when(F.col("guard") | (budget < 0) | (denom == 0), F.lit(None).cast("double"))
-                 .otherwise((hit_tw + hit_a).cast("double") / denom))
-        cols.append(score.alias(f"_s{r}_{i}"))
-    return pairs.select(key, "pos", "actor", "guard", *cols)
-
-
-def _narrow_lists(premise: Column, actors: Column, templates, max_length: int):
-    # ``premise`` is the array of the premise's lower-cased tokens (one column, computed once per row)
-    """(predicted_sentiments, sentiment_scores) of one clause as array expressions.
-
-    The same values as the pair path, computed inside the row: template words'
-    first positions once per clause, then per actor (``transform`` keeps the
-    list order, so no regroup) its tokens' positions and the 9 template
-    scores, the per-stance means in template order and the ordered argmax.
+    clause and an actor token's once per actor; each template's score is then a
+    fixed expression over those positions.
     """
     vocab, per = _template_words(templates)
-    rows = template_rows(templates)
-    names = stance_names(templates)
-    ranks = {s: r for r, s, _, _ in rows}
-    ptoks = premise                      # the premise's tokens, materialised by the caller
-    empty_clause = F.size(premise) == 0
-    twpos = F.transform(F.array(*[F.lit(w) for w in vocab]), lambda w: F.array_position(ptoks, w))
-
-    def per_actor_data(a):
-        atoks = tokens(F.lower(a))
-        ap = F.transform(F.array_distinct(atoks), lambda t: F.struct(t.alias("tok"),
-                                                                     F.array_position(ptoks, t).alias("p")))
-        return F.struct(a.alias("actor"), F.size(atoks).alias("n_actor"), ap.alias("ap"))
-
-    def result(x, twpos_row, empty):
-        guard = empty | x["actor"].isNull() | (F.length(x["actor"]) == 0)
-        slots = {}
-        for (r, st, i, _), (idx, words, ntok) in zip(rows, per):
-            budget = F.lit(max_length - 3 - ntok) - x["n_actor"]
-
-            def fits(p, budget=budget):
-                return (p > 0) & (p <= budget)
-
-            hit_tw = F.lit(0)
+
+    def actor_data(a: Column) -> Column:
+        own = tokens(F.lower(a))
+        at = F.transform(F.array_distinct(own), lambda t: F.struct(t.alias("tok"), F.array_position(F.col("__p"), t).alias("p")))
+        return F.struct(F.size(own).alias("n"), at.alias("at"))
+
+    def scores(x: Column) -> Column:
+        out = []
+        for idx, words, n_words in per:
+            room = None if max_length is None else F.lit(max_length - 3 - n_words) - x["n"]
+            # a token of both counts once
+            extra = F.filter(x["at"], _not_among(words))
+            hits = F.lit(0)
             for j in idx:
-                hit_tw = hit_tw + fits(F.element_at(twpos_row, j)).cast("int")
-            own = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
-            extra = F.filter(x["ap"], _not_in(own))
-            hit_a = F.size(F.filter(extra, _fits_at(fits)))
-            denom = F.lit(len(words)) + F.size(extra)
-            score = F.when((budget < 0) | (denom == 0), F.lit(0.0)).otherwise((hit_tw + hit_a).cast("double") / denom)
-            slots.setdefault(st, []).append(score)
-        means = {}
-        for st in names:
-            total = None
-            for v in slots[st]:
-                total = v if total is None else total + v
-            means[st] = total / F.lit(float(len(slots[st])))
-        best = (F.greatest(*[F.struct(means[st].alias("s"), F.lit(-ranks[st]).alias("r"), F.lit(st).alias("name"))
-                             for st in names])["name"] if len(names) > 1 else F.lit(names[0]))
-        return F.struct(
-            F.when(guard, F.lit(NEUTRAL)).otherwise(best).alias("stance"),
-            F.struct(*[F.when(guard, F.lit(1.0 if st == NEUTRAL else 0.0)).otherwise(means[st]).alias(st)
-                       for st in names]).alias("scores"))
+                hits = hits + _fits(F.get(F.col("__t"), F.lit(j)), room).cast("int")
+            hits = hits + F.size(F.filter(extra, _within(room)))
+            size = F.lit(len(words)) + F.size(extra)
+            ok = size > 0 if room is None else (size > 0) & (room >= 0)
+            out.append(F.when(ok, hits.cast("double") / size))
+        return F.array(*out)
 
-    return ptoks, empty_clause, twpos, per_actor_data, result
+    positions = F.transform(F.lit(vocab), lambda w: F.array_position(F.col("__p"), w)) if vocab else F.array().cast("array<bigint>")
+    step = df.select(*keep, "__e", "__a", positions.alias("__t"), F.transform("__a", actor_data).alias("__d"))
+    return step.select(*keep, "__e", "__a", F.transform("__d", scores).alias("__s"))
 
 
-def stance_narrow(df: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH,
-                  premise: str = "premise", actors: str = "actors", keep: list[str] | None = None) -> DataFrame:
-    """Z3 + Z4 as one projection: ``keep... + predicted_sentiments, sentiment_scores``.
+def _general(df: DataFrame, keep: list[str], templates, max_length: int | None) -> DataFrame:
+    """The same columns for templates of any shape: every hypothesis is rendered."""
+    def scores(a: Column) -> Column:
+        return F.array(*[overlap_score(F.col("__p"), render_template(F.lit(t), a), max_length) for _, t in templates])
 
-    No fan-out, no aggregate, no join: every row keeps its columns and the
-    plan has no exchange, so it runs as well on a stream as on a batch.
-    Needs templates whose slot is a whole token (``hoistable``).
-    """
-    if not hoistable(templates):
-        raise ValueError("templates do not allow the narrow stance path")
-    keep = list(df.columns) if keep is None else keep
-    step1 = df.select(*keep, tokens(F.lower(F.col(premise))).alias("__p"),
-                      (F.length(F.col(premise)) == 0).alias("__e"), F.col(actors).alias("__a"))
-    ptoks, _, twpos, per_actor_data, result = _narrow_lists(F.col("__p"), F.col("__a"), templates, max_length)
-    empty_clause = F.col("__e")
-    step2 = step1.select(*keep, empty_clause.alias("__empty"), twpos.alias("__twpos"),
-                         F.transform("__a", per_actor_data).alias("__ad"))
-    res = F.transform("__ad", lambda x: result(x, F.col("__twpos"), F.col("__empty")))
-    step3 = step2.select(*keep, res.alias("__res"))
-    return step3.select(*keep, F.transform("__res", lambda r: r["stance"]).alias("predicted_sentiments"),
-                        F.transform("__res", lambda r: r["scores"]).alias("sentiment_scores"))
-
-
-def _scores_hoisted(prepared: DataFrame, templates, max_length: int, key: str) -> DataFrame:
-    """Long form of ``_pair_scores_wide``: one row per (clause, actor, template)."""
-    rows = template_rows(templates)
-    wide = _pair_scores_wide(prepared, templates, max_length, key)
-    entries = F.array(*[F.struct(F.lit(st).alias("stance"), F.lit(i).cast("int").alias("template_id"),
-                                 F.col(f"_s{r}_{i}").alias("score")) for r, st, i, _ in rows])
-    none = F.array(F.lit(None).cast("struct<stance:string,template_id:int,score:double>"))
-    long = wide.select(key, "pos", "actor", "guard", F.explode(F.when(F.col("guard"), none).otherwise(entries)).alias("t"))
-    return long.select(key, "pos", "actor", "guard", F.col("t.stance").alias("stance"),
-                      F.col("t.template_id").alias("template_id"), F.col("t.score").alias("score"))
-
-
-def _scores_general(prepared: DataFrame, templates, max_length: int, key: str) -> DataFrame:
-    """Per-template scores on the rendered hypothesis (any template shape)."""
-    base = prepared.select(key, (F.length("premise") == 0).alias("empty_clause"),
-                           tokens(F.lower(F.col("premise"))).alias("premise_tokens"),
-                           F.posexplode_outer("actors").alias("pos", "actor"))
-    guard = F.col("empty_clause") | F.col("actor").isNull() | (F.length("actor") == 0)
-    none = F.array(F.lit(None).cast(TEMPLATE_STRUCT))
-    fan = base.select(key, "pos", "actor", guard.alias("guard"), "premise_tokens",
-                      F.explode(F.when(guard, none).otherwise(_template_array(templates))).alias("t"))
-    hyp = render_template(F.col("t.template"), F.col("actor"))
-    return fan.select(key, "pos", "actor", "guard", F.col("t.stance").alias("stance"),
-                      F.col("t.template_id").alias("template_id"),
-                      overlap_score(F.col("premise_tokens"), hyp, max_length).alias("score"))
-
-
-MEMO_SIZE = 200_000    # (premise, hypothesis) scores remembered per Python worker
-
-
-def _scores_batch(prepared: DataFrame, templates, max_length: int, key: str, make_pair_fn,
-                  entail_idx: int = ENTAIL_IDX, memo_size: int = MEMO_SIZE) -> DataFrame:
-    """Per-template scores from a plug-in entailment model (Z2 "P" + T10 + Z6).
+    return df.select(*keep, "__e", "__a", F.transform("__a", scores).alias("__s"))
+
+
+def model_scores(premise: Column, actors: Column, make_pair_fn: Callable, templates=TEMPLATES, max_length: int | None = MAX_LENGTH,
+                 entail_idx: int = ENTAIL_IDX, batch_size: int = BATCH_SIZE) -> Column:
+    """Z2 by a plug-in entailment model (T10, U5, Z6): ``array<array<double>>``, scores per actor and template.
 
     ``make_pair_fn()`` returns ``fn(premises, hypotheses, max_length) ->
-    logits[n, classes]``; it is built once per Python worker and scores a
-    whole Arrow batch. The entailment logit is column ``entail_idx``. If a
-    batch fails, its pairs are retried one by one; a pair that still fails
-    gets a null score (0.0 in the mean).
-
-    Repeated clauses and actors are common and the model is the expensive
-    part, so each worker remembers up to ``memo_size`` scores keyed by
-    (md5 of the premise, hypothesis) and sends only unseen pairs to the model.
-    This de-duplicates without a shuffle or a join back, so a group of copies
-    holding a large share of all rows stays spread over all tasks.
+    logits[n, classes]`` and is built once per Python worker; the entailment
+    logit is column ``entail_idx``. One call gets at most ``batch_size`` pairs,
+    each different pair of an Arrow batch once; a premise travels to Python once
+    per clause. If a call fails its pairs are tried one by one, and a pair that
+    still fails has a null score. Empty premises and actors are not scored.
     """
-    token = uuid.uuid4().hex
-
-    @F.pandas_udf(T.DoubleType())
-    def entail(prem: pd.Series, hyp: pd.Series) -> pd.Series:
-        cache = worker_cache()
-        fn = cache.get(token)
-        if fn is None:
-            fn = cache[token] = make_pair_fn()
-        memo = cache.setdefault(token + ":memo", OrderedDict())
-        out = np.full(len(prem), np.nan)
-        keys = [None if (p is None or h is None) else (hashlib.md5(p.encode("utf-8")).hexdigest(), h)
-                for p, h in zip(prem.where(prem.notna(), None), hyp.where(hyp.notna(), None))]
-        todo: dict[tuple, list[int]] = {}
-        for j, k in enumerate(keys):
-            if k is None:
-                continue
-            if k in memo:
-                out[j] = memo[k]
-                memo.move_to_end(k)
-            else:
-                todo.setdefault(k, []).append(j)
-        if todo:
-            firsts = [rows[0] for rows in todo.values()]
-            ps, hs = [prem.iloc[j] for j in firsts], [hyp.iloc[j] for j in firsts]
-            try:
-                got = np.asarray(fn(ps, hs, max_length), dtype=float)[:, entail_idx]
-            except Exception:
-                got = np.full(len(ps), np.nan)
-                for n, (p, h) in enumerate(zip(ps, hs)):
-                    try:
-                        got[n] = float(np.asarray(fn([p], [h], max_length), dtype=float)[0, entail_idx])
-                    except Exception:
-                        got[n] = np.nan
-            for (k, rows), v in zip(todo.items(), got):
-                out[rows] = v
-                if not np.isnan(v):
-                    memo[k] = v
-                    if len(memo) > memo_size:
-                        memo.popitem(last=False)
-        return pd.Series(out).where(~np.isnan(out), None)
-
-    base = prepared.select(key, (F.length("premise") == 0).alias("empty_clause"), "premise",
-                           F.posexplode_outer("actors").alias("pos", "actor"))
-    guard = F.col("empty_clause") | F.col("actor").isNull() | (F.length("actor") == 0)
-    none = F.array(F.lit(None).cast(TEMPLATE_STRUCT))
-    fan = base.select(key, "pos", "actor", guard.alias("guard"), "premise",
-                      F.explode(F.when(guard, none).otherwise(_template_array(templates))).alias("t"))
-    fan = fan.select(key, "pos", "actor", "guard", F.col("t.stance").alias("stance"),
-                     F.col("t.template_id").alias("template_id"), "premise",
-                     render_template(F.col("t.template"), F.col("actor")).alias("hypothesis"))
-    return fan.select(key, "pos", "actor", "guard", "stance", "template_id",
-                      F.when(~F.col("guard"), entail(F.col("premise"), F.col("hypothesis"))).alias("score"))
-
-
-def template_scores(prepared: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH,
-                    key: str = "row_id", hoist: bool | None = None, pair_model=None,
-                    entail_idx: int = ENTAIL_IDX) -> DataFrame:
-    """Z2 + T8: ``(key, pos, actor, guard, stance, template_id, score)``; null score = failed template.
-
-    ``pair_model`` (a ``make_pair_fn``) switches from the relational overlap
-    scorer to a plug-in entailment model.
+    identity = identity_of(make_pair_fn)
+    texts = [t for _, t in templates]
+
+    def score(fn, pairs: list[tuple[str, str]]) -> list[float | None]:
+        try:
+            got = np.asarray(fn([p for p, _ in pairs], [h for _, h in pairs], max_length), dtype=float)
+            return [float(v) for v in got.reshape(len(pairs), -1)[:, entail_idx]]
+        except Exception:
+            return [None] if len(pairs) == 1 else [v for p in pairs for v in score(fn, [p])]
+
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        fn = built("pair-model", identity, make_pair_fn)
+        for premises, lists in batches:
+            rows = [[[(p, t.replace(_SLOT, a)) for t in texts] if p and a else None for a in (() if own is None else own)]
+                    for p, own in zip(premises, lists, strict=True)]
+            pairs = list(dict.fromkeys(x for row in rows for own in row if own for x in own))
+            known: dict = {}
+            for at in range(0, len(pairs), batch_size):
+                some = pairs[at:at + batch_size]
+                known.update(zip(some, score(fn, some), strict=True))
+            yield pd.Series([[[None] * len(texts) if own is None else [known[x] for x in own] for own in row] for row in rows], dtype=object)
+
+    return run(premise, actors)
+
+
+def scored(df: DataFrame, keep: list[str], premise: Column, actors: Column, templates=TEMPLATES, max_length: int | None = None,
+           hoist: bool | None = None, pair_model: Callable | None = None, entail_idx: int = ENTAIL_IDX,
+           batch_size: int = BATCH_SIZE) -> DataFrame:
+    """``keep... + __pairs``: per actor ``(actor, guard, scores array<double>)``, scores in template order.
+
+    ``guard`` marks pairs that are not scored: an empty premise or actor (C9).
     """
     if pair_model is not None:
-        return _scores_batch(prepared, templates, max_length, key, pair_model, entail_idx)
-    use = hoistable(templates) if hoist is None else hoist
-    if use and not hoistable(templates):
-        raise ValueError("templates do not allow the hoisted scorer")
-    return (_scores_hoisted if use else _scores_general)(prepared, templates, max_length, key)
-
-
-def stance_pairs_all(prepared: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH,
-                     key: str = "row_id", hoist: bool | None = None, pair_model=None) -> DataFrame:
-    """Z2-Z3 + A2 + A5 + P7 + C9 + J3: one row per (clause, actor position).
-
-    Rows of clauses with no actor keep a null position (they regroup to
-    empty lists). Each stance's mean adds its templates' scores in template
-    order (a failed template counts 0.0), so the result does not depend on
-    row order and equal means stay equal.
+        src = df.select(*keep, premise.alias("__p"), actors.alias("__a"))
+        src = src.select(*keep, (F.length("__p") == 0).alias("__e"), "__a",
+                         model_scores(F.col("__p"), F.col("__a"), pair_model, templates, max_length, entail_idx, batch_size).alias("__s"))
+    else:
+        use = hoistable(templates) if hoist is None else hoist
+        if use and not hoistable(templates):
+            raise ValueError("these templates need the general scorer")
+        src = df.select(*keep, premise.alias("__x"), actors.alias("__a"))
+        src = src.select(*keep, (F.length("__x") == 0).alias("__e"), tokens(F.lower("__x")).alias("__p"), "__a")
+        src = (_hoisted if use else _general)(src, keep, templates, max_length)
+    pairs = F.zip_with("__a", "__s", lambda a, s: F.struct(
+        a.alias("actor"), (F.col("__e") | a.isNull() | (F.length(a) == 0)).alias("guard"), s.alias("scores")))
+    return src.select(*keep, pairs.alias("__pairs"))
+
+
+def _decided(pair: Column, templates) -> Column:
+    """Z3 + A2 + P7 + A5 + C9: ``(stance, scores struct)`` of one scored pair.
+
+    Each stance's mean adds its templates' scores in template order (a failed
+    one counts 0.0), so that equal means stay equal.
     """
     names = stance_names(templates)
-    rows = template_rows(templates)
-    ranks = {s: r for r, s, _, _ in rows}
-    slots = {s: [i for _, st, i, _ in rows if st == s] for s in names}
-    use_wide = pair_model is None and (hoistable(templates) if hoist is None else hoist)
-    if use_wide:
-        # scores are columns of the pair row: no fan-out, no per-pair aggregate
-        means = _pair_scores_wide(prepared, templates, max_length, key)
-
-        def slot(s, i):
-            return F.coalesce(F.col(f"_s{ranks[s]}_{i}"), F.lit(0.0))
-    else:
-        scored = template_scores(prepared, templates, max_length, key, hoist, pair_model)
-        means = scored.groupBy(key, "pos", "actor", "guard").agg(
-            *[F.max(F.when((F.col("stance") == s) & (F.col("template_id") == i), F.col("score")))
-              .alias(f"_s{ranks[s]}_{i}") for s in names for i in slots[s]])
+    means = {}
+    for s in names:
+        total = None
+        for i, (own, _) in enumerate(templates):
+            if own == s:
+                v = F.coalesce(F.get(pair["scores"], F.lit(i)), F.lit(0.0))
+                total = v if total is None else total + v
+        means[s] = total / F.lit(float(sum(own == s for own, _ in templates)))
+    ranked = [F.struct(means[s].alias("mean"), F.lit(-i).alias("first"), F.lit(s).alias("name")) for i, s in enumerate(names)]
+    best = F.greatest(*ranked)["name"] if len(names) > 1 else F.lit(names[0])
+    return F.struct(
+        F.when(pair["guard"], F.lit(NEUTRAL)).otherwise(best).alias("stance"),
+        F.struct(*[F.when(pair["guard"], F.lit(1.0 if s == NEUTRAL else 0.0)).otherwise(means[s]).alias(s) for s in names]).alias("scores"))
 
-        def slot(s, i):
-            return F.coalesce(F.col(f"_s{ranks[s]}_{i}"), F.lit(0.0))
 
-    def mean(s):
-        total = None
-        for i in slots[s]:
-            total = slot(s, i) if total is None else total + slot(s, i)
-        return total / F.lit(float(len(slots[s])))
-
-    filled = [mean(s) for s in names]
-    best = F.greatest(*[F.struct(v.alias("s"), F.lit(-ranks[s]).alias("r"), F.lit(s).alias("name"))
-                        for s, v in zip(names, filled)])["name"] if len(names) > 1 else F.lit(names[0])
-    unscored = [F.lit(1.0 if s == NEUTRAL else 0.0) for s in names]
-    return means.select(
-        key, "pos", "actor",
-        F.when(F.col("pos").isNull(), F.lit(None).cast("string"))
-         .when(F.col("guard"), F.lit(NEUTRAL)).otherwise(best).alias("stance"),
-        *[F.when(F.col("guard"), u).otherwise(v).alias(s) for s, v, u in zip(names, filled, unscored)],
-    )
-
-
-def stance_pairs(prepared: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH,
-                 key: str = "row_id", pair_model=None) -> DataFrame:
-    """Long result ``(key, pos, actor, stance, <one score column per stance>)``."""
-    return stance_pairs_all(prepared, templates, max_length, key, pair_model=pair_model).where(
-        F.col("pos").isNotNull())
+def hypotheses(prepared: DataFrame, templates=TEMPLATES, key: str = "row_id") -> DataFrame:
+    """J3 + T7: ``(key, pos, actor, stance, template_id, hypothesis)``, every actor with every template."""
+    pairs = prepared.select(key, F.posexplode("actors").alias("pos", "actor"))
+    fan = pairs.select(key, "pos", "actor", F.explode(_template_array(templates)).alias("t"))
+    return fan.select(key, "pos", "actor", "t.stance", "t.template_id",
+                      render_template(F.col("t.template"), F.col("actor")).alias("hypothesis"))
 
 
-def stance_lists(prepared: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH,
-                 key: str = "row_id", pair_model=None) -> DataFrame:
-    """Z4 + A3: ``(key, predicted_sentiments, sentiment_scores)`` parallel to the actor list."""
-    names = stance_names(templates)
-    pairs = stance_pairs_all(prepared, templates, max_length, key, pair_model=pair_model)
-    entry = F.when(F.col("pos").isNotNull(),
-                   F.struct("pos", "stance", F.struct(*[F.col(s) for s in names]).alias("scores")))
-    per = pairs.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("xs"))
-    return per.select(key, F.transform("xs", lambda x: x["stance"]).alias("predicted_sentiments"),
-                      F.transform("xs", lambda x: x["scores"]).alias("sentiment_scores"))
+def template_scores(prepared: DataFrame, templates=TEMPLATES, max_length: int | None = None, key: str = "row_id", **scorer) -> DataFrame:
+    """Z2 + T8: ``(key, pos, actor, stance, template_id, score)`` of the scored pairs; null score = failed template."""
+    rows = scored(prepared, [key], F.col("premise"), F.col("actors"), templates, max_length, **scorer)
+    pairs = rows.select(key, F.posexplode("__pairs").alias("pos", "x")).where(~F.col("x.guard"))
+    long = pairs.select(key, "pos", "x.actor", F.posexplode("x.scores").alias("i", "score"))
+    t = F.get(_template_array(templates), F.col("i"))
+    return long.select(key, "pos", "actor", t["stance"].alias("stance"), t["template_id"].alias("template_id"), "score")
+
+
+def stance_pairs(prepared: DataFrame, templates=TEMPLATES, max_length: int | None = None, key: str = "row_id", **scorer) -> DataFrame:
+    """Long result ``(key, pos, actor, stance, <one score column per stance>)``."""
+    rows = scored(prepared, [key], F.col("premise"), F.col("actors"), templates, max_length, **scorer)
+    pairs = rows.select(key, F.posexplode("__pairs").alias("pos", "x")).select(key, "pos", "x.actor", _decided(F.col("x"), templates).alias("d"))
+    return pairs.select(key, "pos", "actor", "d.stance", *[F.col(f"d.scores.{s}").alias(s) for s in stance_names(templates)])
 
 
-def stance(df: DataFrame, templates=TEMPLATES, max_length: int = MAX_LENGTH, max_chars: int | None = CUT_CHARS,
+def stance(df: DataFrame, templates=TEMPLATES, max_length: int | None = None, max_chars: int | None = None,
            key: str = "row_id", clause: str = "clause", actors: str = "predicted_actors",
-           attach: bool = True, pair_model=None, model_max_length: int | None = None,
-           limit_n: int | None = None) -> DataFrame:
+           attach: bool = True, pair_model: Callable | None = None, model_max_length: int | None = None,
+           limit_n: int | None = None, entail_idx: int = ENTAIL_IDX, batch_size: int = BATCH_SIZE) -> DataFrame:
     """Z4 end to end: the input rows plus ``predicted_sentiments`` and ``sentiment_scores``.
 
-    The actor lists are parsed first (the Python slow path of the parser sits
-    below any exchange). With ``attach`` the parsed input is hash-partitioned
-    on the key once, so the per-pair and per-clause aggregates and the join
-    back to the input rows reuse that one exchange. Without it only the
-    result lists are returned. ``model_max_length`` caps ``max_length`` (Z5:
-    the smaller of the model's limit and the requested length); ``limit_n``
+    One projection over each row, whatever the scorer: no exchange and no join,
+    on a batch as on a stream. Without ``attach`` only the key and the lists
+    are returned. ``model_max_length`` caps ``max_length`` (Z5: the smaller of
+    the model's limit and the requested length, 512 if none was); ``limit_n``
     keeps the first n clauses by key, applied before any work (P3).
     """
-    max_length = effective_max_length(model_max_length, max_length)
+    if model_max_length is not None or (pair_model is not None and max_length is None):
+        max_length = effective_max_length(model_max_length, MAX_LENGTH if max_length is None else max_length)
     if limit_n is not None:
         from .sampling import first_n
         df = first_n(df, limit_n, key)
     premise, items = _prepared_columns(clause, actors, max_chars, df.schema[actors].dataType)
-    cols = df.columns
-    parsed = df.select(*cols, premise.alias("__premise"), items.alias("__actors"))
-    if pair_model is None and hoistable(templates):
-        # narrow: each clause's lists come from its own row, no exchange and no join
-        keep = cols if attach else [key]
-        return stance_narrow(spread(parsed, key), templates, max_length, "__premise", "__actors", keep)
-    src = parsed.repartition(key) if attach else spread(parsed, key)
-    prepared = src.select(key, F.col("__premise").alias("premise"), F.col("__actors").alias("actors"))
-    lists = stance_lists(prepared, templates, max_length, key, pair_model=pair_model)
-    return src.select(*cols).join(lists, key, "left") if attach else lists
+    keep = list(df.columns) if attach else [key]
+    parsed = df.select(*df.columns, premise.alias("__premise"), items.alias("__actors"))
+    rows = scored(parsed, keep, F.col("__premise"), F.col("__actors"), templates, max_length, pair_model=pair_model,
+                  entail_idx=entail_idx, batch_size=batch_size)
+    rows = rows.select(*keep, F.transform("__pairs", lambda x: _decided(x, templates)).alias("__r"))
+    return rows.select(*keep, F.transform("__r", lambda r: r["stance"]).alias("predicted_sentiments"),
+                       F.transform("__r", lambda r: r["scores"]).alias("sentiment_scores"))

@@ -5,53 +5,64 @@ Labels with p >= threshold are predicted in id order; when none is, the
 single argmax is (the smallest id wins ties; a NaN p never passes the
 threshold and, as in numpy, the first NaN wins the argmax). A clause with a
 failed window gets ``["Unknown"]``.
+
+All of it is array expressions over the clause's own logits
+(``window_logits``). The long forms (``pool``, ``decide``) serve heads too
+large for that.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import THRESHOLD, UNKNOWN, sigmoid
 from ._util import bounded_broadcast
 
 
-def pool(logits: DataFrame, key: str = "row_id") -> DataFrame:
-    """A1: ``(key, label_id, p, failed)``: mean of sigmoid over windows."""
-    return logits.groupBy(key, "label_id").agg(
-        F.avg(sigmoid(F.col("logit"))).alias("p"),
-        F.max(F.col("logit").isNull()).alias("failed"))
+def pooled(logits: Column, n_labels: int) -> Column:
+    """A1: ``array<double>``, the mean over windows of each label's sigmoid; null stays null."""
+    if n_labels < 1:
+        return F.when(logits.isNotNull(), F.array().cast("array<double>"))
 
+    def mean(k: Column) -> Column:
+        total = F.aggregate(logits, F.lit(0.0), lambda acc, w: acc + sigmoid(F.get(w, k)))
+        return total / F.size(logits)
+
+    return F.when(logits.isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(n_labels - 1)), mean))
 
-def decide(probs: DataFrame, vocab: DataFrame, threshold: float = THRESHOLD, key: str = "row_id",
-           out: str = "predicted_actors", vocab_rows: int | None = None, on_error: str = "unknown") -> DataFrame:
-    """C8 + A4 + P6 + J2 + I3: ``(key, out ARRAY<STRING>)``.
 
-    A clause whose scoring failed gets ``["Unknown"]`` (``on_error="unknown"``)
-    or fails the job (``on_error="raise"``).
-    """
+def decided_ids(probs: Column, threshold: float = THRESHOLD) -> Column:
+    """C8 + A4 + P6: the predicted label ids (threshold, else the first maximum, NaN the greatest)."""
+    hits = F.filter(F.transform(probs, lambda p, i: F.when((p >= F.lit(threshold)) & ~F.isnan(p), i)), lambda i: i.isNotNull())
+    best = F.array((F.array_position(probs, F.array_max(probs)) - 1).cast("int"))
+    return F.when(F.size(probs) == 0, F.array().cast("array<int>")).when(F.size(hits) > 0, hits).otherwise(best)
+
+
+def decided(probs: Column, names: list[str], threshold: float = THRESHOLD, on_error: str = "unknown",
+            key: Column | None = None) -> Column:
+    """C8 + A4 + P6 + J2 + I3: the predicted labels, by name; ``["Unknown"]`` (or an error) where scoring failed."""
     if on_error not in ("unknown", "raise"):
         raise ValueError("on_error must be 'unknown' or 'raise'")
-    pv = probs.join(bounded_broadcast(vocab, rows=vocab_rows), "label_id", "left")
-    hit = (F.col("p") >= F.lit(threshold)) & ~F.isnan("p")
-    per = pv.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.when(hit, F.struct("label_id", "label")))).alias("hits"),
-        F.max(F.when(F.col("label_id").isNotNull(),
-                     F.struct(F.col("p"), (-F.col("label_id")).alias("neg"), F.col("label")))).alias("best"),
-        F.max("failed").alias("failed"))
-    failed_value = (F.array(F.lit(UNKNOWN)) if on_error == "unknown" else
-                    F.raise_error(F.concat(F.lit("scoring failed for clause "), F.col(key).cast("string"))))
-    labels = (F.when(F.col("failed"), failed_value)
-              .when(F.size("hits") > 0, F.transform("hits", lambda h: h["label"]))
-              .otherwise(F.array(F.col("best")["label"])))
-    return per.select(key, labels.alias(out))
+    table = F.lit(names) if names else F.array().cast("array<string>")
+    failed = (F.array(F.lit(UNKNOWN)) if on_error == "unknown" else
+              F.raise_error(F.concat(F.lit("scoring failed for clause "), F.lit("") if key is None else key.cast("string"))))
+    return F.when(probs.isNull(), failed).otherwise(
+        F.transform(decided_ids(probs, threshold), lambda i: F.get(table, i)))
 
 
+def pool(logits: DataFrame, key: str = "row_id") -> DataFrame:
+    """A1, long: ``(key, label_id, p)`` from ``(key, window, label_id, logit)``."""
+    return logits.groupBy(key, "label_id").agg(F.avg(sigmoid(F.col("logit"))).alias("p"))
+
 
-def decided_ids(probs: DataFrame, threshold: float = THRESHOLD, key: str = "row_id") -> DataFrame:
-    """``(key, label_ids ARRAY<INT>)``: the ids ``decide`` would predict (threshold, else argmax)."""
+def decide(probs: DataFrame, vocab: DataFrame, threshold: float = THRESHOLD, key: str = "row_id",
+           out: str = "predicted_actors", vocab_rows: int | None = None) -> DataFrame:
+    """C8 + A4 + P6 + J2, long: ``(key, out ARRAY<STRING>)`` from ``(key, label_id, p)``."""
+    pv = probs.join(bounded_broadcast(vocab, rows=vocab_rows), "label_id", "left")
     hit = (F.col("p") >= F.lit(threshold)) & ~F.isnan("p")
-    per = probs.groupBy(key).agg(F.array_sort(F.collect_list(F.when(hit, F.col("label_id")))).alias("hits"),
-                                 F.max(F.struct(F.col("p"), (-F.col("label_id")).alias("neg"))).alias("best"))
-    return per.select(key, F.when(F.size("hits") > 0, F.col("hits"))
-                      .otherwise(F.array(-F.col("best")["neg"])).alias("label_ids"))
+    per = pv.groupBy(key).agg(
+        F.array_sort(F.collect_list(F.when(hit, F.struct("label_id", "label")))).alias("hits"),
+        F.max(F.struct(F.col("p"), (-F.col("label_id")).alias("neg"), F.col("label"))).alias("best"))
+    return per.select(key, F.when(F.size("hits") > 0, F.transform("hits", lambda h: h["label"]))
+                      .otherwise(F.array(F.col("best")["label"])).alias(out))

@@ -15,15 +15,12 @@ built once from the token array (linear in the text length).
 
 from __future__ import annotations
 
-import uuid
-
 import pandas as pd
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._util import worker_cache
+from ._util import built, identity_of
 from ..functions.text import CLS_ID, MAX_LENGTH, PAD_ID, PREDICT_OVERLAP, SEP_ID, TRAIN_STEP, token_ids
 
 
@@ -32,13 +29,18 @@ def with_token_ids(df: DataFrame, text: str = "clause", out: str = "ids") -> Dat
     return df.withColumn(out, token_ids(F.col(text)))
 
 
+def _tokens(ids: str) -> Column:
+    """The token array; a text without one (null) has no tokens and still gets its window of specials."""
+    return F.coalesce(F.col(ids), F.array().cast("array<int>"))
+
+
 def fixed_step_windows(df: DataFrame, ids: str = "ids", max_length: int = MAX_LENGTH, step: int = TRAIN_STEP,
                        keep: tuple[str, ...] = ("row_id",), out: str = "window_ids",
                        cls_id: int = CLS_ID, sep_id: int = SEP_ID) -> DataFrame:
     """One row per window ``(keep..., window, window_ids)``; carried columns repeat per window."""
     if step < 1 or max_length < 1:
         raise ValueError("step and max_length must be positive")
-    full = F.concat(F.array(F.lit(cls_id)), F.col(ids), F.array(F.lit(sep_id)))
+    full = F.concat(F.array(F.lit(cls_id)), _tokens(ids), F.array(F.lit(sep_id)))
     starts = F.sequence(F.lit(0), F.size(full) - 1, F.lit(step))
     wins = F.transform(starts, lambda s: F.slice(full, s + 1, max_length))
     return df.select(*keep, F.posexplode(wins).alias("window", out))
@@ -61,9 +63,10 @@ def overlap_windows(df: DataFrame, ids: str = "ids", max_length: int = MAX_LENGT
     step = cap - overlap
     if cap < 1 or step < 1:
         raise ValueError("need max_length - 2 > overlap")
-    count = overlap_count(F.size(F.col(ids)), max_length, overlap)
+    tokens = _tokens(ids)
+    count = overlap_count(F.size(tokens), max_length, overlap)
     starts = F.sequence(F.lit(0), (count - 1) * F.lit(step), F.lit(step))
-    wins = F.transform(starts, lambda s: F.concat(F.array(F.lit(cls_id)), F.slice(F.col(ids), s + 1, cap),
+    wins = F.transform(starts, lambda s: F.concat(F.array(F.lit(cls_id)), F.slice(tokens, s + 1, cap),
                                                   F.array(F.lit(sep_id))))
     return df.select(*keep, F.posexplode(wins).alias("window", out))
 
@@ -80,26 +83,26 @@ def pad_windows(df: DataFrame, window_ids: str = "window_ids", max_length: int =
 
 # --- foreign tokenizers (U1) -------------------------------------------------
 
-def with_foreign_token_ids(df: DataFrame, make_tokenizer, text: str = "clause", out: str = "ids") -> DataFrame:
+def foreign_token_ids(text: Column, make_tokenizer) -> Column:
     """T1 through a plug-in tokenizer, as an Arrow-batched pandas UDF.
 
     ``make_tokenizer()`` returns ``encode(texts: list[str]) -> list[list[int]]``
     (ids without specials). It is built once per Python worker and applied to
-    whole Arrow batches; windows, scoring and pooling stay Spark expressions.
+    whole Arrow batches; windows, scoring and pooling stay as they are.
     """
-    token = uuid.uuid4().hex
+    identity = identity_of(make_tokenizer)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pd.Series) -> pd.Series:
-        cache = worker_cache()
-        fn = cache.get(token)
-        if fn is None:
-            fn = cache[token] = make_tokenizer()
-        mask = texts.isna()
-        got = fn([t for t in texts[~mask]]) if (~mask).any() else []
-        res = [None] * len(texts)
-        for i, ids in zip(texts.index[~mask], got):
-            res[texts.index.get_loc(i)] = [int(x) for x in ids]
-        return pd.Series(res)
-
-    return df.withColumn(out, encode(F.col(text)))
+        fn = built("tokenizer", identity, make_tokenizer)
+        known = [i for i, t in enumerate(texts) if isinstance(t, str)]
+        out = [None] * len(texts)
+        for i, ids in zip(known, fn([texts.iloc[i] for i in known]) if known else [], strict=True):
+            out[i] = [int(x) for x in ids]
+        return pd.Series(out, dtype=object)
+
+    return encode(text)
+
+
+def with_foreign_token_ids(df: DataFrame, make_tokenizer, text: str = "clause", out: str = "ids") -> DataFrame:
+    return df.withColumn(out, foreign_token_ids(F.col(text), make_tokenizer))

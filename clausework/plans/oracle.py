@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
+from ..functions.text import N_FEATURES
 from ..operators.labels import WARM_MAP
-from ..operators.stance import template_rows
+from ..operators.stance import TEMPLATES_FIRST_VERSION, template_rows
+from .queries import FIRST_N, FIT_EPOCHS, FIT_STEPS, MODEL_LENGTH, SAMPLE_N
 
 
 def _q(s: str) -> str:
@@ -39,7 +43,7 @@ def head_cte(name: str = "head", vocab: str = "vocab", salt: str = "init") -> st
   SELECT v.label_id, v.label, f.feature::INTEGER AS feature,
          ((('0x' || substr(md5({_q(salt)} || ':' || v.label || ':' || f.feature::VARCHAR), 1, 8))::BIGINT::DOUBLE
             / 4294967296.0::DOUBLE) - 0.5::DOUBLE) * 0.1::DOUBLE AS weight
-  FROM {vocab} v CROSS JOIN range(-1, 256) f(feature)
+  FROM {vocab} v CROSS JOIN range(-1, {N_FEATURES}) f(feature)
 )
 """
 
@@ -58,15 +62,15 @@ def parse_sql(text: str) -> str:
             f"lambda x: substr(x, 2, length(x) - 2))")
 
 
-def overlap_windows_cte(src: str, text: str) -> str:
+def overlap_windows_cte(src: str, text: str, ids=token_ids_sql, cls: int = 1, sep: int = 2) -> str:
     return f"""
-ids AS (SELECT row_id, {token_ids_sql(text)} AS ids FROM {src}),
+ids AS (SELECT row_id, {ids(text)} AS ids FROM {src}),
 nwin AS (SELECT row_id, ids,
                 CASE WHEN len(ids) <= 510 THEN 1 ELSE 1 + ceil((len(ids) - 510) / 254.0)::BIGINT END AS cnt
          FROM ids),
 wins AS (
   SELECT row_id, w::INTEGER AS "window",
-         list_concat(list_concat([1], ids[w * 254 + 1 : w * 254 + 510]), [2]) AS window_ids
+         list_concat(list_concat([{cls}], ids[w * 254 + 1 : w * 254 + 510]), [{sep}]) AS window_ids
   FROM (SELECT row_id, ids, unnest(range(0, cnt)) AS w FROM nwin)
 )
 """
@@ -82,8 +86,8 @@ wins AS (
 """
 
 
-LOGITS = """
-feats AS (SELECT row_id, "window", unnest(list_concat([-1], list_transform(window_ids, lambda x: x % 256))) AS feature
+LOGITS = f"""
+feats AS (SELECT row_id, "window", unnest(list_concat([-1], list_transform(window_ids, lambda x: x % {N_FEATURES}))) AS feature
           FROM wins),
 logits AS (SELECT f.row_id, f."window", h.label_id, sum(h.weight) AS logit
            FROM feats f JOIN head h ON f.feature = h.feature GROUP BY f.row_id, f."window", h.label_id)
@@ -123,7 +127,12 @@ def _values(rows, cols) -> str:
     return f"(VALUES {body}) AS t({', '.join(cols)})"
 
 
-TEMPLATES = f"templates AS (SELECT * FROM {_values(template_rows(), ['stance_rank', 'stance', 'template_id', 'template'])})"
+def templates_cte(rows) -> str:
+    return f"templates AS (SELECT * FROM {_values(rows, ['stance_rank', 'stance', 'template_id', 'template'])})"
+
+
+TEMPLATES = templates_cte(template_rows())
+FIRST_VERSION = templates_cte(template_rows(TEMPLATES_FIRST_VERSION))
 
 
 def _slot_sql() -> tuple[str, str]:
@@ -138,9 +147,10 @@ def _slot_sql() -> tuple[str, str]:
     return slot_cols, mean_cols
 
 
-def stance_ctes(prep: str) -> str:
-    """From ``{prep}(row_id, premise, actors)`` to ``pairs_out`` and ``lists``."""
+def stance_ctes(prep: str, max_length: int | None = None, fails: str = "FALSE") -> str:
+    """From ``{prep}(row_id, premise, actors)`` to ``pairs_out`` and ``lists``; ``fails`` marks pairs without a score."""
     slot_cols, mean_cols = _slot_sql()
+    room = "2147483647" if max_length is None else f"({max_length - 3} - len(htoks))"
     return f"""
 pairs AS (
   SELECT row_id, premise, regexp_extract_all(lower(premise), {TOKEN_RE}) AS ptoks,
@@ -149,15 +159,15 @@ pairs AS (
 ),
 fan AS (
   SELECT p.row_id, p.pos, p.actor, p.ptoks, length(p.premise) = 0 OR length(p.actor) = 0 AS guard,
-         t.stance, t.template_id, regexp_extract_all(lower(replace(t.template, '{{actor}}', p.actor)), {TOKEN_RE}) AS htoks
+         t.stance, t.template_id, t.template, regexp_extract_all(lower(replace(t.template, '{{actor}}', p.actor)), {TOKEN_RE}) AS htoks
   FROM pairs p CROSS JOIN templates t
 ),
 scored AS (
   SELECT row_id, pos, actor, guard, stance, template_id,
-         CASE WHEN 509 - len(htoks) < 0 OR len(list_distinct(htoks)) = 0 THEN NULL
+         CASE WHEN {fails} OR {room} < 0 OR len(list_distinct(htoks)) = 0 THEN NULL
               ELSE len(list_filter(list_distinct(htoks),
                         lambda h: coalesce(list_position(ptoks, h), 0) > 0
-                              AND coalesce(list_position(ptoks, h), 0) <= 509 - len(htoks)))::DOUBLE
+                              AND coalesce(list_position(ptoks, h), 0) <= {room}))::DOUBLE
                    / len(list_distinct(htoks)) END AS score
   FROM fan
 ),
@@ -192,14 +202,25 @@ lists AS (
 """
 
 
-PREP = """
-prep AS (
-  SELECT row_id,
-         CASE WHEN length(coalesce(clause, '')) > 2000 THEN substr(coalesce(clause, ''), 1, 2000) || '...'
-              ELSE coalesce(clause, '') END AS premise,
-         {actors} AS actors
-  FROM {src}
-)
+PREP = "prep AS (SELECT row_id, {premise} AS premise, {actors} AS actors FROM {src})"
+WHOLE = "coalesce(clause, '')"
+CUT = "CASE WHEN length(coalesce(clause, '')) > 2000 THEN substr(clause, 1, 2000) || '...' ELSE coalesce(clause, '') END"
+
+EDGES = """
+edges AS (
+  SELECT doc_id AS row_id, doc_id % 11 AS form, coalesce(lang, 'x') AS lang, coalesce(source, 'y') AS source,
+         CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE text END AS clause,
+         CASE doc_id % 11 WHEN 0 THEN NULL WHEN 1 THEN '[]' WHEN 2 THEN '[' || coalesce(lang, 'x') || ']'
+           WHEN 3 THEN '(''x'', ''' || coalesce(source, 'y') || ''')' WHEN 4 THEN '[''it\\''s'', "' || coalesce(source, 'y') || '"]'
+           WHEN 5 THEN '['''']' WHEN 6 THEN '{[]:1}' WHEN 7 THEN '' WHEN 8 THEN coalesce(source, 'y') || ', ' || coalesce(lang, 'x')
+           WHEN 9 THEN '[''' || coalesce(source, 'y') || ''' ''' || coalesce(lang, 'x') || ''']' ELSE '5' END AS predicted_actors
+  FROM documents),
+edge_lists AS (
+  SELECT *, CASE form WHEN 0 THEN []::VARCHAR[] WHEN 1 THEN [] WHEN 2 THEN [lang] WHEN 3 THEN ['(''x'', ''' || source || ''')']
+              WHEN 4 THEN ['it''s', source] WHEN 5 THEN [''] WHEN 6 THEN ['Unknown'] WHEN 7 THEN ['Unknown']
+              WHEN 8 THEN [source || ', ' || lang] WHEN 9 THEN [source || lang] ELSE ['5'] END AS items,
+         CASE WHEN form = 0 THEN -1 WHEN form IN (1, 4, 5, 9) THEN 0 WHEN form IN (3, 10) THEN 1 WHEN form IN (2, 7, 8) THEN 2 ELSE 3 END AS status
+  FROM edges)
 """
 
 WARM = f"""
@@ -225,7 +246,7 @@ idsl AS (SELECT g.row_id, coalesce(i.label_ids, []::INTEGER[]) AS label_ids
 """
 
 
-def _macro() -> str:
+def _macro(conf: str = "conf", extra: str = "") -> str:
     tp, fp, fn, tn = "tp::DOUBLE", "fp::DOUBLE", "fn::DOUBLE", "tn::DOUBLE"
 
     def ratio(a, b):
@@ -241,23 +262,89 @@ def _macro() -> str:
     def macro(a, b):
         return ratio(f"{a} * {has1} + {b} * {has0}", f"{has1} + {has0}")
 
-    return (f"SELECT round({ratio(f'{tp} + {tn}', f'{tp} + {fp} + {fn} + {tn}')}, 6) AS accuracy, "
+    return (f"SELECT {extra}round({ratio(f'{tp} + {tn}', f'{tp} + {fp} + {fn} + {tn}')}, 6) AS accuracy, "
             f"round({macro(f1_1, f1_0)}, 6) AS f1, round({macro(p1, p0)}, 6) AS precision, "
-            f"round({macro(r1, r0)}, 6) AS recall FROM conf")
+            f"round({macro(r1, r0)}, 6) AS recall FROM {conf}")
+
+
+ORDER_KEY = "('0x' || substr(md5('42:' || {k}::VARCHAR), 1, 15))::BIGINT"
+UNIT = "(('0x' || substr(md5('42:' || {k}::VARCHAR), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE)"
+
+
+def fit_ctes(epochs: int, steps: int, lr: float = 0.05, decay: float = 0.01, warmup: float = 0.1) -> str:
+    """The fit unrolled: heads ``w0 .. wN``, ``epoch_table``, ``ranked`` and the best epoch's head as ``head``."""
+    total = epochs * steps
+    warm = math.ceil(total * warmup)
+    out = [f"""
+sides AS (SELECT DISTINCT row_id, {UNIT.format(k='row_id')} < 0.2 AS held FROM wins),
+counts AS MATERIALIZED (SELECT u.row_id, u."window", u.feature, count(*)::DOUBLE AS x, any_value(s.held) AS held
+  FROM (SELECT row_id, "window", unnest(list_transform(window_ids, lambda t: t % {N_FEATURES})) AS feature FROM wins) u
+  JOIN sides s ON u.row_id = s.row_id GROUP BY u.row_id, u."window", u.feature),
+n_train AS (SELECT count(*)::DOUBLE AS n FROM wins JOIN sides USING (row_id) WHERE NOT held),
+w0 AS MATERIALIZED (SELECT * FROM first_head)"""]
+
+    def logits(name: str, w: str, held: str) -> str:
+        return f"""
+{name} AS MATERIALIZED (SELECT z.row_id, z."window", z.label_id, z.z + b.weight AS z, CASE WHEN t.row_id IS NULL THEN 0.0 ELSE 1.0 END AS y
+  FROM (SELECT c.row_id, c."window", w.label_id, sum(c.x * w.weight) AS z FROM counts c JOIN {w} w ON c.feature = w.feature
+        WHERE {held} GROUP BY c.row_id, c."window", w.label_id) z
+  JOIN {w} b ON b.feature = -1 AND b.label_id = z.label_id
+  LEFT JOIN truth t ON z.row_id = t.row_id AND z.label_id = t.label_id)"""
+
+    for i in range(total):
+        rate = lr * (i + 1) / warm if warm and i < warm else lr * max(0.0, (total - i) / max(1, total - warm))
+        out += [logits(f"z{i}", f"w{i}", "NOT c.held"), f"""
+r{i} AS MATERIALIZED (SELECT row_id, "window", label_id, 1.0 / (1.0 + exp(-z)) - y AS r FROM z{i}),
+g{i} AS MATERIALIZED (SELECT r.label_id, c.feature, sum(c.x * r.r) AS g FROM counts c JOIN r{i} r ON c.row_id = r.row_id AND c."window" = r."window"
+  GROUP BY r.label_id, c.feature UNION ALL SELECT label_id, -1, sum(r) FROM r{i} GROUP BY label_id),
+w{i + 1} AS MATERIALIZED (SELECT w.label_id, w.label, w.feature,
+  w.weight - {rate!r}::DOUBLE * (coalesce(g.g, 0.0) / n.n + CASE WHEN w.feature = -1 THEN 0.0 ELSE {decay!r}::DOUBLE * w.weight END) AS weight
+  FROM w{i} w LEFT JOIN g{i} g ON w.label_id = g.label_id AND w.feature = g.feature, n_train n)"""]
+    for e in range(1, epochs + 1):
+        out += [logits(f"e{e}", f"w{e * steps}", "c.held"), f"""
+conf{e} AS (SELECT count(*) FILTER (WHERE pred AND y = 1) AS tp, count(*) FILTER (WHERE pred AND y = 0) AS fp,
+                   count(*) FILTER (WHERE NOT pred AND y = 1) AS fn, count(*) FILTER (WHERE NOT pred AND y = 0) AS tn
+            FROM (SELECT y, 1.0 / (1.0 + exp(-z)) >= 0.5 AS pred FROM e{e})),
+loss{e} AS (SELECT round(avg(greatest(z, 0.0) - z * y + ln(1 + exp(-abs(z)))), 6) AS loss FROM e{e}),
+m{e} AS ({_macro(f"conf{e}, loss{e}", f"{e} AS epoch, loss, ")})"""]
+    tables = " UNION ALL ".join(f"SELECT * FROM m{e}" for e in range(1, epochs + 1))
+    heads = " UNION ALL ".join(f"SELECT label_id, label, feature, weight FROM w{e * steps} WHERE (SELECT epoch FROM ranked WHERE rank = 1) = {e}"
+                               for e in range(1, epochs + 1))
+    out += [f"epoch_table AS ({tables})", "ranked AS (SELECT *, row_number() OVER (ORDER BY f1 DESC, epoch) AS rank FROM epoch_table)",
+            f"head AS ({heads})"]
+    return ",\n".join(x.strip() for x in out)
 
 
 TAG_DOCUMENTS = _with(GOLD, HEAD, overlap_windows_cte("gold", "coalesce(clause, 'nan')"), LOGITS, DECIDE) + \
     "\nSELECT row_id, predicted_actors FROM decided"
 
-SAMPLE_N, FIRST_N = 300, 100
-ORDER_KEY = "('0x' || substr(md5('42:' || {k}::VARCHAR), 1, 15))::BIGINT"
-UNIT = "(('0x' || substr(md5('42:' || {k}::VARCHAR), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE)"
 
-_STANCE_PREP = PREP.format(actors=parse_sql("actors_text"), src="clauses")
+def length_ids_sql(text: str) -> str:
+    return f"list_transform(regexp_extract_all({text}, {TOKEN_RE}), lambda w: (3 + (31 * length(w) + unicode(w)) % 1000)::INTEGER)"
+
+
+_STANCE_PREP = PREP.format(premise=WHOLE, actors=parse_sql("actors_text"), src="clauses")
+_LISTS = "\nSELECT row_id, predicted_sentiments, sentiment_scores FROM lists"
+_FIT = _with(GOLD, head_cte("first_head"), fixed_windows_cte("gold", "clause"), TRUTH, fit_ctes(FIT_EPOCHS, FIT_STEPS))
+# the tagging windows beside the training windows of a fit
+_TAG_WINDOWS = (overlap_windows_cte("gold", "coalesce(clause, 'nan')").replace("\nids AS", "\ntag_ids AS").replace("FROM ids)", "FROM tag_ids)")
+                .replace("wins AS (\n", "tag_wins AS (\n"))
+
+
+def _stance(templates: str = TEMPLATES, prep: str = _STANCE_PREP, **options) -> str:
+    return _with(GOLD, templates, prep, stance_ctes("prep", **options)) + _LISTS
+
 
 ORACLE: dict[str, str] = {
     "tag_documents": TAG_DOCUMENTS,
     "tag_batch_udf": TAG_DOCUMENTS,
+    "tag_joined": TAG_DOCUMENTS,
+    "tag_foreign_tokenizer": _with(GOLD, HEAD, overlap_windows_cte("gold", "coalesce(clause, 'nan')", length_ids_sql, 2001, 2002), LOGITS, DECIDE)
+    + "\nSELECT row_id, predicted_actors FROM decided",
+    "tag_failed_rows": _with(GOLD, HEAD, overlap_windows_cte("gold", "coalesce(clause, 'nan')"), LOGITS, DECIDE,
+                             "bad AS (SELECT DISTINCT row_id FROM wins WHERE window_ids[2] % 7 = 0)") + """
+SELECT d.row_id, CASE WHEN b.row_id IS NULL THEN d.predicted_actors ELSE 'Unknown' END AS predicted_actors
+FROM decided d LEFT JOIN bad b ON d.row_id = b.row_id""",
     "tag_sample": _with(
         GOLD, HEAD,
         f"sampled AS (SELECT * FROM gold ORDER BY {ORDER_KEY.format(k='row_id')}, row_id LIMIT {SAMPLE_N})",
@@ -276,6 +363,11 @@ ORACLE: dict[str, str] = {
     "clean_fill": _with(GOLD) + """
 SELECT row_id, length(coalesce(clause, ''))::BIGINT AS clause_chars, coalesce(actors_text, '[]') AS predicted_actors,
        md5(coalesce(clause, 'nan')) AS text_md5 FROM clauses""",
+    "clean_edges": _with(EDGES) + """
+SELECT row_id, length(coalesce(clause, ''))::BIGINT AS clause_chars, coalesce(predicted_actors, '[]') AS predicted_actors,
+       md5(coalesce(clause, 'nan')) AS text_md5 FROM edges""",
+    "parse_edges": _with(EDGES) + """
+SELECT row_id, array_to_string(items, '|') AS actors, status::INTEGER AS status FROM edge_lists""",
     "cut_text": _with(GOLD) + """
 SELECT row_id, length(cut)::BIGINT AS cut_chars, md5(cut) AS cut_md5
 FROM (SELECT row_id, CASE WHEN length(clause) > 2000 THEN substr(clause, 1, 2000) || '...' ELSE clause END AS cut
@@ -293,6 +385,12 @@ FROM (SELECT row_id, {parse_sql('actors_text')} AS p FROM clauses)""",
 SELECT doc_id AS row_id, md5(coalesce(text, '')) AS text_md5 FROM documents
 ORDER BY {ORDER_KEY.format(k='doc_id')}, doc_id LIMIT {SAMPLE_N}""",
     "first_n": f"SELECT doc_id AS row_id, lang FROM documents ORDER BY doc_id LIMIT {FIRST_N}",
+    "first_n_turns": f"""
+SELECT conv_id, turn, length(text)::BIGINT AS chars FROM conversations ORDER BY conv_id, turn LIMIT {FIRST_N}""",
+    "split_turns": f"""
+SELECT row_id, CASE WHEN rn <= ceil(0.2::DOUBLE * n) THEN 'test' ELSE 'train' END AS split
+FROM (SELECT row_id, row_number() OVER (ORDER BY {ORDER_KEY.format(k='row_id')}, row_id) AS rn, count(*) OVER () AS n
+      FROM (SELECT conv_id::VARCHAR || '/' || turn::VARCHAR AS row_id FROM conversations))""",
     "split_hash": f"""
 SELECT doc_id AS row_id, CASE WHEN {UNIT.format(k='doc_id')} < 0.2 THEN 'test' ELSE 'train' END AS split
 FROM documents""",
@@ -306,9 +404,12 @@ SELECT i.row_id, array_to_string(i.label_ids, '|') AS label_ids,
        (SELECT string_agg(CASE WHEN list_contains(i.label_ids, v.label_id) THEN '1' ELSE '0' END, ','
                           ORDER BY v.label_id) FROM vocab v) AS labels
 FROM idsl i""",
-    "label_wide": _with(GOLD, """
-dense AS (SELECT g.row_id, v.label, list_contains(g.actors, v.label)::INTEGER AS hit FROM gold g CROSS JOIN vocab v)
-""") + "\nSELECT * FROM (PIVOT dense ON label USING max(hit) GROUP BY row_id)",
+    "multi_hot_joined": _with(GOLD, MULTI_HOT_IDS) + "\nSELECT row_id, array_to_string(label_ids, '|') AS label_ids FROM idsl",
+    "label_wide": _with(GOLD) + """
+SELECT g.row_id, (SELECT string_agg(v.label || '=' || list_contains(g.actors, v.label)::INTEGER::VARCHAR, ',' ORDER BY v.label_id)
+                  FROM vocab v) AS labels
+FROM gold g""",
+    "label_cells": _with(GOLD) + "\nSELECT DISTINCT row_id, unnest(actors) AS label, 1 AS hit FROM gold",
     "warm_pairs": _with(GOLD, WARM) + "\nSELECT new_label, old_label FROM pairs",
     "warm_skipped": _with(GOLD, WARM)
     + "\nSELECT DISTINCT new_label FROM warm WHERE new_label NOT IN (SELECT new_label FROM pairs)",
@@ -340,30 +441,49 @@ conf AS (SELECT count(*) FILTER (WHERE pred AND y = 1) AS tp, count(*) FILTER (W
                FROM probs p JOIN dec_ids d ON p.row_id = d.row_id
                LEFT JOIN truth t ON p.row_id = t.row_id AND p.label_id = t.label_id))
 """) + "\n" + _macro(),
+    "metrics_file": _with(GOLD, HEAD, fixed_windows_cte("gold", "clause"), LOGITS, TRUTH, CELLS) + "\n" + _macro(),
     "bce_loss": _with(GOLD, HEAD, fixed_windows_cte("gold", "clause"), LOGITS, TRUTH, CELLS) + """
 SELECT round(avg(greatest(logit, 0.0) - logit * y + ln(1 + exp(-abs(logit)))), 6) AS loss, count(*) AS n_cells
 FROM cells""",
     "stance_templates": _with(GOLD, TEMPLATES, _STANCE_PREP) + """
 SELECT p.row_id, p.pos, t.stance, t.template_id, replace(t.template, '{actor}', p.actor) AS hypothesis
 FROM (SELECT row_id, unnest(actors) AS actor, unnest(range(0, len(actors)))::INTEGER AS pos FROM prep) p
+CROSS JOIN templates t""",
+    "stance_templates_first": _with(GOLD, FIRST_VERSION, _STANCE_PREP) + """
+SELECT p.row_id, p.pos, t.stance, t.template_id, replace(t.template, '{actor}', p.actor) AS hypothesis
+FROM (SELECT row_id, unnest(actors) AS actor, unnest(range(0, len(actors)))::INTEGER AS pos FROM prep) p
 CROSS JOIN templates t""",
     "pair_scores": _with(GOLD, TEMPLATES, _STANCE_PREP, stance_ctes("prep"))
     + "\nSELECT row_id, pos, stance, template_id, round(score, 6) AS score FROM scored WHERE NOT guard",
+    "pair_scores_general": _with(GOLD, TEMPLATES, _STANCE_PREP, stance_ctes("prep"))
+    + "\nSELECT row_id, pos, stance, template_id, round(score, 6) AS score FROM scored WHERE NOT guard",
     "stance_pairs": _with(GOLD, TEMPLATES, _STANCE_PREP, stance_ctes("prep")) + """
 SELECT row_id, pos, actor, stance, round(positive, 6) AS positive, round(negative, 6) AS negative,
        round(neutral, 6) AS neutral FROM pairs_out""",
-    "stance_lists": _with(GOLD, TEMPLATES, _STANCE_PREP, stance_ctes("prep"))
-    + "\nSELECT row_id, predicted_sentiments, sentiment_scores FROM lists",
-    "stance_pair_model": _with(GOLD, TEMPLATES, _STANCE_PREP, stance_ctes("prep"))
-    + "\nSELECT row_id, predicted_sentiments, sentiment_scores FROM lists",
+    "stance_lists": _stance(),
+    "stance_first_version": _stance(FIRST_VERSION),
+    "stance_cut": _stance(prep=PREP.format(premise=CUT, actors=parse_sql("actors_text"), src="clauses")),
+    "stance_truncated": _stance(max_length=MODEL_LENGTH),
+    "stance_edges": _with(EDGES, TEMPLATES, PREP.format(premise="CASE WHEN status = 3 THEN '' ELSE coalesce(clause, '') END", actors="items", src="edge_lists"),
+                          stance_ctes("prep")) + _LISTS,
+    "stance_pair_model": _stance(max_length=512),
+    "stance_failing_model": _stance(max_length=512, fails="contains(template, 'unfavorable')"),
     "stance_tagged": _with(GOLD, HEAD, overlap_windows_cte("gold", "coalesce(clause, 'nan')"), LOGITS, DECIDE,
                            TEMPLATES,
                            "src AS (SELECT g.row_id, g.clause, string_split(d.predicted_actors, '|') AS actors "
                            "FROM gold g JOIN decided d ON g.row_id = d.row_id)",
-                           PREP.format(actors="actors", src="src"), stance_ctes("prep"))
+                           PREP.format(premise=WHOLE, actors="actors", src="src"), stance_ctes("prep"))
     + "\nSELECT row_id, predicted_sentiments, sentiment_scores FROM lists",
     "roundtrip": _with(GOLD, TEMPLATES, _STANCE_PREP, stance_ctes("prep")) + """
 SELECT c.row_id, md5(coalesce(c.clause, '')) AS clause_md5, l.predicted_sentiments
 FROM clauses c JOIN lists l ON c.row_id = l.row_id""",
     "head_roundtrip": _with(GOLD, HEAD) + "\nSELECT label_id, label, feature, round(weight, 6) AS weight FROM head",
+    "fit_head": _FIT + "\nSELECT epoch, loss, accuracy, f1, precision, recall, epoch = (SELECT epoch FROM ranked WHERE rank = 1) AS best FROM epoch_table",
+    "best_epoch": _FIT + "\nSELECT epoch, rank::INTEGER AS rank FROM ranked WHERE rank <= 2",
+    "train_tag_stance": _with(
+        GOLD, head_cte("first_head"), fixed_windows_cte("gold", "clause"), TRUTH, fit_ctes(FIT_EPOCHS, FIT_STEPS),
+        _TAG_WINDOWS, LOGITS.replace("FROM wins)", "FROM tag_wins)"), DECIDE, TEMPLATES,
+        "src AS (SELECT g.row_id, g.clause, string_split(d.predicted_actors, '|') AS actors FROM gold g JOIN decided d ON g.row_id = d.row_id)",
+        PREP.format(premise=WHOLE, actors="actors", src="src"), stance_ctes("prep")) + """
+SELECT l.row_id, d.predicted_actors, l.predicted_sentiments FROM lists l JOIN decided d ON l.row_id = d.row_id""",
 }

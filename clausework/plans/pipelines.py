@@ -1,47 +1,74 @@
-"""End-to-end pipelines (U6): ``tag``, ``stance``, ``fit_tagger`` as keyword functions."""
+"""End-to-end pipelines (U6): ``tag``, ``stance``, ``stance_file``, ``fit_tagger`` as keyword functions."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.text import MAX_LENGTH, PREDICT_OVERLAP, THRESHOLD, as_text
-from ..operators import scoring, stance as stance_ops, tagging, windows
-from ..operators._util import BROADCAST_MAX_ROWS, spread
+from ..functions.text import (CLS_ID, MAX_LENGTH, N_FEATURES, PAD_ID, PREDICT_OVERLAP, SEP_ID, THRESHOLD, TRAIN_STEP, as_text,
+                              token_ids)
+from ..operators import clean, labels as L, scoring, stance as stance_ops, tagging, windows
 from ..operators.sampling import SEED, sample_exact
+from ..sources import io
+
+# labels whose names travel as a literal array; ids are looked up by position
+MAX_NAMES = 100_000
+
+
+def clause_ids(text, make_tokenizer: Callable | None = None):
+    """Token ids of a text column by the default or a plug-in tokenizer."""
+    return token_ids(text) if make_tokenizer is None else windows.foreign_token_ids(text, make_tokenizer)
+
 
+def clause_logits(clauses: DataFrame, head: DataFrame | None, *, key: str = "row_id", text: str = "clause", keep: tuple[str, ...] = (),
+                  head_rows: int | None = None, make_predict_fn: Callable | None = None, make_tokenizer: Callable | None = None,
+                  null_text: str | None = "nan", **window_options) -> DataFrame | None:
+    """``(key, keep..., logits)`` with the logits of every window of a clause; None if the head is too large for it.
 
-def tag(clauses: DataFrame, head: DataFrame, vocab: DataFrame, *, key: str = "row_id", text: str = "clause",
-        threshold: float = THRESHOLD, null_text: str = "nan", sample_size: int | None = None,
-        seed: int = SEED, max_length: int = MAX_LENGTH, overlap: int = PREDICT_OVERLAP,
-        scorer: str = "relational", make_predict_fn=None, batch_size: int = 16,
-        head_rows: int | None = None, vocab_rows: int | None = None, on_error: str = "unknown") -> DataFrame:
+    The model is ``make_predict_fn`` or else the linear ``head``.
+    """
+    if make_predict_fn is None:
+        arrays = scoring.head_arrays(head, head_rows)
+        if arrays is None:
+            return None
+        make_predict_fn = scoring.linear_predict_fn(clauses.sparkSession, *arrays)
+    col = F.col(text) if null_text is None else as_text(F.col(text), null_text)
+    ids = clauses.select(key, *keep, clause_ids(col, make_tokenizer).alias("ids"))
+    return ids.select(key, *keep, scoring.window_logits(F.col("ids"), make_predict_fn, **window_options).alias("logits"))
+
+
+def tag(clauses: DataFrame, head: DataFrame | None, vocab: DataFrame, *, key: str = "row_id", text: str = "clause",
+        threshold: float = THRESHOLD, null_text: str = "nan", sample_size: int | None = None, seed: int = SEED,
+        max_length: int = MAX_LENGTH, overlap: int = PREDICT_OVERLAP, make_predict_fn: Callable | None = None,
+        make_tokenizer: Callable | None = None, cls_id: int = CLS_ID, sep_id: int = SEP_ID, pad_id: int = PAD_ID,
+        batch_size: int = scoring.BATCH_SIZE, head_rows: int | None = None, vocab_rows: int | None = None,
+        n_features: int = N_FEATURES, on_error: str = "unknown") -> DataFrame:
     """``(key, predicted_actors)`` for every clause (after an optional exact sample).
 
-    ``scorer="relational"`` joins the head table; ``scorer="batch"`` calls
-    ``make_predict_fn`` through ``predict_batch_udf`` on padded windows.
+    One pass over the clauses: tokens, windows, logits, pooling and decision
+    stay in the row. ``make_predict_fn`` and ``make_tokenizer`` (with its
+    special ids) plug a real model in; without them the linear ``head`` scores
+    hashed words. A head or vocabulary too large to travel is joined instead.
     """
-    src = clauses if sample_size is None else sample_exact(clauses, sample_size, seed, key)
-    src = spread(src.select(key, text), key)
-    ids = src.select(key, as_text(F.col(text), null_text).alias("clause"))
-    ids = windows.with_token_ids(ids, "clause", "ids")
-    wins = windows.overlap_windows(ids, "ids", max_length, overlap, keep=(key,))
-    if head_rows is None:
-        head_rows = head.count()
-    if vocab_rows is None:
-        vocab_rows = vocab.count()
-    if scorer == "relational":
-        logits = scoring.score_windows(wins, head, keys=(key, "window"), head_rows=head_rows)
-    elif scorer == "batch":
-        if make_predict_fn is None:
-            raise ValueError("scorer='batch' needs make_predict_fn")
-        padded = windows.pad_windows(wins, "window_ids", max_length)
-        logits = scoring.score_windows_batch(padded, make_predict_fn, vocab_rows, batch_size,
-                                             keys=(key, "window"), max_length=max_length, partition_by=key)
-    else:
-        raise ValueError(f"unknown scorer {scorer!r}")
-    probs = tagging.pool(logits, key)
-    return tagging.decide(probs, vocab, threshold, key, vocab_rows=vocab_rows, on_error=on_error)
+    src = clauses.select(key, text)
+    if sample_size is not None:
+        src = sample_exact(src, sample_size, seed, key)
+    names = L.label_names(vocab, vocab_rows, MAX_NAMES)
+    scored = None if names is None else clause_logits(
+        src, head, key=key, text=text, head_rows=head_rows, make_predict_fn=make_predict_fn, make_tokenizer=make_tokenizer,
+        null_text=null_text, max_length=max_length, overlap=overlap, cls_id=cls_id, sep_id=sep_id, pad_id=pad_id, batch_size=batch_size)
+    if scored is None:
+        if make_predict_fn is not None:
+            raise ValueError(f"a plug-in model needs a vocabulary of at most {MAX_NAMES} labels")
+        ids = src.select(key, clause_ids(as_text(F.col(text), null_text), make_tokenizer).alias("ids"))
+        wins = windows.overlap_windows(ids, "ids", max_length, overlap, keep=(key,), cls_id=cls_id, sep_id=sep_id)
+        probs = tagging.pool(scoring.score_windows(wins, head, (key, "window"), head_rows=head_rows, n_features=n_features), key)
+        return tagging.decide(probs, vocab, threshold, key, vocab_rows=vocab_rows)
+    probs = scored.select(key, tagging.pooled(F.col("logits"), len(names)).alias("probs"))
+    return probs.select(key, tagging.decided(F.col("probs"), names, threshold, on_error, F.col(key)).alias("predicted_actors"))
 
 
 def attach(rows: DataFrame, result: DataFrame, key: str = "row_id") -> DataFrame:
@@ -54,52 +81,61 @@ def stance(df: DataFrame, **kwargs) -> DataFrame:
     return stance_ops.stance(df, **kwargs)
 
 
-__all__ = ["tag", "attach", "stance", "fit_tagger", "BROADCAST_MAX_ROWS"]
+def stance_file(spark: SparkSession, input_path: str, output_path: str, schema: T.StructType, **options) -> dict:
+    """The stance entry: read CSV, validate, fill, score, write CSV and a second copy; returns the report."""
+    rows = clean.validate(io.read_csv(spark, input_path, schema))
+    return io.save_with_backup(stance_ops.stance(clean.fill_missing(rows), **options), output_path)
+
+
+def training_windows(rows: DataFrame, *, text: str = "clause", make_tokenizer: Callable | None = None, max_length: int = MAX_LENGTH,
+                     step: int = TRAIN_STEP, cls_id: int = CLS_ID, sep_id: int = SEP_ID, keep: tuple[str, ...] = ("row_id", "label_ids")) -> DataFrame:
+    """T2 + T4: ``(keep..., window, window_ids)``; the label ids travel with the row."""
+    ids = rows.select(*keep, clause_ids(F.col(text), make_tokenizer).alias("ids"))
+    return windows.fixed_step_windows(ids, "ids", max_length, step, keep=keep, cls_id=cls_id, sep_id=sep_id)
 
 
 def fit_tagger(clauses: DataFrame, *, key: str = "row_id", text: str = "clause",
                actors_text: str = "regularized_actors", old_head: DataFrame | None = None,
                old_vocab: DataFrame | None = None, warm_map: DataFrame | None = None,
                test_share: float = 0.2, seed: int = SEED, exact_split: bool = False,
-               epochs: int = 5, steps_per_epoch: int = 2, lr: float = 0.05, weight_decay: float = 0.01,
-               warmup_ratio: float = 0.1, max_length: int = MAX_LENGTH, step: int = 256) -> dict:
+               epochs: int = 5, steps_per_epoch: int = 2, batches: int | None = None, accumulate: int = 1, lr: float = 0.05,
+               weight_decay: float = 0.01, warmup_ratio: float = 0.1, eval_every: int | None = None, keep: int = 2,
+               max_length: int = MAX_LENGTH, step: int = TRAIN_STEP, make_tokenizer: Callable | None = None,
+               cls_id: int = CLS_ID, sep_id: int = SEP_ID, n_features: int = N_FEATURES) -> dict:
     """Training end to end (3.1): strict parse -> vocabulary -> split -> fixed-step
     windows -> (warm-started) head -> fit -> hold-out metrics at window level.
 
-    Returns ``{"head", "vocab", "epochs", "metrics", "skipped"}`` as DataFrames.
+    Returns ``{"head", "heads", "vocab", "epochs", "metrics", "skipped"}``.
     The vocabulary is built on all rows before the split, and the split comes
     before windowing, so no clause has windows on both sides.
     """
     from ..functions.lists import parse_list_strict
     from ..operators import head as H
-    from ..operators import labels as L
-    from ..operators import metrics as M
-    from ..operators._util import bounded_broadcast
     from ..operators.sampling import split_exact, split_hash
 
-    rows = spread(clauses.select(F.col(key).alias("row_id"), F.col(text).alias("clause"),
-                                 parse_list_strict(F.col(actors_text)).alias("actors")), "row_id")
+    rows = clauses.select(F.col(key).alias("row_id"), F.col(text).alias("clause"),
+                          parse_list_strict(F.col(actors_text)).alias("actors"))
     vocab, n_labels = L.vocabulary_sized(rows, "actors")
-    truth = (rows.select("row_id", F.explode("actors").alias("label"))
-             .join(bounded_broadcast(vocab, rows=n_labels), "label").select("row_id", "label_id").distinct())
+    rows = L.with_label_ids(rows, vocab, vocab_rows=n_labels)
     train, test = (split_exact if exact_split else split_hash)(rows, test_share, seed, "row_id")
 
-    def wins(side):
-        ids = windows.with_token_ids(side.select("row_id", "clause"), "clause", "ids")
-        return windows.fixed_step_windows(ids, "ids", max_length, step)
+    def table(side: DataFrame) -> DataFrame:
+        wins = training_windows(side, make_tokenizer=make_tokenizer, max_length=max_length, step=step, cls_id=cls_id, sep_id=sep_id)
+        return H.window_rows(wins, n_features)
 
-    init = scoring.hash_head(vocab)
+    init = scoring.hash_head(vocab, n_features=n_features)
     skipped = None
     if old_head is not None:
-        from ..operators.labels import warm_map_table
-        wm = warm_map if warm_map is not None else warm_map_table(rows.sparkSession)
+        wm = warm_map if warm_map is not None else L.warm_map_table(rows.sparkSession)
         ov = old_vocab if old_vocab is not None else old_head.select("label_id", "label").distinct()
         pairs = L.warm_pairs(wm, vocab, ov)
         skipped = L.warm_skipped(wm, vocab, ov)
         init = L.warm_copy(init, old_head, pairs)
-    head, epoch_table = H.fit(wins(train), truth, init, eval_windows=wins(test), eval_truth=truth,
-                              epochs=epochs, steps_per_epoch=steps_per_epoch, lr=lr,
-                              weight_decay=weight_decay, warmup_ratio=warmup_ratio)
-    cells = M.cells(scoring.score_windows(wins(test), head), truth)
-    metrics = M.macro_metrics(M.confusion(cells))
-    return {"head": head, "vocab": vocab, "epochs": epoch_table, "metrics": metrics, "skipped": skipped}
+    head, table_of_epochs, heads = H.fit(
+        table(train), init, evaluation=table(test), epochs=epochs, steps_per_epoch=steps_per_epoch, batches=batches,
+        accumulate=accumulate, lr=lr, weight_decay=weight_decay, warmup_ratio=warmup_ratio, eval_every=eval_every, keep=keep)
+    metrics = table_of_epochs.where("best").select("accuracy", "f1", "precision", "recall")
+    return {"head": head, "heads": heads, "vocab": vocab, "epochs": table_of_epochs, "metrics": metrics, "skipped": skipped}
+
+
+__all__ = ["tag", "attach", "stance", "stance_file", "fit_tagger", "clause_logits", "clause_ids", "training_windows"]

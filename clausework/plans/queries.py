@@ -12,10 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.lists import parse_list_strict, parse_list_tolerant
-from ..functions.text import N_FEATURES, render_template
-from ..operators import clean, head as H, labels as L, metrics as M, sampling as P, scoring, stance as Z, windows as W
-from ..operators._util import bounded_broadcast
+from ..functions.lists import parse_list, parse_list_strict, parse_list_tolerant
+from ..functions.text import CUT_CHARS, N_FEATURES
+from ..operators import clean, head as H, labels as L, metrics as M, sampling as P, scoring, stance as Z, tagging as G, windows as W
 from ..session import scratch_path
 from ..sources import io, tables
 from . import pipelines
@@ -24,6 +23,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SAMPLE_N = 300        # rows drawn by the exact-sample queries
 FIRST_N = 100         # rows kept by the first-n query
+MODEL_LENGTH = 64     # tokens of the model in the truncation query
+FIT_EPOCHS, FIT_STEPS = 3, 2
 
 
 def _joined(c, sep: str = "|") -> F.Column:
@@ -34,72 +35,118 @@ def _r6(c) -> F.Column:
     return F.round(c, 6)
 
 
+def _vocab(spark: SparkSession, sf: str):
+    """The vocabulary of all gold labels and its size; no text is read."""
+    return L.vocabulary_sized(tables.gold_actors(tables.table(spark, sf, "documents"), tables.table(spark, sf, "labels")), "actors")
+
+
 def _vocab_head(spark: SparkSession, sf: str):
-    """Clauses, their vocabulary, its dense hash head, and the known row counts
-    of both (for the broadcast size checks, without a count job)."""
-    c = tables.clauses(spark, sf)
-    vocab, k = L.vocabulary_sized(c, "actors")
-    return c, vocab, scoring.hash_head(vocab), {"vocab_rows": k, "head_rows": k * (N_FEATURES + 1)}
+    """Vocabulary, its dense hash head, and the known row counts of both (for the size checks, without a count job)."""
+    vocab, k = _vocab(spark, sf)
+    return vocab, scoring.hash_head(vocab), {"vocab_rows": k, "head_rows": k * (N_FEATURES + 1)}
 
 
-def _truth(c: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(row_id, label_id) of every gold label."""
-    ex = c.select("row_id", F.explode("actors").alias("label"))
-    return ex.join(bounded_broadcast(vocab), "label").select("row_id", "label_id").distinct()
+def _tags(df: DataFrame) -> DataFrame:
+    return df.select("row_id", _joined("predicted_actors").alias("predicted_actors"))
 
 
 # --- step 0: tagging ----------------------------------------------------------
 
 def q_tag_documents(spark, sf):
-    """Pooled multi-label tags for every document (relational scorer)."""
-    c, vocab, head, sizes = _vocab_head(spark, sf)
-    res = pipelines.tag(c.select("row_id", "clause"), head, vocab, **sizes)
-    return res.select("row_id", _joined("predicted_actors").alias("predicted_actors"))
+    """Pooled multi-label tags for every document (linear head)."""
+    vocab, head, sizes = _vocab_head(spark, sf)
+    return _tags(pipelines.tag(tables.documents(spark, sf), head, vocab, **sizes))
+
+
+def q_tag_joined(spark, sf):
+    """I1 + A1 + J2 in long form: the path of a head too large to broadcast."""
+    vocab, head, sizes = _vocab_head(spark, sf)
+    ids = tables.documents(spark, sf).select("row_id", pipelines.clause_ids(F.coalesce("clause", F.lit("nan"))).alias("ids"))
+    probs = G.pool(scoring.score_windows(W.overlap_windows(ids), head, head_rows=sizes["head_rows"]))
+    return _tags(G.decide(probs, vocab, vocab_rows=sizes["vocab_rows"]))
 
 
 def q_tag_sample(spark, sf):
     """P1 + I2: tag an exact seeded sample of the documents."""
-    c, vocab, head, sizes = _vocab_head(spark, sf)
-    res = pipelines.tag(c.select("row_id", "clause"), head, vocab, **sizes, sample_size=SAMPLE_N)
-    return res.select("row_id", _joined("predicted_actors").alias("predicted_actors"))
+    vocab, head, sizes = _vocab_head(spark, sf)
+    return _tags(pipelines.tag(tables.documents(spark, sf), head, vocab, **sizes, sample_size=SAMPLE_N))
 
 
 def q_tag_batch_udf(spark, sf):
-    """U2 + U5: the same tags through the plug-in batch scorer (head read from a model path)."""
-    c, vocab, head, sizes = _vocab_head(spark, sf)
+    """U2 + U5: the same tags through the plug-in surface, the model read from its stored table."""
+    vocab, head, sizes = _vocab_head(spark, sf)
     path = scratch_path(spark, "head")
     io.write_table(head, path)
-    res = pipelines.tag(c.select("row_id", "clause"), head, vocab, **sizes, scorer="batch",
-                        make_predict_fn=scoring.linear_head_predict_fn(path), batch_size=64)
-    return res.select("row_id", _joined("predicted_actors").alias("predicted_actors"))
+    model = scoring.linear_predict_fn(spark, *scoring.head_arrays(io.read_table(spark, path), sizes["head_rows"]))
+    return _tags(pipelines.tag(tables.documents(spark, sf), None, vocab, vocab_rows=sizes["vocab_rows"], make_predict_fn=model, batch_size=64))
+
+
+def _length_tokenizer():
+    """A tokenizer of another kind: a word's id comes from its length and first letter."""
+    import re
+
+    words = re.compile(r"[^ \t\n\r]+").findall
+    return lambda texts: [[3 + (31 * len(w) + ord(w[0])) % 1000 for w in words(t)] for t in texts]
+
+
+def q_tag_foreign_tokenizer(spark, sf):
+    """T1 + U1 + T6: tags with a plug-in tokenizer and its own special ids."""
+    vocab, head, sizes = _vocab_head(spark, sf)
+    return _tags(pipelines.tag(tables.documents(spark, sf), head, vocab, **sizes, make_tokenizer=_length_tokenizer, cls_id=2001, sep_id=2002))
+
+
+def _failing(make):
+    """A model that cannot score windows whose first word has an id divisible by 7."""
+    def build():
+        predict = make()
+
+        def fn(input_ids, attention_mask):
+            if (input_ids[:, 1] % 7 == 0).any():
+                raise RuntimeError("no score for such a window")
+            return predict(input_ids, attention_mask)
+
+        return fn
+
+    return build
+
+
+def q_tag_failed_rows(spark, sf):
+    """Documents with a window that the model cannot score get ["Unknown"], the others their tags."""
+    vocab, head, sizes = _vocab_head(spark, sf)
+    model = _failing(scoring.linear_predict_fn(spark, *scoring.head_arrays(head, sizes["head_rows"])))
+    return _tags(pipelines.tag(tables.documents(spark, sf), None, vocab, vocab_rows=sizes["vocab_rows"], make_predict_fn=model))
 
 
 def q_tag_benchmark(spark, sf):
     """I2 on a second clause table: the short benchmark items, with the documents' labels and head."""
-    _, vocab, head, sizes = _vocab_head(spark, sf)
+    vocab, head, sizes = _vocab_head(spark, sf)
     items = tables.table(spark, sf, "benchmark").select(F.col("item_id").alias("row_id"), F.col("text").alias("clause"))
-    res = pipelines.tag(items, head, vocab, **sizes)
-    return res.select("row_id", _joined("predicted_actors").alias("predicted_actors"))
+    return _tags(pipelines.tag(items, head, vocab, **sizes))
+
+
+def _turns(spark, sf):
+    return tables.table(spark, sf, "conversations").select(F.struct("conv_id", "turn").alias("turn_key"), F.col("text").alias("clause"))
 
 
 def q_tag_conversations(spark, sf):
     """I2 keyed by a composite key: conversation turns, key (conv_id, turn) as one struct column."""
-    _, vocab, head, sizes = _vocab_head(spark, sf)
-    turns = tables.table(spark, sf, "conversations").select(F.struct("conv_id", "turn").alias("turn_key"),
-                                                             F.col("text").alias("clause"))
-    res = pipelines.tag(turns, head, vocab, **sizes, key="turn_key")
-    return res.select(F.col("turn_key.conv_id").alias("conv_id"), F.col("turn_key.turn").alias("turn"),
-                      _joined("predicted_actors").alias("predicted_actors"))
+    vocab, head, sizes = _vocab_head(spark, sf)
+    res = pipelines.tag(_turns(spark, sf), head, vocab, **sizes, key="turn_key")
+    return res.select("turn_key.conv_id", "turn_key.turn", _joined("predicted_actors").alias("predicted_actors"))
+
+
+def _probs(spark, sf):
+    """``(row_id, probs)`` of every document and the number of labels."""
+    vocab, head, sizes = _vocab_head(spark, sf)
+    scored = pipelines.clause_logits(tables.documents(spark, sf), head, head_rows=sizes["head_rows"])
+    return scored.select("row_id", G.pooled(F.col("logits"), sizes["vocab_rows"]).alias("probs")), sizes["vocab_rows"], vocab
 
 
 def q_tag_probs(spark, sf):
     """A1: pooled probability per (document, label)."""
-    c, vocab, head, sizes = _vocab_head(spark, sf)
-    ids = W.with_token_ids(c.select("row_id", F.coalesce("clause", F.lit("nan")).alias("clause")))
-    wins = W.overlap_windows(ids)
-    from ..operators import tagging
-    probs = tagging.pool(scoring.score_windows(wins, head))
-    return probs.select("row_id", "label_id", _r6("p").alias("p"))
+    probs, _, _ = _probs(spark, sf)
+    return probs.select("row_id", F.posexplode("probs").alias("label_id", "p")).select(
+        "row_id", F.col("label_id").cast("int").alias("label_id"), _r6("p").alias("p"))
 
 
 # --- step 1: cleaning, validation, parsing ----------------------------------
@@ -136,6 +183,22 @@ def q_parse_actors(spark, sf):
                      F.size(parse_list_strict(F.col("predicted_actors"))).alias("n_actors"))
 
 
+def q_clean_edges(spark, sf):
+    """C1 + C2 where there is something to fill: null clauses and null lists."""
+    raw = tables.edge_clauses(spark, sf).withColumn("as_text", F.col("clause"))
+    df = clean.text_column(clean.fill_missing(raw), "as_text", "nan")
+    return df.select("row_id", F.length("clause").cast("bigint").alias("clause_chars"), "predicted_actors",
+                     F.md5("as_text").alias("text_md5"))
+
+
+def q_parse_edges(spark, sf):
+    """C4 + T11: lists of every odd form, wrapped, stripped or given up on."""
+    df = tables.edge_clauses(spark, sf)
+    p = parse_list(F.col("predicted_actors"))
+    return df.select("row_id", _joined(F.coalesce(p["items"], F.array().cast("array<string>"))).alias("actors"),
+                     F.coalesce(p["status"], F.lit(-1)).alias("status"))
+
+
 # --- step 2: sampling and split ----------------------------------------------
 
 def q_sample_exact(spark, sf):
@@ -164,33 +227,58 @@ def q_split_exact(spark, sf):
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
+def q_first_n_turns(spark, sf):
+    """P3 on a composite key: the first FIRST_N turns by (conv_id, turn)."""
+    return P.first_n(_turns(spark, sf), FIRST_N, "turn_key").select("turn_key.conv_id", "turn_key.turn", F.length("clause").cast("bigint").alias("chars"))
+
+
+def q_split_turns(spark, sf):
+    """P4 (exact) on a composite key, ordered by a hash of "conv_id/turn"."""
+    turns = _turns(spark, sf).select(F.concat_ws("/", "turn_key.conv_id", "turn_key.turn").alias("row_id"))
+    train, test = P.split_exact(turns)
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+
+
 # --- step 3: labels and joins -------------------------------------------------
 
+def _gold(spark, sf):
+    return tables.gold_actors(tables.table(spark, sf, "documents"), tables.table(spark, sf, "labels")).select("row_id", "actors")
+
+
 def q_label_vocab(spark, sf):
     """L1 + L4 + P5: sorted vocabulary with dense ids."""
-    c = tables.clauses(spark, sf)
-    c = c.withColumn("actors", parse_list_strict(F.col("actors_text")))
+    c = tables.clauses(spark, sf).select(parse_list_strict(F.col("actors_text")).alias("actors"))
     return L.labels_in_id_order(L.vocabulary(c, "actors"))
 
 
 def q_multi_hot(spark, sf):
     """L2 + J1: sparse ids and the dense 0/1 vector per row."""
-    c = tables.clauses(spark, sf)
-    vocab = L.vocabulary(c, "actors")
-    k = vocab.count()
-    ids = L.multi_hot(L.label_ids(c, vocab, vocab_rows=k), k)
+    vocab, k = _vocab(spark, sf)
+    ids = L.multi_hot(L.with_label_ids(_gold(spark, sf), vocab, vocab_rows=k), k)
     return ids.select("row_id", _joined("label_ids").alias("label_ids"), _joined("labels", ",").alias("labels"))
 
 
+def q_multi_hot_joined(spark, sf):
+    """L2 + J1 by joins: the path of a vocabulary too large to travel with the rows."""
+    vocab, k = _vocab(spark, sf)
+    return L.label_ids(_gold(spark, sf), vocab, vocab_rows=k).select("row_id", _joined("label_ids").alias("label_ids"))
+
+
 def q_label_wide(spark, sf):
-    """L3 + J6: one 0/1 column per label beside the key."""
-    c = tables.clauses(spark, sf)
-    return L.label_wide(c, L.vocabulary(c, "actors"))
+    """L3 + J6: one 0/1 column per label beside the key, shown as one text in label order."""
+    vocab, k = _vocab(spark, sf)
+    names = L.label_names(vocab, k)
+    wide = L.label_wide(_gold(spark, sf), names)
+    return wide.select("row_id", F.concat_ws(",", *[F.concat(F.lit(f"{n}="), F.col(f"`{n}`")) for n in names]).alias("labels"))
+
+
+def q_label_cells(spark, sf):
+    """L3, long: a row per label that a document has."""
+    return L.label_cells(_gold(spark, sf), _vocab(spark, sf)[0])
 
 
 def _warm(spark, sf):
-    c = tables.clauses(spark, sf)
-    new_vocab = L.vocabulary(c, "actors")
+    new_vocab, _ = _vocab(spark, sf)
     docs = tables.table(spark, sf, "documents")
     old_vocab = L.vocabulary(docs.select(F.array("lang").alias("actors")), "actors")
     warm = tables.cooccurrence_warm_map(spark, sf)
@@ -219,13 +307,17 @@ def q_warm_copy(spark, sf):
 
 # --- step 4: windows ---------------------------------------------------------
 
+def _labelled(spark, sf):
+    """``(row_id, clause, label_ids)`` of every document, vocabulary, head and sizes."""
+    vocab, head, sizes = _vocab_head(spark, sf)
+    c = tables.clauses(spark, sf).select("row_id", "clause", "actors")
+    return L.with_label_ids(c, vocab, vocab_rows=sizes["vocab_rows"]).drop("actors"), vocab, head, sizes
+
+
 def q_windows_fixed(spark, sf):
     """T1 + T2 + T3 + T4: training windows with padding, mask and the clause's label ids."""
-    c = tables.clauses(spark, sf)
-    vocab = L.vocabulary(c, "actors")
-    ids = L.label_ids(c, vocab)
-    tok = W.with_token_ids(c.select("row_id", "clause")).join(ids, "row_id")
-    wins = W.pad_windows(W.fixed_step_windows(tok, keep=("row_id", "label_ids")))
+    rows, _, _, _ = _labelled(spark, sf)
+    wins = W.pad_windows(pipelines.training_windows(rows))
     return wins.select("row_id", F.col("window").cast("int").alias("window"), "n_tokens",
                        _joined("input_ids", " ").alias("input_ids"),
                        F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"),
@@ -234,8 +326,7 @@ def q_windows_fixed(spark, sf):
 
 def q_windows_overlap(spark, sf):
     """T1 + T5 + T3: prediction windows with their own specials."""
-    c = tables.clauses(spark, sf)
-    wins = W.pad_windows(W.overlap_windows(W.with_token_ids(c.select("row_id", "clause"))))
+    wins = W.pad_windows(W.overlap_windows(W.with_token_ids(tables.documents(spark, sf))))
     return wins.select("row_id", F.col("window").cast("int").alias("window"), "n_tokens",
                        _joined("input_ids", " ").alias("input_ids"))
 
@@ -243,9 +334,9 @@ def q_windows_overlap(spark, sf):
 # --- step 5: metrics -----------------------------------------------------------
 
 def _eval_cells(spark, sf):
-    c, vocab, head, sizes = _vocab_head(spark, sf)
-    wins = W.fixed_step_windows(W.with_token_ids(c.select("row_id", "clause")))
-    return M.cells(scoring.score_windows(wins, head), _truth(c, vocab))
+    rows, _, head, sizes = _labelled(spark, sf)
+    scored = pipelines.clause_logits(rows, head, keep=("label_ids",), head_rows=sizes["head_rows"], null_text=None, windowing="fixed")
+    return M.cells(scored)
 
 
 def q_confusion(spark, sf):
@@ -253,21 +344,29 @@ def q_confusion(spark, sf):
     return M.confusion(_eval_cells(spark, sf))
 
 
+def _rounded(m: DataFrame) -> DataFrame:
+    return m.select(*[_r6(c).alias(c) for c in m.columns])
+
+
 def q_macro_metrics(spark, sf):
     """Accuracy and macro precision / recall / F1 over cells."""
+    return _rounded(M.macro_metrics(M.confusion(_eval_cells(spark, sf))))
+
+
+def q_metrics_file(spark, sf):
+    """The metrics written as JSON and read back."""
+    path = scratch_path(spark, "metrics")
     m = M.macro_metrics(M.confusion(_eval_cells(spark, sf)))
-    return m.select(*[_r6(c).alias(c) for c in m.columns])
+    io.write_json_row(m, path)
+    return _rounded(spark.read.schema(m.schema).json(path))
 
 
 def q_clause_metrics(spark, sf):
     """E1-E3 at clause level: pooled decisions (threshold, else argmax) against the gold labels."""
-    from ..operators import tagging
-    c, vocab, head, sizes = _vocab_head(spark, sf)
-    ids = W.with_token_ids(c.select("row_id", F.coalesce("clause", F.lit("nan")).alias("clause")))
-    probs = tagging.pool(scoring.score_windows(W.overlap_windows(ids), head))
-    cells = M.clause_cells(probs, tagging.decided_ids(probs), _truth(c, vocab))
-    m = M.macro_metrics(M.confusion_from_pred(cells))
-    return m.select(*[_r6(x).alias(x) for x in m.columns])
+    rows, _, head, sizes = _labelled(spark, sf)
+    scored = pipelines.clause_logits(rows, head, keep=("label_ids",), head_rows=sizes["head_rows"])
+    done = scored.select("row_id", "label_ids", G.decided_ids(G.pooled(F.col("logits"), sizes["vocab_rows"])).alias("decided_ids"))
+    return _rounded(M.macro_metrics(M.confusion_from_pred(M.clause_cells(done, sizes["vocab_rows"]))))
 
 
 def q_bce_loss(spark, sf):
@@ -284,24 +383,31 @@ def _prepared(spark, sf):
 
 def q_stance_templates(spark, sf):
     """J3 + T7 + Z1: every (clause, actor) pair over every template, rendered."""
-    p = _prepared(spark, sf)
-    rows = Z.template_rows()
-    arr = F.array(*[F.struct(F.lit(r).alias("stance_rank"), F.lit(s).alias("stance"),
-                             F.lit(i).alias("template_id"), F.lit(t).alias("template")) for r, s, i, t in rows])
-    pairs = p.select("row_id", F.posexplode("actors").alias("pos", "actor"))
-    fan = pairs.select("row_id", "pos", "actor", F.explode(arr).alias("t"))
-    return fan.select("row_id", F.col("pos").cast("int").alias("pos"), F.col("t.stance").alias("stance"),
-                      F.col("t.template_id").cast("int").alias("template_id"),
-                      render_template(F.col("t.template"), F.col("actor")).alias("hypothesis"))
+    h = Z.hypotheses(_prepared(spark, sf))
+    return h.select("row_id", F.col("pos").cast("int").alias("pos"), "stance", F.col("template_id").cast("int").alias("template_id"), "hypothesis")
 
 
-def q_pair_scores(spark, sf):
-    """Z2 + T8 + T10: entailment score of every scored (premise, hypothesis) pair."""
-    sc = Z.template_scores(_prepared(spark, sf)).where(~F.col("guard"))
+def q_stance_templates_first(spark, sf):
+    """The first version's templates, rendered."""
+    h = Z.hypotheses(_prepared(spark, sf), Z.TEMPLATES_FIRST_VERSION)
+    return h.select("row_id", F.col("pos").cast("int").alias("pos"), "stance", F.col("template_id").cast("int").alias("template_id"), "hypothesis")
+
+
+def _scores_flat(sc: DataFrame) -> DataFrame:
     return sc.select("row_id", F.col("pos").cast("int").alias("pos"), "stance",
                      F.col("template_id").cast("int").alias("template_id"), _r6("score").alias("score"))
 
 
+def q_pair_scores(spark, sf):
+    """Entailment score of every scored (premise, hypothesis) pair, whole texts."""
+    return _scores_flat(Z.template_scores(_prepared(spark, sf)))
+
+
+def q_pair_scores_general(spark, sf):
+    """The same scores by the scorer for templates of any shape."""
+    return _scores_flat(Z.template_scores(_prepared(spark, sf), hoist=False))
+
+
 def q_stance_pairs(spark, sf):
     """Z3 + A2 + P7 + A5 + C9: stance and mean scores per (clause, actor)."""
     s = Z.stance_pairs(_prepared(spark, sf))
@@ -316,42 +422,81 @@ def _lists_flat(df: DataFrame) -> DataFrame:
 
 
 def q_stance_lists(spark, sf):
-    """Z4 + A3 + Z6: stance lists parallel to each clause's actor list, attached to the rows."""
-    out = Z.stance(tables.stance_input(spark, sf))
-    return _lists_flat(out)
+    """Z4 + A3: stance lists parallel to each clause's actor list, attached to the rows; whole texts."""
+    return _lists_flat(Z.stance(tables.stance_input(spark, sf)))
+
+
+def q_stance_first_version(spark, sf):
+    """Z1 + Z4: stance with the first version's templates."""
+    return _lists_flat(Z.stance(tables.stance_input(spark, sf), templates=Z.TEMPLATES_FIRST_VERSION))
+
+
+def q_stance_cut(spark, sf):
+    """C5 + Z4: stance of premises cut to 2,000 characters, the feature of the later version."""
+    return _lists_flat(Z.stance(tables.stance_input(spark, sf), max_chars=CUT_CHARS))
+
+
+def q_stance_truncated(spark, sf):
+    """T8 + Z5 + Z4: premises truncated to a model's limit of 64 tokens beside the hypothesis."""
+    return _lists_flat(Z.stance(tables.stance_input(spark, sf), max_length=512, model_max_length=MODEL_LENGTH))
+
+
+def q_stance_edges(spark, sf):
+    """C9 + Z6 + C4: stance where clauses and lists are null, empty, odd or unreadable."""
+    return _lists_flat(Z.stance(tables.edge_clauses(spark, sf)))
 
 
 def q_stance_pair_model(spark, sf):
-    """Z2 (plug-in) + U2: stance lists through the batch entailment-model surface."""
-    out = Z.stance(tables.stance_input(spark, sf), pair_model=scoring.overlap_pair_model)
+    """Z2 (plug-in) + U2 + U5: stance lists through the batch entailment-model surface."""
+    out = Z.stance(tables.stance_input(spark, sf), pair_model=scoring.overlap_pair_model, max_length=512, batch_size=64)
+    return _lists_flat(out)
+
+
+def _weak_pair_model():
+    """The overlap model with its entailment logit in column 2; it cannot score "unfavorable"."""
+    import numpy as np
+
+    fn = scoring.overlap_pair_model()
+
+    def weak(premises, hypotheses, max_length):
+        if any("unfavorable" in h for h in hypotheses):
+            raise RuntimeError("no score for such a pair")
+        return np.roll(fn(premises, hypotheses, max_length), 2, axis=1)
+
+    return weak
+
+
+def q_stance_failing_model(spark, sf):
+    """Z6 + T10: pairs that the model cannot score count 0.0 in their stance's mean."""
+    out = Z.stance(tables.stance_input(spark, sf), pair_model=_weak_pair_model, max_length=512, entail_idx=2)
     return _lists_flat(out)
 
 
 def q_stance_tagged(spark, sf):
-    """Both stages: tag every document, then the stance of each predicted actor."""
-    c, vocab, head, sizes = _vocab_head(spark, sf)
-    # stage boundary: the tagging result is materialised in the shared folder
-    tagged = pipelines.tag(c.select("row_id", "clause"), head, vocab, **sizes).checkpoint(eager=True)
-    lit = F.concat(F.lit("['"), F.array_join("predicted_actors", "', '"), F.lit("']"))
-    src = c.select("row_id", "clause").join(tagged.select("row_id", lit.alias("predicted_actors")), "row_id")
-    return _lists_flat(Z.stance(src))
+    """Both stages in one pass over the rows: tag every document, then the stance of each predicted actor."""
+    vocab, head, sizes = _vocab_head(spark, sf)
+    names = L.label_names(vocab, sizes["vocab_rows"])
+    scored = pipelines.clause_logits(tables.documents(spark, sf), head, keep=("clause",), head_rows=sizes["head_rows"])
+    tags = G.decided(G.pooled(F.col("logits"), len(names)), names).alias("predicted_actors")
+    return _lists_flat(Z.stance(scored.select("row_id", "clause", tags)))
 
 
 # --- step 7: sinks -------------------------------------------------------------
 
 def q_roundtrip(spark, sf):
-    """S1 + S2 + S3 + S4 + S5: stance result written as CSV with a backup, read back."""
+    """U6 + S1-S5 + T12 + V1 + V2 + C1: the stance entry from a CSV file to a CSV file and its second copy, read from the copy."""
+    import re
+
     from pyspark.sql import types as T
-    out = Z.stance(tables.stance_input(spark, sf))
-    path = scratch_path(spark, "stance-csv")
-    report = io.save_with_backup(out, path)
-    if report["rows_written"] != report["rows_read"]:
-        raise RuntimeError(f"round trip lost rows: {report}")
-    schema = T.StructType([T.StructField("row_id", T.LongType()), T.StructField("clause", T.StringType()),
-                           T.StructField("predicted_actors", T.StringType()),
-                           T.StructField("predicted_sentiments", T.StringType()),
+    source, path = scratch_path(spark, "stance-in"), scratch_path(spark, "stance-csv")
+    rows = tables.stance_input(spark, sf)
+    io.write_csv(rows, source)
+    report = pipelines.stance_file(spark, source, path, rows.schema)
+    if not re.fullmatch(re.escape(path) + r"_backup_\d{8}_\d{6}", report["backup"]):
+        raise RuntimeError(f"unexpected name of the copy: {report['backup']}")
+    schema = T.StructType([*rows.schema.fields, T.StructField("predicted_sentiments", T.StringType()),
                            T.StructField("sentiment_scores", T.StringType())])
-    back = io.read_csv(spark, path, schema)
+    back = io.read_csv(spark, report["backup"], schema)
     sents = F.from_json("predicted_sentiments", "array<string>")
     return back.select("row_id", F.md5(F.coalesce("clause", F.lit(""))).alias("clause_md5"),
                        _joined(sents).alias("predicted_sentiments"))
@@ -359,7 +504,7 @@ def q_roundtrip(spark, sf):
 
 def q_head_roundtrip(spark, sf):
     """S8 + S9: vocabulary and head written as parquet and read back."""
-    c, vocab, head, sizes = _vocab_head(spark, sf)
+    vocab, head, _ = _vocab_head(spark, sf)
     vp, hp = scratch_path(spark, "vocab"), scratch_path(spark, "head")
     io.write_table(vocab, vp)
     io.write_table(head, hp)
@@ -369,51 +514,62 @@ def q_head_roundtrip(spark, sf):
 
 # --- step 8: fitting -----------------------------------------------------------
 
+def _fitted(spark, sf):
+    c = tables.clauses(spark, sf)
+    return pipelines.fit_tagger(c.select("row_id", "clause", F.col("actors_text").alias("regularized_actors")),
+                                epochs=FIT_EPOCHS, steps_per_epoch=FIT_STEPS)
+
+
 def q_fit_head(spark, sf):
-    """F1 + F2 + F3 + P8: fit a head on the 80 % side, evaluate each epoch on the 20 % side."""
-    c = tables.clauses(spark, sf).withColumn("actors", parse_list_strict(F.col("actors_text")))
-    vocab = L.vocabulary(c, "actors")
-    truth = _truth(c, vocab)
-    train, test = P.split_hash(c)
-    wins = {name: W.fixed_step_windows(W.with_token_ids(side.select("row_id", "clause")))
-            for name, side in (("train", train), ("test", test))}
-    init = scoring.hash_head(vocab)
-    _, epochs = H.fit(wins["train"], truth, init, eval_windows=wins["test"], eval_truth=truth,
-                      epochs=5, steps_per_epoch=2)
-    return epochs
+    """F1 + F2 + F3: fit a head on the 80 % side, evaluate each epoch on the 20 % side."""
+    e = _fitted(spark, sf)["epochs"]
+    return e.select("epoch", *[_r6(c).alias(c) for c in ("loss", "accuracy", "f1", "precision", "recall")], "best")
+
+
+def q_best_epoch(spark, sf):
+    """The best epochs of that fit, in order."""
+    return H.best_epoch(_fitted(spark, sf)["epochs"]).select("epoch", F.col("rank").cast("int").alias("rank"))
 
 
 def q_train_tag_stance(spark, sf):
     """The three stages end to end: fit a head on the documents' gold lists, tag every
-    document with it, then the stance of each predicted actor (rows-only check)."""
-    c = tables.clauses(spark, sf)
-    fitted = pipelines.fit_tagger(c.select("row_id", "clause", F.col("actors_text").alias("regularized_actors")))
-    tagged = pipelines.tag(c.select("row_id", "clause"), fitted["head"], fitted["vocab"]).checkpoint(eager=True)
-    lit = F.concat(F.lit("['"), F.array_join("predicted_actors", "', '"), F.lit("']"))
-    src = c.select("row_id", "clause").join(tagged.select("row_id", lit.alias("predicted_actors")), "row_id")
-    out = Z.stance(src)
-    return out.select("row_id", "predicted_actors", _joined("predicted_sentiments").alias("predicted_sentiments"))
+    document with it, then the stance of each predicted actor."""
+    fitted = _fitted(spark, sf)
+    names = L.label_names(fitted["vocab"])
+    scored = pipelines.clause_logits(tables.documents(spark, sf), fitted["head"], keep=("clause",))
+    tags = G.decided(G.pooled(F.col("logits"), len(names)), names).alias("predicted_actors")
+    out = Z.stance(scored.select("row_id", "clause", tags))
+    return out.select("row_id", _joined("predicted_actors").alias("predicted_actors"), _joined("predicted_sentiments").alias("predicted_sentiments"))
 
 
 QUERIES: dict[str, Query] = {
     "tag_documents": q_tag_documents,
+    "tag_joined": q_tag_joined,
     "tag_sample": q_tag_sample,
     "tag_batch_udf": q_tag_batch_udf,
-    "tag_probs": q_tag_probs,
+    "tag_foreign_tokenizer": q_tag_foreign_tokenizer,
+    "tag_failed_rows": q_tag_failed_rows,
     "tag_benchmark": q_tag_benchmark,
     "tag_conversations": q_tag_conversations,
+    "tag_probs": q_tag_probs,
     "clean_fill": q_clean_fill,
     "cut_text": q_cut_text,
     "profile": q_profile,
     "preview": q_preview,
     "parse_actors": q_parse_actors,
+    "clean_edges": q_clean_edges,
+    "parse_edges": q_parse_edges,
     "sample_exact": q_sample_exact,
     "first_n": q_first_n,
     "split_hash": q_split_hash,
     "split_exact": q_split_exact,
+    "first_n_turns": q_first_n_turns,
+    "split_turns": q_split_turns,
     "label_vocab": q_label_vocab,
     "multi_hot": q_multi_hot,
+    "multi_hot_joined": q_multi_hot_joined,
     "label_wide": q_label_wide,
+    "label_cells": q_label_cells,
     "warm_pairs": q_warm_pairs,
     "warm_skipped": q_warm_skipped,
     "warm_copy": q_warm_copy,
@@ -421,16 +577,25 @@ QUERIES: dict[str, Query] = {
     "windows_overlap": q_windows_overlap,
     "confusion": q_confusion,
     "macro_metrics": q_macro_metrics,
-    "bce_loss": q_bce_loss,
+    "metrics_file": q_metrics_file,
     "clause_metrics": q_clause_metrics,
+    "bce_loss": q_bce_loss,
     "stance_templates": q_stance_templates,
+    "stance_templates_first": q_stance_templates_first,
     "pair_scores": q_pair_scores,
+    "pair_scores_general": q_pair_scores_general,
     "stance_pairs": q_stance_pairs,
     "stance_lists": q_stance_lists,
+    "stance_first_version": q_stance_first_version,
+    "stance_cut": q_stance_cut,
+    "stance_truncated": q_stance_truncated,
+    "stance_edges": q_stance_edges,
     "stance_pair_model": q_stance_pair_model,
+    "stance_failing_model": q_stance_failing_model,
     "stance_tagged": q_stance_tagged,
     "roundtrip": q_roundtrip,
     "head_roundtrip": q_head_roundtrip,
     "fit_head": q_fit_head,
+    "best_epoch": q_best_epoch,
     "train_tag_stance": q_train_tag_stance,
 }

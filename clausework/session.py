@@ -27,7 +27,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
 
@@ -35,8 +35,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session, set up if it is unset.
 
-    ``spark.checkpoint.dir`` is the cluster's shared folder. Only when the
-    session names none (a local test run) do we create one of our own.
+    ``spark.checkpoint.dir`` is the cluster's shared folder. Only a local
+    session that names none gets a folder of its own; on a cluster the setting
+    must be there, since executors do not share the driver's disk.
     """
     try:
         sc = spark.sparkContext
@@ -47,6 +48,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="clausework-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -56,12 +59,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return f"{base.rstrip('/')}/clausework/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for pyarrow readers in local runs)."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path) if not path.startswith("/") else path

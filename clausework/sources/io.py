@@ -16,13 +16,23 @@ from pyspark.sql import types as T
 from ..operators.clean import NA_VALUES, null_tokens_to_null
 
 
+# Fixed value: the suffix of a second copy.
+BACKUP_FORMAT = "%Y%m%d_%H%M%S"
+
+
+def _csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.csv(path, schema=schema, header=True, multiLine=True, quote='"', escape='"',
+                          mode="FAILFAST", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_values: tuple[str, ...] = NA_VALUES) -> DataFrame:
     """S1 (+S6): header CSV with an explicit schema; pandas' null tokens become null.
 
-    A missing path raises Spark's PATH_NOT_FOUND analysis error.
+    A missing path raises Spark's PATH_NOT_FOUND analysis error, a row that
+    does not fit the schema fails the job. Texts may hold line breaks, so a file
+    is not split: write many files, or parquet, at scale.
     """
-    df = spark.read.csv(path, schema=schema, header=True, multiLine=True, quote='"', escape='"',
-                        mode="FAILFAST", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    df = _csv(spark, path, schema)
     strings = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
     return null_tokens_to_null(df, strings, na_values)
 
@@ -41,12 +51,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def backup_path(path: str, when: datetime.datetime | None = None) -> str:
     """S3 naming: a separate folder with a yyyyMMdd_HHmmss suffix."""
-    ts = (when or datetime.datetime.now(datetime.timezone.utc)).strftime("%Y%m%d_%H%M%S")
+    ts = (when or datetime.datetime.now(datetime.timezone.utc)).strftime(BACKUP_FORMAT)
     return f"{path.rstrip('/')}_backup_{ts}"
 
 
 def save_with_backup(df: DataFrame, path: str, fmt: str = "csv") -> dict:
-    """S3 + S4: write the result, copy it to a timestamped folder, count the rows read back.
+    """S3 + S4: write the result, copy it to a timestamped folder, count the rows of both.
 
     The result is computed once: its rows are counted while it is written
     (an ``Observation``, no extra pass), and the backup is written from the
@@ -59,15 +69,21 @@ def save_with_backup(df: DataFrame, path: str, fmt: str = "csv") -> dict:
     backup = backup_path(path)
     if fmt == "csv":
         write_csv(observed, path)
-        back = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"',
-                              ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-        back.write.mode("overwrite").csv(backup, header=True, quote='"', escape='"',
-                                         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        # read as texts under the written header: a line that does not fit fails instead of becoming null
+        texts = T.StructType([T.StructField(c, T.StringType()) for c in df.columns])
+        back = _csv(spark, path, texts)
+        write_csv(back, backup)
+        copy = _csv(spark, backup, texts)
     else:
         observed.write.mode("overwrite").parquet(path)
         back = spark.read.parquet(path)
         back.write.mode("overwrite").parquet(backup)
-    return {"path": path, "backup": backup, "rows_written": obs.get["rows"], "rows_read": back.count()}
+        copy = spark.read.parquet(backup)
+    report = {"path": path, "backup": backup, "rows_written": obs.get["rows"], "rows_read": back.count(),
+              "rows_backup": copy.count()}
+    if not report["rows_written"] == report["rows_read"] == report["rows_backup"]:
+        raise RuntimeError(f"the written copies differ in rows: {report}")
+    return report
 
 
 def write_json_row(df: DataFrame, path: str) -> None:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.lists import write_list
 from ..operators._util import spread
 
 
@@ -33,7 +34,7 @@ def gold_actors(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def list_literal(actors: F.Column, style: F.Column) -> F.Column:
     """Write a string list as a literal: style 0 ``['a', 'b']``, 1 ``["a", "b"]``,
     2 ``[ 'a','b', ]`` (spaces and a trailing comma)."""
-    single = F.concat(F.lit("['"), F.array_join(actors, "', '"), F.lit("']"))
+    single = write_list(actors)
     double = F.concat(F.lit('["'), F.array_join(actors, '", "'), F.lit('"]'))
     loose = F.concat(F.lit("[ '"), F.array_join(actors, "','"), F.lit("', ]"))
     empty = F.lit("[]")
@@ -41,12 +42,37 @@ def list_literal(actors: F.Column, style: F.Column) -> F.Column:
             .when(style == 1, double).otherwise(loose))
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(row_id, clause)``: the documents scan alone, for work that needs no labels."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), F.col("text").alias("clause"))
+    return spread(docs, "row_id")
+
+
 def clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(row_id, clause, actors, actors_text)`` over the whole documents table."""
-    g = spread(gold_actors(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), "row_id")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
+    g = gold_actors(docs, table(spark, sf_dir, "labels"))
     return g.withColumn("actors_text", list_literal(F.col("actors"), F.pmod(F.col("row_id"), F.lit(3))))
 
 
+def edge_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(row_id, clause, predicted_actors)``: the documents with the odd inputs a user meets, by row.
+
+    Clauses: null, empty, or the text. Lists: null, empty, unquoted, a tuple,
+    escaped, an empty name, unreadable, empty text, no list, two quoted parts,
+    a number.
+    """
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
+    lang, source = F.coalesce("lang", F.lit("x")), F.coalesce("source", F.lit("y"))
+    forms = [F.lit(None).cast("string"), F.lit("[]"), F.concat(F.lit("["), lang, F.lit("]")),
+             F.concat(F.lit("('x', '"), source, F.lit("')")), F.concat(F.lit("['it\\'s', \""), source, F.lit("\"]")),
+             F.lit("['']"), F.lit("{[]:1}"), F.lit(""), F.concat(source, F.lit(", "), lang),
+             F.concat(F.lit("['"), source, F.lit("' '"), lang, F.lit("']")), F.lit("5")]
+    text = F.when(F.pmod("doc_id", F.lit(5)) == 0, F.lit(None)).when(F.pmod("doc_id", F.lit(5)) == 1, F.lit("")).otherwise(F.col("text"))
+    return docs.select(F.col("doc_id").alias("row_id"), text.alias("clause"),
+                       F.get(F.array(*forms), F.pmod("doc_id", F.lit(len(forms))).cast("int")).alias("predicted_actors"))
+
+
 def stance_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stance input: ``(row_id, clause, predicted_actors)`` with the actor list as text."""
     c = clauses(spark, sf_dir)
