@@ -30,16 +30,24 @@ def test_multi_hot_roundtrip(spark):
         assert decoded == src
 
 
+def test_ids_beside_the_row_equal_joined_ids(spark):
+    c = _clauses(spark)
+    v = L.vocabulary(c.where("row_id <> 4"))
+    near = {r["row_id"]: r["label_ids"] for r in L.with_label_ids(c, v).collect()}
+    assert near == {r["row_id"]: r["label_ids"] for r in L.label_ids(c, v).collect()} and near[3] == []
+    assert L.label_names(v, most=2) is None
+
+
 def test_wide_and_clash(spark):
     c = _clauses(spark)
-    with pytest.raises(ValueError):             # "b" and "B" cannot both be columns case-insensitively
-        L.label_wide(c, L.vocabulary(c))
-    c = c.where("row_id != 5")
-    w = L.label_wide(c, L.vocabulary(c)).orderBy("row_id").collect()
-    assert w[0]["a"] == 1 and w[0]["c"] == 0 and w[2]["a"] == 0
-    bad = spark.createDataFrame([(1, ["row_id"])], "row_id long, actors array<string>")
-    with pytest.raises(ValueError):
-        L.label_wide(bad, L.vocabulary(bad))
+    with pytest.raises(ValueError, match="'B', 'b'"):   # they cannot both be columns case-insensitively
+        L.label_wide(c, ["a", "b", "B"])
+    with pytest.raises(ValueError, match="row_id"):
+        L.label_wide(c, ["Row_Id"])
+    w = {r["row_id"]: r for r in L.label_wide(c, ["a", "c", "zz"]).collect()}
+    assert (w[1]["a"], w[1]["c"], w[3]["a"], w[4]["a"], w[2]["c"], w[2]["zz"]) == (1, 0, 0, 1, 1, 0)
+    cells = {(r["row_id"], r["label"]) for r in L.label_cells(c, L.vocabulary(c)).collect()}
+    assert cells == {(r["row_id"], x) for r in c.collect() for x in r["actors"]}
 
 
 def test_warm_start(spark):

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from clausework.functions.lists import FAILED, OK, WRAPPED, FALLBACK, is_fast_list, parse_list, parse_list_tolerant
+from clausework.functions.lists import FAILED, OK, WRAPPED, FALLBACK, is_fast_list, parse_list, parse_list_tolerant, write_list
 
 CASES = [
     ("['a', 'b']", ["a", "b"], OK),
@@ -55,3 +55,10 @@ def test_fast_path_equals_literal_grammar(spark, items, quote, trailing):
     row = spark.createDataFrame([(text,)], "t string").select(
         parse_list(F.col("t")).alias("p"), is_fast_list(F.col("t")).alias("fast")).first()
     assert row["p"]["items"] == expected
+
+
+def test_written_lists_read_back(spark):
+    items = ["Cote d'Ivoire", "B", "a\\b", "line\nbreak", "\r", 'say "hi"', "", "[x]", "é😀", "\\'", "tab\there"]
+    df = spark.createDataFrame([(1, items), (2, []), (3, None), (4, items[:1])], "i int, a array<string>")
+    for r in df.select("i", "a", write_list(F.col("a")).alias("t"), parse_list_tolerant(write_list(F.col("a"))).alias("back")).collect():
+        assert r["t"] is None if r["a"] is None else ast.literal_eval(r["t"]) == r["a"] == r["back"]

@@ -16,15 +16,35 @@ def test_exact_n_and_all(spark):
         P.sample_exact(df, 5000, strict=True)
 
 
-def test_threshold_search_equals_topk(spark, monkeypatch):
+def test_sample_equals_a_full_sort(spark):
+    from clausework.functions.text import order_key
+
     df = spark.range(5000).withColumnRenamed("id", "row_id").repartition(7)
-    a = {r[0] for r in P.sample_exact(df, 1234).collect()}
-    monkeypatch.setattr(P, "TOPK_MAX", 10)
-    monkeypatch.setattr(P, "BUCKETS", 16)
-    b = {r[0] for r in P.sample_exact(df, 1234).collect()}
-    c = {r[0] for r in P.first_n(df, 321).collect()}
-    assert a == b and len(a) == 1234
-    assert c == set(range(321))
+    for n in (1, 1234, 4999):
+        got = P.sample_exact(df, n)
+        assert "TakeOrderedAndProject" not in got._jdf.queryExecution().executedPlan().toString()
+        want = df.withColumn("k", order_key(42, F.col("row_id"))).orderBy("k", "row_id").limit(n).select("row_id")
+        assert {r[0] for r in got.collect()} == {r[0] for r in want.collect()}
+    assert {r[0] for r in P.first_n(df, 321).collect()} == set(range(321))
+
+
+def test_repeated_keys_give_exactly_n(spark):
+    df = spark.range(1000).select((F.col("id") % 7).alias("row_id"), F.col("id").alias("v"))
+    for n in (5, 100, 143, 999):
+        assert P.sample_exact(df, n).count() == n and P.first_n(df, n).count() == n
+
+
+def test_keys_of_other_types(spark):
+    rows = [(f"k{i % 50:02d}", i // 50, i) for i in range(300)] + [(None, 1, 300)]
+    df = spark.createDataFrame(rows, "a string, b int, v long").withColumn("key", F.struct("a", "b"))
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    assert {r["v"] for r in P.first_n(df, 40, "key").collect()} == {r[2] for r in order[:40]}
+    texts = df.where("b = 3")
+    assert {r["a"] for r in P.first_n(texts, 5, "a").collect()} == {f"k{i:02d}" for i in range(5)}
+    for key in ("key", "v"):
+        train, test = P.split_exact(df, key=key)
+        a, b = {r["v"] for r in train.collect()}, {r["v"] for r in test.collect()}
+        assert len(b) == math.ceil(0.2 * 301) and not a & b and len(a | b) == 301
 
 
 def test_split_exact_sizes_and_disjoint(spark):
@@ -40,15 +60,3 @@ def test_split_hash_invariant_to_partitioning(spark):
     a = {r[0] for r in P.split_hash(df)[1].collect()}
     b = {r[0] for r in P.split_hash(df.repartition(5).orderBy(F.rand(3)))[1].collect()}
     assert a == b and 300 < len(a) < 500
-
-
-def test_threshold_search_larger_input(spark, monkeypatch):
-    from clausework.functions.text import order_key
-
-    df = spark.range(200_000).withColumnRenamed("id", "row_id").repartition(8)
-    monkeypatch.setattr(P, "TOPK_MAX", 50_000)
-    got = P.sample_exact(df, 150_000)
-    assert "TakeOrderedAndProject" not in got._jdf.queryExecution().executedPlan().toString()
-    want = df.withColumn("_k", order_key(42, F.col("row_id"))).orderBy("_k", "row_id").limit(150_000).select("row_id")
-    assert got.count() == 150_000
-    assert got.select("row_id").exceptAll(want).count() == 0

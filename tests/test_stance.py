@@ -1,5 +1,6 @@
 """Stance rules: guards, ties, order, empty and repeated actors; hoisted == general scorer."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from clausework.operators import stance as Z
@@ -57,15 +58,25 @@ def test_cut_at_2000_chars(spark):
     assert got == ["a" * 2000, "a" * 2000 + "..."]
 
 
-def test_hoisted_equals_general(spark, sf_small):
+@pytest.mark.parametrize("max_length", [None, 40])
+def test_hoisted_equals_general(spark, sf_small, max_length):
     p = Z.prepare(tables.stance_input(spark, sf_small))
     cols = ["row_id", "pos", "stance", "template_id", "score"]
-    a = Z.template_scores(p, hoist=True).where(~F.col("guard")).select(*cols)
-    b = Z.template_scores(p, hoist=False).where(~F.col("guard")).select(*cols)
+    a = Z.template_scores(p, max_length=max_length, hoist=True).select(*cols)
+    b = Z.template_scores(p, max_length=max_length, hoist=False).select(*cols)
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_whole_texts_are_read(spark):
+    """A word behind the 2,000th character and the 512th token counts, unless a limit is asked for."""
+    text = "filler " * 3000 + "unfavorable. comments"
+    df = spark.createDataFrame([(1, text, "['Zed']")], "row_id long, clause string, predicted_actors string")
+    assert Z.stance(df).first()["predicted_sentiments"] == ["negative"]
+    assert Z.stance(df, max_chars=2000).first()["predicted_sentiments"] == ["positive"]
+    assert Z.stance(df, max_length=512).first()["predicted_sentiments"] == ["positive"]
+
+
 def test_output_length_equals_actor_count(spark, sf_small):
     src = tables.stance_input(spark, sf_small)
     out = Z.stance(src)
@@ -84,20 +95,22 @@ def test_limit_n_and_model_max_length(spark):
     assert Z.effective_max_length(8192, 512) == 512 and Z.effective_max_length(None, 512) == 512
 
 
-def test_narrow_equals_pair_path(spark, sf_small):
+def test_lists_equal_pairs(spark, sf_small):
     src = tables.stance_input(spark, sf_small)
-    narrow = Z.stance(src, attach=False)
-    pair = Z.stance_lists(Z.prepare(src))
-    a = {r[0]: (r[1], [tuple(x) for x in r[2]]) for r in narrow.collect()}
-    b = {r[0]: (r[1], [tuple(x) for x in r[2]]) for r in pair.collect()}
-    assert a == b and len(a) == src.count()
+    lists = {r[0]: (r[1], [tuple(x) for x in r[2]]) for r in Z.stance(src, attach=False).collect()}
+    pairs = {}
+    for r in Z.stance_pairs(Z.prepare(src)).orderBy("row_id", "pos").collect():
+        got = pairs.setdefault(r["row_id"], ([], []))
+        got[0].append(r["stance"])
+        got[1].append((r["positive"], r["negative"], r["neutral"]))
+    assert {k: v for k, v in lists.items() if v[0]} == pairs and len(lists) == src.count()
 
 
 def test_templates_table_and_first_version(spark):
     t = Z.templates_table(spark).orderBy("stance_rank", "template_id").collect()
     assert len(t) == 9 and [r["stance"] for r in t[::3]] == ["positive", "negative", "neutral"]
-    # the first version's templates (curly apostrophe) take the general path end to end
-    assert not Z.hoistable(Z.TEMPLATES_FIRST_VERSION)
+    # a curly apostrophe has no case, so the first version's templates are hoisted too; other letters are not
+    assert Z.hoistable(Z.TEMPLATES_FIRST_VERSION) and not Z.hoistable([("a", "ÄB {actor}")]) and not Z.hoistable([("a", "x{actor}")])
     df = spark.createDataFrame([(1, "comments about zed are unfavorable.", "['Zed']")],
                                "row_id long, clause string, predicted_actors string")
     r = Z.stance(df, templates=Z.TEMPLATES_FIRST_VERSION).first()

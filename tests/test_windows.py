@@ -65,3 +65,11 @@ def test_padding_and_mask(spark):
     assert len(r["input_ids"]) == 512 and len(r["attention_mask"]) == 512
     assert r["input_ids"][:5] == [CLS_ID, 5, 6, 7, SEP_ID] and set(r["input_ids"][5:]) == {0}
     assert sum(r["attention_mask"]) == 5 == r["n_tokens"]
+
+
+def test_a_null_text_keeps_its_row(spark):
+    df = spark.createDataFrame([(1, None), (2, "a b")], "row_id long, clause string")
+    ids = W.with_token_ids(df)
+    for windows in (W.fixed_step_windows, W.overlap_windows):
+        got = {r["row_id"]: r["window_ids"] for r in windows(ids).collect()}
+        assert got[1] == [CLS_ID, SEP_ID] and len(got[2]) == 4
