@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,9 +49,9 @@ STRAY = 1e-9
 # letters of a word that are cut together; longer words are scored in slices
 MAX_LETTERS = 31
 # words a worker remembers before it starts anew
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 # letters that are scored before their batch's next texts are read
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 # fixed value: the mark that begins a word in the vocabulary
 WORD_MARK = "▁"
@@ -244,8 +245,8 @@ def predict(text: F.Column, model: Model, spark) -> F.Column:
     """``struct<lang_pred string, score double>`` of a text column."""
     shared = spark.sparkContext.broadcast((trie_arrays(model.pieces), model.languages, model.probs))
 
-    @F.pandas_udf("lang_pred string, score double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         arrays, languages, probs = shared.value
         trie, k = Trie(*arrays), len(languages)
         known: dict[str, int] = {}
@@ -268,26 +269,21 @@ def predict(text: F.Column, model: Model, spark) -> F.Column:
                 out[n] = table[np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))].sum(axis=0)
             return out
 
-        for b in batches:
-            names, best = [], []
-            texts, at = b.to_numpy(dtype=object), 0
+        for texts in batches:
+            names, best, at = [], [], 0
             while at < len(texts):
                 lists, size = [], 0
-                while at < len(texts) and size < CHUNK:
-                    t = texts[at]
-                    lists.append(words_of(t) if isinstance(t, str) else [])
-                    size += len(t) if isinstance(t, str) else 0
+                while at < len(texts) and size < CHUNK:  # few texts at a time leave Arrow's buffer
+                    t = texts[at].as_py() or ""
+                    lists.append(words_of(t) if k else [])
+                    size += len(t)
                     at += 1
-                if not k:
-                    names += [UNKNOWN] * len(lists)
-                    best += [0.0] * len(lists)
-                    continue
                 ll = scores(lists)
                 top = ll.argmax(axis=1)
                 share = 1.0 / np.exp(ll - ll.max(axis=1, keepdims=True)).sum(axis=1)
                 names += [languages[i] if words else UNKNOWN for i, words in zip(top, lists, strict=True)]
                 best += [float(s) if words else 0.0 for s, words in zip(share, lists, strict=True)]
-            yield pd.DataFrame({"lang_pred": names, "score": best})
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(best, pa.float64())], ["lang_pred", "score"])
 
     return run(text)
 

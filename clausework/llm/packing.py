@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ from ._common import stored
 CAPACITY = 2048
 END_ID = 0
 # words a worker remembers per generation; two generations are kept
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 # pieces of a length and bucket that are numbered together, about
 BUCKET_ROWS = 5_000
 
@@ -96,7 +97,7 @@ class WordIds(dict):
 
 
 def tokenizer_of(path: str):
-    """A function from a text to its ids as little-endian bytes, kept per worker.
+    """A function from a text (UTF-8) to its ids as little-endian bytes, kept per worker.
 
     Tokenizers that drop white space and never look beyond a word are run word
     by word with a memory of words; others get the whole text.
@@ -118,9 +119,10 @@ def tokenizer_of(path: str):
                            and not any(c.isspace() for c in a["content"]) for a in spec["added_tokens"]))
         if by_word:
             ids_of = WordIds(tokenizer).__getitem__
-            cache["packing", path] = lambda text: b"".join(map(ids_of, text.encode("utf-8", "surrogatepass").split()))
+            cache["packing", path] = lambda text: b"".join(map(ids_of, text.split()))
         else:
-            cache["packing", path] = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            cache["packing", path] = lambda text: np.array(
+                tokenizer.encode(text.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids, dtype="<u4").tobytes()
     return cache["packing", path]
 
 
@@ -128,31 +130,34 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
            end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)`` of every piece; ``with_ids`` adds the ids themselves."""
     end = np.array([end_id], dtype="<u4").tobytes()
+    kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64()}
+    if with_ids:
+        kinds["ids"] = pa.list_(pa.int32())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer_of(tokenizer)
         for batch in batches:
-            out, size = [], 0
-            for doc_id, text in zip(batch["doc_id"].array, batch["text"].array, strict=True):
-                data = (encode(text) if isinstance(text, str) else b"") + end
-                doc_id = None if pd.isna(doc_id) else int(doc_id)
+            columns: list[list] = [[] for _ in kinds]
+            size = 0
+            # one text at a time leaves Arrow's buffer
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].cast(pa.binary()), strict=True):
+                data = (encode(text.as_py()) if text.is_valid else b"") + end
                 for at in range(0, len(data), 4 * capacity):
                     cut = data[at:at + 4 * capacity]
                     row = (doc_id, at // 4 // capacity, at // 4, len(cut) // 4, zlib.crc32(cut))
-                    out.append((*row, np.frombuffer(cut, dtype="<u4").astype(np.int32)) if with_ids else row)
+                    for column, value in zip(columns, (*row, np.frombuffer(cut, dtype="<i4")) if with_ids else row, strict=True):
+                        column.append(value)
                 size += len(data)
                 if with_ids and size > 1 << 24:
-                    yield frame(out)
-                    out, size = [], 0
-            yield frame(out)
+                    yield frame(columns)
+                    columns, size = [[] for _ in kinds], 0
+            yield frame(columns)
 
-    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-
-    def frame(rows: list) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+    def frame(columns: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds))
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, schema)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def plan_layouts(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:

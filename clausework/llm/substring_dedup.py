@@ -19,7 +19,7 @@ Defined cases: a null or empty text has no paragraph; shorter paragraphs are
 left alone; rows repeated whole (same id and text) count as one document and
 are edited alike; null ids come last in order; an empty table gives an empty
 result; extra columns are ignored or, in ``without_repeats``, kept; a line of
-over a million characters is first cut at white space.
+over half a million characters is first cut at white space.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +49,7 @@ LONGEST_PIECE = 512
 # different texts of a bucket that are compared in one block
 BLOCK = 512
 # bytes hashed at once, and characters after which a line is cut
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 # rows with a few spans each that are broadcast at most, some 20 MB; more are joined by a shuffle
 BROADCAST_ROWS = 100_000
@@ -164,9 +165,7 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if min_words < shingle:
         raise ValueError("a paragraph must have a shingle's words at least")
     n_bands = tune_bands(rows=rows) if bands is None else bands
-    columns = ["row_hash", "doc_id", "para", "start", "end", "n_words", "h", "bands"]
-
-    def flush(held: list, seen: set) -> pd.DataFrame:
+    def flush(held: list, seen: set) -> pa.RecordBatch:
         """The paragraphs of the held lines ``(row_hash, doc_id, line number, offset, line)``."""
         words, begin = hash_words([h[4] for h in held])
         counts = np.diff(begin)
@@ -182,7 +181,7 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     first.append(int(begin[i]) + a)
                     last.append(int(begin[i]) + b)
         if not owner:
-            return pd.DataFrame(columns=columns)
+            return pa.RecordBatch.from_pylist([], kinds)
         f, l_ = np.array(first), np.array(last)
         h = _range_hashes(words, f, l_, WHOLE_STEP)
         new = np.zeros(len(h), dtype=bool)
@@ -203,32 +202,35 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     spans = (i, [m.span() for m in _word(line)])
                 start, end = spans[1][a - begin[i]][0], spans[1][b - begin[i] - 1][1]
             out.append((row_hash, doc_id, number, offset + start, offset + end, b - a, x, next(keys) if is_new else None))
-        return pd.DataFrame(out, columns=columns)
+        return pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], schema=kinds)
+
+    kinds = pa.schema([("row_hash", pa.int64()), ("doc_id", pa.int64()), ("para", pa.int32()), ("start", pa.int64()), ("end", pa.int64()),
+                       ("n_words", pa.int32()), ("h", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shortest = 2 * min_words - 1
         for batch in batches:
             held, size, seen = [], 0, set()
-            for row_hash, doc_id, text in zip(batch["row_hash"].array, batch["doc_id"].array, batch["text"].array, strict=True):
-                if not isinstance(text, str) or len(text) < shortest:
+            for row_hash, doc_id, value in zip(batch["row_hash"].to_pylist(), batch["doc_id"].to_pylist(), batch["text"], strict=True):
+                text, offset = value.as_py() or "", 0  # one text at a time leaves Arrow's buffer
+                if len(text) < shortest:
                     continue
-                doc_id, offset = None if pd.isna(doc_id) else int(doc_id), 0
                 for number, line in enumerate(text.split("\n")):
                     if len(line) >= shortest:
                         for at, part in _segments(line):
                             held.append((row_hash, doc_id, number, offset + at, part))
                             size += len(part)
                             if size >= CHUNK:
-                                yield flush(held, seen).astype({"doc_id": "Int64"})
+                                yield flush(held, seen)
                                 held, size = [], 0
                     offset += len(line) + 1
             if held:
-                yield flush(held, seen).astype({"doc_id": "Int64"})
+                yield flush(held, seen)
 
     import re
 
     _word = re.compile(r"[^\x20\x09-\x0D]+").finditer
-    return keyed(docs, id_col, text_col).mapInPandas(
+    return keyed(docs, id_col, text_col).mapInArrow(
         run, "row_hash long, doc_id long, para int, start long, end long, n_words int, h long, bands array<long>")
 
 

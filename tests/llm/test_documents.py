@@ -426,11 +426,11 @@ def test_words_are_tokenized_as_in_the_whole_text(spark, odd):
     hard = ["It's we'll DON'T 'S", "a<|endoftext|>b <|startoftext|> <|x", "İstanbul ΣΑΣ Straße é é ﬁ ½ ² 12,345.6!!", "x y z\x1cq \x85",
             "😀😀 你好,世界 a​b", "\x00\x01", "'s's ''ll", "ǅ ŉ ſ K", "-_-...###$$$%%%", "à́ ̀b", ""]
     for text in hard + [r["text"] or "" for r in odd.collect()]:
-        assert np.frombuffer(encode(text), dtype="<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+        assert np.frombuffer(encode(text.encode()), dtype="<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
     # another tokenizer, whose pieces hold blanks, gets the whole text
     path = Q.tokenizer_path("byte_bpe_50k.json")
     t, encode = Tokenizer.from_file(path), packing.tokenizer_of(path)
-    assert all(np.frombuffer(encode(x), dtype="<u4").tolist() == t.encode(x, add_special_tokens=False).ids for x in hard)
+    assert all(np.frombuffer(encode(x.encode()), dtype="<u4").tolist() == t.encode(x, add_special_tokens=False).ids for x in hard)
 
 
 def test_word_memory_is_bounded():
