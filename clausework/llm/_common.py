@@ -22,6 +22,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return memory that Arrow's pool keeps after large batches of text; workers live on between tasks."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+
+
 def sound_vectors(df: DataFrame, id_col: str, vec_col: str, drop_zero: bool = False) -> DataFrame:
     """``(vec_id, vec array<double>)`` of the vectors that can take part.
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import stored
+from ._common import give_back, stored
 
 UNKNOWN = "und"
 # labelled documents per language that the model is fitted on, about
@@ -49,9 +49,9 @@ STRAY = 1e-9
 # letters of a word that are cut together; longer words are scored in slices
 MAX_LETTERS = 31
 # words a worker remembers before it starts anew
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 # letters that are scored before their batch's next texts are read
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 # fixed value: the mark that begins a word in the vocabulary
 WORD_MARK = "▁"
@@ -262,7 +262,7 @@ def predict(text: F.Column, model: Model, spark) -> F.Column:
             if new:
                 ordered = sorted(new)
                 known.update(zip(ordered, range(len(table), len(table) + len(ordered)), strict=True))
-                parts = [log_likelihoods(trie, probs, ordered[a:a + 20_000]) for a in range(0, len(ordered), 20_000)]
+                parts = [log_likelihoods(trie, probs, ordered[a:a + 10_000]) for a in range(0, len(ordered), 10_000)]
                 table = np.concatenate([table, *parts])
             out = np.zeros((len(lists), table.shape[1]))
             for n, words in enumerate(lists):
@@ -284,6 +284,7 @@ def predict(text: F.Column, model: Model, spark) -> F.Column:
                 names += [languages[i] if words else UNKNOWN for i, words in zip(top, lists, strict=True)]
                 best += [float(s) if words else 0.0 for s, words in zip(share, lists, strict=True)]
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(best, pa.float64())], ["lang_pred", "score"])
+        give_back()
 
     return run(text)
 

@@ -27,12 +27,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators._util import worker_cache
-from ._common import stored
+from ._common import give_back, stored
 
 CAPACITY = 2048
 END_ID = 0
 # words a worker remembers per generation; two generations are kept
-REMEMBERED = 120_000
+REMEMBERED = 60_000
 # pieces of a length and bucket that are numbered together, about
 BUCKET_ROWS = 5_000
 
@@ -152,6 +152,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
                     yield frame(columns)
                     columns, size = [[] for _ in kinds], 0
             yield frame(columns)
+        give_back()
 
     def frame(columns: list[list]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds))

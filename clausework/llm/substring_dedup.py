@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators._util import bounded_broadcast
-from ._common import stored
+from ._common import give_back, stored
 from .components import connected_components
 
 SHINGLE_WORDS = 5
@@ -226,6 +226,7 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     offset += len(line) + 1
             if held:
                 yield flush(held, seen)
+        give_back()
 
     import re
 
