@@ -373,10 +373,12 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _without(text: str, spans: list) -> str:
     """The text without the spans; a line left blank by that goes with its line break."""
-    parts, at = [], 0
+    parts, at, start, end = [], 0, 0, 0
     for start, end in spans:
         parts.append(text[at:start])
         at = end
         if text[at:at + 1] == "\n" and (start == 0 or text[start - 1] == "\n"):
             at += 1
-    return "".join([*parts, text[at:]])
+    left = "".join([*parts, text[at:]])
+    # the last line takes the break before it
+    return left[:-1] if at == end == len(text) and left.endswith("\n") and text[start - 1] == "\n" else left
