@@ -59,7 +59,9 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
+    """The words of a text; none if it has no letter (the pattern also finds numerals such as superscripts)."""
+    found = _LETTERS.findall(text.lower())
+    return found if any(map(str.isalpha, found)) or any(c.isalpha() for w in found for c in w) else []
 
 
 def letter_pieces(path: str) -> list[str]:

@@ -31,7 +31,7 @@ def odd(spark):
     a, b = words(60, 1), words(80, 2)
     rows = [(1, a, "en", "x"), (1, a, "en", "x"), (2, a, "en", "x"), (3, None, "en", "x"), (4, "", None, None), (5, "  \n\t", "de", "y"),
             (None, b, "de", None), (None, b, "de", None), (6, b + "\n" + a, None, "y"), (7, "Ä ß 123 !?", "de", "z"),
-            (8, words(30_000, 8), "de", "x"), (9, words(30, 3) + "\r\n\x0b" + words(30, 4), "en", "y"), (10, "\x00﻿ 😀 x", "en", "x")]
+            (8, words(30_000, 8), "de", "x"), (9, words(30, 3) + "\r\n\x0b" + words(30, 4), "en", "y"), (10, "\x00﻿ 😀 x", "en", "x"), (11, "² ½ 3 _", "en", "x")]
     return frame(spark, rows)
 
 
@@ -375,7 +375,7 @@ def test_language_odd_rows(spark, odd, none):
     got = language_id.identify(clashing(odd), model)
     found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in got.collect()}
     assert got.count() == odd.count() and model.languages == ["de", "en"]
-    assert found[3] == found[4] == found[5] == ("und", 0.0) and found[7][0] == "de"
+    assert found[3] == found[4] == found[5] == found[11] == ("und", 0.0) and found[7][0] == "de"
     kept = language_id.accepted(clashing(odd), model)
     assert kept.columns == clashing(odd).columns and kept.where("doc_id in (3, 4, 5)").count() == 0 and kept.where("doc_id = 1").count() == 2
     empty = language_id.fit(none, vocabulary)
