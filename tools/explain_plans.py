@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from clausework.plans.queries import QUERIES  # noqa: E402
 from clausework.session import local_session  # noqa: E402
 
-NAMES = ["tag_documents", "tag_batch_udf", "stance_lists", "macro_metrics", "label_vocab", "sample_exact"]
+NAMES = ["tag_documents", "stance_lists", "stance_tagged", "stance_pair_model", "macro_metrics", "label_vocab", "sample_exact"]
 
 
 def summary(plan: str) -> str:
@@ -38,8 +38,8 @@ def main() -> None:
     out = ["# Physical plans of the headline queries", "",
            f"Final adaptive plans at `{sf}` on local[8] (generated by `tools/explain_plans.py`).",
            "`REPARTITION_BY_NUM` is `spread` (the input is one file, so it is spread over the cores by key; a",
-           "cluster scan has enough splits and skips it). `REPARTITION_BY_COL` is the one key exchange of",
-           "`stance(attach=True)`. `ENSURE_REQUIREMENTS` exchanges are the ones Spark adds for an aggregate or join.",
+           "cluster scan has enough splits and skips it). `ENSURE_REQUIREMENTS` exchanges are the ones Spark adds",
+           "for an aggregate or join.",
            "Jobs that ran before the query (vocabulary checkpoint, size checks) are not part of these plans.", ""]
     for name in NAMES:
         df = QUERIES[name](spark, sf)
