@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators._util import built
 from ..session import scratch_path
 
 
@@ -22,6 +23,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def word_memory(owner: str, make: Callable):
+    """What ``make`` builds, kept per worker until another owner asks: a worker holds one operator's memory of words."""
+    return built("word-memory", owner, make)
+
+
 def give_back() -> None:
     """Return memory that Arrow's pool keeps after large batches of text; workers live on between tasks."""
     import pyarrow as pa

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import give_back, stored
+from ._common import give_back, stored, word_memory
 
 UNKNOWN = "und"
 # labelled documents per language that the model is fitted on, about
@@ -251,6 +251,7 @@ def predict(text: F.Column, model: Model, spark) -> F.Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         arrays, languages, probs = shared.value
         trie, k = Trie(*arrays), len(languages)
+        word_memory("language", dict)
         known: dict[str, int] = {}
         table = np.zeros((0, max(1, k)))
 

@@ -26,13 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators._util import worker_cache
-from ._common import give_back, stored
+from ._common import give_back, stored, word_memory
 
 CAPACITY = 2048
 END_ID = 0
 # words a worker remembers per generation; two generations are kept
-REMEMBERED = 60_000
+REMEMBERED = 200_000
 # pieces of a length and bucket that are numbered together, about
 BUCKET_ROWS = 5_000
 
@@ -106,8 +105,7 @@ def tokenizer_of(path: str):
 
     from tokenizers import Tokenizer
 
-    cache = worker_cache()
-    if ("packing", path) not in cache:
+    def make():
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         tokenizer = Tokenizer.from_file(path)
@@ -119,11 +117,11 @@ def tokenizer_of(path: str):
                            and not any(c.isspace() for c in a["content"]) for a in spec["added_tokens"]))
         if by_word:
             ids_of = WordIds(tokenizer).__getitem__
-            cache["packing", path] = lambda text: b"".join(map(ids_of, text.split()))
-        else:
-            cache["packing", path] = lambda text: np.array(
-                tokenizer.encode(text.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids, dtype="<u4").tobytes()
-    return cache["packing", path]
+            return lambda text: b"".join(map(ids_of, text.split()))
+        return lambda text: np.array(
+            tokenizer.encode(text.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    return word_memory(f"packing {path}", make)
 
 
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
