@@ -153,6 +153,8 @@ def _search_block(q: pd.DataFrame, r: pd.DataFrame, k: int, cells: int) -> pd.Da
     if len(q) and len(r):
         r = r.sort_values("cell", kind="stable")
         x, ids = np.stack(r["vec"].to_numpy()), r["vec_id"].to_numpy()
+        names, code = np.unique(ids, return_inverse=True)
+        repeated = len(names) < len(ids)
         starts = np.searchsorted(r["cell"].to_numpy(), np.arange(cells + 1))
         lengths, square = np.diff(starts), (x ** 2).sum(axis=1)
         q = q.assign(order_=[tuple(v) for v in q["vec"]]).sort_values(["query_id", "order_"]).drop_duplicates("query_id")
@@ -164,8 +166,13 @@ def _search_block(q: pd.DataFrame, r: pd.DataFrame, k: int, cells: int) -> pd.Da
                 continue
             # a quick pass leaves the entries that can be among the nearest; those are measured exactly
             rough = square[at] - 2 * (x[at] @ v)
-            if len(at) > k:
-                limit = np.partition(rough, k - 1)[k - 1]
+            low = rough
+            if repeated:  # rows under one id: the nearest one counts
+                low = np.full(len(names), np.inf)
+                np.minimum.at(low, code[at], rough)
+                low = low[low < np.inf]
+            if len(low) > k:
+                limit = np.partition(low, k - 1)[k - 1]
                 at = at[rough <= limit + 1e-9 * (abs(limit) + (v ** 2).sum() + 1)]
             score = np.sqrt(((x[at] - v) ** 2).sum(axis=1))
             got = pd.DataFrame({"query_id": query_id, "vec_id": ids[at], "score": score})

@@ -218,6 +218,19 @@ def test_vectors_small_and_empty(spark):
         assert [(r["query_id"], r["rank"], r["vec_id"]) for r in two] == [(100, 1, 101)]
 
 
+@pytest.mark.parametrize("copies", [1, 2, 25])
+def test_repeated_rows_take_no_neighbours_place(spark, copies):
+    """Ten neighbours are found whether every row or the nearest one alone is repeated."""
+    r = random.Random(6)
+    data = [(i, [r.gauss(0, 1) for _ in range(6)]) for i in range(60)]
+    by_id = {i: [v] for i, v in data}
+    nearest = brute_nearest(by_id, 0, 1)[0][1]
+    for more in ([x for x in data for _ in range(copies)], data + [x for x in data if x[0] == nearest] * copies):
+        df = spark.createDataFrame(more, "vec_id long, embedding array<double>")
+        got = ann.nearest(df, F.col("vec_id") == 0, share=1.0).collect()
+        assert [x["vec_id"] for x in sorted(got, key=lambda x: x["rank"])] == [j for _, j in brute_nearest(by_id, 0, 10)]
+
+
 # conversations
 
 TURNS = "conv_id long, turn long, role string, text string, part int, ids int, conv string"
