@@ -27,8 +27,8 @@ def op1_tag_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per repeated paragraph: ``(doc_id, start, end, n_words, cluster, members, keep_doc_id, kept)``."""
-    return substring_dedup.repeated_paragraphs(table(spark, sf_dir, "documents")).drop("row_hash", "para")
+    """One row per repeated paragraph or passage: ``(doc_id, start, end, n_words, cluster, members, keep_doc_id, kept)``."""
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents")).drop("row_hash", "para")
 
 
 def op3_marginalised_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Repeated passages: paragraph MinHash, banding, exact Jaccard, components.
+"""Repeated passages: paragraph MinHash, banding, exact Jaccard, components; verbatim runs of words.
 
 A paragraph is a line of at least ``min_words`` words; a line of over
 ``max_words`` is cut where a word's hash is the smallest around it, so that a
@@ -15,6 +15,19 @@ pairs are compared in separate tasks, and a block reports a spanning forest of
 its links, not all pairs. The work is linear in copies and, within one bucket,
 quadratic only in different near copies.
 
+What the paragraphs leave (``repeated_passages``) is searched for verbatim runs
+of ``PASSAGE_WORDS`` words and more that different documents share, wherever
+they stand: inside a line, across line ends, in short lines. Of every
+``PASSAGE_WORDS - GRAM_WORDS + 1`` runs of ``GRAM_WORDS`` words in a row the one
+of the smallest hash is a gram; so every passage holds a gram whole, the same
+one at each of its places. Around grams that two documents have, all windows of
+``PASSAGE_WORDS`` words are counted by the hash of their words. Windows that
+follow each other and are shared by the same documents are one passage, its
+exact common span; it stays in the first document. The work is linear in the
+words of the corpus and of what is repeated; no pair is compared. A window that
+reaches into a paragraph that goes takes no part, and what only one document
+repeats is no passage.
+
 Defined cases: a null or empty text has no paragraph; shorter paragraphs are
 left alone; rows repeated whole (same id and text) count as one document and
 are edited alike; null ids come last in order; an empty table gives an empty
@@ -29,7 +42,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators._util import bounded_broadcast
@@ -48,6 +61,9 @@ CUT_RADIUS = 24
 LONGEST_PIECE = 512
 # different texts of a bucket that are compared in one block
 BLOCK = 512
+# words of the shortest verbatim passage, and of the grams that it is found by
+PASSAGE_WORDS = 50
+GRAM_WORDS = 20
 # bytes hashed at once, and characters after which a line is cut
 CHUNK = 1 << 19
 
@@ -346,16 +362,132 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.col("keeper.doc_id").alias("keep_doc_id"), (place == F.col("keeper")).alias("kept"))
 
 
+def _gone_spans(found: DataFrame, name: str) -> DataFrame:
+    """``(gone_hash, gone array<struct<start, end>>)``: per row, the spans that are not kept; broadcast if few."""
+    spans = (found.where(~F.col("kept")).groupBy(F.col("row_hash").alias("gone_hash"))
+             .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("gone")))
+    return bounded_broadcast(stored(spans, name), BROADCAST_ROWS)
+
+
+def _left_over(text: str, gone: list | None) -> tuple[list[int], list[str]]:
+    """The parts of the text between the spans that go, and where they begin."""
+    offsets, parts, at = [], [], 0
+    for g in [*(gone or []), {"start": len(text), "end": len(text)}]:
+        if g["start"] > at:
+            offsets.append(at)
+            parts.append(text[at:g["start"]].replace("\n", " "))
+        at = max(at, g["end"])
+    return offsets, parts
+
+
+def gram_places(words: np.ndarray, size: int = GRAM_WORDS, passage: int = PASSAGE_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Where grams begin, and their hashes: any run of ``passage`` words holds one whole, chosen by these words alone."""
+    if len(words) < passage:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    hashes = shingle_hashes(words, size)
+    around = np.lib.stride_tricks.sliding_window_view(hashes, passage - size + 1)
+    places = np.unique(around.argmin(axis=1) + np.arange(len(around)))
+    return places, hashes[places]
+
+
+def _grams(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(key, row_hash, at)``: the grams of what the spans leave; ``at`` counts the row's words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shortest = 2 * PASSAGE_WORDS - 1
+        for batch in batches:
+            for row_hash, value, spans in zip(batch["row_hash"].to_pylist(), batch["text"], batch["gone"], strict=True):
+                text = value.as_py() or ""  # one text at a time leaves Arrow's buffer
+                if len(text) < shortest:
+                    continue
+                words, begin = hash_words(_left_over(text, spans.as_py())[1])
+                found = [(a + at, h) for a, b in zip(begin[:-1], begin[1:], strict=True) for at, h in [gram_places(words[a:b])]]
+                at, h = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, dtype=np.int64),) * 2
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(h), row_hash)), pa.array(at.astype(np.int32))],
+                                                 names=["key", "row_hash", "at"])
+        give_back()
+
+    rows = keyed(docs, id_col, text_col).join(gone, F.col("row_hash") == F.col("gone_hash"), "left")
+    return rows.select("row_hash", "text", "gone").mapInArrow(run, "key long, row_hash long, at int")
+
+
+def _windows(docs: DataFrame, gone: DataFrame, grams: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(h, row_hash, doc_id, at, start, end)`` of every window of ``PASSAGE_WORDS`` words around the given grams."""
+    kinds = pa.schema([("h", pa.int64()), ("row_hash", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int32()),
+                       ("start", pa.int64()), ("end", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch["row_hash"].to_pylist(), batch["doc_id"].to_pylist(), batch["text"], batch["gone"], batch["places"])
+            for row_hash, doc_id, value, spans, held in zip(*columns, strict=True):
+                offsets, parts = _left_over(value.as_py(), spans.as_py())
+                words, begin = hash_words(parts)
+                places = np.array(held.as_py(), dtype=np.int64)
+                part = np.searchsorted(begin, places, side="right") - 1
+                first = np.maximum(begin[part], places + GRAM_WORDS - PASSAGE_WORDS)
+                last = np.minimum(begin[part + 1] - PASSAGE_WORDS, places)
+                at = np.unique(np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last, strict=True)]))
+                h = _range_hashes(words, at, at + PASSAGE_WORDS, WHOLE_STEP)
+                edges = np.array([(o + m.start(), o + m.end()) for o, p in zip(offsets, parts, strict=True) for m in _word(p)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h.view(np.int64)), pa.array(np.full(len(at), row_hash)), pa.array([doc_id] * len(at), pa.int64()),
+                     pa.array(at.astype(np.int32)), pa.array(edges[at, 0]), pa.array(edges[at + PASSAGE_WORDS - 1, 1])], schema=kinds)
+        give_back()
+
+    import re
+
+    _word = re.compile(r"[^\x20\x09-\x0D]+").finditer
+    per_row = grams.groupBy(F.col("row_hash").alias("held_hash")).agg(F.sort_array(F.collect_set("at")).alias("places"))
+    per_row = bounded_broadcast(stored(per_row, "gram-rows"), BROADCAST_ROWS)
+    rows = (keyed(docs, id_col, text_col).join(per_row, F.col("row_hash") == F.col("held_hash"))
+            .join(gone, F.col("row_hash") == F.col("gone_hash"), "left"))
+    return rows.select("row_hash", "doc_id", "text", "gone", "places").mapInArrow(
+        run, "h long, row_hash long, doc_id long, at int, start long, end long")
+
+
+def verbatim_passages(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every verbatim passage in what the spans of ``gone`` leave, with the columns of ``repeated_paragraphs``.
+
+    ``cluster`` is the hash of the passage's first window; ``para`` is null, as
+    a passage may run over several lines. Rows repeated whole are listed once.
+    """
+    grams = stored(_grams(docs, gone, id_col, text_col), "grams")
+    shared = stored(grams.groupBy("key").agg(F.min("row_hash").alias("low"), F.max("row_hash").alias("high"))
+                    .where("low <> high").select("key"), "shared-grams")
+    held = grams.join(bounded_broadcast(shared, BROADCAST_ROWS), "key", "left_semi")
+    windows = stored(_windows(docs, gone, held, id_col, text_col).distinct(), "windows")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_hash", "at")
+    counts = (windows.groupBy("h").agg(F.min(place).alias("keeper"), F.count(F.lit(1)).alias("members"),
+                                       F.bit_xor(F.xxhash64("row_hash")).alias("rows"), F.min("row_hash").alias("low"),
+                                       F.max("row_hash").alias("high")).where("low <> high").drop("low", "high"))
+    found = (windows.join(bounded_broadcast(stored(counts, "window-counts"), BROADCAST_ROWS), "h")
+             .withColumn("kept", F.col("row_hash") == F.col("keeper.row_hash")))
+    before = Window.partitionBy("row_hash").orderBy("at")
+    follows = F.col("at") == F.lag("at").over(before) + 1
+    for c in ("keeper.row_hash", "members", "rows"):
+        follows = follows & (F.col(c) == F.lag(c).over(before))
+    found = (found.withColumn("new", F.when(F.coalesce(follows, F.lit(False)), 0).otherwise(1))
+             .withColumn("run", F.sum("new").over(before)))
+    runs = found.groupBy("row_hash", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n"),
+        F.min(F.struct("at", "doc_id", "h", "members", "keeper", "kept")).alias("first"))
+    return runs.select("row_hash", "first.doc_id", F.lit(None).cast("int").alias("para"), "start", "end",
+                       (F.col("n") + PASSAGE_WORDS - 1).cast("int").alias("n_words"), F.col("first.h").alias("cluster"), "first.members",
+                       F.col("first.keeper.doc_id").alias("keep_doc_id"), "first.kept")
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``repeated_paragraphs``, and the verbatim passages in what stays of the texts without those that go."""
+    found = stored(repeated_paragraphs(docs, id_col, text_col, **options), "repeated-paragraphs")
+    return found.unionByName(verbatim_passages(docs, _gone_spans(found, "paragraph-spans"), id_col, text_col))
+
+
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without its repeated paragraphs (all but the kept one of each cluster), columns kept.
+    """``docs`` without its repeated paragraphs and passages (all but the kept one of each cluster), columns kept.
 
     A line that goes takes its line break with it; ``n_chars`` is counted anew.
     Documents of which no word is left go.
     """
-    gone = repeated_paragraphs(docs, id_col, text_col, **options).where(~F.col("kept"))
-    spans = (gone.groupBy(F.col("row_hash").alias("gone_hash"))
-             .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("gone")))
-    spans = bounded_broadcast(stored(spans, "repeat-spans"), BROADCAST_ROWS)
+    spans = _gone_spans(repeated_passages(docs, id_col, text_col, **options), "repeat-spans")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, gone: pd.Series) -> pd.Series:
@@ -374,7 +506,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _without(text: str, spans: list) -> str:
     """The text without the spans; a line left blank by that goes with its line break."""
     parts, at, start, end = [], 0, 0, 0
-    for start, end in spans:
+    for start, end in _merged(spans):
         parts.append(text[at:start])
         at = end
         if text[at:at + 1] == "\n" and (start == 0 or text[start - 1] == "\n"):
@@ -382,3 +514,14 @@ def _without(text: str, spans: list) -> str:
     left = "".join([*parts, text[at:]])
     # the last line takes the break before it
     return left[:-1] if at == end == len(text) and left.endswith("\n") and text[start - 1] == "\n" else left
+
+
+def _merged(spans: list) -> list[tuple[int, int]]:
+    """The ordered spans, those that overlap as one."""
+    out: list[tuple[int, int]] = []
+    for start, end in spans:
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((int(start), int(end)))
+    return out

@@ -308,6 +308,50 @@ def test_long_lines_are_cut_alike_wherever_a_passage_stands(spark):
     assert any(text[r["doc_id"]][r["start"]:r["end"]] in passage for r in got)
 
 
+def windows_of(text, n=50):
+    w = text.lower().split()
+    return [tuple(w[k:k + n]) for k in range(len(w) - n + 1)]
+
+
+def test_verbatim_passages_wherever_they_stand(spark):
+    """Inside a line, across line ends, in short lines, in a long line, and in a crowd; what one text repeats stays."""
+    p, q = words(50, 42), words(66, 43)
+    short, wide = "\n".join(" ".join(p.split()[k:k + 10]) for k in range(0, 50, 10)), words(60, 44)
+    texts = [words(70, 100) + " " + p + " " + words(45, 101), "begin\n" + short + "\nend " + words(12, 102), words(160, 103) + " " + p + " " + words(90, 104),
+             words(120, 105) + " " + wide + " " + words(8, 106), words(110, 107) + "\n" + words(15, 108) + " " + wide.replace(" ", "\n", 1) + " " + words(70, 109),
+             " ".join([words(30, 110), q, words(20, 111), q, words(10, 112)]), " ".join(["la"] * 300), words(49, 42), words(300, 113)]
+    texts += [words(60 + k, 200 + k) + " " + q + " " + words(40, 300 + k) for k in range(30)]
+    docs = list(enumerate(texts))
+    df = frame(spark, [(i, t, "en", "x") for i, t in docs])
+    got = [r for r in substring_dedup.repeated_passages(df).collect() if r["para"] is None]
+    spans = {}
+    for r in got:
+        spans.setdefault(r["doc_id"], []).append((" ".join(texts[r["doc_id"]][r["start"]:r["end"]].split()), r["members"], r["keep_doc_id"], r["kept"]))
+    for i, s in ((0, True), (1, False), (2, False)):
+        assert (p, 3, 0, s) in spans[i]
+    assert spans[3] == [(wide, 2, 3, True)] and spans[4] == [(wide, 2, 3, False)]
+    assert spans[5] == [(q, 32, 5, True)] * 2
+    assert all(spans[9 + k] == [(q, 32, 5, False)] for k in range(30)) and not {6, 7, 8} & set(spans)
+    left = {r["doc_id"]: r["text"] for r in substring_dedup.without_repeats(df).collect()}
+    seen = {}
+    for i, t in left.items():
+        for x in windows_of(t):
+            assert seen.setdefault(x, i) == i
+    assert " ".join(left[0].split()) == texts[0] and left[1] == "begin\nend " + words(12, 102)
+    assert all(left[i] == texts[i] for i in (5, 6, 7, 8)) and [x for x in left[9].split() if x] == (words(60, 200) + " " + words(40, 300)).split()
+
+
+def test_every_window_holds_a_gram():
+    import numpy as np
+
+    w, _ = substring_dedup.hash_words([words(3000, 5)])
+    places, _ = substring_dedup.gram_places(w)
+    for at in range(len(w) - 49):
+        inside = places[(places >= at) & (places <= at + 30)] - at
+        assert len(inside) and set(substring_dedup.gram_places(w[at:at + 50])[0]) <= set(inside)
+    assert np.diff(places).max() <= 31 and len(places) < 0.08 * len(w)
+
+
 def test_bands_are_tuned():
     b = substring_dedup.tune_bands(0.8, 0.998, 4)
     assert 1 - (1 - 0.8 ** 4) ** b >= 0.998 > 1 - (1 - 0.8 ** 4) ** (b - 1)
