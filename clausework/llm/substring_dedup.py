@@ -1,11 +1,13 @@
 """Repeated passages: paragraph MinHash, banding, exact Jaccard, components; verbatim runs of words.
 
 A paragraph is a line of at least ``min_words`` words; a line of over
-``max_words`` is cut where a word's hash is the smallest around it, so that a
-passage is cut alike wherever it stands. Paragraphs of the same words are one
+``max_words`` is one too, and is also cut where a word's hash is the smallest
+around it, so that a passage is cut alike wherever it stands. Paragraphs of the same words are one
 text. Different texts whose word-shingle sets have a Jaccard similarity of at
 least ``similarity`` are linked; of every component the first paragraph (by
-document id, then position) stays and the others are to go.
+document id, then position) stays and the others are to go. Lines over
+``max_words`` give way to whole lines only, and pieces of one that goes take no
+part, so that nothing goes for a place that goes itself.
 
 Candidates come from MinHash bands, as many as give the wanted recall at the
 threshold (``tune_bands``). Only band values that different texts share are
@@ -55,6 +57,8 @@ RECALL = 0.998
 ROWS_PER_BAND = 4
 MIN_WORDS = 20
 MAX_WORDS = 200
+# what a paragraph is: a line in one piece, a piece of a line, a line that is also there in pieces
+LINE, PIECE, CUT_LINE = 0, 1, 2
 # words on either side among which a cut of a long line has the smallest hash
 CUT_RADIUS = 24
 # a piece without such a place is cut after this many words
@@ -172,7 +176,7 @@ def _segments(line: str) -> Iterator[tuple[int, str]]:
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
                max_words: int = MAX_WORDS, shingle: int = SHINGLE_WORDS, bands: int | None = None,
                rows: int = ROWS_PER_BAND) -> DataFrame:
-    """``(row_hash, doc_id, para, start, end, n_words, h, bands array<long>)`` of every paragraph.
+    """``(row_hash, doc_id, para, start, end, n_words, kind, h, bands array<long>)`` of every paragraph.
 
     ``start`` and ``end`` are code-point offsets in the text, ``h`` a hash of
     the words. Only the first paragraph of the same words in a batch carries
@@ -185,15 +189,19 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         """The paragraphs of the held lines ``(row_hash, doc_id, line number, offset, line)``."""
         words, begin = hash_words([h[4] for h in held])
         counts = np.diff(begin)
-        owner, first, last = [], [], []
+        owner, first, last, what = [], [], [], []
         for i in np.flatnonzero(counts >= min_words).tolist():
             if counts[i] <= max_words:
                 cuts = [0, int(counts[i])]
             else:
                 cuts = _cuts(words[begin[i]:begin[i + 1]])
-            for a, b in zip(cuts, cuts[1:], strict=False):
+            units = [(a, b, PIECE if len(cuts) > 2 else LINE) for a, b in zip(cuts, cuts[1:], strict=False)]
+            if len(cuts) > 2:
+                units.append((0, int(counts[i]), CUT_LINE))
+            for a, b, kind in units:
                 if b - a >= min_words:
                     owner.append(i)
+                    what.append(kind)
                     first.append(int(begin[i]) + a)
                     last.append(int(begin[i]) + b)
         if not owner:
@@ -210,18 +218,18 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             keys = iter(band_keys(shingle_hashes(words, shingle), f[new], (l_ - f)[new] - shingle + 1, n_bands, rows).view(np.int64))
         out = []
         spans: tuple[int, list] = (-1, [])
-        for i, a, b, x, is_new in zip(owner, first, last, h.view(np.int64).tolist(), new, strict=True):
+        for i, a, b, kind, x, is_new in zip(owner, first, last, what, h.view(np.int64).tolist(), new, strict=True):
             row_hash, doc_id, number, offset, line = held[i]
             start, end = 0, len(line)
             if b - a < counts[i]:
                 if spans[0] != i:
                     spans = (i, [m.span() for m in _word(line)])
                 start, end = spans[1][a - begin[i]][0], spans[1][b - begin[i] - 1][1]
-            out.append((row_hash, doc_id, number, offset + start, offset + end, b - a, x, next(keys) if is_new else None))
+            out.append((row_hash, doc_id, number, offset + start, offset + end, b - a, kind, x, next(keys) if is_new else None))
         return pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], schema=kinds)
 
     kinds = pa.schema([("row_hash", pa.int64()), ("doc_id", pa.int64()), ("para", pa.int32()), ("start", pa.int64()), ("end", pa.int64()),
-                       ("n_words", pa.int32()), ("h", pa.int64()), ("bands", pa.list_(pa.int64()))])
+                       ("n_words", pa.int32()), ("kind", pa.int32()), ("h", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shortest = 2 * min_words - 1
@@ -248,7 +256,7 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     _word = re.compile(r"[^\x20\x09-\x0D]+").finditer
     return keyed(docs, id_col, text_col).mapInArrow(
-        run, "row_hash long, doc_id long, para int, start long, end long, n_words int, h long, bands array<long>")
+        run, "row_hash long, doc_id long, para int, start long, end long, n_words int, kind int, h long, bands array<long>")
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -355,11 +363,29 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .select("h", F.coalesce("component", "h").alias("cluster")))
     found = stored(paras.drop("bands").join(named, "h"), "repeats")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_hash", "para", "start")
-    firsts = (found.groupBy("cluster").agg(F.min(place).alias("keeper"), F.max(place).alias("last"), F.count(F.lit(1)).alias("members"))
-              .where(F.col("keeper") != F.col("last")).drop("last"))
-    return found.join(firsts, "cluster").select(
-        "row_hash", "doc_id", "para", "start", "end", "n_words", "cluster", "members",
-        F.col("keeper.doc_id").alias("keep_doc_id"), (place == F.col("keeper")).alias("kept"))
+
+    def firsts(units: DataFrame) -> DataFrame:
+        """``(cluster, keeper, members)`` of the clusters with several places."""
+        return (units.groupBy("cluster").agg(F.min(place).alias("keeper"), F.max(place).alias("last"), F.count(F.lit(1)).alias("members"))
+                .where(F.col("keeper") != F.col("last")).drop("last"))
+
+    # whole lines, where a cut line is among them
+    clusters = bounded_broadcast(stored(found.where(F.col("kind") == CUT_LINE).select("cluster").distinct(), "line-clusters"), BROADCAST_ROWS)
+    lines = stored(found.where(F.col("kind") != PIECE).join(clusters, "cluster", "left_semi"), "whole-lines")
+    lines = stored(lines.join(firsts(lines), "cluster").withColumn("kept", place == F.col("keeper")), "repeated-lines")
+    gone = lines.where(~F.col("kept")).select(*[F.col(c).alias(f"gone_{c}") for c in ("row_hash", "para", "start", "end")]).distinct()
+    gone = bounded_broadcast(stored(gone, "gone-lines"), BROADCAST_ROWS)
+    inside = ((F.col("row_hash") == F.col("gone_row_hash")) & (F.col("para") == F.col("gone_para"))
+              & (F.col("start") >= F.col("gone_start")) & (F.col("end") <= F.col("gone_end")))
+    # the other lines, and pieces of lines that stay
+    units = found.where(F.col("kind") != CUT_LINE).join(gone, inside, "left_anti")
+    found = units.join(firsts(units), "cluster").withColumn("kept", place == F.col("keeper"))
+    columns = ["row_hash", "doc_id", "para", "start", "end", "n_words", "cluster", "members", F.col("keeper.doc_id").alias("keep_doc_id"), "kept"]
+    # a line in one piece that stays among the whole lines is listed with the pieces it meets, if any
+    met = units.join(lines.where(F.col("kept") & (F.col("kind") == LINE)).select("cluster").distinct(), "cluster", "left_semi")
+    alone = F.col("kept") & (F.col("kind") == LINE)
+    lines = lines.where(~alone).unionByName(lines.where(alone).join(firsts(met).select("cluster"), "cluster", "left_anti"))
+    return found.select(*columns).unionByName(lines.select(*columns))
 
 
 def _gone_spans(found: DataFrame, name: str) -> DataFrame:

@@ -308,6 +308,23 @@ def test_long_lines_are_cut_alike_wherever_a_passage_stands(spark):
     assert any(text[r["doc_id"]][r["start"]:r["end"]] in passage for r in got)
 
 
+def test_lines_on_both_sides_of_the_longest_paragraph(spark):
+    """Near copies without 50 words in a row in common, of 198 and 203 words and of 400, are one; the first stays."""
+    def near(text, mark):
+        return " ".join(f"{mark}{k}" if k % 49 == 48 else x for k, x in enumerate(text.split()))
+
+    a, b, c = words(198, 51), words(203, 52), words(400, 53)
+    b_short = " ".join(near(b, "n").split()[:198])
+    docs = [(0, a), (1, near(a, "n") + " " + words(5, 54)), (2, b), (3, "own line\n" + b_short), (4, c), (5, near(c, "n") + "\nown line"), (6, words(300, 55)), (7, c)]
+    df = frame(spark, [(i, t, "en", "x") for i, t in docs])
+    got = {(r["doc_id"], r["start"], r["n_words"]): (r["members"], r["keep_doc_id"], r["kept"]) for r in substring_dedup.repeated_paragraphs(df).collect()}
+    want = {(0, 0, 198): (2, 0, True), (1, 0, 203): (2, 0, False), (2, 0, 203): (2, 2, True), (3, 9, 198): (2, 2, False),
+            (4, 0, 400): (3, 4, True), (5, 0, 400): (3, 4, False), (7, 0, 400): (3, 4, False)}
+    assert got == want
+    left = {r["doc_id"]: r["text"] for r in substring_dedup.without_repeats(df).collect()}
+    assert left == {0: a, 2: b, 3: "own line", 4: c, 5: "own line", 6: docs[6][1]}
+
+
 def windows_of(text, n=50):
     w = text.lower().split()
     return [tuple(w[k:k + n]) for k in range(len(w) - n + 1)]
