@@ -3,8 +3,8 @@
 The two halves of a vector are quantised by codebooks of their own; a vector's
 cell is its pair of centroids. A query sorts the centroids of each half by
 distance and visits the pairs in order of their summed distance with a heap,
-until the cells hold a given share of all vectors. The entries of the visited
-cells are reranked by exact distance.
+until the cells hold a given share of all entries, and as many as ``k`` other ids
+need. The entries of the visited cells are reranked by exact distance.
 
 The codebooks are fitted on a bounded sample (at most about ``sample_rows``
 vectors) by a few rounds of k-means over Spark tasks; every vector is indexed.
@@ -128,12 +128,15 @@ def nearest(table: DataFrame, is_query: F.Column, k: int = 10, id_col: str = "ve
     books = fit_codebooks(vectors, rows, centroids, sample_rows)
     index = stored(cells_of(vectors, books), "ann-index")
     population = np.zeros(len(books[0]) * len(books[1]), dtype=np.int64)
-    for r in index.groupBy("cell").count().collect():  # a row per cell
+    for r in index.select("cell", "vec_id").distinct().groupBy("cell").count().collect():  # a row per cell
         population[r["cell"]] = r["count"]
+    # cells that hold so many ids hold k others, even if every id that is in several cells is counted in each
+    held = int(population.sum())
+    wanted = max(share * held, held - index.select("vec_id").distinct().count() + k + 1)
 
     def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            cells = [np.sort(np.array(visit(q, books, population, share * rows), dtype=np.int32)) for q in b["vec"]]
+            cells = [np.sort(np.array(visit(q, books, population, wanted), dtype=np.int32)) for q in b["vec"]]
             yield pd.DataFrame({"query_id": b["query_id"], "vec": b["vec"], "cells": cells})
 
     asked = index.where(is_query).select(F.col("vec_id").alias("query_id"), "vec")

@@ -231,6 +231,16 @@ def test_repeated_rows_take_no_neighbours_place(spark, copies):
         assert [x["vec_id"] for x in sorted(got, key=lambda x: x["rank"])] == [j for _, j in brute_nearest(by_id, 0, 10)]
 
 
+def test_few_rows_are_all_visited(spark):
+    """With the share of production: k neighbours, or all there are; copies of one id do not count as several."""
+    r = random.Random(7)
+    for n, copies in ((3, 1), (8, 1), (14, 1), (14, 60)):
+        data = [(i, [r.gauss(0, 1) for _ in range(6)]) for i in range(n)]
+        df = spark.createDataFrame(data + [(1, [x + r.gauss(0, 0.3) for x in data[1][1]]) for _ in range(copies - 1)], "vec_id long, embedding array<double>")
+        got = [x["vec_id"] for x in ann.nearest(df, F.col("vec_id") == 0).collect()]
+        assert len(got) == len(set(got)) == min(10, n - 1) and 0 not in got
+
+
 # conversations
 
 TURNS = "conv_id long, turn long, role string, text string, part int, ids int, conv string"
