@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import ann, chat, html_text, language_id, mixing, packing, sharding, simhash, substring_dedup, topk
+from . import ann, chat, html_text, language_id, mixing, packing, sharding, simhash, substring_dedup, suffix_dedup, topk
 
 # shards of the placement query
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -81,6 +81,14 @@ def op10_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op11_bounded_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` of every document."""
+    found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate(F.zip_with("ends", "starts", lambda e, s: e - s), F.lit(0).cast("long"), lambda a, x: a + x)
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tag_path_extraction": op1_tag_path_extraction,
     "op2_paragraph_minhash": op2_paragraph_minhash,
@@ -92,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pivot_table_top_k": op8_pivot_table_top_k,
     "op9_source_mix": op9_source_mix,
     "op10_best_two_fit_packing": op10_best_two_fit_packing,
+    "op11_bounded_bwt_dedup": op11_bounded_bwt_dedup,
 }
 
 ORACLE: dict[str, str] = {
