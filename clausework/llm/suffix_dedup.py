@@ -13,16 +13,17 @@ never looked at again; the expansion stops at ``min_length``. The intervals
 that are left are the groups of equal strings of that length, whose smallest
 document id decides what goes.
 
-Dealing the work out. Of the hashes of a window's grams the smallest names the
-window, so equal windows have one name wherever they stand, and neighbouring
-windows mostly share it: a run of windows of one name is a segment. Names that
-only one document holds cannot repeat and are dropped by exchanging hashes
-alone; the segments of the others, equal ones of a block of documents once, go
-to the task of their name, where the transform is built in bounded chunks. The
-hashes only deal; equality is decided on the bytes. A name that very many
-blocks hold (``crowd``) is dealt out again: its windows go one by one by the
-hash of their own bytes. Tasks answer with the smallest id per window, and
-every block removes what its documents repeat.
+Dealing the work out. Of a window's grams the one of the smallest hash (the
+first on ties) names the window, so equal windows have one name wherever they
+stand, and neighbouring windows mostly share it: a run of windows of one name
+is a segment. Names that only one document holds cannot repeat and are dropped
+by exchanging hashes alone; the segments of the others, equal ones of a block
+of documents once, go to the task of their name, where the transform is built
+in bounded chunks. The hashes only deal; equality is decided on the bytes. A
+name that very many blocks hold (``crowd``) is dealt out again: its windows go
+one by one by the hash of their own bytes. Tasks answer with the runs that each
+block's documents repeat. Blocks are kept in a bucketed table, so their texts
+are written once and never shuffled.
 
 Defined cases: a null text is empty; texts below ``min_length`` keep
 everything; a null id counts as the largest one; rows of one id (or of none)
@@ -41,6 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from ._common import give_back, stored
 
 MIN_LENGTH = 50
@@ -48,67 +50,131 @@ MIN_LENGTH = 50
 BLOCK_BYTES = 12 << 20
 # text bytes for each task that compares names or segments
 BUCKET_BYTES = 12 << 20
+# files of a bucketed table at most, Spark's own limit
+MOST_BUCKETS = 100_000
 # symbols of one transform, about
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+# names of a bucket are put into so many parts, the units of chunks
+PARTS = 1 << 8
 # blocks holding one name, beyond which its windows are dealt out one by one
 CROWD = 4096
+# bytes of a text hashed at once; the place in the slice stands in as many low bits of a key
+SLICE_BITS = 17
 NO_ID = np.iinfo(np.int64).max
-
-
 # odd factors of the hashes that deal windows out; they decide no result
-BYTE, JOIN, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xBF58476D1CE4E5B9)
+BYTE, JOIN, MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9
 
 
-def gram_hashes(text: np.ndarray, length: int) -> np.ndarray:
-    """64-bit hashes of all grams of ``length`` bytes, by joining hashes of shorter grams."""
-    with np.errstate(over="ignore"):
-        shorter, size, factor = (text.astype(np.uint64) + np.uint64(1)) * BYTE, 1, JOIN
-        out, have = None, 0
-        while size <= length:
-            if length & size:  # grams of the lengths whose sum is asked for stand one after another
-                out = shorter if out is None else out[:len(shorter) - have] * factor + shorter[have:]
-                have += size
-            if size * 2 <= length:
-                shorter = shorter[:len(shorter) - size] * factor + shorter[size:]
-            size, factor = size * 2, factor * factor
-        out = (out ^ (out >> np.uint64(29))) * MIX
-        return out ^ (out >> np.uint64(32))
+def gram_hashes(text: np.ndarray, length: int, kind: type = np.uint64) -> np.ndarray:
+    """Hashes of all grams of ``length`` bytes in an unsigned type, by joining hashes of shorter grams."""
+    bits = 8 * np.dtype(kind).itemsize
+    byte, factor = kind(BYTE % (1 << bits)), JOIN % (1 << bits)
+    shorter, size, out, have = (text.astype(kind) + kind(1)) * byte, 1, None, 0
+    while size <= length:
+        if length & size:  # grams of the lengths whose sum is asked for stand one after another
+            out = shorter if out is None else out[:len(shorter) - have] * kind(factor) + shorter[have:]
+            have += size
+        if size * 2 <= length:
+            shorter = shorter[:len(shorter) - size] * kind(factor) + shorter[size:]
+        size, factor = size * 2, factor * factor % (1 << bits)
+    return out
 
 
 def _gram_length(min_length: int) -> int:
-    return max(1, min_length // 2 - 1)
+    return max(1, min_length // 3)
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(29))) * np.uint64(MIX)
+    return values ^ (values >> np.uint64(32))
 
 
-def window_names(text: bytes, min_length: int = MIN_LENGTH) -> np.ndarray:
-    """The name of every window of ``min_length`` bytes: the smallest of its grams' hashes."""
-    if len(text) < min_length:
-        return np.zeros(0, dtype=np.uint64)
+def named_runs(text: bytes, min_length: int = MIN_LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(names, starts, ends)``: runs of windows of ``min_length`` bytes that share a name, by where they start."""
     gram = _gram_length(min_length)
-    low, reach, width = gram_hashes(np.frombuffer(text, dtype=np.uint8), gram), 1, min_length - gram + 1
-    while reach * 2 <= width:
-        low, reach = np.minimum(low[:len(low) - reach], low[reach:]), reach * 2
-    if reach < width:
-        low = np.minimum(low[:len(low) - (width - reach)], low[width - reach:])
-    return low
+    width = min_length - gram + 1
+    places, firsts = [], []
+    move = (1 << SLICE_BITS) - min_length
+    whole = np.frombuffer(text, dtype=np.uint8)
+    for at in range(0, len(text) - min_length + 1, move):
+        part = whole[at:at + move + min_length - 1]
+        h = gram_hashes(part, gram, np.uint32)
+        low, reach = (h & np.uint32(0xFFFFFFFF << SLICE_BITS & 0xFFFFFFFF)) | np.arange(len(h), dtype=np.uint32), 1
+        while reach * 2 <= width:
+            low, reach = np.minimum(low[:len(low) - reach], low[reach:]), reach * 2
+        if reach < width:
+            low = np.minimum(low[:len(low) - (width - reach)], low[width - reach:])
+        first = _runs(low)
+        places.append((low[first] & np.uint32((1 << SLICE_BITS) - 1)).astype(np.int64) + at)
+        firsts.append(first + at)
+    if not places:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    place, start = np.concatenate(places), np.concatenate(firsts)
+    # the 64-bit name of the gram at each place, eight bytes at a time
+    grams = np.lib.stride_tricks.sliding_window_view(whole, gram)[place]
+    padded = np.zeros((len(place), -(-gram // 8) * 8), dtype=np.uint8)
+    padded[:, :gram] = grams
+    names = np.zeros(len(place), dtype=np.uint64)
+    for word in padded.view("<u8").T:
+        names = _mixed(names * np.uint64(JOIN) + word + np.uint64(BYTE))
+    # places of equal grams in a row (periodic texts) are one run, cut to a bounded length
+    new = _runs(names)
+    names, start = names[new], start[new]
+    end = np.append(start[1:], len(text) - min_length + 1)
+    if (end - start).max() > width:
+        times = -(-(end - start) // width)
+        step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        names, start, last = np.repeat(names, times), np.repeat(start, times) + step * width, np.repeat(end, times)
+        end = np.minimum(start + width, last)
+    return names, start, end
+
+
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values start."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, dtype=np.int64)
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in the sorted ``known``."""
+    if not len(known):
+        return np.zeros(len(values), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def _bucket(names: np.ndarray, buckets: int) -> np.ndarray:
+    return (names % np.uint64(buckets)).astype(np.int64)
 
 
-def _runs(names: np.ndarray) -> np.ndarray:
-    """Where runs of equal names start."""
-    return np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]])) if len(names) else np.zeros(0, dtype=np.int64)
+def _pack(values: np.ndarray) -> bytes:
+    """An array as its length and compressed byte planes, in which the high bytes of small numbers vanish."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T if len(values) else np.zeros((1, 0), dtype=np.uint8)
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
-def _spread(names: np.ndarray, buckets: int) -> np.ndarray:
-    """The bucket of each name; names are minima, so only their lower half is even."""
-    return ((names & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int64)
+def _unpack(data: bytes, kind: type) -> np.ndarray:
+    n, width = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    raw = pa.decompress(data[8:], n * width, codec="zstd", asbytes=True) if n else b""
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(width, n).T).view(kind).reshape(n)
 
 
 # --- the transform ------------------------------------------------------------
 
+def _order(keys: np.ndarray) -> np.ndarray:
+    """Positions in the order of their keys, equal ones as they stand."""
+    bits = len(keys).bit_length()
+    if int(keys.max()).bit_length() + bits > 64:
+        return np.argsort(keys, kind="stable")
+    # sorting keys with their places attached is much faster than an argsort
+    packed = keys << np.uint64(bits) | np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    return (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
 def suffix_order(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
     """Starts of all suffixes in order; each ends at its string's end mark, equal ones stay in text order.
 
-    ``symbols`` are bytes plus 1, strings end with 0; ``left`` is the number
-    of symbols to the end mark, itself included.
+    ``symbols`` are above 0 but for the end marks; ``left`` is the number of
+    symbols to the end mark, itself included.
     """
     n = len(symbols)
 
@@ -118,19 +184,22 @@ def suffix_order(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
         out[left <= by] = 0
         return out
 
-    one = symbols.astype(np.uint64)
-    two = one << np.uint64(9) | ahead(one, 1)
-    three = two << np.uint64(9) | ahead(one, 2)
-    key = (two << np.uint64(18) | ahead(two, 2)) << np.uint64(27) | ahead(three, 4)
-    known, longest = 7, int(left.max(initial=0))
+    used = np.bincount(symbols, minlength=1) > 0
+    used[0] = True
+    code = (np.cumsum(used) - 1).astype(np.uint64)[symbols]
+    bits = int(used.sum() - 1).bit_length() or 1
+    known, longest = max(1, (64 - n.bit_length()) // bits), int(left.max(initial=0))
+    key = code
+    for by in range(1, known):
+        key = key << np.uint64(bits) | ahead(code, by)
     while True:
-        order = np.argsort(key, kind="stable")
-        new = np.concatenate([[True], key[order[1:]] != key[order[:-1]]])
-        if known >= longest or new.all():
+        order = _order(key)
+        if known >= longest:
             return order
+        inside = key[order]
         rank = np.empty(n, dtype=np.uint64)
-        rank[order] = np.cumsum(new)
-        key = rank * np.uint64(n + 1) + (ahead(rank, known) if known < n else np.uint64(0))
+        rank[order] = np.cumsum(np.concatenate([[True], inside[1:] != inside[:-1]]), dtype=np.uint64)
+        key = rank << np.uint64(n.bit_length()) | ahead(rank, known)
         known *= 2
 
 
@@ -138,10 +207,10 @@ def prefix_groups(transform: np.ndarray, min_length: int) -> np.ndarray:
     """For each row of a transform, whether a new group of equal prefixes of ``min_length`` symbols starts there.
 
     ``transform`` has the symbol before each suffix in suffix order, 0 at the
-    start of a string. The stable order of the transform by symbol tells for
-    each suffix the row of the suffix without its first symbol.
+    start of a string. Its stable order by symbol tells for each suffix the row
+    of the suffix without its first symbol.
     """
-    behind = np.argsort(transform, kind="stable")
+    behind = _order(transform.astype(np.uint64)).astype(np.int32)
     first = transform[behind]
     starts = np.concatenate([[True], (first[1:] != first[:-1]) | (first[1:] == 0)])
     open_rows = np.flatnonzero(~starts)
@@ -152,8 +221,9 @@ def prefix_groups(transform: np.ndarray, min_length: int) -> np.ndarray:
         interval = np.cumsum(starts, dtype=np.int32)
         parted = interval[here] != interval[above]
         starts[open_rows[parted]] = True
-        stay = ~parted
-        open_rows, here, above = open_rows[stay], here[stay], above[stay]
+        if np.count_nonzero(parted) * 8 > len(parted):  # decided rows are left out, when there are some
+            stay = ~parted
+            open_rows, here, above = open_rows[stay], here[stay], above[stay]
     return starts
 
 
@@ -167,15 +237,15 @@ def smallest_ids(data: np.ndarray, lengths: np.ndarray, lows: np.ndarray, min_le
     symbols = np.zeros(n, dtype=np.uint16)
     body = np.ones(n, dtype=bool)
     body[ends - 1] = False
-    symbols[body] = data.astype(np.uint16) + 1
-    own = np.repeat(np.arange(len(lengths)), lengths + 1)
+    symbols[body] = data.astype(np.uint16) + np.uint16(1)
+    own = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths + 1)
     left = ends[own] - np.arange(n)
     order = suffix_order(symbols, left)
     starts = prefix_groups(symbols[order - 1], min_length)
     heads = np.flatnonzero(starts)
     low = np.minimum.reduceat(lows[own[order]], heads)
     at = np.empty(n, dtype=np.int64)
-    at[order] = np.repeat(low, np.diff(np.concatenate([heads, [n]])))
+    at[order] = np.repeat(low, np.diff(np.append(heads, n)))
     return at[left > min_length]
 
 
@@ -184,8 +254,12 @@ def smallest_ids(data: np.ndarray, lengths: np.ndarray, lows: np.ndarray, min_le
 BASE = "block long, row long, doc_id long, text binary"
 
 
-def blocks_of(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``(block, row, doc_id, text)``, written: documents in blocks of about ``block_bytes``, a row number each."""
+def blocks_of(docs: DataFrame, id_col: str, text_col: str, buckets: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``(block, row, doc_id, text)``: documents in blocks of about ``block_bytes``, a row number each.
+
+    Written below the shared folder as a table bucketed by block, so that what
+    is said about a block comes to its documents and not the other way round.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -204,39 +278,46 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BL
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string").cast("binary"), F.lit(b"")).alias("text"))
-    return stored(rows.mapInArrow(run, BASE), "suffix-base")
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "suffix-base")
+    name = "suffix_base_" + path.rsplit("-", 1)[1]
+    (rows.mapInArrow(run, BASE).write.format("parquet").option("path", path).option("compression", "zstd")
+     .bucketBy(buckets, "block").saveAsTable(name))
+    base = spark.table(name)
+    base.schema
+    spark.sql(f"DROP TABLE {name}")  # the name alone: the files are the frame's
+    return base
 
 
-def _pack(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values).tobytes()
+def _texts(docs: pa.Table | pa.RecordBatch) -> Iterator[bytes]:
+    """One text at a time leaves Arrow's buffer."""
+    return (t.as_buffer().to_pybytes() for t in docs["text"])
 
 
 def held_names(base: DataFrame, min_length: int, buckets: int) -> DataFrame:
     """``(bucket, block, once, more)``: each block's names, those of several of its documents in ``more``."""
     def rows_of(block: int, found: list[np.ndarray]) -> pa.RecordBatch:
         names, counts = np.unique(np.concatenate(found), return_counts=True)
-        bucket = _spread(names, buckets)
+        bucket = _bucket(names, buckets)
         order = np.argsort(bucket, kind="stable")
         names, counts, bucket = names[order], counts[order], bucket[order]
         cuts = np.append(_runs(bucket), len(bucket))
         parts = [(names[a:b], counts[a:b] > 1) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return pa.RecordBatch.from_arrays(
             [pa.array(bucket[cuts[:-1]]), pa.array(np.full(len(parts), block, dtype=np.int64)),
-             pa.array([_pack(x[~m]) for x, m in parts], pa.binary()), pa.array([_pack(x[m]) for x, m in parts], pa.binary())],
+             pa.array([_sorted_pack(x[~m]) for x, m in parts], pa.binary()), pa.array([_sorted_pack(x[m]) for x, m in parts], pa.binary())],
             names=["bucket", "block", "once", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, found, held = None, [], 0
         for b in batches:
-            for own, text in zip(b["block"].to_pylist(), b["text"], strict=True):
-                if found and (own != block or held > BLOCK_BYTES):
+            for own, text in zip(b["block"].to_pylist(), _texts(b), strict=True):
+                if found and (own != block or held > 2 * BLOCK_BYTES):
                     yield rows_of(block, found)
                     found, held = [], 0
-                text = text.as_buffer().to_pybytes()
-                names = window_names(text, min_length)
                 block, held = own, held + len(text)
+                names = named_runs(text, min_length)[0]
                 if len(names):
-                    found.append(np.unique(names[_runs(names)]))
+                    found.append(np.unique(names))
         if found:
             yield rows_of(block, found)
         give_back()
@@ -244,215 +325,196 @@ def held_names(base: DataFrame, min_length: int, buckets: int) -> DataFrame:
     return base.select("block", "text").mapInArrow(run, "bucket long, block long, once binary, more binary")
 
 
+def _sorted_pack(names: np.ndarray) -> bytes:
+    """Sorted names by their differences."""
+    return _pack(np.diff(names, prepend=np.uint64(0)))
+
+
+def _sorted_unpack(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(data, np.uint64), dtype=np.uint64)
+
+
 def shared_names(held: DataFrame, crowd: int) -> DataFrame:
     """``(block, names, crowded)``: per block and bucket, the names that several documents hold, hot ones apart."""
     def run(t: pa.Table) -> pa.Table:
-        blocks = t["block"].to_pylist()
-        once = [np.frombuffer(x, dtype=np.uint64) for x in t["once"].to_pylist()]
-        more = [np.frombuffer(x, dtype=np.uint64) for x in t["more"].to_pylist()]
-        every = np.concatenate(once + more)
-        names, at, counts = np.unique(every, return_inverse=True, return_counts=True)
+        once, more = ([_sorted_unpack(x) for x in t[c].to_pylist()] for c in ("once", "more"))
+        names, at, counts = np.unique(np.concatenate(once + more), return_inverse=True, return_counts=True)
         several = counts > 1
         several[at[sum(map(len, once)):]] = True
         hot = counts > crowd
-        cuts = np.cumsum([len(x) for x in once + more])[:-1]
-        places = np.split(at, cuts)
+        places = np.split(at, np.cumsum([len(x) for x in once + more])[:-1])
         out = [], []
-        for a, b in zip(places[:len(blocks)], places[len(blocks):], strict=True):
-            own = np.concatenate([a, b])
+        for a, b in zip(places[:len(once)], places[len(once):], strict=True):
+            own = np.sort(np.concatenate([a, b]))
             own = own[several[own]]
-            out[0].append(_pack(names[own[~hot[own]]]))
-            out[1].append(_pack(names[own[hot[own]]]))
+            out[0].append(_sorted_pack(names[own[~hot[own]]]))
+            out[1].append(_sorted_pack(names[own[hot[own]]]))
         return pa.table({"block": t["block"], "names": pa.array(out[0], pa.binary()), "crowded": pa.array(out[1], pa.binary())})
 
     return held.groupBy("bucket").applyInArrow(run, "block long, names binary, crowded binary")
 
 
-SEGMENTS = ("block long, bucket long, data binary, lengths binary, names binary, lows binary, "
-            "own binary, rows binary, starts binary")
+# per block and bucket: its different strings (bytes, lengths, parts, smallest ids of the block, how often they stand
+# in it) and their places (document of the block by number, its id, byte)
+STRINGS = {"data": np.uint8, "lengths": np.int32, "parts": np.uint8, "lows": np.int64, "times": np.int32,
+           "rows": np.int32, "ids": np.int64, "starts": np.int32}
 
 
 def segments(base: DataFrame, shared: DataFrame, min_length: int, buckets: int) -> DataFrame:
-    """``SEGMENTS``: per block and bucket its different segments of shared names, and where they stand.
+    """``(block, bucket, ...)`` with the packed arrays of ``STRINGS``: each block's segments of shared names.
 
-    ``data, lengths, names, lows`` describe the segments, ``lows`` the smallest
-    id in the block; ``own, rows, starts`` their places (segment, document of
-    the block by row number, byte). Windows of crowded names are segments of
-    their own, named and dealt by their bytes.
+    Windows of crowded names are segments of their own, dealt by their bytes.
     """
     import xxhash
 
-    longest = min_length - _gram_length(min_length) + 1
-    schema = pa.schema([(n, pa.int64() if k == "long" else pa.binary()) for n, k in (f.split() for f in SEGMENTS.split(", "))])
+    schema = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), *[(n, pa.binary()) for n in STRINGS]])
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows or not answers.num_rows:
             return schema.empty_table()
-        block = docs["block"][0].as_py()
-        known = np.unique(np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in answers["names"].to_pylist()]))
-        crowded = np.unique(np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in answers["crowded"].to_pylist()]))
-        docs = docs.sort_by("row")
+        block, docs = docs["block"][0].as_py(), docs.sort_by("row")
+        known, crowded = (np.unique(np.concatenate([_sorted_unpack(x) for x in answers[c].to_pylist()])) for c in ("names", "crowded"))
+        del answers
         index: dict[bytes, int] = {}
-        named, lows, own, rows, starts = [], [], [], [], []
-        for row, (doc_id, text) in enumerate(zip(docs["doc_id"].to_pylist(), docs["text"], strict=True)):
-            text = text.as_buffer().to_pybytes()
-            names = window_names(text, min_length)
-            if not len(names):
-                continue
-            doc_id = NO_ID if doc_id is None else doc_id
-            at = _runs(names)
-            ends = np.append(at[1:], len(names))
-            mine = names[at]
-            hot = _among(mine, crowded)
-            places = np.flatnonzero(_among(mine, known) | hot)
-            for i, one_by_one in zip(places.tolist(), hot[places].tolist()):
-                step = 1 if one_by_one else longest
-                for a in range(int(at[i]), int(ends[i]), step):
-                    data = text[a:min(a + step, int(ends[i])) + min_length - 1]
+        named, own, rows, ids, starts = [], [], [], [], []
+        for row, (doc_id, text) in enumerate(zip(docs["doc_id"].to_pylist(), _texts(docs), strict=True)):
+            names, start, end = named_runs(text, min_length)
+            hot = _among(names, crowded)
+            some = np.flatnonzero(hot | _among(names, known))
+            before = len(own)
+            for a, b, name, one_by_one in zip(start[some].tolist(), end[some].tolist(), names[some].tolist(), hot[some].tolist(), strict=True):
+                for c in range(a, b) if one_by_one else (a,):
+                    data = text[c:(c + 1 if one_by_one else b) + min_length - 1]
                     n = index.setdefault(data, len(named))
                     if n == len(named):
-                        named.append(xxhash.xxh64_intdigest(data, 11) if one_by_one else int(mine[i]))
-                        lows.append(doc_id)
-                    elif doc_id < lows[n]:
-                        lows[n] = doc_id
+                        named.append(xxhash.xxh64_intdigest(data) if one_by_one else name)
                     own.append(n)
-                    rows.append(row)
-                    starts.append(a)
+                    starts.append(c)
+            rows.append(np.full(len(own) - before, row, dtype=np.int32))
+            ids.append(np.full(len(own) - before, NO_ID if doc_id is None else doc_id, dtype=np.int64))
         if not named:
             return schema.empty_table()
-        data, named, lows = list(index), np.array(named, dtype=np.uint64), np.array(lows, dtype=np.int64)
-        own, rows, starts = (np.array(x, dtype=np.int32) for x in (own, rows, starts))
-        bucket = _spread(named, buckets)
-        order = np.argsort(bucket, kind="stable")
+        data, named, own = list(index), np.array(named, dtype=np.uint64), np.array(own, dtype=np.int64)
+        rows, ids, starts = np.concatenate(rows), np.concatenate(ids), np.array(starts, dtype=np.int32)
+        del index
+        # strings by bucket, places by string
+        bucket = _bucket(named, buckets)
+        order = np.lexsort((named, bucket))
         number = np.empty(len(order), dtype=np.int64)
         number[order] = np.arange(len(order))
-        by_place = np.argsort(bucket[own], kind="stable")
-        own, rows, starts = own[by_place], rows[by_place], starts[by_place]
+        by = np.argsort(number[own], kind="stable")
+        own, rows, ids, starts = number[own][by], rows[by], ids[by], starts[by]
+        first = _runs(own)
+        lows, times = np.minimum.reduceat(ids, first), np.diff(np.append(first, len(own)))
+        parts = (named[order] // np.uint64(buckets) % np.uint64(PARTS)).astype(np.uint8)
+        lengths = np.array([len(s) for s in data], dtype=np.int32)[order]
         cuts = np.append(_runs(bucket[order]), len(order))
-        place_cuts = np.searchsorted(bucket[own], bucket[order][cuts[:-1]])
-        place_cuts = np.append(place_cuts, len(own))
         out = {f.name: [] for f in schema}
-        for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
-            some, places = order[a:b], slice(place_cuts[k], place_cuts[k + 1])
-            strings = [data[i] for i in some.tolist()]
-            for name, value in (("block", block), ("bucket", int(bucket[some[0]])), ("data", b"".join(strings)),
-                                ("lengths", _pack(np.array([len(s) for s in strings], dtype=np.int32))),
-                                ("names", _pack(named[some])), ("lows", _pack(lows[some])),
-                                ("own", _pack((number[own[places]] - a).astype(np.int32))),
-                                ("rows", _pack(rows[places])), ("starts", _pack(starts[places]))):
-                out[name].append(value)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            places = slice(first[a], first[b] if b < len(first) else len(own))
+            strings = b"".join([data[i] for i in order[a:b].tolist()])
+            out["block"].append(block)
+            out["bucket"].append(int(bucket[order[a]]))
+            for name, value in zip(STRINGS, (np.frombuffer(strings, dtype=np.uint8), lengths[a:b], parts[a:b], lows[a:b], times[a:b].astype(np.int32),
+                                             rows[places], ids[places], starts[places]), strict=True):
+                out[name].append(_pack(value))
         return pa.table(out, schema=schema)
 
-    return base.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(run, SEGMENTS)
-
-
-def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which values are in the sorted ``known``."""
-    if not len(known):
-        return np.zeros(len(values), dtype=bool)
-    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
-    return known[at] == values
+    return base.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(run, ", ".join(f"{f.name} {'long' if i < 2 else 'binary'}" for i, f in enumerate(schema)))
 
 
-def answers(found: DataFrame, min_length: int, chunk: int = CHUNK) -> DataFrame:
-    """``(block, bucket, low, times)``: per window of a block's segments the smallest id that holds it, equal ones in a row once.
+def repeated_runs(found: DataFrame, min_length: int, chunk: int = CHUNK) -> DataFrame:
+    """``(block, rows, starts, ends)``: runs of bytes that a document of a smaller id holds as well.
 
     Equal segments of the blocks are one string. The strings of a bucket are
-    put into chunks by their names, so equal windows meet in one transform.
+    put into chunks by their parts, so equal windows meet in one transform.
     """
     def run(t: pa.Table) -> pa.Table:
         index: dict[bytes, int] = {}
-        names, lows, own = [], [], []
-        for data, lengths, named, low in zip(*(t[c].to_pylist() for c in ("data", "lengths", "names", "lows")), strict=True):
-            ends = np.cumsum(np.frombuffer(lengths, dtype=np.int32)).tolist()
-            mine = np.empty(len(ends), dtype=np.int64)
-            start = 0
-            for i, (end, name, smallest) in enumerate(zip(ends, np.frombuffer(named, dtype=np.uint64).tolist(),
-                                                          np.frombuffer(low, dtype=np.int64).tolist(), strict=True)):
-                string = data[start:end]
-                n = index.setdefault(string, len(names))
-                if n == len(names):
-                    names.append(name)
-                    lows.append(smallest)
-                elif smallest < lows[n]:
-                    lows[n] = smallest
-                mine[i] = n
+        lows, parts, own, counts = [], [], [], []
+        for row in zip(*(t[c].to_pylist() for c in ("data", "lengths", "parts", "lows")), strict=True):
+            data, lengths, part, low = (_unpack(x, STRINGS[c]) for x, c in zip(row, ("data", "lengths", "parts", "lows"), strict=True))
+            data, mine, start = data.tobytes(), np.empty(len(lengths), dtype=np.int64), 0
+            for i, end in enumerate(np.cumsum(lengths).tolist()):
+                n = mine[i] = index.setdefault(data[start:end], len(index))
+                if n == len(parts):
+                    parts.append(part[i])
                 start = end
             own.append(mine)
-        strings, names, lows = list(index), np.array(names, dtype=np.uint64), np.array(lows, dtype=np.int64)
+            lows.append(low)
+        strings, parts = list(index), np.array(parts, dtype=np.uint8)
         del index
+        least = np.full(len(strings), NO_ID, dtype=np.int64)
+        for mine, low in zip(own, lows, strict=True):
+            np.minimum.at(least, mine, low)
         lengths = np.array([len(s) for s in strings], dtype=np.int64)
-        order = np.argsort(names, kind="stable")
-        size = np.cumsum(lengths[order])
-        ends = np.append(_runs(names[order])[1:], len(order))
-        sums = size[ends - 1]
         counts = lengths - min_length + 1
         offsets = np.concatenate([[0], np.cumsum(counts)])
-        least = np.empty(offsets[-1], dtype=np.int64)
-        a = 0
+        windows = np.empty(offsets[-1], dtype=np.int64)
+        order = np.argsort(parts, kind="stable")
+        last = np.append(_runs(parts[order])[1:], len(order))
+        sums, a = np.cumsum(lengths[order])[last - 1], 0
         while a < len(order):
-            base = size[a - 1] if a else 0
-            # whole names up to the chunk's size, one at least
-            b = int(ends[max(np.searchsorted(ends, a, side="right"), np.searchsorted(sums, base + chunk, side="right") - 1)])
-            some = order[a:b]
-            got = smallest_ids(np.frombuffer(b"".join([strings[i] for i in some.tolist()]), dtype=np.uint8), lengths[some], lows[some], min_length)
-            at = np.repeat(offsets[some] - np.concatenate([[0], np.cumsum(counts[some])[:-1]]), counts[some]) + np.arange(len(got))
-            least[at] = got
-            a = b
-        low, times = [], []
-        for mine in own:
-            n = counts[mine]
-            values = least[np.repeat(offsets[mine] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())]
-            runs = _runs(values)
-            low.append(_pack(values[runs]))
-            times.append(_pack(np.diff(np.append(runs, len(values))).astype(np.int32)))
-        return pa.table({"block": t["block"], "bucket": t["bucket"], "low": pa.array(low, pa.binary()), "times": pa.array(times, pa.binary())})
-
-    return (found.select("block", "bucket", "data", "lengths", "names", "lows").groupBy("bucket")
-            .applyInArrow(run, "block long, bucket long, low binary, times binary"))
+            base = sums[np.searchsorted(last, a)] if a in last else 0
+            # whole parts up to the chunk's size, one at least
+            k = max(np.searchsorted(last, a, side="right"), np.searchsorted(sums, base + chunk, side="right") - 1)
+            some = order[a:last[k]]
+            got = smallest_ids(np.frombuffer(b"".join([strings[i] for i in some.tolist()]), dtype=np.uint8), lengths[some], least[some], min_length)
+            windows[_ranges(offsets[some], counts[some])] = got
+            a = int(last[k])
+        out = []
+        for mine, row in zip(own, zip(*(t[c].to_pylist() for c in ("times", "rows", "ids", "starts")), strict=True), strict=True):
+            times, rows, ids, starts = (_unpack(x, STRINGS[c]) for x, c in zip(row, ("times", "rows", "ids", "starts"), strict=True))
+            of = np.repeat(mine, times)
+            n = counts[of]
+            place = np.repeat(np.arange(len(of)), n)
+            step = _ranges(np.zeros(len(of), dtype=np.int64), n)
+            gone = windows[np.repeat(offsets[of], n) + step] < ids[place]
+            before = np.concatenate([[False], gone[:-1] & (place[1:] == place[:-1])])
+            after = np.concatenate([gone[1:] & (place[1:] == place[:-1]), [False]])
+            begin, end = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after)
+            out.append((rows[place[begin]], (starts[place[begin]] + step[begin]).astype(np.int32),
+                        (starts[place[end]] + step[end] + min_length).astype(np.int32)))
+        return pa.table({"block": t["block"], **{c: pa.array([_pack(o[i]) for o in out], pa.binary()) for i, c in enumerate(("rows", "starts", "ends"))}})
+
+    return found.groupBy("bucket").applyInArrow(run, "block long, rows binary, starts binary, ends binary")
+
+
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers ``start .. start + count`` of each pair, one after another."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
 
 
 RESULT = "doc_id long, n_bytes long, starts array<long>, ends array<long>, kept binary"
 
 
-def _removed(base: DataFrame, places: DataFrame, min_length: int) -> DataFrame:
-    """``RESULT`` of every document from the answers beside its block's places."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("starts", pa.list_(pa.int64())),
-                        ("ends", pa.list_(pa.int64())), ("kept", pa.binary())])
+def _removed(base: DataFrame, runs: DataFrame) -> DataFrame:
+    """``RESULT`` of every document from the runs of its block."""
+    many = pa.list_(pa.int64())
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("starts", many), ("ends", many), ("kept", pa.binary())])
 
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
         docs = docs.sort_by("row")
-        ids = np.array([NO_ID if i is None else i for i in docs["doc_id"].to_pylist()], dtype=np.int64)
-        texts = docs["text"].to_pylist()
-        first = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
-        hit = np.zeros(first[-1] + 1, dtype=bool)
-        for lengths, own, rows, starts, low, times in zip(*(found[c].to_pylist() for c in ("lengths", "own", "rows", "starts", "low", "times")),
-                                                          strict=True):
-            lengths, own, rows, starts, times = (np.frombuffer(x, dtype=np.int32).astype(np.int64) for x in (lengths, own, rows, starts, times))
-            least = np.repeat(np.frombuffer(low, dtype=np.int64), times)
-            counts = lengths - min_length + 1
-            offsets = np.concatenate([[0], np.cumsum(counts)])[:-1]
-            n = counts[own]
-            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            smaller = least[np.repeat(offsets[own], n) + step] < np.repeat(ids[rows], n)
-            hit[(np.repeat(first[rows] + starts, n) + step)[smaller]] = True
-        spans, kept = [], []
-        for i, text in enumerate(texts):
-            at = np.flatnonzero(hit[first[i]:first[i + 1]])
-            if not len(at):
-                spans.append(([], []))
-                kept.append(text)
-                continue
-            # windows that overlap or touch are one run
-            new = np.flatnonzero(np.diff(at) > min_length) + 1
-            begin = at[np.concatenate([[0], new])].tolist()
-            end = (at[np.concatenate([new - 1, [len(at) - 1]])] + min_length).tolist()
-            spans.append((begin, end))
-            kept.append(b"".join(text[a:b] for a, b in zip([0, *end], [*begin, len(text)], strict=True)))
-        return pa.table([docs["doc_id"], pa.array(np.diff(first)), pa.array([s for s, _ in spans], schema.field("starts").type),
-                         pa.array([e for _, e in spans], schema.field("ends").type), pa.array(kept, pa.binary())], schema=schema)
-
-    return base.groupBy("block").cogroup(places.groupBy("block")).applyInArrow(run, RESULT)
+        sizes = pc.binary_length(docs["text"]).to_numpy().astype(np.int64)
+        # a byte between documents, so that runs of two never touch
+        first = np.concatenate([[0], np.cumsum(sizes + 1)])
+        rows, starts, ends = (np.concatenate([np.zeros(0, dtype=np.int32)] + [_unpack(x, np.int32) for x in found[c].to_pylist()]).astype(np.int64)
+                              for c in ("rows", "starts", "ends"))
+        begin, end = first[rows] + starts, first[rows] + ends
+        order = np.argsort(begin, kind="stable")
+        begin, end = begin[order], np.maximum.accumulate(end[order]) if len(order) else end
+        new = np.flatnonzero(np.concatenate([[True], begin[1:] > end[:-1]])) if len(begin) else np.zeros(0, dtype=np.int64)
+        begin, end = begin[new], end[np.append(new[1:], len(end)) - 1] if len(new) else end
+        row = np.searchsorted(first, begin, side="right") - 1
+        begin, end = begin - first[row], end - first[row]
+        cuts = np.searchsorted(row, np.arange(len(sizes) + 1))
+        kept = []
+        for text, a, b in zip(_texts(docs), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            kept.append(text if a == b else b"".join(text[x:y] for x, y in zip([0, *end[a:b].tolist()], [*begin[a:b].tolist(), len(text)], strict=True)))
+        lists = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x)) for x in (begin, end)]
+        return pa.table([docs["doc_id"], pa.array(sizes), *lists, pa.array(kept, pa.binary())], schema=schema)
+
+    return base.groupBy("block").cogroup(runs.groupBy("block")).applyInArrow(run, RESULT)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = MIN_LENGTH,
@@ -463,11 +525,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     if min_length < 2:
         raise ValueError("strings have two bytes at least")
-    base = blocks_of(docs, id_col, text_col, block_bytes)
-    total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+    base = blocks_of(docs, id_col, text_col, min(MOST_BUCKETS, int(total // block_bytes) + 1), block_bytes)
     buckets = int(total // bucket_bytes) + 1
     shared = stored(shared_names(held_names(base, min_length, buckets), crowd), "suffix-names")
-    found = stored(segments(base, shared, min_length, buckets), "suffix-segments")
-    told = answers(found, min_length, chunk)
-    places = stored(found.select("block", "bucket", "lengths", "own", "rows", "starts").join(told, ["block", "bucket"]), "suffix-answers")
-    return _removed(base, places, min_length)
+    runs = stored(repeated_runs(segments(base, shared, min_length, buckets), min_length, chunk), "suffix-runs")
+    return _removed(base, runs)

@@ -60,6 +60,34 @@ def test_gram_hashes_depend_on_the_gram_alone(length):
     assert len(set(seen.values())) == len(seen)
 
 
+@pytest.mark.parametrize("length", [2, 5, 12, 50])
+def test_equal_windows_have_one_name(length):
+    rnd = random.Random(length)
+    for text in (bytes(rnd.choices(b"ab", k=900)), b"a" * 500, b"abc" * 200, bytes(rnd.choices(b"abcdefgh ", k=5000)) * 2, b"a" * (length - 1)):
+        names, starts, ends = S.named_runs(text, length)
+        seen = {}
+        assert [k for a, b in zip(starts, ends) for k in range(a, b)] == list(range(max(0, len(text) - length + 1)))
+        assert not len(names) or (ends - starts).max() <= length - max(1, length // 3) + 1
+        for name, a, b in zip(names.tolist(), starts, ends):
+            assert all(seen.setdefault(text[k:k + length], name) == name for k in range(a, b))
+
+
+def test_names_do_not_depend_on_slices(monkeypatch):
+    text = bytes(random.Random(5).choices(b"abcdefgh ", k=6000)) * 2
+    each = lambda: [n for n, a, b in zip(*S.named_runs(text)) for _ in range(a, b)]
+    whole = each()
+    monkeypatch.setattr(S, "SLICE_BITS", 10)
+    # the key's hash has more bits now, so names may differ, but not between places of the same bytes
+    short = each()
+    assert len(short) == len(whole) and short[:5000] == short[6000:11000] and whole[:5000] == whole[6000:11000]
+
+
+def test_packed_arrays_come_back():
+    for kind in (np.uint8, np.int32, np.int64, np.uint64):
+        for values in ([], [0], [1, 2, 200], list(range(255)) * 9):
+            assert S._unpack(S._pack(np.array(values, dtype=kind)), kind).tolist() == values
+
+
 @pytest.mark.parametrize("length", [2, 3, 5, 9])
 def test_groups_equal_sorted_strings(length):
     rnd = random.Random(length)
