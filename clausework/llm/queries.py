@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import ann, chat, html_text, language_id, mixing, packing, sharding, simhash, substring_dedup, suffix_dedup, topk
+from . import ann, chat, fim, hard_negatives, html_text, language_id, mixing, packing, sharding, simhash, substring_dedup, suffix_dedup, topk
 
 # shards of the placement query
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -89,6 +89,20 @@ def op11_bounded_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_one_bit_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(anchor_id, positive_id, rank, negative_id, positive_score, negative_score)`` of every row whose id is divisible by 50."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 50 == 0)
+
+
+def op13_chunk_memo_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, n, form, prefix_chars, middle_chars, output_sha256, restored_sha256)`` of every document."""
+    out = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tag_path_extraction": op1_tag_path_extraction,
     "op2_paragraph_minhash": op2_paragraph_minhash,
@@ -101,6 +115,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mix": op9_source_mix,
     "op10_best_two_fit_packing": op10_best_two_fit_packing,
     "op11_bounded_bwt_dedup": op11_bounded_bwt_dedup,
+    "op12_one_bit_hard_negatives": op12_one_bit_hard_negatives,
+    "op13_chunk_memo_fim": op13_chunk_memo_fim,
 }
 
 ORACLE: dict[str, str] = {
@@ -142,4 +158,63 @@ p AS (SELECT d.doc_id, d.source, d.size, e.source_size, e.target, e.epochs, e.bu
 SELECT doc_id, source, size, source_size, target,
        CAST(epochs * size + greatest(0, least(size, over_ - ahead)) AS BIGINT) AS taken
 FROM p""",
+    "op11_bounded_bwt_dedup": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+y AS (SELECT r, id, k0, substr(x, 2 * k0 + 1, 2 * (128 + 49)) AS part
+      FROM (SELECT r, id, x, unnest(range(0, len(x) // 2 - 49, 128)) AS k0 FROM d WHERE len(x) >= 100)),
+w AS (SELECT r, id, k0, part, unnest(range(0, len(part) // 2 - 49)) AS j FROM y),
+g AS (SELECT r, k0 + j AS k, id, min(id) OVER (PARTITION BY substr(part, 2 * j + 1, 100)) AS low FROM w),
+e AS (SELECT r, k, CASE WHEN k - lag(k) OVER (PARTITION BY r ORDER BY k) <= 50 THEN 0 ELSE 1 END AS new FROM g WHERE low < id),
+i AS (SELECT r, k, sum(new) OVER (PARTITION BY r ORDER BY k) AS run FROM e),
+s AS (SELECT r, min(k) AS a, max(k) + 50 AS b FROM i GROUP BY r, run),
+t AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b FROM s GROUP BY r),
+u AS (
+  SELECT d.*, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+         list_concat([0], coalesce(t.b, [])) AS keep_from, list_concat(coalesce(t.a, []), [len(d.x) // 2]) AS keep_to
+  FROM d LEFT JOIN t ON d.r = t.r)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, CAST(n_spans AS BIGINT) AS n_spans,
+       sha256(unhex(array_to_string(list_transform(range(1, len(keep_to) + 1),
+              lambda j: substr(x, 2 * keep_from[j] + 1, 2 * (keep_to[j] - keep_from[j]))), ''))) AS kept_sha256
+FROM u""",
+    "op12_one_bit_hard_negatives": r"""
+WITH r AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS vec
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = len(embedding)),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same, CAST(list_dot_product(a.vec, b.vec) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id
+  WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE same)
+  WHERE place <= 5),
+n AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+  WHERE 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
+    "op13_chunk_memo_fim": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+l AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS u,
+         ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM d),
+c AS (
+  SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM l),
+x AS (
+  SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM x""",
 }
