@@ -53,13 +53,15 @@ BUCKET_BYTES = 12 << 20
 # files of a bucketed table at most, Spark's own limit
 MOST_BUCKETS = 100_000
 # symbols of one transform, about
-CHUNK = 1 << 18
+CHUNK = 1 << 17
 # names of a bucket are put into so many parts, the units of chunks
 PARTS = 1 << 8
 # blocks holding one name, beyond which its windows are dealt out one by one
 CROWD = 4096
 # bytes of a text hashed at once; the place in the slice stands in as many low bits of a key
 SLICE_BITS = 17
+# bytes of short texts that are hashed together
+TOGETHER = 1 << 16
 NO_ID = np.iinfo(np.int64).max
 # odd factors of the hashes that deal windows out; they decide no result
 BYTE, JOIN, MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9
@@ -69,13 +71,21 @@ def gram_hashes(text: np.ndarray, length: int, kind: type = np.uint64) -> np.nda
     """Hashes of all grams of ``length`` bytes in an unsigned type, by joining hashes of shorter grams."""
     bits = 8 * np.dtype(kind).itemsize
     byte, factor = kind(BYTE % (1 << bits)), JOIN % (1 << bits)
-    shorter, size, out, have = (text.astype(kind) + kind(1)) * byte, 1, None, 0
+    shorter, size, out, have = text.astype(kind), 1, None, 0
+    shorter += kind(1)
+    shorter *= byte
+
+    def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        both = left * kind(factor)
+        both += right
+        return both
+
     while size <= length:
         if length & size:  # grams of the lengths whose sum is asked for stand one after another
-            out = shorter if out is None else out[:len(shorter) - have] * kind(factor) + shorter[have:]
+            out = shorter if out is None else joined(out[:len(shorter) - have], shorter[have:])
             have += size
         if size * 2 <= length:
-            shorter = shorter[:len(shorter) - size] * kind(factor) + shorter[size:]
+            shorter = joined(shorter[:len(shorter) - size], shorter[size:])
         size, factor = size * 2, factor * factor % (1 << bits)
     return out
 
@@ -89,34 +99,56 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
-def named_runs(text: bytes, min_length: int = MIN_LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(names, starts, ends)``: runs of windows of ``min_length`` bytes that share a name, by where they start."""
+def named_runs(texts: list[bytes], min_length: int = MIN_LENGTH) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """``(names, text, starts, ends)``: runs of windows that share a name, by where in which text they start.
+
+    Short texts are hashed together, and windows across two of them left out.
+    """
+    together = TOGETHER if min_length - _gram_length(min_length) + 1 < min_length else 0
+    first = 0
+    while first < len(texts):
+        last, size = first + 1, len(texts[first])
+        while last < len(texts) and size + len(texts[last]) <= together:
+            size += len(texts[last])
+            last += 1
+        if last == first + 1:
+            names, starts, ends = _text_runs(texts[first], min_length)
+            yield names, np.full(len(names), first), starts, ends
+        else:
+            lengths = np.array([len(t) for t in texts[first:last]])
+            begin = np.cumsum(lengths) - lengths
+            names, starts, ends = _text_runs(b"".join(texts[first:last]), min_length)
+            # a run is shorter than what lies between the windows of two texts
+            of = np.searchsorted(begin, ends - 1, side="right") - 1
+            starts, ends = np.maximum(starts, begin[of]), np.minimum(ends, begin[of] + lengths[of] - min_length + 1)
+            ok = starts < ends
+            of = of[ok]
+            yield names[ok], of + first, starts[ok] - begin[of], ends[ok] - begin[of]
+        first = last
+
+
+def _text_runs(text: bytes, min_length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(names, starts, ends)`` of one text."""
     gram = _gram_length(min_length)
     width = min_length - gram + 1
     places, firsts = [], []
     move = (1 << SLICE_BITS) - min_length
     whole = np.frombuffer(text, dtype=np.uint8)
     for at in range(0, len(text) - min_length + 1, move):
-        part = whole[at:at + move + min_length - 1]
-        h = gram_hashes(part, gram, np.uint32)
-        low, reach = (h & np.uint32(0xFFFFFFFF << SLICE_BITS & 0xFFFFFFFF)) | np.arange(len(h), dtype=np.uint32), 1
-        while reach * 2 <= width:
-            low, reach = np.minimum(low[:len(low) - reach], low[reach:]), reach * 2
-        if reach < width:
-            low = np.minimum(low[:len(low) - (width - reach)], low[width - reach:])
+        low, reach = gram_hashes(whole[at:at + move + min_length - 1], gram, np.uint32), 1
+        low &= np.uint32(0xFFFFFFFF << SLICE_BITS & 0xFFFFFFFF)
+        low |= np.arange(len(low), dtype=np.uint32)
+        # the smallest of ever longer stretches of grams
+        while reach < width:
+            more = min(reach, width - reach)
+            low, reach = np.minimum(low[:-more], low[more:]), reach + more
         first = _runs(low)
         places.append((low[first] & np.uint32((1 << SLICE_BITS) - 1)).astype(np.int64) + at)
         firsts.append(first + at)
     if not places:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     place, start = np.concatenate(places), np.concatenate(firsts)
-    # the 64-bit name of the gram at each place, eight bytes at a time
-    grams = np.lib.stride_tricks.sliding_window_view(whole, gram)[place]
-    padded = np.zeros((len(place), -(-gram // 8) * 8), dtype=np.uint8)
-    padded[:, :gram] = grams
-    names = np.zeros(len(place), dtype=np.uint64)
-    for word in padded.view("<u8").T:
-        names = _mixed(names * np.uint64(JOIN) + word + np.uint64(BYTE))
+    names = _grams_named(text, place, gram)
     # places of equal grams in a row (periodic texts) are one run, cut to a bounded length
     new = _runs(names)
     names, start = names[new], start[new]
@@ -129,9 +161,23 @@ def named_runs(text: bytes, min_length: int = MIN_LENGTH) -> tuple[np.ndarray, n
     return names, start, end
 
 
+def _grams_named(text: bytes, place: np.ndarray, gram: int) -> np.ndarray:
+    """64-bit names of the grams at some places, read eight bytes at a time."""
+    padded, names = text + bytes(8), np.zeros(len(place), dtype=np.uint64)
+    words = np.ndarray((len(text) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    for at in range(0, gram, 8):
+        word = words[place + at]
+        if gram - at < 8:
+            word &= np.uint64((1 << 8 * (gram - at)) - 1)
+        names = _mixed(names * np.uint64(JOIN) + word + np.uint64(BYTE))
+    return names
+
+
 def _runs(values: np.ndarray) -> np.ndarray:
     """Where runs of equal values start."""
-    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, dtype=np.int64)
+    new = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return np.flatnonzero(new)
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -165,9 +211,11 @@ def _order(keys: np.ndarray) -> np.ndarray:
     if int(keys.max()).bit_length() + bits > 64:
         return np.argsort(keys, kind="stable")
     # sorting keys with their places attached is much faster than an argsort
-    packed = keys << np.uint64(bits) | np.arange(len(keys), dtype=np.uint64)
+    packed = keys << np.uint64(bits)
+    packed |= np.arange(len(keys), dtype=np.uint64)
     packed.sort()
-    return (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
+    packed &= np.uint64((1 << bits) - 1)
+    return packed.view(np.int64)
 
 
 def suffix_order(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
@@ -178,28 +226,34 @@ def suffix_order(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
     """
     n = len(symbols)
 
+    buffer, short = np.zeros(n, dtype=np.uint64), left.astype(np.uint8 if left.max(initial=0) < 256 else np.int64)
+
     def ahead(values: np.ndarray, by: int) -> np.ndarray:
-        out = np.zeros(n, dtype=np.uint64)
-        out[:max(0, n - by)] = values[by:]
-        out[left <= by] = 0
-        return out
+        m = max(0, n - by)
+        np.multiply(values[by:], short[:m] > by, out=buffer[:m])
+        buffer[m:] = 0
+        return buffer
 
     used = np.bincount(symbols, minlength=1) > 0
     used[0] = True
     code = (np.cumsum(used) - 1).astype(np.uint64)[symbols]
     bits = int(used.sum() - 1).bit_length() or 1
     known, longest = max(1, (64 - n.bit_length()) // bits), int(left.max(initial=0))
-    key = code
+    key = code.copy()
     for by in range(1, known):
-        key = key << np.uint64(bits) | ahead(code, by)
+        key <<= np.uint64(bits)
+        key |= ahead(code, by)
     while True:
         order = _order(key)
         if known >= longest:
             return order
         inside = key[order]
+        new = np.ones(n, dtype=np.int32)
+        new[1:] = inside[1:] != inside[:-1]
         rank = np.empty(n, dtype=np.uint64)
-        rank[order] = np.cumsum(np.concatenate([[True], inside[1:] != inside[:-1]]), dtype=np.uint64)
-        key = rank << np.uint64(n.bit_length()) | ahead(rank, known)
+        rank[order] = np.cumsum(new, dtype=np.int32)
+        key = rank << np.uint64(n.bit_length())
+        key |= ahead(rank, known)
         known *= 2
 
 
@@ -210,20 +264,57 @@ def prefix_groups(transform: np.ndarray, min_length: int) -> np.ndarray:
     start of a string. Its stable order by symbol tells for each suffix the row
     of the suffix without its first symbol.
     """
-    behind = _order(transform.astype(np.uint64)).astype(np.int32)
+    behind = _order(transform.astype(np.uint64))
     first = transform[behind]
-    starts = np.concatenate([[True], (first[1:] != first[:-1]) | (first[1:] == 0)])
-    open_rows = np.flatnonzero(~starts)
+    starts = np.ones(len(first), dtype=np.int32)
+    starts[1:] = (first[1:] != first[:-1]) | (first[1:] == 0)
+    open_rows = np.flatnonzero(starts == 0)
     here, above = behind[open_rows], behind[open_rows - 1]
-    for _ in range(1, min_length):
-        if not len(open_rows):
+    # buffers that every step writes anew: fresh memory would cost more than the work
+    interval, one, other = np.empty_like(starts), np.empty(len(here), dtype=np.int32), np.empty(len(here), dtype=np.int32)
+    parted, left = np.empty(len(here), dtype=bool), min_length - 1
+    while left:
+        n = len(open_rows)
+        if not n:
             break
-        interval = np.cumsum(starts, dtype=np.int32)
-        parted = interval[here] != interval[above]
-        starts[open_rows[parted]] = True
-        if np.count_nonzero(parted) * 8 > len(parted):  # decided rows are left out, when there are some
-            stay = ~parted
+        np.cumsum(starts, out=interval)
+        np.take(interval, here, out=one[:n], mode="clip")
+        np.take(interval, above, out=other[:n], mode="clip")
+        apart = np.not_equal(one[:n], other[:n], out=parted[:n])
+        starts[open_rows[apart]] = 1
+        if np.count_nonzero(apart) * 8 > n:  # decided rows are left out, when there are some
+            stay = ~apart
             open_rows, here, above = open_rows[stay], here[stay], above[stay]
+        left -= 1
+        if int((here - above).sum()) <= 2 * len(here):
+            return _close_groups(starts.astype(bool), open_rows, here, above, left)
+    return starts.astype(bool)
+
+
+def _close_groups(starts: np.ndarray, open_rows: np.ndarray, here: np.ndarray, above: np.ndarray, steps: int) -> np.ndarray:
+    """The remaining steps once the two rows behind nearly every open pair are neighbours: then the lower one's own mark tells.
+
+    The other pairs look at the marks of all rows between.
+    """
+    near = np.flatnonzero(here - above == 1)
+    far = np.flatnonzero(here - above > 1)
+    span = (here - above)[far]
+    between, heads = _ranges(above[far] + 1, span), np.cumsum(span) - span
+    rows, behind, far_rows = open_rows[near], here[near], open_rows[far]
+    mark, before = np.empty(len(rows), dtype=bool), np.count_nonzero(starts)
+    for _ in range(steps):
+        np.take(starts, behind, out=mark[:len(rows)], mode="clip")
+        apart = np.logical_or.reduceat(starts[between], heads) if len(far) else None
+        starts[rows[mark[:len(rows)]]] = True
+        if len(far):
+            starts[far_rows[apart]] = True
+        now = np.count_nonzero(starts)
+        if now == before:  # nothing parted, so nothing will
+            break
+        if (now - before) * 8 > len(rows):
+            stay = ~starts[rows]
+            rows, behind = rows[stay], behind[stay]
+        before = now
     return starts
 
 
@@ -295,8 +386,16 @@ def _texts(docs: pa.Table | pa.RecordBatch) -> Iterator[bytes]:
 
 def held_names(base: DataFrame, min_length: int, buckets: int) -> DataFrame:
     """``(bucket, block, once, more)``: each block's names, those of several of its documents in ``more``."""
-    def rows_of(block: int, found: list[np.ndarray]) -> pa.RecordBatch:
+    def rows_of(block: int, texts: list[bytes]) -> pa.RecordBatch | None:
+        found = []
+        for names, of, _, _ in named_runs(texts, min_length):
+            order = np.lexsort((of, names))
+            names, of = names[order], of[order]
+            found.append(names[_runs(names) if (of == of[:1]).all() else np.flatnonzero(np.concatenate(
+                [[True], (names[1:] != names[:-1]) | (of[1:] != of[:-1])]))])
         names, counts = np.unique(np.concatenate(found), return_counts=True)
+        if not len(names):
+            return None
         bucket = _bucket(names, buckets)
         order = np.argsort(bucket, kind="stable")
         names, counts, bucket = names[order], counts[order], bucket[order]
@@ -308,18 +407,20 @@ def held_names(base: DataFrame, min_length: int, buckets: int) -> DataFrame:
             names=["bucket", "block", "once", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, found, held = None, [], 0
+        block, texts, held = None, [], 0
         for b in batches:
             for own, text in zip(b["block"].to_pylist(), _texts(b), strict=True):
-                if found and (own != block or held > 2 * BLOCK_BYTES):
-                    yield rows_of(block, found)
-                    found, held = [], 0
+                if texts and (own != block or held > 2 * BLOCK_BYTES):
+                    out = rows_of(block, texts)
+                    if out is not None:
+                        yield out
+                    texts, held = [], 0
                 block, held = own, held + len(text)
-                names = named_runs(text, min_length)[0]
-                if len(names):
-                    found.append(np.unique(names))
-        if found:
-            yield rows_of(block, found)
+                texts.append(text)
+        if texts:
+            out = rows_of(block, texts)
+            if out is not None:
+                yield out
         give_back()
 
     return base.select("block", "text").mapInArrow(run, "bucket long, block long, once binary, more binary")
@@ -376,27 +477,28 @@ def segments(base: DataFrame, shared: DataFrame, min_length: int, buckets: int)
         known, crowded = (np.unique(np.concatenate([_sorted_unpack(x) for x in answers[c].to_pylist()])) for c in ("names", "crowded"))
         del answers
         index: dict[bytes, int] = {}
-        named, own, rows, ids, starts = [], [], [], [], []
-        for row, (doc_id, text) in enumerate(zip(docs["doc_id"].to_pylist(), _texts(docs), strict=True)):
-            names, start, end = named_runs(text, min_length)
+        named, own, rows, starts = [], [], [], []
+        texts = list(_texts(docs))
+        doc_ids = np.array([NO_ID if i is None else i for i in docs["doc_id"].to_pylist()], dtype=np.int64)
+        for names, of, start, end in named_runs(texts, min_length):
             hot = _among(names, crowded)
             some = np.flatnonzero(hot | _among(names, known))
-            before = len(own)
-            for a, b, name, one_by_one in zip(start[some].tolist(), end[some].tolist(), names[some].tolist(), hot[some].tolist(), strict=True):
+            for name, row, a, b, one_by_one in zip(*(x[some].tolist() for x in (names, of, start, end, hot)), strict=True):
+                text = texts[row]
                 for c in range(a, b) if one_by_one else (a,):
                     data = text[c:(c + 1 if one_by_one else b) + min_length - 1]
                     n = index.setdefault(data, len(named))
                     if n == len(named):
                         named.append(xxhash.xxh64_intdigest(data) if one_by_one else name)
                     own.append(n)
+                    rows.append(row)
                     starts.append(c)
-            rows.append(np.full(len(own) - before, row, dtype=np.int32))
-            ids.append(np.full(len(own) - before, NO_ID if doc_id is None else doc_id, dtype=np.int64))
         if not named:
             return schema.empty_table()
         data, named, own = list(index), np.array(named, dtype=np.uint64), np.array(own, dtype=np.int64)
-        rows, ids, starts = np.concatenate(rows), np.concatenate(ids), np.array(starts, dtype=np.int32)
-        del index
+        rows, starts = np.array(rows, dtype=np.int32), np.array(starts, dtype=np.int32)
+        ids = doc_ids[rows]
+        del index, texts
         # strings by bucket, places by string
         bucket = _bucket(named, buckets)
         order = np.lexsort((named, bucket))

@@ -64,7 +64,7 @@ def test_gram_hashes_depend_on_the_gram_alone(length):
 def test_equal_windows_have_one_name(length):
     rnd = random.Random(length)
     for text in (bytes(rnd.choices(b"ab", k=900)), b"a" * 500, b"abc" * 200, bytes(rnd.choices(b"abcdefgh ", k=5000)) * 2, b"a" * (length - 1)):
-        names, starts, ends = S.named_runs(text, length)
+        names, starts, ends = S._text_runs(text, length)
         seen = {}
         assert [k for a, b in zip(starts, ends) for k in range(a, b)] == list(range(max(0, len(text) - length + 1)))
         assert not len(names) or (ends - starts).max() <= length - max(1, length // 3) + 1
@@ -74,7 +74,7 @@ def test_equal_windows_have_one_name(length):
 
 def test_names_do_not_depend_on_slices(monkeypatch):
     text = bytes(random.Random(5).choices(b"abcdefgh ", k=6000)) * 2
-    each = lambda: [n for n, a, b in zip(*S.named_runs(text)) for _ in range(a, b)]
+    each = lambda: [n for n, a, b in zip(*S._text_runs(text, 50)) for _ in range(a, b)]
     whole = each()
     monkeypatch.setattr(S, "SLICE_BITS", 10)
     # the key's hash has more bits now, so names may differ, but not between places of the same bytes
@@ -82,6 +82,17 @@ def test_names_do_not_depend_on_slices(monkeypatch):
     assert len(short) == len(whole) and short[:5000] == short[6000:11000] and whole[:5000] == whole[6000:11000]
 
 
+@pytest.mark.parametrize("length", [2, 3, 12, 50])
+def test_texts_hashed_together_have_the_names_they_have_alone(length):
+    rnd = random.Random(length)
+    texts = [bytes(rnd.choices(b"abc ", k=rnd.choice([0, 1, length - 1, length, length + 1, 300, 4000]))) for _ in range(60)] + [b"a" * 70_000]
+    per_window = lambda runs: [(int(t), k, n) for names, of, starts, ends in runs
+                               for n, t, a, b in zip(names.tolist(), of, starts, ends) for k in range(a, b)]
+    alone = [(i, k, n) for i, t in enumerate(texts) for _, k, n in per_window(S.named_runs([t], length))]
+    assert per_window(S.named_runs(texts, length)) == alone
+    assert len(alone) == sum(max(0, len(t) - length + 1) for t in texts)
+
+
 def test_packed_arrays_come_back():
     for kind in (np.uint8, np.int32, np.int64, np.uint64):
         for values in ([], [0], [1, 2, 200], list(range(255)) * 9):
