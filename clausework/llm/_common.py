@@ -29,10 +29,15 @@ def word_memory(owner: str, make: Callable):
 
 
 def give_back() -> None:
-    """Return memory that Arrow's pool keeps after large batches of text; workers live on between tasks."""
+    """Return memory that Arrow's pool and the C library keep after large batches of text; workers live on between tasks."""
+    import ctypes
+
     import pyarrow as pa
 
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # a GNU C library
+        trim(0)
 
 
 def sound_vectors(df: DataFrame, id_col: str, vec_col: str, drop_zero: bool = False) -> DataFrame:

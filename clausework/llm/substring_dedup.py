@@ -515,9 +515,15 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spans = _gone_spans(repeated_passages(docs, id_col, text_col, **options), "repeat-spans")
 
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, gone: pd.Series) -> pd.Series:
-        return pd.Series([_without(t, g) for t, g in zip(texts, gone, strict=True)], dtype=object)
+    @F.arrow_udf("string")
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, gone in batches:
+            # one text at a time leaves Arrow's buffer
+            yield pa.array((_without(t.as_py(), g.as_py()) for t, g in zip(texts, gone, strict=True)), pa.string(), size=len(texts))
+        give_back()
+
+    # else the plan cuts once for the filter and once for the column
+    cut = cut.asNondeterministic()
 
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("own_hash"))
     rows = rows.join(spans, F.col("own_hash") == F.col("gone_hash"), "left")
