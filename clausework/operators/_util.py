@@ -9,8 +9,12 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
+
 # A side is broadcast only when its checked size is at most this.
 BROADCAST_MAX_BYTES = 64 << 20
+# the number of a row where keys may repeat
+ROW = "__row"
 # bytes that a value of a type counts for; anything else counts as a text
 TYPE_BYTES = {T.IntegerType: 4, T.LongType: 8, T.DoubleType: 8, T.FloatType: 4, T.BooleanType: 1}
 TEXT_BYTES = 64
@@ -33,6 +37,18 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None, rows: int | No
     return F.broadcast(df) if n <= most else df
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh folder below ``spark.checkpoint.dir`` and read back: lineage ends at shared files."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, name: str, out: str = ROW) -> DataFrame:
+    """``df`` with a number per row, written, so that the numbers hold in every later use."""
+    return stored(df.withColumn(out, F.monotonically_increasing_id()), name)
+
+
 def require_columns(df: DataFrame, required: list[str]) -> None:
     """V1: raise listing the missing columns (schema check, no job)."""
     absent = [c for c in required if c not in df.columns]

@@ -1,33 +1,42 @@
-"""Fit a multi-label linear head.
+"""Fit a multi-label linear head.
 
 Per-label logistic units over shared window features (token-id buckets plus
-a bias), binary cross-entropy, decoupled weight decay (not on the bias),
-linear warm-up then linear decay of the step size, optional warm start (the
-initial head is any head table, e.g. from ``labels.warm_copy``).
+a bias), a loss given by its value and its slope by the logit (binary
+cross-entropy by default), decoupled weight decay (not on the bias), linear
+warm-up then linear decay of the step size, optional warm start (the initial
+head is any head table, e.g. from ``labels.warm_copy``).
 
 The training table has one row per window: its features, their counts and its
 label ids, written once to the shared folder. A step broadcasts the weights
 (size-checked: labels x features), every task adds up the gradient of its
 windows, the partial gradients are summed by (label, feature), and the sum, no
 larger than the head, updates the weights. Nothing data-sized leaves the
-executors. Evaluation sums confusion counts and loss per task.
+executors. Evaluation sums confusion counts and loss per task. A head too
+large for that is fitted in shards (``sharded``), by the same loop.
+
+A step takes all windows, a fixed share of them, or exactly ``batch_size`` ones
+of the epoch's own seeded order (``batches``). With a ``state`` folder every
+finished epoch is kept there and a broken fit goes on behind it.
 """
 
 from __future__ import annotations
 
+import json
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import BIAS_FEATURE, N_FEATURES, THRESHOLD, feature_of
-from ..session import scratch_path
 from . import metrics as M
-from .scoring import HEAD_SCHEMA, MAX_CELLS, head_arrays
+from ._util import stored
+from .batches import SEED, Order
+from .scoring import HEAD_SCHEMA, head_arrays
 
 # The training settings being matched.
 EPOCHS = 5
@@ -36,41 +45,117 @@ WARMUP_RATIO = 0.1
 KEEP_EPOCHS = 2
 
 EPOCH_SCHEMA = "epoch int, step int, loss double, accuracy double, f1 double, precision double, recall double"
+# numbers (window features x labels) that are multiplied at once
+CELLS = 1 << 20
+
+
+class Loss(NamedTuple):
+    """A loss per (window, label) cell, ``value(z, y)``, and its slope by the logit, ``slope(z, y)``; both take arrays."""
+
+    value: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    slope: Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def _softplus(z: np.ndarray) -> np.ndarray:
+    return np.maximum(z, 0.0) + np.log1p(np.exp(-np.abs(z)))
+
+
+def weighted_bce(positive: float = 1.0) -> Loss:
+    """Binary cross-entropy in which a true label counts ``positive`` times."""
+    def value(z: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return positive * y * (_softplus(z) - z) + (1.0 - y) * _softplus(z)
+
+    def slope(z: np.ndarray, y: np.ndarray) -> np.ndarray:
+        p = 1.0 / (1.0 + np.exp(-z))
+        return p * (positive * y + 1.0 - y) - positive * y
+
+    return Loss(value, slope)
+
+
+BCE = weighted_bce()
+
+
+def check_loss(loss: Loss, points: np.ndarray | None = None, tolerance: float = 1e-4) -> None:
+    """Refuse a loss whose slope is not that of its value (central differences, both truths)."""
+    z = np.linspace(-6.0, 6.0, 49) + 0.013 if points is None else np.asarray(points, dtype=float)
+    h = 1e-5
+    for truth in (0.0, 1.0):
+        y = np.full_like(z, truth)
+        told = loss.slope(z, y)
+        seen = (loss.value(z + h, y) - loss.value(z - h, y)) / (2 * h)
+        if np.shape(told) != z.shape or not np.allclose(told, seen, atol=tolerance, rtol=tolerance):
+            raise ValueError("the slope of this loss is not the derivative of its value")
 
 
 def window_rows(windows: DataFrame, n_features: int = N_FEATURES, window_ids: str = "window_ids",
                 label_ids: str = "label_ids", keys: tuple[str, ...] = ("row_id", "window")) -> DataFrame:
-    """X, one row per window: ``(part, features, counts, labels)``, written and read back.
+    """X, one row per window: ``(win, key, part, features, counts, labels)``, written and read back.
 
-    ``part`` is a hash of the key in [0, 2^20), by which mini-batches are cut.
+    ``win`` is a row number, ``key`` the window's key as text, ``part`` a hash
+    of it in [0, 2^20), by which fixed shares are cut.
     """
-    spark = windows.sparkSession
-
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [np.unique(f, return_counts=True) for f in b["features"]]
-            yield pd.DataFrame({"part": b["part"], "features": [f for f, _ in found],
+            yield pd.DataFrame({"win": b["win"], "key": b["key"], "part": b["part"], "features": [f for f, _ in found],
                                 "counts": [c.astype(np.float64) for _, c in found], "labels": b["labels"]})
 
-    rows = windows.select(F.pmod(F.xxhash64(*keys), F.lit(1 << 20)).cast("int").alias("part"),
+    rows = windows.select(F.monotonically_increasing_id().alias("win"), F.concat_ws(":", *[F.col(k).cast("string") for k in keys]).alias("key"),
+                          F.pmod(F.xxhash64(*keys), F.lit(1 << 20)).cast("int").alias("part"),
                           F.transform(F.col(window_ids), lambda t: feature_of(t, n_features)).alias("features"),
                           F.col(label_ids).alias("labels"))
-    path = scratch_path(spark, "windows")
-    rows.mapInPandas(count, "part int, features array<int>, counts array<double>, labels array<int>").write.parquet(path)
-    return spark.read.parquet(path)
+    return stored(rows.mapInPandas(count, "win long, key string, part int, features array<int>, counts array<double>, labels array<int>"),
+                  "windows")
+
+
+class Chunk(NamedTuple):
+    """Some windows: their features and counts one after another, the window of each, and the truth."""
+
+    features: np.ndarray
+    counts: np.ndarray
+    window: np.ndarray
+    truth: np.ndarray
 
+    def sums(self, terms: np.ndarray) -> np.ndarray:
+        """``terms`` (one row per feature of a window) added up per window."""
+        out = np.zeros((len(self.truth), terms.shape[1]))
+        if len(terms):
+            first = np.flatnonzero(np.concatenate([[True], self.window[1:] != self.window[:-1]]))
+            out[self.window[first]] = np.add.reduceat(terms, first, axis=0)
+        return out
 
-def _logits(w: np.ndarray, b: np.ndarray, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    return counts @ w[features] + b
+    def logits(self, w: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return self.sums(self.counts[:, None] * w[self.features]) + b
 
 
-def _truth(labels: np.ndarray, n: int) -> np.ndarray:
-    y = np.zeros(n)
-    y[np.asarray(labels, dtype=np.int64)] = 1.0
+def add_by_feature(g: np.ndarray, features: np.ndarray, terms: np.ndarray) -> None:
+    """Add ``terms`` to the rows of ``g`` that ``features`` names; a feature may come often."""
+    if len(features):
+        order = np.argsort(features, kind="stable")
+        own = features[order]
+        first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        g[own[first]] += np.add.reduceat(terms[order], first, axis=0)
+
+
+def truth_of(labels, n_labels: int) -> np.ndarray:
+    y = np.zeros((len(labels), n_labels))
+    for i, own in enumerate(labels):
+        y[i, np.asarray(own, dtype=np.int64)] = 1.0
     return y
 
 
-def gradient(x: DataFrame, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+def chunks(batch: pd.DataFrame, n_labels: int) -> Iterator[Chunk]:
+    """The windows of a batch in chunks of about ``CELLS`` products."""
+    lengths = batch["features"].map(len).to_numpy()
+    share = np.cumsum(lengths * max(1, n_labels)) // CELLS
+    for k in np.unique(share):
+        some = batch[share == k]
+        n = lengths[share == k]
+        yield Chunk(np.concatenate(some["features"].to_list()).astype(np.int64), np.concatenate(some["counts"].to_list()).astype(np.float64),
+                    np.repeat(np.arange(len(some)), n), truth_of(some["labels"], n_labels))
+
+
+def gradient(x: DataFrame, weights: np.ndarray, bias: np.ndarray, loss: Loss = BCE) -> tuple[np.ndarray, np.ndarray, int]:
     """Sums over the windows of ``x`` of the loss's gradient by weight and bias, and the number of windows."""
     shared = x.sparkSession.sparkContext.broadcast((weights, bias))
 
@@ -78,11 +163,11 @@ def gradient(x: DataFrame, weights: np.ndarray, bias: np.ndarray) -> tuple[np.nd
         w, b = shared.value
         g, gb, n = np.zeros_like(w), np.zeros_like(b), 0
         for batch in batches:
-            for features, counts, labels in zip(batch["features"], batch["counts"], batch["labels"], strict=True):
-                r = 1.0 / (1.0 + np.exp(-_logits(w, b, features, counts))) - _truth(labels, len(b))
-                g[features] += counts[:, None] * r[None]
-                gb += r
-                n += 1
+            for c in chunks(batch, len(b)):
+                r = loss.slope(c.logits(w, b), c.truth)
+                add_by_feature(g, c.features, c.counts[:, None] * r[c.window])
+                gb += r.sum(axis=0)
+                n += len(r)
         if n:
             feature, label = np.nonzero(g)
             yield pd.DataFrame({"label_id": label, "feature": feature, "g": g[feature, label]})
@@ -99,31 +184,71 @@ def gradient(x: DataFrame, weights: np.ndarray, bias: np.ndarray) -> tuple[np.nd
     return g, gb, int(sums.loc[sums["label_id"] < 0, "g"].sum())
 
 
-def evaluate(x: DataFrame, weights: np.ndarray, bias: np.ndarray, threshold: float = THRESHOLD) -> tuple[float, ...]:
+def cell_sums(z: np.ndarray, y: np.ndarray, loss: Loss, threshold: float) -> tuple[int, int, int, int, float]:
+    """``(tp, fp, fn, tn, loss)`` over cells."""
+    hit, true = 1.0 / (1.0 + np.exp(-z)) >= threshold, y == 1
+    return (int((hit & true).sum()), int((hit & ~true).sum()), int((~hit & true).sum()), int((~hit & ~true).sum()), float(loss.value(z, y).sum()))
+
+
+SUMS = "tp long, fp long, fn long, tn long, loss double"
+
+
+def measures(sums: DataFrame) -> tuple[float, ...]:
+    """``(loss, accuracy, f1, precision, recall)`` from rows of ``SUMS``."""
+    row = sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tp", "fp", "fn", "tn", "loss")]).first()
+    m = M.macro_metrics(sums.sparkSession.createDataFrame([(row["tp"], row["fp"], row["fn"], row["tn"])], "tp long, fp long, fn long, tn long")).first()
+    cells = row["tp"] + row["fp"] + row["fn"] + row["tn"]
+    return (row["loss"] / cells if cells else 0.0, m["accuracy"], m["f1"], m["precision"], m["recall"])
+
+
+def evaluate(x: DataFrame, weights: np.ndarray, bias: np.ndarray, threshold: float = THRESHOLD, loss: Loss = BCE) -> tuple[float, ...]:
     """``(loss, accuracy, f1, precision, recall)`` over all (window, label) cells of ``x``."""
-    spark = x.sparkSession
-    shared = spark.sparkContext.broadcast((weights, bias))
+    shared = x.sparkSession.sparkContext.broadcast((weights, bias))
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w, b = shared.value
-        tp = fp = fn = tn = 0
-        loss = 0.0
+        total = np.zeros(4, dtype=np.int64), 0.0
         for batch in batches:
-            for features, counts, labels in zip(batch["features"], batch["counts"], batch["labels"], strict=True):
-                z, y = _logits(w, b, features, counts), _truth(labels, len(b))
-                hit, true = 1.0 / (1.0 + np.exp(-z)) >= threshold, y == 1
-                tp, fp = tp + int((hit & true).sum()), fp + int((hit & ~true).sum())
-                fn, tn = fn + int((~hit & true).sum()), tn + int((~hit & ~true).sum())
-                loss += float((np.maximum(z, 0.0) - z * y + np.log1p(np.exp(-np.abs(z)))).sum())
-        yield pd.DataFrame({"tp": [tp], "fp": [fp], "fn": [fn], "tn": [tn], "loss": [loss]})
-
-    sums = (x.select("features", "counts", "labels").mapInPandas(partial, "tp long, fp long, fn long, tn long, loss double")
-            .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tp", "fp", "fn", "tn", "loss")]))
-    row = sums.first()
-    m = M.macro_metrics(spark.createDataFrame([(row["tp"], row["fp"], row["fn"], row["tn"])], "tp long, fp long, fn long, tn long")).first()
+            for c in chunks(batch, len(b)):
+                *counts, value = cell_sums(c.logits(w, b), c.truth, loss, threshold)
+                total = total[0] + counts, total[1] + value
+        yield pd.DataFrame([[*total[0], total[1]]], columns=["tp", "fp", "fn", "tn", "loss"])
+
+    got = measures(x.select("features", "counts", "labels").mapInPandas(partial, SUMS))
     shared.unpersist()
-    cells = row["tp"] + row["fp"] + row["fn"] + row["tn"]
-    return (row["loss"] / cells if cells else 0.0, m["accuracy"], m["f1"], m["precision"], m["recall"])
+    return got
+
+
+class BroadcastModel:
+    """Weights in the driver, broadcast at every step."""
+
+    def __init__(self, spark, head: DataFrame, weights: np.ndarray, bias: np.ndarray):
+        self.spark, self.weights, self.bias = spark, weights, bias
+        self.names = {r["label_id"]: r["label"] for r in head.select("label_id", "label").distinct().collect()}
+
+    def step(self, x: DataFrame, rate: float, decay: float, loss: Loss) -> BroadcastModel:
+        g, gb, n = gradient(x, self.weights, self.bias, loss)
+        new = object.__new__(BroadcastModel)
+        new.spark, new.names = self.spark, self.names
+        new.weights = self.weights - rate * (g / max(1, n) + decay * self.weights)
+        new.bias = self.bias - rate * gb / max(1, n)
+        return new
+
+    def evaluate(self, x: DataFrame, threshold: float, loss: Loss) -> tuple[float, ...]:
+        return evaluate(x, self.weights, self.bias, threshold, loss)
+
+    def table(self) -> DataFrame:
+        return head_table(self.spark, self.names, self.weights, self.bias)
+
+
+def model_of(head: DataFrame, block_cells: int | None = None, max_cells: int | None = None):
+    """The model that a head's size asks for."""
+    from .sharded import BLOCK_CELLS, ShardedModel
+
+    arrays = head_arrays(head, most=max_cells)
+    if arrays is None:
+        return ShardedModel.of(head, BLOCK_CELLS if block_cells is None else block_cells)
+    return BroadcastModel(head.sparkSession, head, *arrays)
 
 
 def _rate(step: int, total: int, lr: float, warmup_ratio: float) -> float:
@@ -144,54 +269,97 @@ def head_table(spark, names: dict[int, str], weights: np.ndarray, bias: np.ndarr
         "weight": wide.reshape(-1)}), HEAD_SCHEMA)
 
 
+def _saved(spark, state: str, epoch: int) -> dict | None:
+    """What a finished epoch left, or None: the marker is written last and counts only if it is whole."""
+    try:
+        row = spark.read.text(f"{state.rstrip('/')}/epoch-{epoch}/done").first()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return None if row is None else json.loads(row[0])
+
+
+def _save(state: str, epoch: int, table: DataFrame, step: int, rows: list) -> None:
+    path = f"{state.rstrip('/')}/epoch-{epoch}"
+    table.write.mode("overwrite").parquet(f"{path}/head")
+    spark = table.sparkSession
+    marker = json.dumps({"step": step, "rows": rows})
+    spark.createDataFrame([(marker,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/done")
+
+
 def fit(train: DataFrame, init_head: DataFrame, *, evaluation: DataFrame | None = None, epochs: int = EPOCHS,
         steps_per_epoch: int = 2, batches: int | None = None, accumulate: int = 1, lr: float = 0.05,
         weight_decay: float = WEIGHT_DECAY, warmup_ratio: float = WARMUP_RATIO, threshold: float = THRESHOLD,
-        eval_every: int | None = None, keep: int = KEEP_EPOCHS) -> tuple[DataFrame, DataFrame, dict[int, DataFrame]]:
+        eval_every: int | None = None, keep: int = KEEP_EPOCHS, batch_size: int | None = None, seed: int = SEED,
+        loss: Loss = BCE, state: str | None = None, until: int | None = None, max_cells: int | None = None,
+        block_cells: int | None = None) -> tuple[DataFrame, DataFrame, dict[int, DataFrame]]:
     """Returns ``(best head, epoch table, heads of the best epochs by epoch)``.
 
     ``train`` and ``evaluation`` are ``window_rows``. By default each of an
     epoch's ``steps_per_epoch`` steps uses all windows; with ``batches`` an
-    epoch goes through that many disjoint parts and updates after every
+    epoch goes through that many disjoint parts; with ``batch_size`` through
+    batches of exactly that many windows (the last one what is left) of the
+    epoch's own order under ``seed``. Either way it updates after every
     ``accumulate`` of them. The model is evaluated after each epoch, with
     ``eval_every`` also after every so many steps (rows of the table with the
     same ``epoch``). The best epoch has the highest f1, the first one on ties
-    (P8); heads of the best ``keep`` epochs are returned.
+    (P8); heads of the best ``keep`` epochs are returned. ``loss`` is checked
+    against finite differences. ``state`` is a folder for finished epochs: a
+    fit called again with the same arguments goes on after the last one there;
+    ``until`` ends a call after that epoch. A head of more than ``max_cells``
+    weights (``MAX_CELLS``) is not broadcast but fitted in shards of
+    ``block_cells``.
     """
+    if batches is not None and batch_size is not None:
+        raise ValueError("give the number of batches or their size")
+    check_loss(loss)
     spark = train.sparkSession
-    arrays = head_arrays(init_head)
-    if arrays is None:
-        raise ValueError(f"a head of over {MAX_CELLS} weights cannot be broadcast at every step; take fewer features")
-    weights, bias = arrays
-    names = {r["label_id"]: r["label"] for r in init_head.select("label_id", "label").distinct().collect()}
-    per_epoch = steps_per_epoch if batches is None else -(-batches // accumulate)
-    rows, heads, step = [], {}, 0
+    model = model_of(init_head, block_cells, max_cells)
+    per_epoch, rows, heads, step, done = steps_per_epoch, [], {}, 0, 0
+    if batches is not None:
+        per_epoch = -(-batches // accumulate)
+    elif batch_size is not None:
+        per_epoch = max(1, -(-(-(-train.count() // batch_size)) // accumulate))
 
     def record(epoch: int) -> float:
-        got = evaluate(evaluation, weights, bias, threshold) if evaluation is not None else (None,) * 5
+        got = model.evaluate(evaluation, threshold, loss) if evaluation is not None else (None,) * 5
         rows.append((epoch, step, *got))
         return -1.0 if got[2] is None else got[2]
 
-    for epoch in range(1, epochs + 1):
+    def remember(epoch: int, f1: float, table: Callable[[], DataFrame]) -> None:
+        heads[epoch] = (f1, table)
+        for worst in sorted(heads, key=lambda e: (-heads[e][0], e))[keep:]:
+            del heads[worst]
+
+    for epoch in range(1, epochs + 1) if state else ():
+        saved = _saved(spark, state, epoch)
+        if saved is None:
+            break
+        done, step, rows = epoch, saved["step"], [tuple(r) for r in saved["rows"]]
+        table = spark.read.schema(HEAD_SCHEMA).parquet(f"{state.rstrip('/')}/epoch-{epoch}/head")
+        remember(epoch, -1.0 if rows[-1][4] is None else rows[-1][4], lambda t=table: t)
+    if done:
+        model = model_of(table, block_cells, max_cells)
+    for epoch in range(done + 1, (epochs if until is None else min(until, epochs)) + 1):
+        order = Order(train, seed, epoch) if batch_size is not None else None
         for part in range(per_epoch):
-            x = train
-            if batches is not None:
-                lo, hi = part * accumulate, min(batches, (part + 1) * accumulate)
-                x = train.where((F.col("part") * batches >= (lo << 20)) & (F.col("part") * batches < (hi << 20)))
-            g, gb, n = gradient(x, weights, bias)
-            rate = _rate(step, epochs * per_epoch, lr, warmup_ratio)
-            weights = weights - rate * (g / max(1, n) + weight_decay * weights)
-            bias = bias - rate * gb / max(1, n)
+            x, lo, hi = train, part * accumulate, (part + 1) * accumulate
+            if order is not None:
+                x = order.between(lo * batch_size, hi * batch_size)
+            elif batches is not None:
+                x = train.where((F.col("part") * batches >= (lo << 20)) & (F.col("part") * batches < (min(batches, hi) << 20)))
+            model = model.step(x, _rate(step, epochs * per_epoch, lr, warmup_ratio), weight_decay, loss)
             step += 1
             if eval_every and step % eval_every == 0 and part + 1 < per_epoch:
                 record(epoch)
-        heads[epoch] = (record(epoch), weights, bias)
-        for worst in sorted(heads, key=lambda e: (-heads[e][0], e))[keep:]:
-            del heads[worst]
+        remember(epoch, record(epoch), model.table)
+        if state:
+            _save(state, epoch, model.table(), step, rows)
     best = min(heads, key=lambda e: (-heads[e][0], e))
     table = spark.createDataFrame(rows, EPOCH_SCHEMA).withColumn(
         "best", (F.col("epoch") == best) & (F.col("step") == best * per_epoch))
-    kept = {e: head_table(spark, names, w, b) for e, (_, w, b) in heads.items()}
+    kept = {e: make() for e, (_, make) in heads.items()}
     return kept[best], table, kept
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpoint_dir
-from ._util import bounded_broadcast
+from ._util import ROW, bounded_broadcast, numbered
 
 # The warm-start map (new label -> old label), 16 pairs.
 WARM_MAP = [
@@ -88,14 +88,22 @@ def labels_in_id_order(vocab: DataFrame) -> DataFrame:
 
 def label_ids(df: DataFrame, vocab: DataFrame, actors: str = "actors", key: str = "row_id",
               vocab_rows: int | None = None) -> DataFrame:
-    """J1 + L2 (sparse): ``(key, label_ids ARRAY<INT>)`` sorted, duplicates collapsed.
+    """J1 + L2 (sparse): ``(key, label_ids ARRAY<INT>)``, one row per row, sorted, duplicates collapsed.
 
     Labels outside the vocabulary are dropped. Rows with an empty list keep
     an empty array.
     """
-    ex = df.select(key, F.explode_outer(actors).alias("label"))
-    j = ex.join(bounded_broadcast(vocab, rows=vocab_rows), "label", "left")
-    return j.groupBy(key).agg(F.array_sort(F.array_distinct(F.collect_list("label_id"))).alias("label_ids"))
+    return _joined_ids(df.select(key, actors), vocab, actors, vocab_rows, "label_ids").select(key, "label_ids")
+
+
+def _joined_ids(df: DataFrame, vocab: DataFrame, actors: str, vocab_rows: int | None, out: str) -> DataFrame:
+    """``df`` with its label ids, by a join of its rows' labels; rows are told apart by number, as keys may repeat."""
+    rows = numbered(df, "label-rows")
+    ex = rows.select(ROW, F.explode(actors).alias("label"))
+    ids = (ex.join(bounded_broadcast(vocab, rows=vocab_rows), "label")
+           .groupBy(ROW).agg(F.array_sort(F.collect_set("label_id")).alias(out)))
+    return (rows.join(ids, ROW, "left").drop(ROW)
+            .withColumn(out, F.coalesce(F.col(out), F.array().cast("array<int>"))))
 
 
 def multi_hot(ids: DataFrame, n_labels: int, ids_col: str = "label_ids", out: str = "labels") -> DataFrame:
@@ -118,13 +126,13 @@ def own_label_ids(actors: Column, names: list[str]) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.coalesce(ids, F.array().cast("array<int>")), lambda i: i >= 0)))
 
 
-def with_label_ids(df: DataFrame, vocab: DataFrame, actors: str = "actors", key: str = "row_id",
+def with_label_ids(df: DataFrame, vocab: DataFrame, actors: str = "actors",
                    vocab_rows: int | None = None, out: str = "label_ids") -> DataFrame:
-    """``df`` with its label ids as a column: computed in the row, or joined on the key for a large vocabulary."""
+    """``df`` with its label ids as a column: computed in the row, or joined row by row for a large vocabulary."""
     names = label_names(vocab, vocab_rows)
     if names is not None:
         return df.withColumn(out, own_label_ids(F.col(actors), names))
-    return df.join(label_ids(df, vocab, actors, key).withColumnRenamed("label_ids", out), key, "left")
+    return _joined_ids(df, vocab, actors, vocab_rows, out)
 
 
 def label_cells(df: DataFrame, vocab: DataFrame, actors: str = "actors", key: str = "row_id") -> DataFrame:

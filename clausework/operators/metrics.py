@@ -24,6 +24,41 @@ def cells(scored: DataFrame, keep: tuple[str, ...] = ("row_id",), logits: str =
                        F.array_contains(label_ids, F.col("label_id")).cast("int").alias("y"))
 
 
+def cell_counts(logits: Column, label_ids: Column, threshold: float = THRESHOLD) -> Column:
+    """E1 + E2 + E4 beside the row: ``struct<tp, fp, fn, tn, loss>`` over all (window, label) cells of a clause.
+
+    The truth is a set of label ids per clause, so the cells of a window are
+    told apart by position; no row is made per cell.
+    """
+    zero = F.lit(0).cast("long")
+    start = F.struct(zero.alias("tp"), zero.alias("fp"), zero.alias("fn"), zero.alias("tn"), F.lit(0.0).alias("loss"))
+
+    def cell(z: Column, i: Column) -> Column:
+        p, y = sigmoid(z), F.array_contains(label_ids, i)
+        return F.struct(((p >= F.lit(threshold)) & ~F.isnan(p)).alias("pred"), y.alias("y"),
+                        (F.greatest(z, F.lit(0.0)) - z * y.cast("double") + F.log1p(F.exp(-F.abs(z)))).alias("loss"))
+
+    def add(acc: Column, c: Column) -> Column:
+        one = {"tp": c["pred"] & c["y"], "fp": c["pred"] & ~c["y"], "fn": ~c["pred"] & c["y"], "tn": ~c["pred"] & ~c["y"]}
+        return F.struct(*[(acc[k] + v.cast("long")).alias(k) for k, v in one.items()], (acc["loss"] + c["loss"]).alias("loss"))
+
+    return F.aggregate(logits, start, lambda acc, w: F.aggregate(F.transform(w, cell), acc, add))
+
+
+def confusion_counts(scored: DataFrame, logits: str = "logits", label_ids: str = "label_ids", threshold: float = THRESHOLD) -> DataFrame:
+    """E2 + E4: one row ``tp, fp, fn, tn, loss_sum`` of rows that carry their windows' logits and their own label ids."""
+    per = scored.select(cell_counts(F.col(logits), F.col(label_ids), threshold).alias("c"))
+    total = per.agg(*[F.coalesce(F.sum(f"c.{k}"), F.lit(0)).cast("long").alias(k) for k in ("tp", "fp", "fn", "tn")],
+                    F.coalesce(F.sum("c.loss"), F.lit(0.0)).alias("loss_sum"))
+    return total
+
+
+def mean_loss(counts: DataFrame) -> DataFrame:
+    """``(loss, n_cells)`` of ``confusion_counts``; null without a cell."""
+    n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
+    return counts.select(F.when(n > 0, F.col("loss_sum") / n).alias("loss"), n.alias("n_cells"))
+
+
 def clause_cells(decided: DataFrame, n_labels: int, keep: tuple[str, ...] = ("row_id",), decided_ids: str = "decided_ids",
                  label_ids: str = "label_ids") -> DataFrame:
     """E1 at clause level: ``(keep..., label_id, y, pred)`` from rows with their decided and their own label ids."""

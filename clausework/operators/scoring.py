@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import (BIAS_FEATURE, CLS_ID, MAX_LENGTH, N_FEATURES, PAD_ID, PREDICT_OVERLAP, SEP_ID, TRAIN_STEP,
+from ..functions.text import (BIAS_FEATURE, CLS_ID, MAX_LENGTH, N_FEATURES, PAD_ID, PREDICT_OVERLAP, SEP_ID, THRESHOLD, TRAIN_STEP,
                               feature_of, md5_bits)
 from ._util import bounded_broadcast, built, identity_of
 
@@ -51,10 +51,10 @@ def hash_head(vocab: DataFrame, salt: str = "init", scale: float = 0.1, n_featur
                        ((md5_bits(key) / F.lit(4294967296.0) - F.lit(0.5)) * F.lit(scale)).alias("weight"))
 
 
-def head_arrays(head: DataFrame, rows: int | None = None) -> tuple[np.ndarray, np.ndarray] | None:
-    """``(weights[features, labels], bias[labels])`` of a head of at most ``MAX_CELLS`` rows, else None."""
+def head_arrays(head: DataFrame, rows: int | None = None, most: int | None = None) -> tuple[np.ndarray, np.ndarray] | None:
+    """``(weights[features, labels], bias[labels])`` of a head of at most ``most`` rows (``MAX_CELLS``), else None."""
     n = head.count() if rows is None else rows
-    if n > MAX_CELLS:
+    if n > (MAX_CELLS if most is None else most):
         return None
     t = head.select("label_id", "feature", "weight").toPandas()
     if not len(t):
@@ -101,9 +101,13 @@ def _windows(ids: np.ndarray, windowing: str, max_length: int, step: int, cls_id
 
 def window_logits(ids: Column, make_predict_fn: Callable, *, windowing: str = "overlap", max_length: int = MAX_LENGTH,
                   overlap: int = PREDICT_OVERLAP, step: int = TRAIN_STEP, cls_id: int = CLS_ID, sep_id: int = SEP_ID,
-                  pad_id: int = PAD_ID, batch_size: int = BATCH_SIZE) -> Column:
+                  pad_id: int = PAD_ID, batch_size: int = BATCH_SIZE,
+                  finish: tuple[Callable, T.DataType] | None = None) -> Column:
     """``array<array<double>>``, the logits of each window of a clause's token ids, in order.
 
+    With ``finish``, a function of these arrays and its type, what it makes of a
+    clause's logits is returned instead of them.
+
     ``make_predict_fn()`` returns ``predict(input_ids[n, L], attention_mask[n,
     L]) -> logits[n, labels]`` and is built once per Python worker. Windows of
     an Arrow batch are scored ``batch_size`` at a time, padded to the longest of
@@ -127,7 +131,7 @@ def window_logits(ids: Column, make_predict_fn: Callable, *, windowing: str = "o
         except Exception:
             return [None] if len(windows) == 1 else [x for w in windows for x in score(predict, [w])]
 
-    @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())) if finish is None else finish[1])
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predict = built(f"model-{windowing}", identity, make_predict_fn)
         for clauses in batches:
@@ -142,11 +146,28 @@ def window_logits(ids: Column, make_predict_fn: Callable, *, windowing: str = "o
             if held:
                 for (i, _), z in zip(held, score(predict, [w for _, w in held]), strict=True):
                     out[i].append(z)
-            yield pd.Series([None if any(z is None for z in w) else w for w in out], dtype=object)
+            done = [None if any(z is None for z in w) else w for w in out]
+            yield pd.Series(done if finish is None else [None if w is None else finish[0](w) for w in done], dtype=object)
 
     return run(ids)
 
 
+def sparse_decision(threshold: float = THRESHOLD) -> tuple[Callable, T.DataType]:
+    """A1 + C8 + P6 as a ``finish``: the predicted label ids alone, so that any number of labels leaves the worker short."""
+    def finish(logits: list[np.ndarray]) -> list[int]:
+        with np.errstate(over="ignore"):
+            total = np.zeros(len(logits[0]))
+            for z in logits:
+                total += 1.0 / (1.0 + np.exp(-z))
+        p = total / len(logits)
+        if not len(p):
+            return []
+        hits = np.flatnonzero(p >= threshold)
+        return [int(i) for i in hits] if len(hits) else [int(p.argmax())]
+
+    return finish, T.ArrayType(T.IntegerType())
+
+
 def score_windows(windows: DataFrame, head: DataFrame, keys: tuple[str, ...] = ("row_id", "window"),
                   window_ids: str = "window_ids", head_rows: int | None = None, n_features: int = N_FEATURES) -> DataFrame:
     """I1 for a head of any size: ``(keys..., label_id, logit)`` for every window and label.

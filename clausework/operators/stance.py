@@ -85,17 +85,23 @@ def _template_array(templates) -> Column:
                      for r, s, i, t in template_rows(templates)])
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def overlap_score(premise_tokens: Column, hypothesis: Column, max_length: int | None = None) -> Column:
     """Z2 + T8 (relational pair scorer): share of distinct hypothesis tokens found
     in the premise tokens (those that fit beside the hypothesis, if ``max_length`` is given); null when the
     hypothesis has no token or alone does not fit (the failed template then counts 0.0)."""
-    hyp = tokens(F.lower(hypothesis))
-    distinct = F.array_distinct(hyp)
-    room = None if max_length is None else F.lit(max_length - 3) - F.size(hyp)
-    found = F.size(F.filter(distinct, lambda h: _fits(F.array_position(premise_tokens, h), room)))
-    score = found.cast("double") / F.size(distinct)
-    ok = F.size(distinct) > 0
-    return F.when(ok if room is None else ok & (room >= 0), score)
+    def score(h: Column) -> Column:
+        room = None if max_length is None else F.lit(max_length - 3) - h["n"]
+        found = F.size(F.filter(h["own"], lambda t: _fits(F.array_position(premise_tokens, t), room)))
+        ok = F.size(h["own"]) > 0
+        return F.when(ok if room is None else ok & (room >= 0), found.cast("double") / F.size(h["own"]))
+
+    words = let(tokens(F.lower(hypothesis)), lambda t: F.struct(F.size(t).alias("n"), F.array_distinct(t).alias("own")))
+    return let(words, score)
 
 
 def _fits(position: Column, room: Column | None) -> Column:
@@ -108,20 +114,20 @@ def effective_max_length(model_max_length: int | None, max_length: int = MAX_LEN
     return max_length if model_max_length is None else min(int(model_max_length), int(max_length))
 
 
-def _prepared_columns(clause: str, actors: str, max_chars: int | None, actors_type=None):
+def _prepared(clause: str, actors: str, max_chars: int | None, actors_type=None) -> Column:
+    """``struct<premise, actors>`` of a row."""
     text = F.coalesce(F.col(clause).cast("string"), F.lit(""))
+    none = F.array().cast("array<string>")
+
+    def pair(premise: Column, items: Column) -> Column:
+        return F.struct((premise if max_chars is None else cut_text(premise, max_chars)).alias("premise"), items.alias("actors"))
+
     if isinstance(actors_type, T.ArrayType):
         # already a list (e.g. the tagger's output): no parsing, items as text
-        premise = text if max_chars is None else cut_text(text, max_chars)
-        return premise, F.coalesce(F.col(actors).cast("array<string>"), F.array().cast("array<string>"))
-    parsed = parse_list(F.coalesce(F.col(actors), F.lit("[]")))
-    failed = parsed.getField("status") == F.lit(FAILED)
-    premise = F.when(failed, F.lit("")).otherwise(text)
-    if max_chars is not None:
-        premise = cut_text(premise, max_chars)
-    items = F.when(failed, F.array(F.lit(UNKNOWN))).otherwise(
-        F.coalesce(parsed.getField("items"), F.array().cast("array<string>")))
-    return premise, items
+        return pair(text, F.coalesce(F.col(actors).cast("array<string>"), none))
+    return let(parse_list(F.coalesce(F.col(actors), F.lit("[]"))), lambda p: pair(
+        F.when(p["status"] == F.lit(FAILED), F.lit("")).otherwise(text),
+        F.when(p["status"] == F.lit(FAILED), F.array(F.lit(UNKNOWN))).otherwise(F.coalesce(p["items"], none))))
 
 
 def prepare(df: DataFrame, key: str = "row_id", clause: str = "clause", actors: str = "predicted_actors",
@@ -130,8 +136,8 @@ def prepare(df: DataFrame, key: str = "row_id", clause: str = "clause", actors:
 
     The actor column may hold list literals as text or be an array already.
     """
-    premise, items = _prepared_columns(clause, actors, max_chars, df.schema[actors].dataType)
-    return df.select(key, premise.alias("premise"), items.alias("actors"))
+    row = _prepared(clause, actors, max_chars, df.schema[actors].dataType)
+    return df.select(key, row.alias("__row")).select(key, "__row.premise", "__row.actors")
 
 
 _SLOT = "{actor}"
@@ -169,8 +175,8 @@ def _within(room: Column | None) -> Callable[[Column], Column]:
     return lambda y: _fits(y["p"], room)
 
 
-def _hoisted(df: DataFrame, keep: list[str], templates, max_length: int | None) -> DataFrame:
-    """``keep... + __a, __s`` (scores per actor and template) from ``__p`` (premise tokens) and ``__a`` (actors).
+def _hoisted(premise_tokens: Column, actors: Column, templates, max_length: int | None) -> Column:
+    """``array<array<double>>``: scores per actor and template.
 
     The values of ``overlap_score`` on each rendered hypothesis: its tokens are
     the template's own words plus the actor's tokens (the slot is a whole
@@ -180,40 +186,33 @@ def _hoisted(df: DataFrame, keep: list[str], templates, max_length: int | None)
     """
     vocab, per = _template_words(templates)
 
-    def actor_data(a: Column) -> Column:
-        own = tokens(F.lower(a))
-        at = F.transform(F.array_distinct(own), lambda t: F.struct(t.alias("tok"), F.array_position(F.col("__p"), t).alias("p")))
-        return F.struct(F.size(own).alias("n"), at.alias("at"))
-
-    def scores(x: Column) -> Column:
-        out = []
-        for idx, words, n_words in per:
-            room = None if max_length is None else F.lit(max_length - 3 - n_words) - x["n"]
-            # a token of both counts once
-            extra = F.filter(x["at"], _not_among(words))
-            hits = F.lit(0)
+    def score(x: Column, at: Column, idx: list[int], words: list[str], n_words: int) -> Column:
+        room = None if max_length is None else F.lit(max_length - 3 - n_words) - x["n"]
+
+        def share(extra: Column) -> Column:
+            hits = F.size(F.filter(extra, _within(room)))
             for j in idx:
-                hits = hits + _fits(F.get(F.col("__t"), F.lit(j)), room).cast("int")
-            hits = hits + F.size(F.filter(extra, _within(room)))
+                hits = hits + _fits(F.get(at, F.lit(j)), room).cast("int")
             size = F.lit(len(words)) + F.size(extra)
-            ok = size > 0 if room is None else (size > 0) & (room >= 0)
-            out.append(F.when(ok, hits.cast("double") / size))
-        return F.array(*out)
+            return F.when(size > 0 if room is None else (size > 0) & (room >= 0), hits.cast("double") / size)
+
+        # a token of both counts once
+        return let(F.filter(x["at"], _not_among(words)), share)
 
-    positions = F.transform(F.lit(vocab), lambda w: F.array_position(F.col("__p"), w)) if vocab else F.array().cast("array<bigint>")
-    step = df.select(*keep, "__e", "__a", positions.alias("__t"), F.transform("__a", actor_data).alias("__d"))
-    return step.select(*keep, "__e", "__a", F.transform("__d", scores).alias("__s"))
+    def own(a: Column) -> Column:
+        return let(tokens(F.lower(a)), lambda w: F.struct(F.size(w).alias("n"), F.transform(
+            F.array_distinct(w), lambda t: F.struct(t.alias("tok"), F.array_position(premise_tokens, t).alias("p"))).alias("at")))
 
+    positions = F.transform(F.lit(vocab), lambda w: F.array_position(premise_tokens, w)) if vocab else F.array().cast("array<bigint>")
+    return let(positions, lambda at: F.transform(actors, lambda a: let(own(a), lambda x: F.array(*[score(x, at, *t) for t in per]))))
 
-def _general(df: DataFrame, keep: list[str], templates, max_length: int | None) -> DataFrame:
-    """The same columns for templates of any shape: every hypothesis is rendered."""
-    def scores(a: Column) -> Column:
-        return F.array(*[overlap_score(F.col("__p"), render_template(F.lit(t), a), max_length) for _, t in templates])
 
-    return df.select(*keep, "__e", "__a", F.transform("__a", scores).alias("__s"))
+def _general(premise_tokens: Column, actors: Column, templates, max_length: int | None) -> Column:
+    """The same scores for templates of any shape: every hypothesis is rendered."""
+    return F.transform(actors, lambda a: F.array(*[overlap_score(premise_tokens, render_template(F.lit(t), a), max_length) for _, t in templates]))
 
 
-def model_scores(premise: Column, actors: Column, make_pair_fn: Callable, templates=TEMPLATES, max_length: int | None = MAX_LENGTH,
+def model_scores(premise: Column, actors: Column, make_pair_fn: Callable, templates=TEMPLATES, max_length: int | None = None,
                  entail_idx: int = ENTAIL_IDX, batch_size: int = BATCH_SIZE) -> Column:
     """Z2 by a plug-in entailment model (T10, U5, Z6): ``array<array<double>>``, scores per actor and template.
 
@@ -250,27 +249,28 @@ def model_scores(premise: Column, actors: Column, make_pair_fn: Callable, templa
     return run(premise, actors)
 
 
-def scored(df: DataFrame, keep: list[str], premise: Column, actors: Column, templates=TEMPLATES, max_length: int | None = None,
+def scored(df: DataFrame, keep: list[str], row: Column, templates=TEMPLATES, max_length: int | None = None,
            hoist: bool | None = None, pair_model: Callable | None = None, entail_idx: int = ENTAIL_IDX,
            batch_size: int = BATCH_SIZE) -> DataFrame:
     """``keep... + __pairs``: per actor ``(actor, guard, scores array<double>)``, scores in template order.
 
-    ``guard`` marks pairs that are not scored: an empty premise or actor (C9).
+    ``row`` is a ``struct<premise, actors>``; ``guard`` marks pairs that are
+    not scored: an empty premise or actor (C9).
     """
+    def pairs(r: Column, scores: Column) -> Column:
+        return F.zip_with(r["actors"], scores, lambda a, s: F.struct(
+            a.alias("actor"), ((F.length(r["premise"]) == 0) | a.isNull() | (F.length(a) == 0)).alias("guard"), s.alias("scores")))
+
     if pair_model is not None:
-        src = df.select(*keep, premise.alias("__p"), actors.alias("__a"))
-        src = src.select(*keep, (F.length("__p") == 0).alias("__e"), "__a",
-                         model_scores(F.col("__p"), F.col("__a"), pair_model, templates, max_length, entail_idx, batch_size).alias("__s"))
-    else:
-        use = hoistable(templates) if hoist is None else hoist
-        if use and not hoistable(templates):
-            raise ValueError("these templates need the general scorer")
-        src = df.select(*keep, premise.alias("__x"), actors.alias("__a"))
-        src = src.select(*keep, (F.length("__x") == 0).alias("__e"), tokens(F.lower("__x")).alias("__p"), "__a")
-        src = (_hoisted if use else _general)(src, keep, templates, max_length)
-    pairs = F.zip_with("__a", "__s", lambda a, s: F.struct(
-        a.alias("actor"), (F.col("__e") | a.isNull() | (F.length(a) == 0)).alias("guard"), s.alias("scores")))
-    return src.select(*keep, pairs.alias("__pairs"))
+        src = df.select(*keep, row.alias("__row"))
+        got = model_scores(F.col("__row.premise"), F.col("__row.actors"), pair_model, templates, max_length, entail_idx, batch_size)
+        return src.select(*keep, "__row", got.alias("__s")).select(*keep, pairs(F.col("__row"), F.col("__s")).alias("__pairs"))
+    use = hoistable(templates) if hoist is None else hoist
+    if use and not hoistable(templates):
+        raise ValueError("these templates need the general scorer")
+    scorer = _hoisted if use else _general
+    return df.select(*keep, let(row, lambda r: let(tokens(F.lower(r["premise"])), lambda p: pairs(
+        r, scorer(p, r["actors"], templates, max_length)))).alias("__pairs"))
 
 
 def _decided(pair: Column, templates) -> Column:
@@ -295,9 +295,14 @@ def _decided(pair: Column, templates) -> Column:
         F.struct(*[F.when(pair["guard"], F.lit(1.0 if s == NEUTRAL else 0.0)).otherwise(means[s]).alias(s) for s in names]).alias("scores"))
 
 
+def _each(df: DataFrame, keep: list[str], array: str, out: str) -> DataFrame:
+    """``keep... + pos, out``, a row per item; the outer form keeps the planner from computing the array again in a filter."""
+    return df.select(*keep, F.posexplode_outer(array).alias("pos", out)).where(F.col("pos").isNotNull())
+
+
 def hypotheses(prepared: DataFrame, templates=TEMPLATES, key: str = "row_id") -> DataFrame:
     """J3 + T7: ``(key, pos, actor, stance, template_id, hypothesis)``, every actor with every template."""
-    pairs = prepared.select(key, F.posexplode("actors").alias("pos", "actor"))
+    pairs = _each(prepared, [key], "actors", "actor")
     fan = pairs.select(key, "pos", "actor", F.explode(_template_array(templates)).alias("t"))
     return fan.select(key, "pos", "actor", "t.stance", "t.template_id",
                       render_template(F.col("t.template"), F.col("actor")).alias("hypothesis"))
@@ -305,8 +310,8 @@ def hypotheses(prepared: DataFrame, templates=TEMPLATES, key: str = "row_id") ->
 
 def template_scores(prepared: DataFrame, templates=TEMPLATES, max_length: int | None = None, key: str = "row_id", **scorer) -> DataFrame:
     """Z2 + T8: ``(key, pos, actor, stance, template_id, score)`` of the scored pairs; null score = failed template."""
-    rows = scored(prepared, [key], F.col("premise"), F.col("actors"), templates, max_length, **scorer)
-    pairs = rows.select(key, F.posexplode("__pairs").alias("pos", "x")).where(~F.col("x.guard"))
+    rows = scored(prepared, [key], F.struct("premise", "actors"), templates, max_length, **scorer)
+    pairs = _each(rows, [key], "__pairs", "x").where(~F.col("x.guard"))
     long = pairs.select(key, "pos", "x.actor", F.posexplode("x.scores").alias("i", "score"))
     t = F.get(_template_array(templates), F.col("i"))
     return long.select(key, "pos", "actor", t["stance"].alias("stance"), t["template_id"].alias("template_id"), "score")
@@ -314,8 +319,8 @@ def template_scores(prepared: DataFrame, templates=TEMPLATES, max_length: int |
 
 def stance_pairs(prepared: DataFrame, templates=TEMPLATES, max_length: int | None = None, key: str = "row_id", **scorer) -> DataFrame:
     """Long result ``(key, pos, actor, stance, <one score column per stance>)``."""
-    rows = scored(prepared, [key], F.col("premise"), F.col("actors"), templates, max_length, **scorer)
-    pairs = rows.select(key, F.posexplode("__pairs").alias("pos", "x")).select(key, "pos", "x.actor", _decided(F.col("x"), templates).alias("d"))
+    rows = scored(prepared, [key], F.struct("premise", "actors"), templates, max_length, **scorer)
+    pairs = _each(rows, [key], "__pairs", "x").select(key, "pos", "x.actor", _decided(F.col("x"), templates).alias("d"))
     return pairs.select(key, "pos", "actor", "d.stance", *[F.col(f"d.scores.{s}").alias(s) for s in stance_names(templates)])
 
 
@@ -327,20 +332,20 @@ def stance(df: DataFrame, templates=TEMPLATES, max_length: int | None = None, ma
 
     One projection over each row, whatever the scorer: no exchange and no join,
     on a batch as on a stream. Without ``attach`` only the key and the lists
-    are returned. ``model_max_length`` caps ``max_length`` (Z5: the smaller of
-    the model's limit and the requested length, 512 if none was); ``limit_n``
-    keeps the first n clauses by key, applied before any work (P3).
+    are returned. Premises are whole, for a plug-in model too (it gets
+    ``max_length`` None), unless ``max_length`` or ``model_max_length`` limits
+    them (Z5: the smaller of the model's limit and the requested length, 512 if
+    none was); ``limit_n`` keeps the first n clauses by key, applied before any
+    work (P3).
     """
-    if model_max_length is not None or (pair_model is not None and max_length is None):
+    if model_max_length is not None:
         max_length = effective_max_length(model_max_length, MAX_LENGTH if max_length is None else max_length)
     if limit_n is not None:
         from .sampling import first_n
         df = first_n(df, limit_n, key)
-    premise, items = _prepared_columns(clause, actors, max_chars, df.schema[actors].dataType)
+    row = _prepared(clause, actors, max_chars, df.schema[actors].dataType)
     keep = list(df.columns) if attach else [key]
-    parsed = df.select(*df.columns, premise.alias("__premise"), items.alias("__actors"))
-    rows = scored(parsed, keep, F.col("__premise"), F.col("__actors"), templates, max_length, pair_model=pair_model,
-                  entail_idx=entail_idx, batch_size=batch_size)
+    rows = scored(df, keep, row, templates, max_length, pair_model=pair_model, entail_idx=entail_idx, batch_size=batch_size)
     rows = rows.select(*keep, F.transform("__pairs", lambda x: _decided(x, templates)).alias("__r"))
     return rows.select(*keep, F.transform("__r", lambda r: r["stance"]).alias("predicted_sentiments"),
                        F.transform("__r", lambda r: r["scores"]).alias("sentiment_scores"))

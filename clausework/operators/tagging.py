@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import THRESHOLD, UNKNOWN, sigmoid
-from ._util import bounded_broadcast
+from ._util import ROW, bounded_broadcast
 
 
 def pooled(logits: Column, n_labels: int) -> Column:
@@ -39,15 +39,18 @@ def decided_ids(probs: Column, threshold: float = THRESHOLD) -> Column:
     return F.when(F.size(probs) == 0, F.array().cast("array<int>")).when(F.size(hits) > 0, hits).otherwise(best)
 
 
+def _failed(on_error: str, key: Column | None) -> Column:
+    return (F.array(F.lit(UNKNOWN)) if on_error == "unknown" else
+            F.raise_error(F.concat(F.lit("scoring failed for clause "), F.lit("") if key is None else key.cast("string"))))
+
+
 def decided(probs: Column, names: list[str], threshold: float = THRESHOLD, on_error: str = "unknown",
             key: Column | None = None) -> Column:
     """C8 + A4 + P6 + J2 + I3: the predicted labels, by name; ``["Unknown"]`` (or an error) where scoring failed."""
     if on_error not in ("unknown", "raise"):
         raise ValueError("on_error must be 'unknown' or 'raise'")
     table = F.lit(names) if names else F.array().cast("array<string>")
-    failed = (F.array(F.lit(UNKNOWN)) if on_error == "unknown" else
-              F.raise_error(F.concat(F.lit("scoring failed for clause "), F.lit("") if key is None else key.cast("string"))))
-    return F.when(probs.isNull(), failed).otherwise(
+    return F.when(probs.isNull(), _failed(on_error, key)).otherwise(
         F.transform(decided_ids(probs, threshold), lambda i: F.get(table, i)))
 
 
@@ -56,6 +59,22 @@ def pool(logits: DataFrame, key: str = "row_id") -> DataFrame:
     return logits.groupBy(key, "label_id").agg(F.avg(sigmoid(F.col("logit"))).alias("p"))
 
 
+def named(rows: DataFrame, ids: DataFrame, vocab: DataFrame, vocab_rows: int | None = None, on_error: str = "unknown",
+          key: Column | None = None, out: str = "predicted_actors") -> DataFrame:
+    """J2 + I3, long: ``rows`` with the names of their label ids from ``ids`` (row number, label_ids), joined by label.
+
+    Null ids are a failed clause.
+    """
+    if on_error not in ("unknown", "raise"):
+        raise ValueError("on_error must be 'unknown' or 'raise'")
+    each = ids.select(ROW, F.posexplode_outer("label_ids").alias("i", "label_id")).where(F.col("i").isNotNull())
+    lists = (each.join(bounded_broadcast(vocab.select("label_id", "label"), rows=vocab_rows), "label_id")
+             .groupBy(ROW).agg(F.array_sort(F.collect_list(F.struct("i", "label"))).alias("own")))
+    done = rows.join(ids.select(ROW, F.col("label_ids").isNull().alias("failed")), ROW).join(lists, ROW, "left")
+    names = F.coalesce(F.transform("own", lambda x: x["label"]), F.array().cast("array<string>"))
+    return done.select(*[F.col(c) for c in rows.columns if c != ROW], F.when(F.col("failed"), _failed(on_error, key)).otherwise(names).alias(out))
+
+
 def decide(probs: DataFrame, vocab: DataFrame, threshold: float = THRESHOLD, key: str = "row_id",
            out: str = "predicted_actors", vocab_rows: int | None = None) -> DataFrame:
     """C8 + A4 + P6 + J2, long: ``(key, out ARRAY<STRING>)`` from ``(key, label_id, p)``."""

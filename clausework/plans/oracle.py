@@ -7,7 +7,8 @@ import math
 from ..functions.text import N_FEATURES
 from ..operators.labels import WARM_MAP
 from ..operators.stance import TEMPLATES_FIRST_VERSION, template_rows
-from .queries import FIRST_N, FIT_EPOCHS, FIT_STEPS, MODEL_LENGTH, SAMPLE_N
+from .queries import (BATCH_EPOCHS, BATCH_SIZE, BATCH_STEPS, FIRST_N, FIT_EPOCHS, FIT_STEPS, MODEL_LENGTH, PARTS, POSITIVE,
+                      SAMPLE_N)
 
 
 def _q(s: str) -> str:
@@ -271,8 +272,28 @@ ORDER_KEY = "('0x' || substr(md5('42:' || {k}::VARCHAR), 1, 15))::BIGINT"
 UNIT = "(('0x' || substr(md5('42:' || {k}::VARCHAR), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE)"
 
 
-def fit_ctes(epochs: int, steps: int, lr: float = 0.05, decay: float = 0.01, warmup: float = 0.1) -> str:
-    """The fit unrolled: heads ``w0 .. wN``, ``epoch_table``, ``ranked`` and the best epoch's head as ``head``."""
+SLOPE = "1.0 / (1.0 + exp(-z)) - y"
+VALUE = "greatest(z, 0.0) - z * y + ln(1 + exp(-abs(z)))"
+# a true label counts POSITIVE times
+_SOFT = "(greatest(z, 0.0) + ln(1 + exp(-abs(z))))"
+WEIGHTED_SLOPE = f"(1.0 / (1.0 + exp(-z))) * ({POSITIVE} * y + 1.0 - y) - {POSITIVE} * y"
+WEIGHTED_VALUE = f"{POSITIVE} * y * ({_SOFT} - z) + (1.0 - y) * {_SOFT}"
+
+
+def order_cte(epoch: int, size: str) -> str:
+    """``order{epoch}(row_id, window, batch)``: the training windows in the epoch's order, in batches of ``size``."""
+    key = "row_id::VARCHAR || ':' || \"window\"::VARCHAR"
+    return f"""
+order{epoch} AS MATERIALIZED (SELECT row_id, "window", (row_number() OVER (ORDER BY {ORDER_KEY.replace("42:", f"42:{epoch}:").format(k="(" + key + ")")}, {key}) - 1) // {size} AS batch
+  FROM wins JOIN sides USING (row_id) WHERE NOT held)"""
+
+
+def fit_ctes(epochs: int, steps: int, lr: float = 0.05, decay: float = 0.01, warmup: float = 0.1, slope: str = SLOPE,
+             value: str = VALUE, batches: bool = False) -> str:
+    """The fit unrolled: heads ``w0 .. wN``, ``epoch_table``, ``ranked`` and the best epoch's head as ``head``.
+
+    With ``batches`` an epoch's steps take its batches in turn instead of all windows.
+    """
     total = epochs * steps
     warm = math.ceil(total * warmup)
     out = [f"""
@@ -293,19 +314,25 @@ w0 AS MATERIALIZED (SELECT * FROM first_head)"""]
 
     for i in range(total):
         rate = lr * (i + 1) / warm if warm and i < warm else lr * max(0.0, (total - i) / max(1, total - warm))
-        out += [logits(f"z{i}", f"w{i}", "NOT c.held"), f"""
-r{i} AS MATERIALIZED (SELECT row_id, "window", label_id, 1.0 / (1.0 + exp(-z)) - y AS r FROM z{i}),
+        taken, count = "NOT c.held", "n_train n"
+        if batches:
+            e, k = i // steps + 1, i % steps
+            taken = f'EXISTS (SELECT 1 FROM order{e} o WHERE o.batch = {k} AND o.row_id = c.row_id AND o."window" = c."window")'
+            count = f"(SELECT count(*)::DOUBLE AS n FROM order{e} WHERE batch = {k}) n"
+            out += [order_cte(e, f"(SELECT ceil(n / {steps}.0)::BIGINT FROM n_train)")] if k == 0 else []
+        out += [logits(f"z{i}", f"w{i}", taken), f"""
+r{i} AS MATERIALIZED (SELECT row_id, "window", label_id, {slope} AS r FROM z{i}),
 g{i} AS MATERIALIZED (SELECT r.label_id, c.feature, sum(c.x * r.r) AS g FROM counts c JOIN r{i} r ON c.row_id = r.row_id AND c."window" = r."window"
   GROUP BY r.label_id, c.feature UNION ALL SELECT label_id, -1, sum(r) FROM r{i} GROUP BY label_id),
 w{i + 1} AS MATERIALIZED (SELECT w.label_id, w.label, w.feature,
   w.weight - {rate!r}::DOUBLE * (coalesce(g.g, 0.0) / n.n + CASE WHEN w.feature = -1 THEN 0.0 ELSE {decay!r}::DOUBLE * w.weight END) AS weight
-  FROM w{i} w LEFT JOIN g{i} g ON w.label_id = g.label_id AND w.feature = g.feature, n_train n)"""]
+  FROM w{i} w LEFT JOIN g{i} g ON w.label_id = g.label_id AND w.feature = g.feature, {count})"""]
     for e in range(1, epochs + 1):
         out += [logits(f"e{e}", f"w{e * steps}", "c.held"), f"""
 conf{e} AS (SELECT count(*) FILTER (WHERE pred AND y = 1) AS tp, count(*) FILTER (WHERE pred AND y = 0) AS fp,
                    count(*) FILTER (WHERE NOT pred AND y = 1) AS fn, count(*) FILTER (WHERE NOT pred AND y = 0) AS tn
             FROM (SELECT y, 1.0 / (1.0 + exp(-z)) >= 0.5 AS pred FROM e{e})),
-loss{e} AS (SELECT round(avg(greatest(z, 0.0) - z * y + ln(1 + exp(-abs(z)))), 6) AS loss FROM e{e}),
+loss{e} AS (SELECT round(avg({value}), 6) AS loss FROM e{e}),
 m{e} AS ({_macro(f"conf{e}, loss{e}", f"{e} AS epoch, loss, ")})"""]
     tables = " UNION ALL ".join(f"SELECT * FROM m{e}" for e in range(1, epochs + 1))
     heads = " UNION ALL ".join(f"SELECT label_id, label, feature, weight FROM w{e * steps} WHERE (SELECT epoch FROM ranked WHERE rank = 1) = {e}"
@@ -323,9 +350,14 @@ def length_ids_sql(text: str) -> str:
     return f"list_transform(regexp_extract_all({text}, {TOKEN_RE}), lambda w: (3 + (31 * length(w) + unicode(w)) % 1000)::INTEGER)"
 
 
+def _fit(*ctes: str) -> str:
+    return _with(GOLD, head_cte("first_head"), fixed_windows_cte("gold", "clause"), TRUTH, *ctes)
+
+
+_EPOCHS = "\nSELECT epoch, loss, accuracy, f1, precision, recall, epoch = (SELECT epoch FROM ranked WHERE rank = 1) AS best FROM epoch_table"
 _STANCE_PREP = PREP.format(premise=WHOLE, actors=parse_sql("actors_text"), src="clauses")
 _LISTS = "\nSELECT row_id, predicted_sentiments, sentiment_scores FROM lists"
-_FIT = _with(GOLD, head_cte("first_head"), fixed_windows_cte("gold", "clause"), TRUTH, fit_ctes(FIT_EPOCHS, FIT_STEPS))
+_FIT = _fit(fit_ctes(FIT_EPOCHS, FIT_STEPS))
 # the tagging windows beside the training windows of a fit
 _TAG_WINDOWS = (overlap_windows_cte("gold", "coalesce(clause, 'nan')").replace("\nids AS", "\ntag_ids AS").replace("FROM ids)", "FROM tag_ids)")
                 .replace("wins AS (\n", "tag_wins AS (\n"))
@@ -466,8 +498,8 @@ SELECT row_id, pos, actor, stance, round(positive, 6) AS positive, round(negativ
     "stance_truncated": _stance(max_length=MODEL_LENGTH),
     "stance_edges": _with(EDGES, TEMPLATES, PREP.format(premise="CASE WHEN status = 3 THEN '' ELSE coalesce(clause, '') END", actors="items", src="edge_lists"),
                           stance_ctes("prep")) + _LISTS,
-    "stance_pair_model": _stance(max_length=512),
-    "stance_failing_model": _stance(max_length=512, fails="contains(template, 'unfavorable')"),
+    "stance_pair_model": _stance(),
+    "stance_failing_model": _stance(fails="contains(template, 'unfavorable')"),
     "stance_tagged": _with(GOLD, HEAD, overlap_windows_cte("gold", "coalesce(clause, 'nan')"), LOGITS, DECIDE,
                            TEMPLATES,
                            "src AS (SELECT g.row_id, g.clause, string_split(d.predicted_actors, '|') AS actors "
@@ -478,7 +510,32 @@ SELECT row_id, pos, actor, stance, round(positive, 6) AS positive, round(negativ
 SELECT c.row_id, md5(coalesce(c.clause, '')) AS clause_md5, l.predicted_sentiments
 FROM clauses c JOIN lists l ON c.row_id = l.row_id""",
     "head_roundtrip": _with(GOLD, HEAD) + "\nSELECT label_id, label, feature, round(weight, 6) AS weight FROM head",
-    "fit_head": _FIT + "\nSELECT epoch, loss, accuracy, f1, precision, recall, epoch = (SELECT epoch FROM ranked WHERE rank = 1) AS best FROM epoch_table",
+    "fit_head": _FIT + _EPOCHS,
+    "fit_sharded": _FIT + _EPOCHS,
+    "fit_resumed": _FIT + _EPOCHS,
+    "fit_weighted": _fit(fit_ctes(FIT_EPOCHS, FIT_STEPS, slope=WEIGHTED_SLOPE, value=WEIGHTED_VALUE)) + _EPOCHS,
+    "fit_batches": _fit(fit_ctes(BATCH_EPOCHS, BATCH_STEPS, batches=True)) + _EPOCHS,
+    "mini_batches": _with(GOLD, fixed_windows_cte("gold", "clause"),
+                          f"sides AS (SELECT DISTINCT row_id, {UNIT.format(k='row_id')} < 0.2 AS held FROM wins)",
+                          *[order_cte(e, str(BATCH_SIZE)) for e in range(1, BATCH_EPOCHS + 1)]) + "\n" + " UNION ALL ".join(
+        f'SELECT {e} AS epoch, batch, row_id, "window" FROM order{e}' for e in range(1, BATCH_EPOCHS + 1)),
+    "tag_balanced": TAG_DOCUMENTS,
+    "balanced_loads": f"""
+SELECT {PARTS} AS parts, count(*) AS rows, sum(len(regexp_extract_all(coalesce(text, 'nan'), {TOKEN_RE})))::BIGINT AS tokens, TRUE AS even
+FROM documents""",
+    "hooked_macro": _with(GOLD, HEAD, fixed_windows_cte("gold", "clause"), LOGITS, TRUTH, CELLS) + "\n" + _macro(),
+    "label_f1": _with(GOLD, HEAD, fixed_windows_cte("gold", "clause"), LOGITS, TRUTH, CELLS, """
+per AS (SELECT label_id, count(*) FILTER (WHERE pred AND y = 1) AS tp, count(*) FILTER (WHERE pred AND y = 0) AS fp,
+               count(*) FILTER (WHERE NOT pred AND y = 1) AS fn
+        FROM (SELECT label_id, y, (1.0 / (1.0 + exp(-logit))) >= 0.5 AS pred FROM cells) GROUP BY label_id),
+pr AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) ELSE 0.0 END AS p,
+              CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) ELSE 0.0 END AS r FROM per)""") + """
+SELECT label_id, round(p, 6) AS precision, round(r, 6) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END, 6) AS f1 FROM pr""",
+    "stance_distinct": _stance(),
+    "distinct_pair_calls": _with(GOLD, _STANCE_PREP, """
+each AS (SELECT premise, unnest(actors) AS actor FROM prep),
+kept AS (SELECT premise, actor, count(*) AS n FROM each WHERE length(premise) > 0 AND length(actor) > 0 GROUP BY premise, actor)""") + """
+SELECT count(*) AS pairs, coalesce(sum(n), 0)::BIGINT AS places, (9 * count(*))::BIGINT AS calls FROM kept""",
     "best_epoch": _FIT + "\nSELECT epoch, rank::INTEGER AS rank FROM ranked WHERE rank <= 2",
     "train_tag_stance": _with(
         GOLD, head_cte("first_head"), fixed_windows_cte("gold", "clause"), TRUTH, fit_ctes(FIT_EPOCHS, FIT_STEPS),

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import (CLS_ID, MAX_LENGTH, N_FEATURES, PAD_ID, PREDICT_OVERLAP, SEP_ID, THRESHOLD, TRAIN_STEP, as_text,
                               token_ids)
+from ..operators._util import ROW, numbered, stored
 from ..operators import clean, labels as L, scoring, stance as stance_ops, tagging, windows
 from ..operators.sampling import SEED, sample_exact
 from ..sources import io
@@ -45,30 +46,39 @@ def tag(clauses: DataFrame, head: DataFrame | None, vocab: DataFrame, *, key: st
         max_length: int = MAX_LENGTH, overlap: int = PREDICT_OVERLAP, make_predict_fn: Callable | None = None,
         make_tokenizer: Callable | None = None, cls_id: int = CLS_ID, sep_id: int = SEP_ID, pad_id: int = PAD_ID,
         batch_size: int = scoring.BATCH_SIZE, head_rows: int | None = None, vocab_rows: int | None = None,
-        n_features: int = N_FEATURES, on_error: str = "unknown") -> DataFrame:
-    """``(key, predicted_actors)`` for every clause (after an optional exact sample).
+        n_features: int = N_FEATURES, on_error: str = "unknown", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(key, keep..., predicted_actors)`` for every clause (after an optional exact sample).
 
     One pass over the clauses: tokens, windows, logits, pooling and decision
     stay in the row. ``make_predict_fn`` and ``make_tokenizer`` (with its
     special ids) plug a real model in; without them the linear ``head`` scores
-    hashed words. A head or vocabulary too large to travel is joined instead.
+    hashed words. A head or vocabulary too large to travel is joined instead,
+    with rows told apart by number, since keys may repeat; a model for such a
+    vocabulary returns the predicted ids alone.
     """
-    src = clauses.select(key, text)
+    src = clauses.select(*dict.fromkeys((key, text, *keep)))
     if sample_size is not None:
         src = sample_exact(src, sample_size, seed, key)
     names = L.label_names(vocab, vocab_rows, MAX_NAMES)
+    options = dict(max_length=max_length, overlap=overlap, cls_id=cls_id, sep_id=sep_id, pad_id=pad_id, batch_size=batch_size)
     scored = None if names is None else clause_logits(
-        src, head, key=key, text=text, head_rows=head_rows, make_predict_fn=make_predict_fn, make_tokenizer=make_tokenizer,
-        null_text=null_text, max_length=max_length, overlap=overlap, cls_id=cls_id, sep_id=sep_id, pad_id=pad_id, batch_size=batch_size)
-    if scored is None:
-        if make_predict_fn is not None:
-            raise ValueError(f"a plug-in model needs a vocabulary of at most {MAX_NAMES} labels")
-        ids = src.select(key, clause_ids(as_text(F.col(text), null_text), make_tokenizer).alias("ids"))
-        wins = windows.overlap_windows(ids, "ids", max_length, overlap, keep=(key,), cls_id=cls_id, sep_id=sep_id)
-        probs = tagging.pool(scoring.score_windows(wins, head, (key, "window"), head_rows=head_rows, n_features=n_features), key)
-        return tagging.decide(probs, vocab, threshold, key, vocab_rows=vocab_rows)
-    probs = scored.select(key, tagging.pooled(F.col("logits"), len(names)).alias("probs"))
-    return probs.select(key, tagging.decided(F.col("probs"), names, threshold, on_error, F.col(key)).alias("predicted_actors"))
+        src, head, key=key, text=text, keep=keep, head_rows=head_rows, make_predict_fn=make_predict_fn, make_tokenizer=make_tokenizer,
+        null_text=null_text, **options)
+    if scored is not None:
+        probs = scored.select(key, *keep, tagging.pooled(F.col("logits"), len(names)).alias("probs"))
+        return probs.select(key, *keep, tagging.decided(F.col("probs"), names, threshold, on_error, F.col(key)).alias("predicted_actors"))
+    rows = numbered(src, "tag-rows")
+    ids = rows.select(ROW, clause_ids(as_text(F.col(text), null_text), make_tokenizer).alias("ids"))
+    kept = rows.select(ROW, key, *keep)
+    if make_predict_fn is not None:
+        got = scoring.window_logits(F.col("ids"), make_predict_fn, finish=scoring.sparse_decision(threshold), **options)
+        found = stored(ids.select(ROW, got.alias("label_ids")), "tag-ids")
+        return tagging.named(kept, found, vocab, vocab_rows, on_error, F.col(key))
+    wins = windows.overlap_windows(ids, "ids", max_length, overlap, keep=(ROW,), cls_id=cls_id, sep_id=sep_id)
+    probs = tagging.pool(scoring.score_windows(wins, head, (ROW, "window"), head_rows=head_rows, n_features=n_features), ROW)
+    done = kept.join(tagging.decide(probs, vocab, threshold, ROW, vocab_rows=vocab_rows), ROW, "left")
+    # without a label there is no score
+    return done.select(key, *keep, F.coalesce("predicted_actors", F.array().cast("array<string>")).alias("predicted_actors"))
 
 
 def attach(rows: DataFrame, result: DataFrame, key: str = "row_id") -> DataFrame:
@@ -94,18 +104,12 @@ def training_windows(rows: DataFrame, *, text: str = "clause", make_tokenizer: C
     return windows.fixed_step_windows(ids, "ids", max_length, step, keep=keep, cls_id=cls_id, sep_id=sep_id)
 
 
-def fit_tagger(clauses: DataFrame, *, key: str = "row_id", text: str = "clause",
-               actors_text: str = "regularized_actors", old_head: DataFrame | None = None,
-               old_vocab: DataFrame | None = None, warm_map: DataFrame | None = None,
-               test_share: float = 0.2, seed: int = SEED, exact_split: bool = False,
-               epochs: int = 5, steps_per_epoch: int = 2, batches: int | None = None, accumulate: int = 1, lr: float = 0.05,
-               weight_decay: float = 0.01, warmup_ratio: float = 0.1, eval_every: int | None = None, keep: int = 2,
-               max_length: int = MAX_LENGTH, step: int = TRAIN_STEP, make_tokenizer: Callable | None = None,
-               cls_id: int = CLS_ID, sep_id: int = SEP_ID, n_features: int = N_FEATURES) -> dict:
-    """Training end to end (3.1): strict parse -> vocabulary -> split -> fixed-step
-    windows -> (warm-started) head -> fit -> hold-out metrics at window level.
+def fit_tables(clauses: DataFrame, *, key: str = "row_id", text: str = "clause", actors_text: str = "regularized_actors",
+               old_head: DataFrame | None = None, old_vocab: DataFrame | None = None, warm_map: DataFrame | None = None,
+               test_share: float = 0.2, seed: int = SEED, exact_split: bool = False, max_length: int = MAX_LENGTH, step: int = TRAIN_STEP,
+               make_tokenizer: Callable | None = None, cls_id: int = CLS_ID, sep_id: int = SEP_ID, n_features: int = N_FEATURES) -> dict:
+    """What a fit starts from: ``{"train", "test"}`` (window rows), ``"init"`` (first head), ``"vocab"``, ``"skipped"``.
 
-    Returns ``{"head", "heads", "vocab", "epochs", "metrics", "skipped"}``.
     The vocabulary is built on all rows before the split, and the split comes
     before windowing, so no clause has windows on both sides.
     """
@@ -131,11 +135,28 @@ def fit_tagger(clauses: DataFrame, *, key: str = "row_id", text: str = "clause",
         pairs = L.warm_pairs(wm, vocab, ov)
         skipped = L.warm_skipped(wm, vocab, ov)
         init = L.warm_copy(init, old_head, pairs)
+    return {"train": table(train), "test": table(test), "init": init, "vocab": vocab, "skipped": skipped}
+
+
+def fit_tagger(clauses: DataFrame, *, epochs: int = 5, steps_per_epoch: int = 2, batches: int | None = None, accumulate: int = 1,
+               lr: float = 0.05, weight_decay: float = 0.01, warmup_ratio: float = 0.1, eval_every: int | None = None, keep: int = 2,
+               seed: int = SEED, fit: dict | None = None, **tables) -> dict:
+    """Training end to end (3.1): strict parse -> vocabulary -> split -> fixed-step
+    windows -> (warm-started) head -> fit -> hold-out metrics at window level.
+
+    Returns ``{"head", "heads", "vocab", "epochs", "metrics", "skipped"}``.
+    ``tables`` are the options of ``fit_tables``, ``fit`` further ones of
+    ``head.fit`` (``batch_size``, ``loss``, ``state``, ...).
+    """
+    from ..operators import head as H
+
+    t = fit_tables(clauses, seed=seed, **tables)
     head, table_of_epochs, heads = H.fit(
-        table(train), init, evaluation=table(test), epochs=epochs, steps_per_epoch=steps_per_epoch, batches=batches,
-        accumulate=accumulate, lr=lr, weight_decay=weight_decay, warmup_ratio=warmup_ratio, eval_every=eval_every, keep=keep)
+        t["train"], t["init"], evaluation=t["test"], epochs=epochs, steps_per_epoch=steps_per_epoch, batches=batches,
+        accumulate=accumulate, lr=lr, weight_decay=weight_decay, warmup_ratio=warmup_ratio, eval_every=eval_every, keep=keep,
+        **{"seed": seed, **(fit or {})})
     metrics = table_of_epochs.where("best").select("accuracy", "f1", "precision", "recall")
-    return {"head": head, "heads": heads, "vocab": vocab, "epochs": table_of_epochs, "metrics": metrics, "skipped": skipped}
+    return {"head": head, "heads": heads, "vocab": t["vocab"], "epochs": table_of_epochs, "metrics": metrics, "skipped": t["skipped"]}
 
 
-__all__ = ["tag", "attach", "stance", "stance_file", "fit_tagger", "clause_logits", "clause_ids", "training_windows"]
+__all__ = ["tag", "attach", "stance", "stance_file", "fit_tables", "fit_tagger", "clause_logits", "clause_ids", "training_windows"]

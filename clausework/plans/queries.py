@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.lists import parse_list, parse_list_strict, parse_list_tolerant
 from ..functions.text import CUT_CHARS, N_FEATURES
-from ..operators import clean, head as H, labels as L, metrics as M, sampling as P, scoring, stance as Z, tagging as G, windows as W
+from ..functions.text import tokens
+from ..operators import balance, batches as B, clean, head as H, hooks, pairs, labels as L, metrics as M, sampling as P, scoring, stance as Z, tagging as G, windows as W
 from ..session import scratch_path
 from ..sources import io, tables
 from . import pipelines
@@ -25,6 +26,11 @@ SAMPLE_N = 300        # rows drawn by the exact-sample queries
 FIRST_N = 100         # rows kept by the first-n query
 MODEL_LENGTH = 64     # tokens of the model in the truncation query
 FIT_EPOCHS, FIT_STEPS = 3, 2
+BATCH_EPOCHS, BATCH_STEPS = 2, 3   # of the fit by batches
+BATCH_SIZE = 64       # windows in a listed batch
+PARTS = 8             # balanced partitions
+POSITIVE = 2.0        # weight of a true label in the weighted loss
+SHARD_CELLS = 1 << 14  # weights in a shard of the sharded fit
 
 
 def _joined(c, sep: str = "|") -> F.Column:
@@ -81,6 +87,25 @@ def q_tag_batch_udf(spark, sf):
     return _tags(pipelines.tag(tables.documents(spark, sf), None, vocab, vocab_rows=sizes["vocab_rows"], make_predict_fn=model, batch_size=64))
 
 
+def _by_tokens(spark, sf):
+    weight = F.size(tokens(F.coalesce("clause", F.lit("nan"))))
+    return balance.balanced(tables.documents(spark, sf), weight, PARTS), weight
+
+
+def q_tag_balanced(spark, sf):
+    """Tags from partitions of equal shares of tokens."""
+    vocab, head, sizes = _vocab_head(spark, sf)
+    return _tags(pipelines.tag(_by_tokens(spark, sf)[0], head, vocab, **sizes))
+
+
+def q_balanced_loads(spark, sf):
+    """Partitions of equal shares of tokens: rows, tokens, and whether the largest is within 1.2 of the mean."""
+    rows, weight = _by_tokens(spark, sf)
+    load = balance.loads(rows, weight)
+    even = F.max("weight") * PARTS <= F.sum("weight") * 1.2
+    return load.agg(F.count(F.lit(1)).cast("int").alias("parts"), F.sum("rows").alias("rows"), F.sum("weight").alias("tokens"), even.alias("even"))
+
+
 def _length_tokenizer():
     """A tokenizer of another kind: a word's id comes from its length and first letter."""
     import re
@@ -333,15 +358,18 @@ def q_windows_overlap(spark, sf):
 
 # --- step 5: metrics -----------------------------------------------------------
 
-def _eval_cells(spark, sf):
+def _eval_logits(spark, sf):
     rows, _, head, sizes = _labelled(spark, sf)
-    scored = pipelines.clause_logits(rows, head, keep=("label_ids",), head_rows=sizes["head_rows"], null_text=None, windowing="fixed")
-    return M.cells(scored)
+    return pipelines.clause_logits(rows, head, keep=("label_ids",), head_rows=sizes["head_rows"], null_text=None, windowing="fixed"), sizes["vocab_rows"]
+
+
+def _eval_counts(spark, sf):
+    return M.confusion_counts(_eval_logits(spark, sf)[0])
 
 
 def q_confusion(spark, sf):
     """E1 + E2: confusion counts over all (window, label) cells."""
-    return M.confusion(_eval_cells(spark, sf))
+    return _eval_counts(spark, sf).drop("loss_sum")
 
 
 def _rounded(m: DataFrame) -> DataFrame:
@@ -350,13 +378,13 @@ def _rounded(m: DataFrame) -> DataFrame:
 
 def q_macro_metrics(spark, sf):
     """Accuracy and macro precision / recall / F1 over cells."""
-    return _rounded(M.macro_metrics(M.confusion(_eval_cells(spark, sf))))
+    return _rounded(M.macro_metrics(_eval_counts(spark, sf)))
 
 
 def q_metrics_file(spark, sf):
     """The metrics written as JSON and read back."""
     path = scratch_path(spark, "metrics")
-    m = M.macro_metrics(M.confusion(_eval_cells(spark, sf)))
+    m = M.macro_metrics(_eval_counts(spark, sf))
     io.write_json_row(m, path)
     return _rounded(spark.read.schema(m.schema).json(path))
 
@@ -371,10 +399,23 @@ def q_clause_metrics(spark, sf):
 
 def q_bce_loss(spark, sf):
     """Mean binary cross-entropy with logits."""
-    b = M.bce_loss(_eval_cells(spark, sf))
+    b = M.mean_loss(_eval_counts(spark, sf))
     return b.select(_r6("loss").alias("loss"), "n_cells")
 
 
+def q_hooked_macro(spark, sf):
+    """U4 + E3: the macro metrics as a caller's own metric, merged in a tree."""
+    scored, k = _eval_logits(spark, sf)
+    return _rounded(hooks.measured(scored, hooks.macro(k), k))
+
+
+def q_label_f1(spark, sf):
+    """U4: precision, recall and F1 of every label as a caller's own metric."""
+    scored, k = _eval_logits(spark, sf)
+    m = hooks.measured(scored, hooks.label_f1(k), k)
+    return m.select("label_id", *[_r6(c).alias(c) for c in ("precision", "recall", "f1")])
+
+
 # --- step 6: stance ------------------------------------------------------------
 
 def _prepared(spark, sf):
@@ -448,10 +489,23 @@ def q_stance_edges(spark, sf):
 
 def q_stance_pair_model(spark, sf):
     """Z2 (plug-in) + U2 + U5: stance lists through the batch entailment-model surface."""
-    out = Z.stance(tables.stance_input(spark, sf), pair_model=scoring.overlap_pair_model, max_length=512, batch_size=64)
+    out = Z.stance(tables.stance_input(spark, sf), pair_model=scoring.overlap_pair_model, batch_size=64)
     return _lists_flat(out)
 
 
+def q_stance_distinct(spark, sf):
+    """Z2 + Z4: stance lists by a plug-in model that scores each different pair of the table once."""
+    return _lists_flat(pairs.stance_distinct(tables.stance_input(spark, sf), scoring.overlap_pair_model, batch_size=64))
+
+
+def q_distinct_pair_calls(spark, sf):
+    """Different (premise, actor) pairs of the table, the places they stand in, and how often the model was given one."""
+    found = pairs.distinct_scores(tables.stance_input(spark, sf), scoring.overlap_pair_model, batch_size=64)
+    calls = F.aggregate("calls", F.lit(0).cast("long"), lambda a, c: a + c)
+    return found.agg(F.count(F.lit(1)).alias("pairs"), F.coalesce(F.sum("rows"), F.lit(0)).alias("places"),
+                     F.coalesce(F.sum(calls), F.lit(0)).alias("calls"))
+
+
 def _weak_pair_model():
     """The overlap model with its entailment logit in column 2; it cannot score "unfavorable"."""
     import numpy as np
@@ -468,17 +522,14 @@ def _weak_pair_model():
 
 def q_stance_failing_model(spark, sf):
     """Z6 + T10: pairs that the model cannot score count 0.0 in their stance's mean."""
-    out = Z.stance(tables.stance_input(spark, sf), pair_model=_weak_pair_model, max_length=512, entail_idx=2)
+    out = Z.stance(tables.stance_input(spark, sf), pair_model=_weak_pair_model, entail_idx=2)
     return _lists_flat(out)
 
 
 def q_stance_tagged(spark, sf):
     """Both stages in one pass over the rows: tag every document, then the stance of each predicted actor."""
     vocab, head, sizes = _vocab_head(spark, sf)
-    names = L.label_names(vocab, sizes["vocab_rows"])
-    scored = pipelines.clause_logits(tables.documents(spark, sf), head, keep=("clause",), head_rows=sizes["head_rows"])
-    tags = G.decided(G.pooled(F.col("logits"), len(names)), names).alias("predicted_actors")
-    return _lists_flat(Z.stance(scored.select("row_id", "clause", tags)))
+    return _lists_flat(Z.stance(pipelines.tag(tables.documents(spark, sf), head, vocab, **sizes, keep=("clause",))))
 
 
 # --- step 7: sinks -------------------------------------------------------------
@@ -531,19 +582,74 @@ def q_best_epoch(spark, sf):
     return H.best_epoch(_fitted(spark, sf)["epochs"]).select("epoch", F.col("rank").cast("int").alias("rank"))
 
 
+def _fit_clauses(spark, sf):
+    return tables.clauses(spark, sf).select("row_id", "clause", F.col("actors_text").alias("regularized_actors"))
+
+
+def _epochs(e: DataFrame) -> DataFrame:
+    return e.select("epoch", *[_r6(c).alias(c) for c in ("loss", "accuracy", "f1", "precision", "recall")], "best")
+
+
+def q_fit_sharded(spark, sf):
+    """the same fit with the weights in shards, never broadcast."""
+    fit = {"max_cells": 0, "block_cells": SHARD_CELLS}
+    return _epochs(pipelines.fit_tagger(_fit_clauses(spark, sf), epochs=FIT_EPOCHS, steps_per_epoch=FIT_STEPS, fit=fit)["epochs"])
+
+
+def q_fit_weighted(spark, sf):
+    """The same fit under a caller's loss, in which a true label counts twice."""
+    fit = {"loss": H.weighted_bce(POSITIVE)}
+    return _epochs(pipelines.fit_tagger(_fit_clauses(spark, sf), epochs=FIT_EPOCHS, steps_per_epoch=FIT_STEPS, fit=fit)["epochs"])
+
+
+def q_fit_resumed(spark, sf):
+    """P8 + S9: the same fit ended after its second epoch, then taken up from the stored state."""
+    t, state = pipelines.fit_tables(_fit_clauses(spark, sf)), scratch_path(spark, "fit-state")
+    options = dict(evaluation=t["test"], epochs=FIT_EPOCHS, steps_per_epoch=FIT_STEPS, state=state)
+    H.fit(t["train"], t["init"], until=2, **options)
+    return _epochs(H.fit(t["train"], t["init"], **options)[1])
+
+
+def q_fit_batches(spark, sf):
+    """F1 + F3: a fit by exact batches of a third of the windows, in another order every epoch."""
+    t = pipelines.fit_tables(_fit_clauses(spark, sf))
+    size = -(-t["train"].count() // BATCH_STEPS)
+    return _epochs(H.fit(t["train"], t["init"], evaluation=t["test"], epochs=BATCH_EPOCHS, batch_size=size)[1])
+
+
+def q_mini_batches(spark, sf):
+    """the batch of every training window in two epochs."""
+    train = pipelines.fit_tables(_fit_clauses(spark, sf))["train"]
+    out = None
+    for epoch in range(1, BATCH_EPOCHS + 1):
+        rows = B.Order(train, B.SEED, epoch).numbered().select(
+            F.lit(epoch).alias("epoch"), F.floor(F.col("number") / BATCH_SIZE).cast("bigint").alias("batch"),
+            F.split("key", ":")[0].cast("bigint").alias("row_id"), F.split("key", ":")[1].cast("int").alias("window"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def q_train_tag_stance(spark, sf):
     """The three stages end to end: fit a head on the documents' gold lists, tag every
     document with it, then the stance of each predicted actor."""
     fitted = _fitted(spark, sf)
-    names = L.label_names(fitted["vocab"])
-    scored = pipelines.clause_logits(tables.documents(spark, sf), fitted["head"], keep=("clause",))
-    tags = G.decided(G.pooled(F.col("logits"), len(names)), names).alias("predicted_actors")
-    out = Z.stance(scored.select("row_id", "clause", tags))
+    out = Z.stance(pipelines.tag(tables.documents(spark, sf), fitted["head"], fitted["vocab"], keep=("clause",)))
     return out.select("row_id", _joined("predicted_actors").alias("predicted_actors"), _joined("predicted_sentiments").alias("predicted_sentiments"))
 
 
 QUERIES: dict[str, Query] = {
     "tag_documents": q_tag_documents,
+    "tag_balanced": q_tag_balanced,
+    "balanced_loads": q_balanced_loads,
+    "hooked_macro": q_hooked_macro,
+    "label_f1": q_label_f1,
+    "stance_distinct": q_stance_distinct,
+    "distinct_pair_calls": q_distinct_pair_calls,
+    "fit_sharded": q_fit_sharded,
+    "fit_weighted": q_fit_weighted,
+    "fit_resumed": q_fit_resumed,
+    "fit_batches": q_fit_batches,
+    "mini_batches": q_mini_batches,
     "tag_joined": q_tag_joined,
     "tag_sample": q_tag_sample,
     "tag_batch_udf": q_tag_batch_udf,

@@ -1,6 +1,7 @@
 """Driver contract: entry runs, every oracle key is a query, and small-scale oracle parity."""
 
 import duckdb
+import pytest
 
 import __spark_entry__ as E
 
@@ -16,15 +17,17 @@ def test_oracle_keys_subset():
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-def test_entry_imports_without_the_optional_folders(tmp_path):
-    """The registry works where the optional modules have been removed."""
+@pytest.mark.parametrize("removed", [{"llm"}, {"llm", "corpus_pipeline.py"}])
+def test_entry_imports_without_the_optional_folders(tmp_path, removed):
+    """The registry works where the optional folders are gone, with or without the module that needs them."""
     import os
     import shutil
     import subprocess
     import sys
 
     here = os.path.dirname(os.path.abspath(E.__file__))
-    shutil.copy(os.path.join(here, "__spark_entry__.py"), tmp_path)
+    for name in {"__spark_entry__.py", "corpus_pipeline.py"} - removed:
+        shutil.copy(os.path.join(here, name), tmp_path)
     shutil.copytree(os.path.join(here, "clausework"), tmp_path / "clausework", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     code = "import __spark_entry__ as e; q = e.queries(); assert 'tag_documents' in q and 'pipeline' not in q; assert set(e.oracle_sql()) == set(q)"
     done = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, capture_output=True, text=True)

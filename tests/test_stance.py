@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from clausework.operators import stance as Z
+from clausework.operators import scoring, stance as Z
 from clausework.sources import tables
 
 
@@ -124,3 +124,23 @@ def test_actor_lists_as_arrays(spark):
     a = {r[0]: (r["predicted_sentiments"], r["sentiment_scores"]) for r in Z.stance(text).collect()}
     b = {r[0]: (r["predicted_sentiments"], r["sentiment_scores"]) for r in Z.stance(arr).collect()}
     assert a == b and a[2] == ([], [])
+
+
+@pytest.mark.parametrize("hoist", [True, False])
+@pytest.mark.parametrize("make", [Z.template_scores, Z.stance_pairs])
+def test_plans_name_each_step_once(spark, sf_small, hoist, make):
+    """A step's expression is not copied into every later one: the optimized plan stays short."""
+    df = make(Z.prepare(tables.stance_input(spark, sf_small)), hoist=hoist, max_length=40)
+    assert len(df._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+
+
+def test_a_plug_in_model_reads_whole_premises(spark):
+    """The words that decide stand behind more than 600 others."""
+    filler = " ".join(f"w{i}" for i in range(700))
+    rows = [(1, filler + " the tone regarding Rebels is supportive.", "['Rebels']"), (2, filler, "['Rebels']")]
+    df = spark.createDataFrame(rows, "row_id long, clause string, predicted_actors string")
+    want = {r.row_id: [tuple(s) for s in r.sentiment_scores] for r in Z.stance(df).collect()}
+    got = {r.row_id: [tuple(s) for s in r.sentiment_scores] for r in Z.stance(df, pair_model=scoring.overlap_pair_model).collect()}
+    assert got == want and got[1][0][0] > 0.3 and got[2][0] == (0.0, 0.0, 0.0)
+    cut = Z.stance(df, pair_model=scoring.overlap_pair_model, max_length=512).where("row_id = 1").first().sentiment_scores
+    assert tuple(cut[0]) == (0.0, 0.0, 0.0)
