@@ -40,12 +40,13 @@ def give_back() -> None:
         trim(0)
 
 
-def sound_vectors(df: DataFrame, id_col: str, vec_col: str, drop_zero: bool = False) -> DataFrame:
+def sound_vectors(df: DataFrame, id_col: str, vec_col: str, drop_zero: bool = False, any_length: bool = False) -> DataFrame:
     """``(vec_id, vec array<double>)`` of the vectors that can take part.
 
     A vector takes part if it is not null or empty, holds no null and no
     non-finite component (with ``drop_zero`` also some component that is not
-    0), and has the most frequent length of the table (ties: the longer one).
+    0), and, unless ``any_length``, has the most frequent length of the table
+    (ties: the longer one).
     """
     finite = F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     ok = F.col(vec_col).isNotNull() & (F.size(vec_col) > 0) & F.coalesce(finite, F.lit(False))
@@ -53,6 +54,8 @@ def sound_vectors(df: DataFrame, id_col: str, vec_col: str, drop_zero: bool = Fa
         ok = ok & F.exists(vec_col, lambda x: x != F.lit(0.0))
     rows = (df.where(ok & F.col(id_col).isNotNull())
             .select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec")))
+    if any_length:
+        return rows
     lengths = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
     return rows.where(F.size("vec") == (lengths[0]["n"] if lengths else 0))
 

@@ -9,7 +9,10 @@ language with the highest probability wins; the score is its posterior under
 equal priors.
 
 Words are runs of letters in lower case. A letter that is no piece has a small
-fixed probability in every language.
+fixed probability in every language. The sums run over whole words, however
+long (a sentence of a script without blanks is one): they are scaled on the way
+and only the last ones, as many as a piece has letters, are held. Learning alone
+reads words of over ``MAX_LETTERS`` letters in slices.
 
 The model is fitted on a bounded sample, at most about ``max_docs`` labelled
 documents per language, drawn by a hash of the id; prediction reads whole texts
@@ -46,8 +49,13 @@ ROUNDS = 3
 SMOOTHING = 0.01
 # probability of a letter that is no piece
 STRAY = 1e-9
-# letters of a word that are cut together; longer words are scored in slices
+# letters of a word that words of its length are scored together for; longer words are scored letter by letter,
+# and learned from in slices of as many letters
 MAX_LETTERS = 31
+# letters of long words that are scored together, padding included
+LONG_LETTERS = 1 << 18
+# letters after which the forward sums of long words are scaled anew
+SCALE_EVERY = 16
 # words a worker remembers before it starts anew
 REMEMBERED = 100_000
 # letters that are scored before their batch's next texts are read
@@ -95,7 +103,7 @@ class Trie:
     """A prefix tree that many words can walk at once."""
 
     def __init__(self, keys: np.ndarray, to: np.ndarray, final: np.ndarray, size: int):
-        self.keys, self.to, self.final, self.size = keys, to, final, size
+        self.keys, self.to, self.final, self.size, self._depth = keys, to, final, size, None
 
     def walk(self, node: np.ndarray, letter: np.ndarray) -> np.ndarray:
         """The next nodes; -1 where there is none."""
@@ -103,6 +111,19 @@ class Trie:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.to[at], -1)
 
+    def depth(self) -> int:
+        """The letters of the longest piece."""
+        if self._depth is None:
+            level = np.zeros(len(self.final), dtype=np.int64)
+            parent = self.keys >> 21
+            for _ in range(len(self.final)):
+                deeper = level[parent] + 1
+                if (level[self.to] == deeper).all():
+                    break
+                level[self.to] = deeper
+            self._depth = max(1, int(level.max()))
+        return self._depth
+
     def spans(self, letters: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """``(from, to, words, pieces)`` of all pieces in words of one length, by start.
 
@@ -128,10 +149,12 @@ class Trie:
                     break
 
 
-def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _by_length(words: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Slices of the words as code-point arrays: ``(word numbers, letters)``, one length at a time."""
     groups: dict[int, tuple[list[int], list[str]]] = {}
     for n, w in enumerate(words):
+        if w is None:
+            continue
         marked = WORD_MARK + w
         for at in range(0, len(marked), MAX_LETTERS + 1):
             s = marked[at:at + MAX_LETTERS + 1]
@@ -142,9 +165,50 @@ def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield np.array(numbers), np.array(slices, dtype=f"U{length}").view(np.uint32).reshape(-1, length).astype(np.int64)
 
 
+def _long_words(trie: Trie, probs: np.ndarray, words: list[str]) -> np.ndarray:
+    """``log_likelihoods`` of words of any length: scaled sums in a ring of the last places."""
+    out = np.zeros((len(words), probs.shape[1]))
+    order = sorted(range(len(words)), key=lambda n: len(words[n]))
+    at = 0
+    while at < len(order):
+        end = at + 1
+        while end < len(order) and (end + 1 - at) * (len(words[order[end]]) + 1) <= LONG_LETTERS:
+            end += 1
+        numbers = order[at:end]
+        marked = [WORD_MARK + words[n] for n in numbers]
+        lengths, longest = np.array([len(w) for w in marked]), len(marked[-1])
+        # behind a word's end stands what no piece has
+        letters = np.full((len(marked), longest), (1 << 21) - 1, dtype=np.int64)
+        for row, w in zip(letters, marked, strict=True):
+            row[:len(w)] = np.frombuffer(w.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        ring = trie.depth() + 1
+        alpha, log = np.zeros((ring, len(marked), probs.shape[1])), np.zeros((len(marked), probs.shape[1]))
+        alpha[0] = 1.0
+        here = 0
+        for i, j, who, piece in trie.spans(letters):
+            if i != here:  # what led to the place before is used up
+                alpha[here % ring] = 0.0
+                here = i
+                done = np.flatnonzero(lengths == i)
+                out[[numbers[d] for d in done]] = np.log(alpha[i % ring, done]) + log[done]
+                if i % SCALE_EVERY == 0:
+                    scale = alpha[i % ring].copy()
+                    alpha /= scale
+                    log += np.log(scale)
+            alpha[j % ring, who] += alpha[i % ring, who] * probs[piece]
+        done = np.flatnonzero(lengths == longest)
+        out[[numbers[d] for d in done]] = np.log(alpha[longest % ring, done]) + log[done]
+        at = end
+    return out
+
+
 def log_likelihoods(trie: Trie, probs: np.ndarray, words: list[str]) -> np.ndarray:
     """The log probability of each word in each language: all segmentations, by the forward algorithm."""
     out = np.zeros((len(words), probs.shape[1]))
+    long = [n for n, w in enumerate(words) if len(w) > MAX_LETTERS]
+    if long:
+        out[long] = _long_words(trie, probs, [words[n] for n in long])
+        words = [w if len(w) <= MAX_LETTERS else None for w in words]
     for numbers, letters in _by_length(words):
         n, length = letters.shape
         alpha = np.zeros((length + 1, n, probs.shape[1]))

@@ -12,10 +12,11 @@ The pivots are chosen far apart from a bounded sample; they affect speed only,
 never the result. Queries meet rows in blocks dealt by a hash of the ids: no
 value makes a block large, and no pair of rows becomes a row of a table.
 
-Defined cases: vectors that are null, empty, hold a null or non-finite
-component, have another length than most, or scaled components beyond 2^26 in
-size (their scores could leave a long) take no part; a row is never its own
-answer; ties go to the smaller id; of rows repeated under one id the smallest
+Defined cases: vectors that are null, empty or hold a null or non-finite
+component take no part; vectors of different lengths have no score (pivots have
+the most frequent length, other rows are evaluated without bounds); components
+of any size are scored exactly, and a score that is no long is refused; a row
+is never its own answer; ties go to the smaller id; of rows repeated under one id the smallest
 vector asks and the best one is found, once; with fewer candidates than asked
 for, all are returned; an empty table gives an empty result; other columns are
 ignored.
@@ -23,7 +24,7 @@ ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import best_per_query, block_join, sound_vectors, stored
+from .exact import inner_products
 
 SCALE = 64
 PIVOTS = 32
@@ -38,8 +40,6 @@ PIVOTS = 32
 SAMPLE_ROWS = 2_000
 ROW_BLOCK = 8192
 QUERY_BLOCK = 2048
-# scaled components up to this size take part: sums of products of 256 components fit a long
-LARGEST = 1 << 26
 # rows evaluated at once
 STEP = 512
 # queries whose bounds are computed at once
@@ -57,23 +57,24 @@ def choose_pivots(sample: np.ndarray, pivots: int = PIVOTS) -> np.ndarray:
     return sample[chosen]
 
 
-def scaled(vectors: DataFrame, scale: int = SCALE, largest: int = LARGEST) -> DataFrame:
-    """``(vec_id, vec array<long>)``: ``floor(scale * x)`` of every component; larger vectors go."""
-    v = F.transform("vec", lambda x: F.floor(F.lit(float(scale)) * x))
-    fits = F.forall("vec", lambda x: F.abs(F.lit(float(scale)) * x) <= float(largest))
-    return vectors.where(fits).select("vec_id", v.cast("array<long>").alias("vec"))
+def scaled(vectors, scale: int = SCALE) -> np.ndarray:
+    """``floor(scale * x)`` of every component, as doubles, which hold whole numbers of any size."""
+    return np.floor(scale * np.stack(list(vectors)).astype(np.float64))
 
 
-def with_pivot_distances(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """``(vec_id, vec, far array<double>)``: the distances of every row to the pivots."""
+def with_pivot_distances(vectors: DataFrame, pivots: np.ndarray, scale: int = SCALE) -> DataFrame:
+    """``(vec_id, vec, far array<double>)``: scaled vectors and their distances to the pivots; none for another length."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            if len(b):
-                x = np.stack(b["vec"].to_numpy()).astype(np.float64)
-                far = np.sqrt(np.stack([((x - p) ** 2).sum(axis=1) for p in pivots], axis=1))
-                yield pd.DataFrame({"vec_id": b["vec_id"], "vec": b["vec"], "far": list(far)})
+            lengths = b["vec"].map(len).to_numpy()
+            for n in np.unique(lengths):
+                some = b[lengths == n]
+                x = scaled(some["vec"], scale)
+                with np.errstate(over="ignore"):
+                    far = np.sqrt(np.stack([((x - p) ** 2).sum(axis=1) for p in pivots], axis=1)) if n == pivots.shape[1] else np.zeros((len(x), 0))
+                yield pd.DataFrame({"vec_id": some["vec_id"].to_numpy(), "vec": list(x), "far": list(far)})
 
-    return vectors.mapInPandas(run, "vec_id long, vec array<long>, far array<double>")
+    return vectors.mapInPandas(run, "vec_id long, vec array<double>, far array<double>")
 
 
 def top_k(table: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -83,15 +84,19 @@ def top_k(table: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "vec_
     ``is_query`` is a condition on ``vec_id``.
     """
     spark = table.sparkSession
-    vectors = stored(scaled(sound_vectors(table, id_col, vec_col), scale), "top-vectors")
+    vectors = stored(sound_vectors(table, id_col, vec_col, any_length=True), "top-vectors")
     rows = vectors.count()
     if not rows:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     parts = 1 << 20
     drawn = F.pmod(F.xxhash64(F.lit("pivot"), F.col("vec_id")), F.lit(parts))
-    some = vectors.where(drawn < min(parts, parts * SAMPLE_ROWS // rows + 1)).select("vec").orderBy("vec").toPandas()
-    sample = np.stack(some["vec"].to_numpy()).astype(np.float64) if len(some) else np.array([vectors.first()["vec"]], dtype=np.float64)
-    index = stored(with_pivot_distances(vectors, choose_pivots(sample, pivots)), "top-index")
+    some = vectors.where(drawn < min(parts, parts * SAMPLE_ROWS // rows + 1)).select("vec").orderBy("vec").toPandas()["vec"].to_list()
+    some = some or [vectors.first()["vec"]]
+    # the pivots have the length that most of the sample has
+    lengths, counts = np.unique([len(v) for v in some], return_counts=True)
+    length = lengths[len(counts) - 1 - counts[::-1].argmax()]
+    chosen = choose_pivots(scaled([v for v in some if len(v) == length], scale), pivots)
+    index = stored(with_pivot_distances(vectors, chosen, scale), "top-index")
     queries = index.where(is_query).withColumnRenamed("vec_id", "query_id")
     n = queries.count()
     found = block_join(index, queries, "vec_id", "query_id", rows // row_block + 1, n // query_block + 1,
@@ -99,10 +104,10 @@ def top_k(table: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "vec_
     return best_per_query(found, k, F.col("score").desc(), F.col("vec_id")).select("query_id", "rank", "vec_id", "score")
 
 
-def _exact_type(largest: float, length: int) -> type:
-    """The smallest type in which inner products of such components are exact."""
+def _exact_type(largest: float, length: int) -> type | None:
+    """The smallest floating type in which inner products of such components are exact, if there is one."""
     top = largest * largest * length
-    return np.float32 if top < 1 << 24 else np.float64 if top < 1 << 53 else np.int64
+    return np.float32 if top < 1 << 24 else np.float64 if top < 1 << 53 else None
 
 
 def _search_block(q: pd.DataFrame, r: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -112,29 +117,42 @@ def _search_block(q: pd.DataFrame, r: pd.DataFrame, k: int) -> pd.DataFrame:
         return none
     r = r.sort_values("vec_id", kind="stable")
     q = q.assign(order_=[tuple(v) for v in q["vec"]]).sort_values(["query_id", "order_"]).drop_duplicates("query_id")
+    lengths_q, lengths_r = q["vec"].map(len).to_numpy(), r["vec"].map(len).to_numpy()
+    found = [_search_length(q[lengths_q == n], r[lengths_r == n], k) for n in np.intersect1d(lengths_q, lengths_r)]
+    return pd.concat(found) if found else none
+
+
+def _search_length(q: pd.DataFrame, r: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The same for vectors of one length."""
     whole, asked, ids = np.stack(r["vec"].to_numpy()), np.stack(q["vec"].to_numpy()), r["vec_id"].to_numpy()
     kind = _exact_type(max(np.abs(whole).max(), np.abs(asked).max()), whole.shape[1])
-    x, a = whole.astype(kind), asked.astype(kind)
+    x, a = (whole, asked) if kind is None else (whole.astype(kind), asked.astype(kind))
+    score = inner_products if kind is None else lambda rows, v: (rows @ v).astype(np.int64)
     far, far_q = np.ascontiguousarray(np.stack(r["far"].to_numpy()).T), np.stack(q["far"].to_numpy())
-    size, size_q = (whole.astype(np.float64) ** 2).sum(axis=1), (asked.astype(np.float64) ** 2).sum(axis=1)
     repeated = len(np.unique(ids)) < len(ids)
     out = []
+    with np.errstate(over="ignore", invalid="ignore"):
+        size, size_q = (whole ** 2).sum(axis=1), (asked ** 2).sum(axis=1)
     for first in range(0, len(a), BOUNDS):
         some = slice(first, min(first + BOUNDS, len(a)))
         apart = np.zeros((some.stop - first, len(ids)))
-        for p in range(len(far)):
-            np.maximum(apart, np.abs(far_q[some, p][:, None] - far[p][None]), out=apart)
-        norms = size_q[some][:, None] + size[None]
-        # the slack covers rounding, so that no row is left out by it
-        bounds = (norms - apart ** 2) / 2 + 1e-9 * norms + 1e-6
+        with np.errstate(over="ignore", invalid="ignore"):
+            for p in range(len(far)):
+                np.maximum(apart, np.abs(far_q[some, p][:, None] - far[p][None]), out=apart)
+            norms = size_q[some][:, None] + size[None]
+            # the slack covers rounding, so that no row is left out by it
+            bounds = (norms - apart ** 2) / 2 + 1e-9 * norms + 1e-6
+        if len(far) == 0:
+            bounds[:] = np.inf
+        bounds[np.isnan(bounds)] = np.inf
         for i, query_id in enumerate(q["query_id"].to_numpy()[some]):
-            got = _best(x, a[first + i], bounds[i], ids, query_id, k, repeated)
+            got = _best(x, a[first + i], bounds[i], ids, query_id, k, repeated, score)
             out.append(pd.DataFrame({"query_id": query_id, "vec_id": got[0], "score": got[1]}))
-    return pd.concat(out) if out else none
+    return pd.concat(out)
 
 
 def _best(x: np.ndarray, q: np.ndarray, bound: np.ndarray, ids: np.ndarray, query_id: int, k: int,
-          repeated: bool) -> tuple[np.ndarray, np.ndarray]:
+          repeated: bool, score: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Evaluate rows in the order of their bounds until none left can be among the ``k`` best."""
     best_ids, best = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     left = np.flatnonzero(ids != query_id)
@@ -143,7 +161,7 @@ def _best(x: np.ndarray, q: np.ndarray, bound: np.ndarray, ids: np.ndarray, quer
     rest = None
     while len(head):
         best_ids = np.concatenate([best_ids, ids[head]])
-        best = np.concatenate([best, (x[head] @ q).astype(np.int64)])
+        best = np.concatenate([best, score(x[head], q)])
         order = np.lexsort((best_ids, -best))
         if repeated:  # rows under one id: the best one counts
             order = order[np.sort(np.unique(best_ids[order], return_index=True)[1])]

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -419,6 +420,31 @@ def test_marginal_likelihood_and_counts_equal_all_segmentations():
     assert np.allclose(language_id.expected_counts(trie, probs, names, weights), uses)
 
 
+def test_long_words_sum_every_segmentation():
+    """Words over 31 letters, of 32 to 5,000, against sums in logarithms letter by letter."""
+    rnd = random.Random(9)
+    pieces = ["▁", "▁a", "a", "b", "ab", "ba", "aab", "abab", "bbbbb", "▁ab", "漢", "漢字"]
+    trie = language_id.Trie(*language_id.trie_arrays(pieces))
+    assert trie.depth() == 5
+    probs = np.array([[rnd.random() for _ in range(3)] for _ in pieces] + [[1e-9] * 3])
+    probs[:-1] /= probs[:-1].sum(axis=0)
+    words = ["".join(rnd.choices("ab漢字x", weights=[9, 9, 1, 1, 1], k=n)) for n in (31, 32, 33, 40, 40, 63, 64, 65, 300, 5000)] + ["漢字" * 200, "x" * 400]
+    at = {p: n for n, p in enumerate(pieces)}
+    want = []
+    for w in words:
+        w = "▁" + w
+        log = np.full((len(w) + 1, 3), -np.inf)
+        log[0] = 0
+        for i in range(len(w)):
+            for j in range(i + 1, min(len(w), i + 5) + 1):
+                p = at.get(w[i:j], len(pieces) if j == i + 1 else None)
+                if p is not None:
+                    log[j] = np.logaddexp(log[j], log[i] + np.log(probs[p]))
+        want.append(log[-1])
+    assert np.allclose(language_id.log_likelihoods(trie, probs, words), want, rtol=1e-9)
+    assert np.allclose(language_id._long_words(trie, probs, words[::-1]), want[::-1], rtol=1e-9)
+
+
 def test_language_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     got = Q.op3_marginalised_language_id(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()

@@ -152,14 +152,29 @@ def test_pivots_rule_out_rows():
         bound = ((x ** 2).sum(axis=1) + (x[q] ** 2).sum() - apart ** 2) / 2 + 1e-6
         score = (x @ x[q]).astype(np.int64)
         assert (bound >= score - 1e-6).all()
-        got = topk._best(x.view(Counted), x[q], bound, ids, q, 20, False)
+        got = topk._best(x.view(Counted), x[q], bound, ids, q, 20, False, lambda rows, v: (rows @ v).astype(np.int64))
         want = sorted((-s, i) for i, s in enumerate(score.tolist()) if i != q)[:20]
         assert list(zip((-got[1]).tolist(), got[0].tolist(), strict=True)) == want
     assert evaluated < 3 * 2500
 
 
 def test_large_components_stay_exact():
-    assert topk._exact_type(64, 64) is np.float32 and topk._exact_type(1 << 20, 64) is np.float64 and topk._exact_type(1 << 26, 64) is np.int64
+    assert topk._exact_type(64, 64) is np.float32 and topk._exact_type(1 << 20, 64) is np.float64 and topk._exact_type(1 << 26, 64) is None
+
+
+def test_no_vector_is_dropped_for_its_size_or_length(spark):
+    """Scores beyond 2^53 are exact; vectors of another length are scored with each other."""
+    data = [(0, [2e6, 1.0, 0.5]), (1, [2e6, -3.0, 0.25]), (2, [1.0, 1.0, 1.0]), (3, [-2e6, 5.0, 0.0]), (4, [1999999.984375, 7.0, 0.0]),
+            (20, [1.0, 2.0]), (21, [3.0, 1.0]), (40, [0.5] * 3), (60, [7e8, 1.0, 3.0])]
+    z = {i: [math.floor(64 * x) for x in v] for i, v in data}
+    got = {}
+    for r in topk.top_k(spark.createDataFrame(data, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for i in (0, 20, 40, 60):
+        best = sorted((-sum(a * b for a, b in zip(z[i], v, strict=True)), j) for j, v in z.items() if j != i and len(v) == len(z[i]))
+        assert sorted(got[i]) == [(n + 1, j, -s) for n, (s, j) in enumerate(best)]
+    with pytest.raises(Exception, match="leaves a long"):
+        topk.top_k(spark.createDataFrame([(0, [1e18]), (1, [1e18])], "vec_id long, embedding array<double>"), F.lit(True)).collect()
 
 
 def test_multi_index_visits_cells_in_order():
