@@ -4,18 +4,25 @@ A page is read once into text blocks, each with the path of tags from the root
 to it (inline tags do not count; a class or id tells equal tags apart). For
 every path the text length and the punctuation of its blocks are summed and
 divided by their number. Both ratios are smoothed over neighbouring blocks,
-fused into one score, and paths below a share of the page's mean score are
-dropped. What the remaining blocks have in common, or the ``article`` or
-``main`` element that holds most of them, is the content; headings and short
-blocks inside it stay.
+fused into one score, and paths from a share of the page's mean score on are the
+content. The content's holder is what these paths have in common, or the
+``article`` or ``main`` element inside it that holds most of their score. Inside
+the holder of an article all stays that no name speaks against; inside another
+holder a container without any content path goes, what stands between the
+content paths otherwise stays. Three or more blocks in a row that are links are
+a list of links and go; a single one stays.
 
 Elements that never hold an article (scripts, styles, menus, page headers and
-footers, sidebars, forms, and those whose class, id or role says advert,
-notice, comments and the like) take no part.
+footers, sidebars, forms) take no part. A class or id that says advert, notice,
+comments and the like leaves a twentieth of a path's score, and the page's mean is
+that of the other paths; the score decides, so a page that is all inside such a
+name keeps its text.
 
 Defined cases: null or empty html gives an empty text, as does a page without
 text; markup may be cut off or unclosed anywhere; a text without tags is its
-own content; repeated rows are extracted once each; extra columns are ignored.
+own content; very long pages are read whole, in time linear in their length;
+of holders with equal scores the inner one counts, of equal ones side by side
+the last; repeated rows are extracted once each; extra columns are ignored.
 Pages are independent: one pass, no shuffle.
 """
 
@@ -48,6 +55,12 @@ notice notices notification overlay pager pagination popup promo promotion recom
 sharing sidebar signup skip social sponsor sponsored subscribe subscription topbar toolbar widget""".split())
 # words that mark an article's own head, kept though it is called a header
 OWN_WORDS = frozenset("article body content entry post story".split())
+# words that say nothing beside those: a name tells only if all its other words are of these
+PLAIN_WORDS = frozenset("""area bar block body bottom box btn button center col column container content div false first group
+head holder icon id inner item items js last layout left links list main message module outer page panel post posts region right
+row section site slot small text title top true unit wrap wrapper zone""".split())
+# elements that only group others
+GROUPING = frozenset("article center details div main section".split())
 # marks that running text has
 MARKS = ".,;:!?…。，、；：！？؟،¿¡"
 # an opened element closes these, if open above the nearest bound
@@ -59,9 +72,12 @@ BOUNDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 # weights of a block's neighbours in the smoothing (a Gaussian of one block's deviation)
 SMOOTH = [math.exp(-d * d / 2) for d in range(3)]
 # a path is content if its score is at least this share of the page's mean, weighted by text
-KEEP_SHARE = 0.2
-# a block of which more than this share is link text is a list of links
+KEEP_SHARE = 0.4
+# what is left of the score of a path whose name speaks against it
+NAMED_SHARE = 0.05
+# a block of which more than this share is link text is a link, and so many in a row are a list of links
 LINK_SHARE = 0.6
+LINK_RUN = 3
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/><]*+)((?:[^>"']++|"[^"]*"|'[^']*'|["'])*?)(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""([^\s=/"'<>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([^\s=/"'<>]+)""")
@@ -89,7 +105,7 @@ class Element:
 
 
 class Block:
-    __slots__ = ("text", "at", "link_chars", "path", "chain")
+    __slots__ = ("text", "at", "link_chars", "path", "chain", "named")
 
     def __init__(self, text: str, at: Element, link_chars: int):
         self.text, self.at, self.link_chars = text, at, link_chars
@@ -101,10 +117,12 @@ def _named(tag: str, attributes: str, inside_article: bool) -> tuple[str, bool,
     for m in _ATTR.finditer(attributes):
         attrs.setdefault((m[1] or m[5]).lower(), html.unescape(m[2] or m[3] or m[4] or ""))
     names = f"{attrs.get('class', '')} {attrs.get('id', '')}".split()
-    words = {w.lower() for n in names for w in _WORD.findall(n)}
+    each = [{w.lower() for w in _WORD.findall(n)} for n in names]
+    words = set().union(*each)
     hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "")
     sure = hidden or attrs.get("role", "").lower() in APART_ROLES
-    by_name = bool(words & APART_WORDS) or ("header" in words and not inside_article and not words & OWN_WORDS)
+    telling = any(w & APART_WORDS and all(x.isdigit() or x.rstrip("s") in PLAIN_WORDS for x in w - APART_WORDS - PLAIN_WORDS) for w in each)
+    by_name = telling or ("header" in words and not inside_article and not words & OWN_WORDS)
     return f"{tag}.{names[0]}" if names else tag, sure, by_name
 
 
@@ -213,7 +231,43 @@ def _ratios(blocks: list[Block]) -> dict[str, float]:
         s[1] += marks / weight
         s[2] += 1
     # one mark is added so that a text without punctuation still scores by its length
-    return {p: math.sqrt(max(0.0, t / n) * (1 + m / n)) for p, (t, m, n) in smooth.items()}
+    named = {b.path for b in blocks if b.named}
+    return {p: math.sqrt(max(0.0, t / n) * (1 + m / n)) * (NAMED_SHARE if p in named else 1.0) for p, (t, m, n) in smooth.items()}
+
+
+def _holder(core: list[Block], score: dict[str, float]) -> tuple[Element, bool]:
+    """The element that holds the content, and whether it is an article."""
+    weights: dict[Element, float] = {}
+    total = 0.0
+    for b in core:
+        mass = score[b.path] * len(b.text)
+        total += mass
+        for e in b.chain:
+            if e.tag in ("article", "main"):
+                weights[e] = weights.get(e, 0.0) + mass
+    top = max(weights.values(), default=0.0)
+    if 2 * top >= total > 0:  # the innermost of the heaviest, if it holds most of what the outer one holds
+        return [e for e in weights if 2 * weights[e] >= top][-1], True
+    shared = core[0].chain
+    for b in core[1:]:
+        n = 0
+        while n < min(len(shared), len(b.chain)) and shared[n] is b.chain[n]:
+            n += 1
+        shared = shared[:n]
+    return shared[-1], False
+
+
+def _without_link_lists(blocks: list[Block]) -> list[Block]:
+    out: list[Block] = []
+    run: list[Block] = []
+    for b in [*blocks, None]:
+        if b is not None and b.link_chars > LINK_SHARE * len(b.text):
+            run.append(b)
+            continue
+        out += run if len(run) < LINK_RUN else []
+        run = []
+        out += [] if b is None else [b]
+    return out
 
 
 def content_blocks(page: str) -> list[Block]:
@@ -221,36 +275,34 @@ def content_blocks(page: str) -> list[Block]:
     blocks = []
     for b in read_blocks(page):
         b.chain = b.at.chain()
-        if not any(e.apart or (e.by_name and not e.has_main) for e in b.chain):
+        if not any(e.apart for e in b.chain):
+            b.named = any(e.by_name and not e.has_main for e in b.chain)
             b.path = "/".join(e.key for e in b.chain if e.tag in BLOCK)
             blocks.append(b)
     if not blocks:
         return []
     score = _ratios(blocks)
-    size = sum(len(b.text) for b in blocks)
-    mean = sum(score[b.path] * len(b.text) for b in blocks) / size
-    core = [b for b in blocks if score[b.path] >= KEEP_SHARE * mean and b.link_chars <= LINK_SHARE * len(b.text)]
+    judged = [b for b in blocks if not b.named] or blocks
+    least = KEEP_SHARE * sum(score[b.path] * len(b.text) for b in judged) / sum(len(b.text) for b in judged)
+    core = [b for b in blocks if score[b.path] >= least and b.link_chars <= LINK_SHARE * len(b.text)]
     if not core:
         return []
-    weights: dict[Element, int] = {}
-    for b in core:
-        for e in b.chain:
-            if e.tag in ("article", "main"):
-                weights[e] = weights.get(e, 0) + len(b.text)
-    if weights:  # the innermost of the heaviest, if it holds most of what the outer one holds
-        top = max(weights.values())
-        holder = [e for e in weights if 2 * weights[e] >= top][-1]
-        return [b for b in blocks if holder in b.chain and b.link_chars <= LINK_SHARE * len(b.text)]
-    shared = core[0].chain
-    for b in core[1:]:
-        n = 0
-        while n < min(len(shared), len(b.chain)) and shared[n] is b.chain[n]:
-            n += 1
-        shared = shared[:n]
-    chosen, first, last = {id(b) for b in core}, blocks.index(core[0]), blocks.index(core[-1])
-    return [b for i, b in enumerate(blocks)
-            if id(b) in chosen or (shared[-1] in b.chain and b.link_chars <= LINK_SHARE * len(b.text)
-                                   and (first < i < last or (b.at.tag in HEADINGS and i < last)))]
+    holder, article = _holder(core, score)
+    held = [b for b in blocks if holder in b.chain]
+    if article:
+        return _without_link_lists([b for b in held if not b.named or score[b.path] >= least])
+    chosen, full = {id(b) for b in core}, {e for b in core for e in b.chain}
+    first, last = held.index(core[0]), held.index(core[-1])
+
+    def stays(i: int, b: Block) -> bool:
+        if id(b) in chosen:
+            return True
+        # containers inside the holder are judged by their paths
+        if b.named or any(e.tag in GROUPING and e not in full for e in b.chain):
+            return False
+        return first < i < last or (b.at.tag in HEADINGS and i < last)
+
+    return _without_link_lists([b for i, b in enumerate(held) if stays(i, b)])
 
 
 def main_text(page: str | None) -> str:

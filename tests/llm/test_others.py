@@ -67,6 +67,60 @@ def test_a_list_of_links_without_any_name_goes():
     assert html_text.main_text(page(before=links, after=links, wrap="div")) == "\n".join(ARTICLE)
 
 
+TEASERS = "<div>" + "".join(f"<div><div>Teaser {i}</div><span>2 h ago</span></div>" for i in range(8)) + "</div>"
+IMPRINT = "<div><div>Site 2020</div></div>"
+
+
+@pytest.mark.parametrize("before, after", [(TEASERS, IMPRINT), (IMPRINT, TEASERS), (TEASERS, ""), ("", TEASERS)])
+def test_scores_decide_where_no_tag_and_no_name_tells(monkeypatch, before, after):
+    """Nameless containers of short, unpunctuated lines go by their paths' scores; with equal scores they stay."""
+    source, want = page(before=before, after=after, wrap="div"), "\n".join(ARTICLE)
+    assert html_text.main_text(source) == want
+    monkeypatch.setattr(html_text, "_ratios", lambda blocks: {b.path: 1.0 for b in blocks})
+    assert html_text.main_text(source) != want
+
+
+def test_an_article_tag_is_one_signal_among_others(monkeypatch):
+    """A teaser marked up as an article does not win over the text of the page."""
+    teasers = "".join(f"<article><div>Teaser {i}</div></article>" for i in range(6))
+    assert html_text.main_text(page(before=teasers, after=teasers, wrap="div")) == "\n".join(ARTICLE)
+    monkeypatch.setattr(html_text, "_ratios", lambda blocks: {b.path: 1.0 for b in blocks})
+    assert html_text.main_text(page(before=teasers, after=teasers, wrap="div")) != "\n".join(ARTICLE)
+
+
+INSIDE = [
+    ('<p><a href="/x">All of this paragraph is one link</a></p>', "All of this paragraph is one link"),
+    ('<h2><a href="/x">A heading that is a link</a></h2>', "A heading that is a link"),
+    ('<div class="related-work"><p>Related work, of others, is listed here. It is, mostly, older.</p></div>', "Related work, of others, is listed here. It is, mostly, older."),
+    ('<section id="share-prices"><p>Prices fell.</p></section>', "Prices fell."),
+    ("<ul><li>one</li><li>two</li><li>three</li></ul>", "one\ntwo\nthree"),
+    ('<p><a href="/a">First link</a></p><p><a href="/b">Second link</a></p>', "First link\nSecond link"),
+    ("<table><tr><td>a</td><td>b</td></tr></table>", "a\nb"),
+]
+
+
+@pytest.mark.parametrize("wrap", ["article", "main", 'div class="content"'])
+@pytest.mark.parametrize("part, text", INSIDE)
+def test_what_stands_inside_an_article_stays(wrap, part, text):
+    want = "\n".join([ARTICLE[0], ARTICLE[1], text, *ARTICLE[2:]])
+    body = f"<h1>{ARTICLE[0]}</h1><p>{ARTICLE[1]}</p>{part}" + "".join(f"<p>{p}</p>" for p in ARTICLE[2:])
+    source = f"<html><body>{CLUTTER[0]}<{wrap}>{body}</{wrap.split()[0]}>{CLUTTER[8]}</body></html>"
+    if wrap.startswith("div") and "<section" in part:
+        return  # outside an article a container of so little text is judged by its path
+    assert html_text.main_text(source) == want
+
+
+def test_named_parts_inside_an_article_go():
+    for part in ('<section class="comments"><p>I like it, really, I do.</p></section>', '<div class="ad-box">Buy this, now.</div>',
+                 '<div class="share-buttons"><span>Share</span></div>', '<ul class="related-posts"><li>Another story</li></ul>',
+                 "<ul>" + "".join(f'<li><a href="/{i}">Story {i}</a></li>' for i in range(3)) + "</ul>"):
+        assert html_text.main_text(page(inside=part)) == "\n".join(ARTICLE), part
+
+
+def test_a_page_inside_a_telling_name_keeps_its_text():
+    assert html_text.main_text(page(wrap='div class="widget"')) == "\n".join(ARTICLE)
+
+
 def test_small_pages():
     for source, want in PAGES.items():
         assert html_text.main_text(source) == want, source
