@@ -83,6 +83,42 @@ def linear_predict_fn(spark, weights: np.ndarray, bias: np.ndarray) -> Callable:
     return make
 
 
+def shipped(spark, folder: str, load: Callable[[str], Callable]) -> Callable:
+    """U2 + S9: a model chosen by path, as a ``make_predict_fn`` (or ``make_pair_fn``).
+
+    ``folder`` (on any store that Spark reads) goes to every executor by Spark's
+    own file distribution; ``load(local folder)`` builds the model once per
+    Python worker, which keeps it until another model comes. Two folders of one
+    name cannot be shipped by one session: give a version its own name.
+    """
+    spark.sparkContext.addFile(folder, recursive=True)
+    name = folder.rstrip("/").rsplit("/", 1)[1]
+
+    def make() -> Callable:
+        from pyspark import SparkFiles
+
+        return load(SparkFiles.get(name))
+
+    return make
+
+
+def load_head(folder: str) -> Callable:
+    """A ``load`` for a head table written as parquet."""
+    import pyarrow.parquet as pq
+
+    t = pq.read_table(folder, columns=["label_id", "feature", "weight"])
+    label, feature, weight = (t[c].to_numpy() for c in ("label_id", "feature", "weight"))
+    wide = np.zeros((int(feature.max(initial=-1)) + 2, int(label.max(initial=-1)) + 1))
+    wide[feature + 1, label] = weight  # the bias, feature -1, comes first
+    bias, weights = wide[0], wide[1:]
+
+    def predict(input_ids: np.ndarray, attention_mask: np.ndarray) -> np.ndarray:
+        features = input_ids % len(weights)
+        return np.stack([weights[f[m]].sum(axis=0) for f, m in zip(features, attention_mask.astype(bool), strict=True)]) + bias
+
+    return predict
+
+
 def _starts(n: int, windowing: str, max_length: int, step: int) -> range:
     """Where the windows of ``n`` tokens begin (``n`` without specials for overlap windows, with them for fixed ones)."""
     if windowing == "fixed":

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 from ..functions.text import N_FEATURES
+from ..operators.clean import NA_VALUES
 from ..operators.labels import WARM_MAP
 from ..operators.stance import TEMPLATES_FIRST_VERSION, template_rows
 from .queries import (BATCH_EPOCHS, BATCH_SIZE, BATCH_STEPS, FIRST_N, FIT_EPOCHS, FIT_STEPS, MODEL_LENGTH, PARTS, POSITIVE,
@@ -520,6 +521,21 @@ FROM clauses c JOIN lists l ON c.row_id = l.row_id""",
                           *[order_cte(e, str(BATCH_SIZE)) for e in range(1, BATCH_EPOCHS + 1)]) + "\n" + " UNION ALL ".join(
         f'SELECT {e} AS epoch, batch, row_id, "window" FROM order{e}' for e in range(1, BATCH_EPOCHS + 1)),
     "tag_balanced": TAG_DOCUMENTS,
+    "tag_by_path": TAG_DOCUMENTS,
+    "csv_types": f"""
+WITH d AS (SELECT d.doc_id, nullif(CASE WHEN d.text IN ({", ".join(_q(v) for v in NA_VALUES)}) THEN NULL ELSE d.text END, '') AS text,
+                  CASE WHEN d.lang IN ({", ".join(_q(v) for v in NA_VALUES)}) THEN NULL ELSE d.lang END AS lang, length(d.text) AS chars,
+                  (SELECT any_value(l.quality) FROM labels l WHERE l.doc_id = d.doc_id) AS quality FROM documents d)
+SELECT 'doc_id' AS name, 'bigint' AS type, count(doc_id) AS n, round(sum(doc_id)::DOUBLE, 6) AS total FROM d
+UNION ALL SELECT 'text', 'string', count(text), round(sum(length(text))::DOUBLE, 6) FROM d
+UNION ALL SELECT 'lang', 'string', count(lang), round(sum(length(lang))::DOUBLE, 6) FROM d
+UNION ALL SELECT 'chars', CASE WHEN count(chars) = count(*) THEN 'bigint' ELSE 'double' END, count(chars), round(sum(chars)::DOUBLE, 6) FROM d
+UNION ALL SELECT 'quality', CASE WHEN count(quality) = count(*) THEN 'bigint' ELSE 'double' END, count(quality), round(coalesce(sum(quality), 0)::DOUBLE, 6) FROM d
+UNION ALL SELECT 'eighth', 'double', count(*), round(sum(doc_id / 8.0)::DOUBLE, 6) FROM d
+UNION ALL SELECT 'even', 'boolean', count(*), count(*) FILTER (WHERE doc_id % 2 = 0)::DOUBLE FROM d
+UNION ALL SELECT 'nothing', 'double', 0, 0.0""",
+    "published": """
+SELECT doc_id, md5(coalesce(text, '')) AS text_md5, array_to_string(list_filter([lang, source], lambda x: x IS NOT NULL), '|') AS tags FROM documents""",
     "balanced_loads": f"""
 SELECT {PARTS} AS parts, count(*) AS rows, sum(len(regexp_extract_all(coalesce(text, 'nan'), {TOKEN_RE})))::BIGINT AS tokens, TRUE AS even
 FROM documents""",

@@ -106,6 +106,15 @@ def q_balanced_loads(spark, sf):
     return load.agg(F.count(F.lit(1)).cast("int").alias("parts"), F.sum("rows").alias("rows"), F.sum("weight").alias("tokens"), even.alias("even"))
 
 
+def q_tag_by_path(spark, sf):
+    """U2 + S9: tags by a model folder that Spark ships to the executors."""
+    vocab, head, sizes = _vocab_head(spark, sf)
+    folder = scratch_path(spark, "head-folder")
+    io.write_table(head, folder)
+    model = scoring.shipped(spark, folder, scoring.load_head)
+    return _tags(pipelines.tag(tables.documents(spark, sf), None, vocab, vocab_rows=sizes["vocab_rows"], make_predict_fn=model))
+
+
 def _length_tokenizer():
     """A tokenizer of another kind: a word's id comes from its length and first letter."""
     import re
@@ -553,6 +562,36 @@ def q_roundtrip(spark, sf):
                        _joined(sents).alias("predicted_sentiments"))
 
 
+def q_csv_types(spark, sf):
+    """Documents and their labels written as CSV and read back without a schema: each column's type, values and sum."""
+    rows = (tables.table(spark, sf, "documents").join(tables.table(spark, sf, "labels").dropDuplicates(["doc_id"]), "doc_id", "left")
+            .select("doc_id", "text", "lang", F.length("text").alias("chars"), "quality", (F.col("doc_id") / 8).alias("eighth"),
+                    (F.col("doc_id") % 2 == 0).alias("even"), F.lit(None).cast("string").alias("nothing")))
+    path = scratch_path(spark, "typed-csv")
+    io.write_csv(rows, path)
+    back = io.read_csv(spark, path)
+    out = []
+    for name, kind in back.dtypes:
+        number = F.col(name).cast("double") if kind in ("bigint", "double", "boolean") else F.length(name).cast("double")
+        out.append(F.struct(F.lit(name).alias("name"), F.lit(kind).alias("type"), F.count(name).alias("n"), _r6(F.coalesce(F.sum(number), F.lit(0.0))).alias("total")))
+    return back.agg(F.array(*out).alias("columns")).select(F.explode("columns").alias("c")).select("c.*")
+
+
+def q_published(spark, sf):
+    """S3 + S4: a table published twice, the second version read; a third that fails leaves it in place."""
+    from pyspark.errors import PySparkException
+
+    path, docs = scratch_path(spark, "published"), tables.table(spark, sf, "documents").select("doc_id", "text", F.array("lang", "source").alias("tags"))
+    io.publish(docs.limit(1), path)
+    io.publish(docs, path)
+    try:
+        io.publish(docs.withColumn("text", F.when(F.col("doc_id") >= 0, F.raise_error(F.lit("no text")))), path)
+    except PySparkException:
+        pass
+    back = io.read_published(spark, path)
+    return back.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"), _joined("tags").alias("tags"))
+
+
 def q_head_roundtrip(spark, sf):
     """S8 + S9: vocabulary and head written as parquet and read back."""
     vocab, head, _ = _vocab_head(spark, sf)
@@ -639,6 +678,9 @@ def q_train_tag_stance(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "tag_documents": q_tag_documents,
+    "tag_by_path": q_tag_by_path,
+    "csv_types": q_csv_types,
+    "published": q_published,
     "tag_balanced": q_tag_balanced,
     "balanced_loads": q_balanced_loads,
     "hooked_macro": q_hooked_macro,

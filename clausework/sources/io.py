@@ -8,14 +8,19 @@ with ``from_json``; parquet keeps them native.
 from __future__ import annotations
 
 import datetime
+import json
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import NA_VALUES, null_tokens_to_null
+from . import inference
 
 
+# what a null counts as in a checksum: CSV does not tell it from an empty text
+EMPTY = {"csv": "", "parquet": "\u0000"}
 # Fixed value: the suffix of a second copy.
 BACKUP_FORMAT = "%Y%m%d_%H%M%S"
 
@@ -25,13 +30,19 @@ def _csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
                           mode="FAILFAST", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_values: tuple[str, ...] = NA_VALUES) -> DataFrame:
-    """S1 (+S6): header CSV with an explicit schema; pandas' null tokens become null.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, na_values: tuple[str, ...] = NA_VALUES) -> DataFrame:
+    """S1 (+S6): header CSV; pandas' null tokens become null.
 
-    A missing path raises Spark's PATH_NOT_FOUND analysis error, a row that
-    does not fit the schema fails the job. Texts may hold line breaks, so a file
-    is not split: write many files, or parquet, at scale.
+    Without a schema the types are those that pandas would give, told by one
+    pass over all values (``inference``). A missing path raises Spark's
+    PATH_NOT_FOUND analysis error, a row that does not fit the schema or the
+    header fails the job. Texts may hold line breaks, so a file is not split:
+    write many files, or parquet, at scale.
     """
+    if schema is None:
+        names = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"').columns
+        texts = null_tokens_to_null(_csv(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in names])), names, na_values)
+        return inference.typed(texts, inference.column_types(texts))
     df = _csv(spark, path, schema)
     strings = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
     return null_tokens_to_null(df, strings, na_values)
@@ -55,35 +66,93 @@ def backup_path(path: str, when: datetime.datetime | None = None) -> str:
     return f"{path.rstrip('/')}_backup_{ts}"
 
 
-def save_with_backup(df: DataFrame, path: str, fmt: str = "csv") -> dict:
-    """S3 + S4: write the result, copy it to a timestamped folder, count the rows of both.
+def _sums(df: DataFrame, null: str = "\u0000") -> list:
+    """Rows, and an order-free checksum of their values: sums of two hashes of each row, in which equal rows count each.
 
-    The result is computed once: its rows are counted while it is written
-    (an ``Observation``, no extra pass), and the backup is written from the
-    files just written, which are durable, so no executor-held cache is
-    needed and a lost executor costs no re-scoring.
+    Nested values count as JSON, nulls as the text ``null``.
     """
-    spark = df.sparkSession
-    obs = Observation("written")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    backup = backup_path(path)
+    nested = (T.ArrayType, T.StructType, T.MapType)
+    values = [F.coalesce(F.to_json(F.col(f"`{f.name}`")) if isinstance(f.dataType, nested) else F.col(f"`{f.name}`").cast("string"), F.lit(null))
+              for f in df.schema.fields]
+    none = F.lit(0).cast("decimal(38,0)")
+    return [F.count(F.lit(1)).alias("rows"), *[F.coalesce(F.sum(F.xxhash64(F.lit(seed), *values).cast("decimal(38,0)")), none).alias(f"sum{seed}")
+                                               for seed in (1, 2)]]
+
+
+def _write_summed(df: DataFrame, path: str, fmt: str) -> dict:
+    """Write a flat table; its checksum is taken on the way (an ``Observation``, no extra pass)."""
+    obs = Observation()
+    observed = df.observe(obs, *_sums(df, EMPTY[fmt]))
     if fmt == "csv":
         write_csv(observed, path)
-        # read as texts under the written header: a line that does not fit fails instead of becoming null
-        texts = T.StructType([T.StructField(c, T.StringType()) for c in df.columns])
-        back = _csv(spark, path, texts)
-        write_csv(back, backup)
-        copy = _csv(spark, backup, texts)
     else:
         observed.write.mode("overwrite").parquet(path)
-        back = spark.read.parquet(path)
-        back.write.mode("overwrite").parquet(backup)
-        copy = spark.read.parquet(backup)
-    report = {"path": path, "backup": backup, "rows_written": obs.get["rows"], "rows_read": back.count(),
-              "rows_backup": copy.count()}
-    if not report["rows_written"] == report["rows_read"] == report["rows_backup"]:
-        raise RuntimeError(f"the written copies differ in rows: {report}")
-    return report
+    return dict(obs.get)
+
+
+def _read_summed(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> tuple[DataFrame, dict]:
+    if fmt == "csv":  # as texts under the written header: a line that does not fit fails instead of becoming null
+        df = _csv(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in schema.names]))
+    else:
+        df = spark.read.schema(schema).parquet(path)
+    return df, df.agg(*_sums(df, EMPTY[fmt])).first().asDict()
+
+
+def save_with_backup(df: DataFrame, path: str, fmt: str = "csv") -> dict:
+    """S3 + S4: write the result, copy it to a timestamped folder, compare the values of both.
+
+    The result is computed once, into a folder beside ``path``, and its
+    checksum is taken while it is written; only when what can be read back has
+    the same checksum are the copies made and read back too. A computation that
+    fails leaves the former result as it was. CSV knows no null apart from the
+    empty text, so both count the same. The report has the rows of each copy.
+    """
+    spark = df.sparkSession
+    flat = _flat(df) if fmt == "csv" else df
+    staged, backup = f"{path.rstrip('/')}_staged_{uuid.uuid4().hex[:12]}", backup_path(path)
+    sums = {"written": _write_summed(flat, staged, fmt)}
+    rows, sums["staged"] = _read_summed(spark, staged, flat.schema, fmt)
+    _same(sums)
+    for name, target in (("backup", backup), ("read", path)):
+        _write_summed(rows, target, fmt)
+        sums[name] = _read_summed(spark, target, flat.schema, fmt)[1]
+    _same(sums)
+    return {"path": path, "backup": backup, "staged": staged, "checksum": f"{sums['written']['sum1']}/{sums['written']['sum2']}",
+            **{f"rows_{name}": sums[name]["rows"] for name in ("written", "read", "backup")}}
+
+
+def _same(sums: dict[str, dict]) -> None:
+    if any(s != sums["written"] for s in sums.values()):
+        raise RuntimeError(f"the written copies differ: {sums}")
+
+
+def publish(df: DataFrame, path: str) -> dict:
+    """S2 + S4: a new version of a table below ``path``, seen by readers once it is whole and checked.
+
+    A version is its own folder. When its files give the checksum that was taken
+    while they were written, a manifest naming it is added; adding is one file
+    that appears at once, so a reader sees the former version or the new one, and
+    a run that fails at any point leaves the former one in place.
+    """
+    spark = df.sparkSession
+    version = f"{datetime.datetime.now(datetime.timezone.utc).strftime('%Y%m%dT%H%M%S%f')}-{uuid.uuid4().hex[:8]}"
+    folder = f"{path.rstrip('/')}/versions/{version}"
+    obs = Observation()
+    df.observe(obs, *_sums(df)).write.parquet(folder)
+    written = dict(obs.get)
+    back = spark.read.schema(df.schema).parquet(folder)
+    found = back.agg(*_sums(back)).first().asDict()
+    _same({"written": written, "read": found})
+    manifest = {"version": version, "rows": written["rows"], "checksum": f"{written['sum1']}/{written['sum2']}"}
+    spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.mode("append").text(f"{path.rstrip('/')}/manifests")
+    return manifest
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole version of a published table."""
+    # one short line per version
+    newest = max(json.loads(r[0])["version"] for r in spark.read.text(f"{path.rstrip('/')}/manifests").collect())
+    return spark.read.parquet(f"{path.rstrip('/')}/versions/{newest}")
 
 
 def write_json_row(df: DataFrame, path: str) -> None:
