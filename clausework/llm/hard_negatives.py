@@ -79,20 +79,35 @@ def intervals(anchors: np.ndarray, codes: np.ndarray, along: np.ndarray, square:
     top = (1 << (bits - 1)) - 1
     step = np.maximum(np.abs(turned).max(axis=1, keepdims=True) / top, np.finfo(float).tiny)
     level = np.rint(turned / step).astype(np.int64)
-    planes = [_words(((level + top) >> p & 1).astype(bool)) for p in range(bits)]
     own = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
-    counted = np.zeros((n, len(codes)), dtype=np.int64)
-    for p, plane in enumerate(planes):
-        counted += np.bitwise_count(plane[:, None] & codes[None]).sum(axis=2, dtype=np.int64) << p
+    counted, word = np.zeros((n, len(codes)), dtype=np.int64), np.empty((n, len(codes)), dtype=np.uint64)
+    columns = np.ascontiguousarray(codes.T)
+    for p in range(bits):
+        plane = _words(((level + top) >> p & 1).astype(bool))
+        for w, column in enumerate(columns):
+            np.bitwise_and(plane[:, w, None], column[None], out=word)
+            counted += np.left_shift(np.bitwise_count(word), p, dtype=np.int64)
     root = np.sqrt(length)
-    b = step / root * (2 * (counted - top * own[None]) - level.sum(axis=1, keepdims=True))
+    counted -= top * own[None]
+    counted *= 2
+    counted -= level.sum(axis=1, keepdims=True)
+    b = counted * (step / root)
     error = np.abs(turned - step * level).sum(axis=1, keepdims=True) / root
     q2 = (anchors ** 2).sum(axis=1, keepdims=True)
-    rest_q = np.sqrt(np.maximum(0.0, q2 - np.maximum(0.0, np.abs(b) - error) ** 2))
-    rest_x = np.sqrt(np.maximum(0.0, square - along ** 2))
+    # what of the anchor is not along the code vector, at most
+    rest = np.abs(b)
+    rest -= error
+    np.maximum(rest, 0.0, out=rest)
+    rest *= rest
+    np.subtract(q2, rest, out=rest)
+    np.maximum(rest, 0.0, out=rest)
+    np.sqrt(rest, out=rest)
+    rest *= np.sqrt(np.maximum(0.0, square - along ** 2))[None]
     # the last terms cover rounding, so that no row is left out by it
-    width = along[None] * error + rest_q * rest_x[None] + 1e-9 * np.sqrt(q2 * square[None]) + 1e-6
-    return along[None] * b - width, along[None] * b + width
+    rest += along[None] * error
+    rest += 1e-9 * np.sqrt(q2) * np.sqrt(square)[None] + 1e-6
+    b *= along[None]
+    return b - rest, b + rest
 
 
 def prepared(table: DataFrame, id_col: str, vec_col: str, label_col: str, scale: int) -> DataFrame:
@@ -124,12 +139,23 @@ class _Block:
     def __init__(self, rows: pd.DataFrame):
         rows = rows.sort_values("vec_id", kind="stable")
         self.ids, self.labels = rows["vec_id"].to_numpy(), rows["label"].to_numpy()
-        self.vectors = np.stack(rows["vec"].to_numpy())
+        whole = np.stack(rows["vec"].to_numpy())
+        self.largest, self.length = float(np.abs(whole).max()), whole.shape[1]
+        # the shortest floats in which products of the block's own size are exact
+        self.vectors = whole.astype(np.float32) if self.largest ** 2 * self.length < 1 << 24 else whole
         self.codes = np.stack([np.frombuffer(c, dtype=np.uint64) for c in rows["code"]])
         self.along, self.square = rows["along"].to_numpy(), rows["square"].to_numpy()
         self.new = np.concatenate([[True], self.ids[1:] != self.ids[:-1]])
         self.repeated = not self.new.all()
 
+    def scores(self, rows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+        top = self.largest * float(np.abs(anchor).max()) * self.length
+        if top < 1 << 24 and self.vectors.dtype == np.float32:
+            return (self.vectors[rows] @ anchor.astype(np.float32)).astype(np.int64)
+        if top < 1 << 53:
+            return (self.vectors[rows].astype(np.float64) @ anchor).astype(np.int64)
+        return inner_products(self.vectors[rows].astype(np.float64), anchor)
+
     def kth(self, values: np.ndarray, allowed: np.ndarray, k: int) -> float:
         """The ``k``-th largest of the allowed rows' values, counting an id once; -inf if there are fewer."""
         values = np.where(allowed, values, -np.inf)
@@ -158,6 +184,13 @@ def _by_length(q: pd.DataFrame, r: pd.DataFrame) -> Iterator[tuple[pd.DataFrame,
             yield some, vectors, low, high, block
 
 
+def _table(parts: list[tuple], names: tuple[str, ...]) -> pd.DataFrame:
+    """One frame of parts that are tuples of numbers and arrays, the last one an array."""
+    columns = [np.concatenate([np.full(len(p[-1]), p[i]) if np.ndim(p[i]) == 0 else p[i] for p in parts]) if parts else np.zeros(0)
+               for i in range(len(names))]
+    return pd.DataFrame(dict(zip(names, columns, strict=True))).astype("int64")
+
+
 def _positives(q: pd.DataFrame, r: pd.DataFrame, k: int) -> pd.DataFrame:
     """The ``k`` best rows of the anchor's label in a block."""
     out = []
@@ -165,10 +198,10 @@ def _positives(q: pd.DataFrame, r: pd.DataFrame, k: int) -> pd.DataFrame:
         for i, (anchor, label) in enumerate(zip(some["query_id"].to_numpy(), some["label"].to_numpy(), strict=True)):
             allowed = (block.labels == label) & (block.ids != anchor)
             rows = np.flatnonzero(allowed & ~(high[i] < block.kth(low[i], allowed, k)))
-            scores = inner_products(block.vectors[rows], vectors[i])
+            scores = block.scores(rows, vectors[i])
             own = block.best(rows, scores, k)
-            out.append(pd.DataFrame({"query_id": anchor, "vec_id": block.ids[rows[own]], "score": scores[own]}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+            out.append((anchor, block.ids[rows[own]], scores[own]))
+    return _table(out, ("query_id", "vec_id", "score"))
 
 
 def band(score: int, lowest: int, highest: int) -> tuple[int, int]:
@@ -188,14 +221,12 @@ def _negatives(q: pd.DataFrame, r: pd.DataFrame, k: int, lowest: int, highest: i
                 inside = allowed & (low[i] >= least) & (high[i] <= most)
                 wanted |= allowed & ~(high[i] < max(least, block.kth(low[i], inside, k))) & ~(low[i] > most)
             rows = np.flatnonzero(wanted)
-            scores = inner_products(block.vectors[rows], vectors[i])
+            scores = block.scores(rows, vectors[i])
             for positive, score, least, most in bands:
                 fits = np.flatnonzero((scores >= least) & (scores <= most))
                 own = fits[block.best(rows[fits], scores[fits], k)]
-                out.append(pd.DataFrame({"anchor_id": anchor, "positive_id": positive, "negative_id": block.ids[rows[own]],
-                                         "positive_score": score, "negative_score": scores[own]}))
-    names = ["anchor_id", "positive_id", "negative_id", "positive_score", "negative_score"]
-    return pd.concat(out) if out else pd.DataFrame({c: [] for c in names}).astype("int64")
+                out.append((anchor, positive, block.ids[rows[own]], score, scores[own]))
+    return _table(out, ("anchor_id", "positive_id", "negative_id", "positive_score", "negative_score"))
 
 
 def mine(table: DataFrame, is_anchor: Column, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",

@@ -130,50 +130,61 @@ def _search_length(q: pd.DataFrame, r: pd.DataFrame, k: int) -> pd.DataFrame:
     score = inner_products if kind is None else lambda rows, v: (rows @ v).astype(np.int64)
     far, far_q = np.ascontiguousarray(np.stack(r["far"].to_numpy()).T), np.stack(q["far"].to_numpy())
     repeated = len(np.unique(ids)) < len(ids)
-    out = []
     with np.errstate(over="ignore", invalid="ignore"):
         size, size_q = (whole ** 2).sum(axis=1), (asked ** 2).sum(axis=1)
+        # differences of distances are taken in short floats, less what rounding may have added to them
+        longest = max(far.max(initial=0.0), far_q.max(initial=0.0))
+        short = np.float32 if longest < 1e18 else np.float64
+    far, far_q, slack = far.astype(short), far_q.astype(short), 1e-6 * longest
+    apart, one = np.empty((BOUNDS, len(ids)), dtype=short), np.empty((BOUNDS, len(ids)), dtype=short)
+    names, found_ids, found = [], [], []
     for first in range(0, len(a), BOUNDS):
         some = slice(first, min(first + BOUNDS, len(a)))
-        apart = np.zeros((some.stop - first, len(ids)))
+        n = some.stop - first
+        apart[:n] = 0
         with np.errstate(over="ignore", invalid="ignore"):
             for p in range(len(far)):
-                np.maximum(apart, np.abs(far_q[some, p][:, None] - far[p][None]), out=apart)
+                np.subtract(far_q[some, p][:, None], far[p][None], out=one[:n])
+                np.abs(one[:n], out=one[:n])
+                np.maximum(apart[:n], one[:n], out=apart[:n])
+            least = np.maximum(apart[:n].astype(np.float64) - slack, 0.0)
             norms = size_q[some][:, None] + size[None]
             # the slack covers rounding, so that no row is left out by it
-            bounds = (norms - apart ** 2) / 2 + 1e-9 * norms + 1e-6
+            bounds = (norms - least ** 2) / 2 + 1e-9 * norms + 1e-6
         if len(far) == 0:
             bounds[:] = np.inf
         bounds[np.isnan(bounds)] = np.inf
         for i, query_id in enumerate(q["query_id"].to_numpy()[some]):
             got = _best(x, a[first + i], bounds[i], ids, query_id, k, repeated, score)
-            out.append(pd.DataFrame({"query_id": query_id, "vec_id": got[0], "score": got[1]}))
-    return pd.concat(out)
+            names.append(np.full(len(got[0]), query_id))
+            found_ids.append(got[0])
+            found.append(got[1])
+    return pd.DataFrame({"query_id": np.concatenate(names), "vec_id": np.concatenate(found_ids), "score": np.concatenate(found)})
 
 
 def _best(x: np.ndarray, q: np.ndarray, bound: np.ndarray, ids: np.ndarray, query_id: int, k: int,
           repeated: bool, score: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Evaluate rows in the order of their bounds until none left can be among the ``k`` best."""
     best_ids, best = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    left = np.flatnonzero(ids != query_id)
-    # the highest bounds first; then what the score they give has not ruled out, in order
-    head = left if len(left) <= STEP else left[np.argpartition(-bound[left], STEP - 1)[:STEP]]
-    rest = None
-    while len(head):
-        best_ids = np.concatenate([best_ids, ids[head]])
-        best = np.concatenate([best, score(x[head], q)])
-        order = np.lexsort((best_ids, -best))
+    order = np.argsort(-bound)
+    order = order[ids[order] != query_id]
+    falling = -bound[order]
+    at, step = 0, STEP
+    while at < len(order):
+        end = min(len(order), at + step)
+        if len(best) == k:  # a row whose bound is below the k-th best score is not among the best
+            end = min(end, int(np.searchsorted(falling, -best[-1], side="right")))
+            if end <= at:
+                break
+        some = order[at:end]
+        scores, own = score(x[some], q), ids[some]
+        if len(best) == k:
+            keep = scores >= best[-1]
+            scores, own = scores[keep], own[keep]
+        best_ids, best = np.concatenate([best_ids, own]), np.concatenate([best, scores])
+        ranked = np.lexsort((best_ids, -best))
         if repeated:  # rows under one id: the best one counts
-            order = order[np.sort(np.unique(best_ids[order], return_index=True)[1])]
-        best_ids, best = best_ids[order[:k]], best[order[:k]]
-        if rest is None:
-            seen = np.zeros(len(ids), dtype=bool)
-            seen[head] = True
-            rest = left[~seen[left]]
-            if len(best) == k:
-                rest = rest[bound[rest] >= best[-1]]
-            rest = rest[np.argsort(-bound[rest], kind="stable")]
-        if len(best) == k and len(rest):
-            rest = rest[:np.searchsorted(-bound[rest], -best[-1], side="right")]
-        head, rest = rest[:8 * STEP], rest[8 * STEP:]
+            ranked = ranked[np.sort(np.unique(best_ids[ranked], return_index=True)[1])]
+        best_ids, best = best_ids[ranked[:k]], best[ranked[:k]]
+        at, step = end, 8 * STEP
     return best_ids, best
