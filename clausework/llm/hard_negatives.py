@@ -6,12 +6,15 @@ positive the best rows of other labels within the band are returned.
 
 One-bit codes. Vectors are rotated by a fixed random rotation; a row's code has
 the signs of its rotated components, and beside it the row keeps its alignment
-``a``, the inner product with the unit code vector, and its squared length. An
-anchor's rotated components are rounded to a few bits, so that its product
-``b`` with a code vector is a sum of popcounts of bit planes, up to the rounding,
-whose largest effect is known. What of row and anchor is not along the code
-vector adds at most the product of the residuals' lengths (Cauchy-Schwarz):
-``a b +- sqrt(|q|^2 - b^2) sqrt(|x|^2 - a^2)`` holds the score for certain. Rows
+``a``, the inner product with the unit code vector. What is left of the row is
+rotated again and gets a code of its own, and so on for ``CODES`` codes, each of
+which leaves about 0.6 of the length; the length of the last residual is kept
+too. An anchor is rotated alike and its components are rounded to a few bits, so
+that its product ``b`` with a code vector is a sum of popcounts of bit planes,
+up to the rounding, whose largest effect is known. The last residual stands at
+right angles to the last code vector, so it adds at most the product of its
+length and that of the anchor's part beside that vector (Cauchy-Schwarz):
+``sum a b +- sqrt(|q|^2 - b_last^2) |residual|`` holds the score for certain. Rows
 whose interval cannot be among the best, or misses every band, are left out; the
 others are scored in integers. The codes decide only what is scored.
 
@@ -43,18 +46,22 @@ from .exact import inner_products
 SCALE = 256
 POSITIVES, NEGATIVES = 5, 3
 LOWEST, HIGHEST = 50, 95      # per cent of the positive's score
-BITS = 7                      # of an anchor's rounded component, its sign included
+CODES = 7                     # one-bit codes of a row, each of what those before leave
+BITS = 8                      # of an anchor's rounded component, its sign included
 ROW_BLOCK, ANCHOR_BLOCK = 8192, 1024
-TOGETHER = 32                 # anchors estimated at once
+TOGETHER = 8                  # anchors estimated at once
 SEED = 5
 FOUND = "query_id long, vec_id long, score long"
 BAND = "anchor_id long, positive_id long, negative_id long, positive_score long, negative_score long"
 
 
-def rotation(length: int, seed: int = SEED) -> np.ndarray:
-    """A fixed random rotation; the signs make the factorisation unique."""
-    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((length, length)))
-    return q * np.where(np.diag(r) < 0, -1.0, 1.0)
+def rotations(length: int, codes: int = CODES, seed: int = SEED) -> list[np.ndarray]:
+    """Fixed random rotations, one per code; the signs make the factorisations unique."""
+    g, out = np.random.default_rng(seed), []
+    for _ in range(codes):
+        q, r = np.linalg.qr(g.standard_normal((length, length)))
+        out.append(q * np.where(np.diag(r) < 0, -1.0, 1.0))
+    return out
 
 
 def _words(bits: np.ndarray) -> np.ndarray:
@@ -65,72 +72,87 @@ def _words(bits: np.ndarray) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def encode(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(code words, alignment, squared length)`` of rows."""
-    turned = vectors @ turn
-    return _words(turned >= 0), np.abs(turned).sum(axis=1) / np.sqrt(vectors.shape[1]), (vectors ** 2).sum(axis=1)
+def encode(vectors: np.ndarray, turns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(code words [rows, codes, words], alignments [rows, codes], length of the residual)`` of rows."""
+    left, root = vectors, np.sqrt(vectors.shape[1])
+    words, along = [], []
+    for turn in turns:
+        left = left @ turn
+        up = left >= 0
+        a = np.abs(left).sum(axis=1) / root
+        left -= np.where(up, 1.0, -1.0) * (a / root)[:, None]
+        words.append(_words(up))
+        along.append(a)
+    return np.stack(words, axis=1), np.stack(along, axis=1), np.sqrt((left ** 2).sum(axis=1))
 
 
-def intervals(anchors: np.ndarray, codes: np.ndarray, along: np.ndarray, square: np.ndarray, turn: np.ndarray,
+def intervals(anchors: np.ndarray, codes: np.ndarray, along: np.ndarray, residual: np.ndarray, turns: list[np.ndarray],
               bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Lower and upper bounds of every anchor's score with every row, ``[anchors, rows]``."""
     n, length = anchors.shape
-    turned = anchors @ turn
-    top = (1 << (bits - 1)) - 1
-    step = np.maximum(np.abs(turned).max(axis=1, keepdims=True) / top, np.finfo(float).tiny)
-    level = np.rint(turned / step).astype(np.int64)
-    own = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
-    counted, word = np.zeros((n, len(codes)), dtype=np.int64), np.empty((n, len(codes)), dtype=np.uint64)
-    columns = np.ascontiguousarray(codes.T)
-    for p in range(bits):
-        plane = _words(((level + top) >> p & 1).astype(bool))
-        for w, column in enumerate(columns):
-            np.bitwise_and(plane[:, w, None], column[None], out=word)
-            counted += np.left_shift(np.bitwise_count(word), p, dtype=np.int64)
-    root = np.sqrt(length)
-    counted -= top * own[None]
-    counted *= 2
-    counted -= level.sum(axis=1, keepdims=True)
-    b = counted * (step / root)
-    error = np.abs(turned - step * level).sum(axis=1, keepdims=True) / root
+    top, root, turned = (1 << (bits - 1)) - 1, np.sqrt(length), anchors
     q2 = (anchors ** 2).sum(axis=1, keepdims=True)
-    # what of the anchor is not along the code vector, at most
-    rest = np.abs(b)
-    rest -= error
-    np.maximum(rest, 0.0, out=rest)
-    rest *= rest
-    np.subtract(q2, rest, out=rest)
-    np.maximum(rest, 0.0, out=rest)
-    np.sqrt(rest, out=rest)
-    rest *= np.sqrt(np.maximum(0.0, square - along ** 2))[None]
+    middle, doubt, b = np.zeros((n, len(codes))), np.zeros((n, len(codes))), np.empty((n, len(codes)))
+    word, ones = np.empty((n, len(codes)), dtype=np.uint64), np.empty((n, len(codes)), dtype=np.uint8)
+    # the weighted popcounts of a code in the shortest type that holds them
+    kind = np.uint16 if length << bits < 1 << 16 else np.uint32
+    counted, shifted = np.empty((n, len(codes)), dtype=kind), np.empty((n, len(codes)), dtype=kind)
+    for c, turn in enumerate(turns):
+        turned = turned @ turn
+        step = np.maximum(np.abs(turned).max(axis=1, keepdims=True) / top, np.finfo(float).tiny)
+        level = np.rint(turned / step).astype(np.int64)
+        error = np.abs(turned - step * level).sum(axis=1, keepdims=True) / root
+        columns = np.ascontiguousarray(codes[:, c].T)
+        counted[:] = 0
+        for p in range(bits):
+            plane = _words(((level + top) >> p & 1).astype(bool))
+            for w, column in enumerate(columns):
+                np.bitwise_and(plane[:, w, None], column[None], out=word)
+                np.bitwise_count(word, out=ones)
+                np.left_shift(ones, kind(p), out=shifted, dtype=kind)
+                np.add(counted, shifted, out=counted)
+        np.subtract(counted, float(top) * np.bitwise_count(columns).sum(axis=0, dtype=np.int64)[None], out=b)
+        b *= 2 * step / root
+        b -= level.sum(axis=1, keepdims=True) * (step / root)
+        # the rounding of the anchor's components, and that of the sums themselves
+        doubt += along[:, c][None] * (error + 1e-9 * np.sqrt(q2))
+        middle += along[:, c][None] * b
+    # what of the anchor is not along the last code vector, at most
+    np.abs(b, out=b)
+    b -= error
+    np.maximum(b, 0.0, out=b)
+    b *= b
+    np.subtract(q2, b, out=b)
+    np.maximum(b, 0.0, out=b)
+    np.sqrt(b, out=b)
+    b *= residual[None]
     # the last terms cover rounding, so that no row is left out by it
-    rest += along[None] * error
-    rest += 1e-9 * np.sqrt(q2) * np.sqrt(square)[None] + 1e-6
-    b *= along[None]
-    return b - rest, b + rest
+    b += doubt
+    b += 1e-9 * np.sqrt(q2) * residual[None] + 1e-6
+    return middle - b, middle + b
 
 
 def prepared(table: DataFrame, id_col: str, vec_col: str, label_col: str, scale: int) -> DataFrame:
-    """``(vec_id, label, vec, code, along, square)`` of the rows that take part."""
+    """``(vec_id, label, vec, code, along, residual)`` of the rows that take part."""
     number = F.transform(F.col(vec_col), lambda x: x.cast("double"))
     sound = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = (table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("long").alias("label"), number.alias("vec"))
             .where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("vec") > 0) & F.coalesce(sound, F.lit(False))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        turns: dict[int, np.ndarray] = {}
+        turns: dict[int, list[np.ndarray]] = {}
         for b in batches:
             lengths = b["vec"].map(len).to_numpy()
             for n in np.unique(lengths):
                 some = b[lengths == n]
                 if n not in turns:
-                    turns[n] = rotation(int(n))
+                    turns[n] = rotations(int(n))
                 x = np.floor(scale * np.stack(some["vec"].to_numpy()))
-                code, along, square = encode(x, turns[n])
+                code, along, residual = encode(x, turns[n])
                 yield pd.DataFrame({"vec_id": some["vec_id"].to_numpy(), "label": some["label"].to_numpy(), "vec": list(x),
-                                    "code": [c.tobytes() for c in code], "along": along, "square": square})
+                                    "code": [c.tobytes() for c in code], "along": list(along), "residual": residual})
 
-    return rows.mapInPandas(run, "vec_id long, label long, vec array<double>, code binary, along double, square double")
+    return rows.mapInPandas(run, "vec_id long, label long, vec array<double>, code binary, along array<double>, residual double")
 
 
 class _Block:
@@ -144,7 +166,8 @@ class _Block:
         # the shortest floats in which products of the block's own size are exact
         self.vectors = whole.astype(np.float32) if self.largest ** 2 * self.length < 1 << 24 else whole
         self.codes = np.stack([np.frombuffer(c, dtype=np.uint64) for c in rows["code"]])
-        self.along, self.square = rows["along"].to_numpy(), rows["square"].to_numpy()
+        self.along, self.residual = np.stack(rows["along"].to_numpy()), rows["residual"].to_numpy()
+        self.codes = self.codes.reshape(len(rows), self.along.shape[1], -1)
         self.new = np.concatenate([[True], self.ids[1:] != self.ids[:-1]])
         self.repeated = not self.new.all()
 
@@ -175,12 +198,12 @@ def _by_length(q: pd.DataFrame, r: pd.DataFrame) -> Iterator[tuple[pd.DataFrame,
     """Some anchors at a time with their bounds on the rows of their length."""
     lengths_q, lengths_r = q["vec"].map(len).to_numpy(), r["vec"].map(len).to_numpy()
     for n in np.intersect1d(lengths_q, lengths_r):
-        block, turn = _Block(r[lengths_r == n]), rotation(int(n))
+        block, turns = _Block(r[lengths_r == n]), rotations(int(n))
         asked = q[lengths_q == n]
         for at in range(0, len(asked), TOGETHER):
             some = asked.iloc[at:at + TOGETHER]
             vectors = np.stack(some["vec"].to_numpy())
-            low, high = intervals(vectors, block.codes, block.along, block.square, turn)
+            low, high = intervals(vectors, block.codes, block.along, block.residual, turns)
             yield some, vectors, low, high, block
 
 

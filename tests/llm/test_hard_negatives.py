@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,17 +54,49 @@ def vectors(n, length, seed, labels=3):
 @pytest.mark.parametrize("length", [1, 3, 64, 130])
 def test_intervals_hold_the_scores(length):
     g = np.random.default_rng(length)
-    turn = H.rotation(length)
-    assert np.allclose(turn @ turn.T, np.eye(length))
+    turns = H.rotations(length, 5)
+    assert all(np.allclose(t @ t.T, np.eye(length)) for t in turns)
     x, q = np.floor(256 * g.standard_normal((300, length))), np.floor(256 * g.standard_normal((9, length)))
     x[0], q[0], x[1] = 0, 0, q[1]
-    code, along, square = H.encode(x, turn)
-    low, high = H.intervals(q, code, along, square, turn)
-    score = q @ x.T
-    assert (low <= score).all() and (score <= high).all()
-    if length >= 64:  # narrower than what lengths alone tell
-        norms = np.sqrt((q ** 2).sum(axis=1))[1:, None] * np.sqrt(square)[None, 1:]
-        assert (high - low)[1:, 1:].mean() < 0.75 * (2 * norms).mean()
+    score, last = q @ x.T, np.inf
+    for codes in (1, 2, 5):
+        code, along, residual = H.encode(x, turns[:codes])
+        low, high = H.intervals(q, code, along, residual, turns[:codes])
+        assert (low <= score).all() and (score <= high).all()
+        if length >= 64:  # every code narrows them, and the first is narrower than what lengths alone tell
+            norms = np.sqrt((q ** 2).sum(axis=1))[1:, None] * np.sqrt((x ** 2).sum(axis=1))[None, 1:]
+            width = ((high - low)[1:, 1:] / (2 * norms)).mean()
+            assert width < min(0.7, 0.7 * last)
+            last = width
+
+
+def test_intervals_rule_out_most_rows():
+    """Without any structure in the vectors, few rows are scored, and the answer is that of scoring all."""
+    g = np.random.default_rng(4)
+    x = g.standard_normal((4000, 64))
+    x = np.floor(256 * x / np.sqrt((x ** 2).sum(axis=1, keepdims=True)))
+    labels, ids = g.integers(0, 10, 4000), np.arange(4000)
+    code, along, residual = H.encode(x, H.rotations(64))
+    rows = pd.DataFrame({"vec_id": ids, "label": labels, "vec": list(x), "code": [c.tobytes() for c in code], "along": list(along), "residual": residual})
+    asked = pd.DataFrame({"query_id": ids[:40], "label": labels[:40], "vec": list(x[:40])})
+    scored, real = [], H._Block.scores
+
+    def counting(self, some, anchor):
+        scored.append(len(some))
+        return real(self, some, anchor)
+
+    H._Block.scores = counting
+    try:
+        near = H._positives(asked, rows, 5)
+        best = {i: [{"vec_id": v, "score": s} for v, s in zip(r["vec_id"], r["score"])] for i, r in near.groupby("query_id")}
+        far = H._negatives(asked.assign(positives=[best[i] for i in ids[:40]]), rows, 3, 50, 95)
+    finally:
+        H._Block.scores = real
+    assert sum(scored) < 0.1 * 40 * 4000
+    assert {(a, p, s) for a, p, s in near.itertuples(index=False)} == {
+        (a, p, int(x[a] @ x[p])) for a in range(40) for p in sorted(np.flatnonzero((labels == labels[a]) & (ids != a)), key=lambda p: (-(x[a] @ x[p]), p))[:5]}
+    for a, p, n, ps, ns in far.itertuples(index=False):
+        assert labels[n] != labels[a] and ns == int(x[a] @ x[n]) and 50 * ps <= 100 * ns <= 95 * ps
 
 
 @pytest.mark.parametrize("options", [{}, {"row_block": 40, "anchor_block": 7}, {"positives": 2, "negatives": 1}, {"lowest": 0, "highest": 100}])
