@@ -52,11 +52,13 @@ def _overlap_model():
     return fn
 
 
-def test_pair_model_equals_relational(spark, sf_small):
+@pytest.mark.parametrize("limit", [None, 512])
+def test_pair_model_equals_relational(spark, sf_small, limit):
+    """Both scorers read whole premises unless a limit is given, and then the same part of them."""
     src = tables.stance_input(spark, sf_small)
-    a = Z.stance(src, attach=False, max_length=512).select("row_id", "predicted_sentiments", "sentiment_scores")
-    b = Z.stance(src, attach=False, pair_model=_overlap_model, batch_size=5).select("row_id", "predicted_sentiments",
-                                                                      "sentiment_scores")
+    a = Z.stance(src, attach=False, max_length=limit).select("row_id", "predicted_sentiments", "sentiment_scores")
+    b = Z.stance(src, attach=False, pair_model=_overlap_model, batch_size=5, max_length=limit).select(
+        "row_id", "predicted_sentiments", "sentiment_scores")
     ra = {r[0]: (r[1], [tuple(round(v, 9) for v in s) for s in r[2]]) for r in a.collect()}
     rb = {r[0]: (r[1], [tuple(round(v, 9) for v in s) for s in r[2]]) for r in b.collect()}
     assert ra == rb and len(ra) > 0
