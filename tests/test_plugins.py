@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from clausework.functions.text import N_FEATURES
@@ -40,7 +41,7 @@ def _overlap_model():
         out = []
         for p, h in zip(premises, hypotheses):
             hyp = _WORD.findall(h.lower())
-            budget = max_length - 3 - len(hyp)
+            budget = 1 << 30 if max_length is None else max_length - 3 - len(hyp)
             prem = _WORD.findall(p.lower())[:max(budget, 0)]
             d = list(dict.fromkeys(hyp))
             if len(premises) > 5:
