@@ -16,12 +16,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from clausework.plans.queries import QUERIES  # noqa: E402
 from clausework.session import local_session  # noqa: E402
 
-NAMES = ["tag_documents", "stance_lists", "stance_tagged", "stance_pair_model", "macro_metrics", "label_vocab", "sample_exact"]
+NAMES = ["tag_documents", "tag_balanced", "stance_lists", "stance_tagged", "stance_pair_model", "stance_distinct", "macro_metrics", "label_f1",
+         "label_vocab", "sample_exact"]
 
 
 def summary(plan: str) -> str:
-    ex = re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)"
-                    r"(?:\(([^)]*)\))?, (\w+)", plan)
+    ex = re.findall(r"(?<!Broadcast)Exchange (\w+)(?:\((.*)\))?, (REPARTITION\w*|REBALANCE\w*|ENSURE\w*)", plan)
     lines = [f"- exchanges: {len(ex)}"]
     for kind, keys, why in ex:
         lines.append(f"  - {kind}({re.sub(r'#[0-9]+L?', '', keys or '')}) {why}")
@@ -45,7 +45,8 @@ def main() -> None:
         df = QUERIES[name](spark, sf)
         df.collect()          # the action runs on this query execution, so its adaptive plan is final
         plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-        tree = "\n".join(re.sub(r"#[0-9]+L?", "", line)[:170] for line in plan.splitlines())
+        # literals of a plan may hold characters that make a text file look binary
+        tree = "\n".join("".join(c for c in re.sub(r"#[0-9]+L?", "", line)[:170] if c.isprintable()) for line in plan.splitlines())
         out += [f"## {name}", "", summary(plan), "", "```", tree, "```", ""]
     spark.stop()
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
