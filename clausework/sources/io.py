@@ -99,25 +99,24 @@ def _read_summed(spark: SparkSession, path: str, schema: T.StructType, fmt: str)
 
 
 def save_with_backup(df: DataFrame, path: str, fmt: str = "csv") -> dict:
-    """S3 + S4: write the result, copy it to a timestamped folder, compare the values of both.
+    """S3 + S4: write the result into a timestamped folder, copy it to ``path``, compare the values of both.
 
-    The result is computed once, into a folder beside ``path``, and its
+    The result is computed once, into the second copy's folder, and its
     checksum is taken while it is written; only when what can be read back has
-    the same checksum are the copies made and read back too. A computation that
-    fails leaves the former result as it was. CSV knows no null apart from the
-    empty text, so both count the same. The report has the rows of each copy.
+    the same checksum is it copied to ``path``, from the written files, and read
+    back there too. A computation that fails leaves the former result as it was
+    (and a folder without Spark's success mark). CSV knows no null apart from
+    the empty text, so both count the same. The report has the rows of each copy.
     """
-    spark = df.sparkSession
+    spark, backup = df.sparkSession, backup_path(path)
     flat = _flat(df) if fmt == "csv" else df
-    staged, backup = f"{path.rstrip('/')}_staged_{uuid.uuid4().hex[:12]}", backup_path(path)
-    sums = {"written": _write_summed(flat, staged, fmt)}
-    rows, sums["staged"] = _read_summed(spark, staged, flat.schema, fmt)
+    sums = {"written": _write_summed(flat, backup, fmt)}
+    rows, sums["backup"] = _read_summed(spark, backup, flat.schema, fmt)
     _same(sums)
-    for name, target in (("backup", backup), ("read", path)):
-        _write_summed(rows, target, fmt)
-        sums[name] = _read_summed(spark, target, flat.schema, fmt)[1]
+    _write_summed(rows, path, fmt)
+    sums["read"] = _read_summed(spark, path, flat.schema, fmt)[1]
     _same(sums)
-    return {"path": path, "backup": backup, "staged": staged, "checksum": f"{sums['written']['sum1']}/{sums['written']['sum2']}",
+    return {"path": path, "backup": backup, "checksum": f"{sums['written']['sum1']}/{sums['written']['sum2']}",
             **{f"rows_{name}": sums[name]["rows"] for name in ("written", "read", "backup")}}
 
 

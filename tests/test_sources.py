@@ -57,7 +57,7 @@ def test_copies_are_compared_by_value(spark, monkeypatch):
     real = io._write_summed
 
     def other(d, target, fmt):  # a copy of as many rows with another value
-        return real(d.withColumn("clause", F.lit("changed")) if "_backup_" in target else d, target, fmt)
+        return real(d if "_backup_" in target else d.withColumn("clause", F.lit("changed")), target, fmt)
 
     monkeypatch.setattr(io, "_write_summed", other)
     with pytest.raises(RuntimeError, match="differ"):
