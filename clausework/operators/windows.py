@@ -15,7 +15,10 @@ built once from the token array (linear in the text length).
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +26,9 @@ from pyspark.sql import types as T
 from ._util import built, identity_of
 from ..functions.text import CLS_ID, MAX_LENGTH, PAD_ID, PREDICT_OVERLAP, SEP_ID, TRAIN_STEP, token_ids
 
+# texts that a plug-in tokenizer is given at once
+TEXTS = 256
+
 
 def with_token_ids(df: DataFrame, text: str = "clause", out: str = "ids") -> DataFrame:
     """Token ids without specials (hashed whitespace tokens)."""
@@ -84,22 +90,28 @@ def pad_windows(df: DataFrame, window_ids: str = "window_ids", max_length: int =
 # --- foreign tokenizers (U1) -------------------------------------------------
 
 def foreign_token_ids(text: Column, make_tokenizer) -> Column:
-    """T1 through a plug-in tokenizer, as an Arrow-batched pandas UDF.
+    """T1 through a plug-in tokenizer, as an Arrow UDF.
 
     ``make_tokenizer()`` returns ``encode(texts: list[str]) -> list[list[int]]``
-    (ids without specials). It is built once per Python worker and applied to
-    whole Arrow batches; windows, scoring and pooling stay as they are.
+    (ids without specials). It is built once per Python worker and given
+    ``TEXTS`` texts of an Arrow batch at a time, whose ids are packed before the
+    next ones; windows, scoring and pooling stay as they are.
     """
     identity = identity_of(make_tokenizer)
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def encode(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         fn = built("tokenizer", identity, make_tokenizer)
-        known = [i for i, t in enumerate(texts) if isinstance(t, str)]
-        out = [None] * len(texts)
-        for i, ids in zip(known, fn([texts.iloc[i] for i in known]) if known else [], strict=True):
-            out[i] = [int(x) for x in ids]
-        return pd.Series(out, dtype=object)
+
+        def ids_of(texts: list) -> pa.Array:
+            known, own = [i for i, t in enumerate(texts) if t is not None], [None] * len(texts)
+            for i, ids in zip(known, fn([texts[i] for i in known]) if known else [], strict=True):
+                own[i] = np.fromiter((int(x) for x in ids), dtype=np.int32)
+            return pa.array(own, type=pa.list_(pa.int32()))
+
+        for texts in batches:
+            parts = [ids_of(texts.slice(at, TEXTS).to_pylist()) for at in range(0, len(texts), TEXTS)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], type=pa.list_(pa.int32()))
 
     return encode(text)
 
