@@ -9,8 +9,8 @@ head is any head table, e.g. from ``labels.warm_copy``).
 The training table has one row per window: its features, their counts and its
 label ids, written once to the shared folder. A step broadcasts the weights
 (size-checked: labels x features), every task adds up the gradient of its
-windows, the partial gradients are summed by (label, feature), and the sum, no
-larger than the head, updates the weights. Nothing data-sized leaves the
+windows, the partial gradients are summed by blocks of features, and the sum,
+no larger than the head, updates the weights. Nothing data-sized leaves the
 executors. Evaluation sums confusion counts and loss per task. A head too
 large for that is fitted in shards (``sharded``), by the same loop.
 
@@ -28,9 +28,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import BIAS_FEATURE, N_FEATURES, THRESHOLD, feature_of
 from . import metrics as M
@@ -45,8 +47,11 @@ WARMUP_RATIO = 0.1
 KEEP_EPOCHS = 2
 
 EPOCH_SCHEMA = "epoch int, step int, loss double, accuracy double, f1 double, precision double, recall double"
-# numbers (window features x labels) that are multiplied at once
+# cells (windows x labels) and windows that a worker takes at once
 CELLS = 1 << 20
+WINDOWS = 512
+# numbers of a block of the gradient on its way: 1 MB
+BLOCK_CELLS = 1 << 17
 
 
 class Loss(NamedTuple):
@@ -87,6 +92,40 @@ def check_loss(loss: Loss, points: np.ndarray | None = None, tolerance: float =
             raise ValueError("the slope of this loss is not the derivative of its value")
 
 
+def lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a list column one after another and where each list begins and ends; nothing is copied."""
+    return column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+
+
+def list_column(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(values))
+
+
+def counted(windows: DataFrame) -> DataFrame:
+    """``windows`` with the different ones of each list of ``features``, ascending, and, in ``counts``, how often each stands there.
+
+    Arrow's batches are taken ``WINDOWS`` windows at a time, so that a worker holds little beside its batch.
+    """
+    schema = T.StructType([*windows.schema.fields, T.StructField("counts", T.ArrayType(T.DoubleType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, WINDOWS):
+                b = batch.slice(at, WINDOWS)
+                values, ends = lists(b.column("features"))
+                lengths = np.diff(ends)
+                own = values[ends[0]:ends[-1]].astype(np.int64)
+                most = int(own.max(initial=0)) + 1
+                # one sorted run of (window, feature)
+                found, n = np.unique(np.repeat(np.arange(len(lengths)), lengths) * most + own, return_counts=True)
+                different = np.bincount(found // most, minlength=len(lengths))
+                once = list_column((found % most).astype(np.int32), different)
+                yield pa.RecordBatch.from_arrays([*[once if c == "features" else b.column(c) for c in b.schema.names],
+                                                  list_column(n.astype(np.float64), different)], names=[*b.schema.names, "counts"])
+
+    return windows.mapInArrow(run, schema)
+
+
 def window_rows(windows: DataFrame, n_features: int = N_FEATURES, window_ids: str = "window_ids",
                 label_ids: str = "label_ids", keys: tuple[str, ...] = ("row_id", "window")) -> DataFrame:
     """X, one row per window: ``(win, key, part, features, counts, labels)``, written and read back.
@@ -94,38 +133,31 @@ def window_rows(windows: DataFrame, n_features: int = N_FEATURES, window_ids: st
     ``win`` is a row number, ``key`` the window's key as text, ``part`` a hash
     of it in [0, 2^20), by which fixed shares are cut.
     """
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            found = [np.unique(f, return_counts=True) for f in b["features"]]
-            yield pd.DataFrame({"win": b["win"], "key": b["key"], "part": b["part"], "features": [f for f, _ in found],
-                                "counts": [c.astype(np.float64) for _, c in found], "labels": b["labels"]})
-
     rows = windows.select(F.monotonically_increasing_id().alias("win"), F.concat_ws(":", *[F.col(k).cast("string") for k in keys]).alias("key"),
                           F.pmod(F.xxhash64(*keys), F.lit(1 << 20)).cast("int").alias("part"),
                           F.transform(F.col(window_ids), lambda t: feature_of(t, n_features)).alias("features"),
                           F.col(label_ids).alias("labels"))
-    return stored(rows.mapInPandas(count, "win long, key string, part int, features array<int>, counts array<double>, labels array<int>"),
-                  "windows")
+    return stored(counted(rows).select("win", "key", "part", "features", "counts", "labels"), "windows")
 
 
-class Chunk(NamedTuple):
-    """Some windows: their features and counts one after another, the window of each, and the truth."""
+class Windows(NamedTuple):
+    """Some windows: their features and counts one after another, where each window begins and ends, and the truth."""
 
     features: np.ndarray
     counts: np.ndarray
-    window: np.ndarray
+    ends: np.ndarray
     truth: np.ndarray
 
-    def sums(self, terms: np.ndarray) -> np.ndarray:
-        """``terms`` (one row per feature of a window) added up per window."""
-        out = np.zeros((len(self.truth), terms.shape[1]))
-        if len(terms):
-            first = np.flatnonzero(np.concatenate([[True], self.window[1:] != self.window[:-1]]))
-            out[self.window[first]] = np.add.reduceat(terms, first, axis=0)
-        return out
-
     def logits(self, w: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return self.sums(self.counts[:, None] * w[self.features]) + b
+        z = np.empty(self.truth.shape)
+        for i, (first, end) in enumerate(zip(self.ends[:-1].tolist(), self.ends[1:].tolist(), strict=True)):
+            z[i] = self.counts[first:end] @ w.take(self.features[first:end], axis=0)
+        return z + b
+
+    def add_gradient(self, g: np.ndarray, slopes: np.ndarray) -> None:
+        """Add every window's counts times its slopes to ``g``; no feature stands twice in a window."""
+        for i, (first, end) in enumerate(zip(self.ends[:-1].tolist(), self.ends[1:].tolist(), strict=True)):
+            g[self.features[first:end]] += self.counts[first:end, None] * slopes[i]
 
 
 def add_by_feature(g: np.ndarray, features: np.ndarray, terms: np.ndarray) -> None:
@@ -137,51 +169,91 @@ def add_by_feature(g: np.ndarray, features: np.ndarray, terms: np.ndarray) -> No
         g[own[first]] += np.add.reduceat(terms[order], first, axis=0)
 
 
-def truth_of(labels, n_labels: int) -> np.ndarray:
-    y = np.zeros((len(labels), n_labels))
-    for i, own in enumerate(labels):
-        y[i, np.asarray(own, dtype=np.int64)] = 1.0
+def truth_of(values: np.ndarray, lengths: np.ndarray, n_labels: int) -> np.ndarray:
+    """0/1 of windows and labels, from the windows' label ids one after another."""
+    y = np.zeros((len(lengths), n_labels))
+    y[np.repeat(np.arange(len(lengths)), lengths), values] = 1.0
     return y
 
 
-def chunks(batch: pd.DataFrame, n_labels: int) -> Iterator[Chunk]:
-    """The windows of a batch in chunks of about ``CELLS`` products."""
-    lengths = batch["features"].map(len).to_numpy()
-    share = np.cumsum(lengths * max(1, n_labels)) // CELLS
-    for k in np.unique(share):
-        some = batch[share == k]
-        n = lengths[share == k]
-        yield Chunk(np.concatenate(some["features"].to_list()).astype(np.int64), np.concatenate(some["counts"].to_list()).astype(np.float64),
-                    np.repeat(np.arange(len(some)), n), truth_of(some["labels"], n_labels))
+def once_each(features: np.ndarray, counts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same windows with every feature once in a window and ascending, as ``window_rows`` writes them."""
+    lengths = np.diff(ends)
+    later = np.diff(features) > 0
+    begins = ends[1:-1]
+    later[begins[(begins > 0) & (begins < len(features))] - 1] = True
+    if later.all():
+        return features, counts, ends
+    most = int(features.max()) + 1
+    found, at = np.unique(np.repeat(np.arange(len(lengths)), lengths) * most + features, return_inverse=True)
+    different = np.bincount(found // most, minlength=len(lengths))
+    return found % most, np.bincount(at, weights=counts), np.concatenate([[0], np.cumsum(different)])
+
+
+def some_windows(batches: Iterator[pa.RecordBatch], n_labels: int) -> Iterator[Windows]:
+    """The windows of Arrow batches, few at a time: at most ``WINDOWS``, and ``CELLS`` cells of windows and labels."""
+    step = max(1, min(WINDOWS, CELLS // max(1, n_labels)))
+    for batch in batches:
+        for at in range(0, batch.num_rows, step):
+            b = batch.slice(at, step)
+            (features, ends), (counts, at_counts), (labels, own) = (lists(b.column(c)) for c in ("features", "counts", "labels"))
+            yield Windows(*once_each(features[ends[0]:ends[-1]].astype(np.int64), counts[at_counts[0]:at_counts[-1]], ends - ends[0]),
+                          truth_of(labels[own[0]:own[-1]], np.diff(own), n_labels))
 
 
 def gradient(x: DataFrame, weights: np.ndarray, bias: np.ndarray, loss: Loss = BCE) -> tuple[np.ndarray, np.ndarray, int]:
-    """Sums over the windows of ``x`` of the loss's gradient by weight and bias, and the number of windows."""
+    """Sums over the windows of ``x`` of the loss's gradient by weight and bias, and the number of windows.
+
+    A task sends its sums as blocks of the features that occur in it; blocks are
+    added up as they stream by, and only the sum comes to the driver.
+    """
+    from .sharded import streamed
+
+    if not len(bias):
+        return np.zeros_like(weights), np.zeros_like(bias), x.count()
     shared = x.sparkSession.sparkContext.broadcast((weights, bias))
+    labels, features = len(bias), len(weights)
+    width = max(1, BLOCK_CELLS // max(1, labels))
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, b = shared.value
         g, gb, n = np.zeros_like(w), np.zeros_like(b), 0
-        for batch in batches:
-            for c in chunks(batch, len(b)):
-                r = loss.slope(c.logits(w, b), c.truth)
-                add_by_feature(g, c.features, c.counts[:, None] * r[c.window])
-                gb += r.sum(axis=0)
-                n += len(r)
+        for c in some_windows(batches, len(b)):
+            r = loss.slope(c.logits(w, b), c.truth)
+            c.add_gradient(g, r)
+            gb += r.sum(axis=0)
+            n += len(r)
         if n:
-            feature, label = np.nonzero(g)
-            yield pd.DataFrame({"label_id": label, "feature": feature, "g": g[feature, label]})
-            yield pd.DataFrame({"label_id": np.arange(len(b)), "feature": BIAS_FEATURE, "g": gb})
-            yield pd.DataFrame({"label_id": [-1], "feature": [BIAS_FEATURE], "g": [float(n)]})
-
-    sums = (x.select("features", "counts", "labels").mapInPandas(partial, "label_id long, feature long, g double")
-            .groupBy("label_id", "feature").agg(F.sum("g").alias("g")).toPandas())
+            yield block(BIAS_FEATURE, np.array([n]), gb)
+            for s in range(-(-len(w) // width)):
+                own = g[s * width:(s + 1) * width]
+                used = np.flatnonzero(own.any(axis=1))
+                if len(used):
+                    yield block(s, used, own[used])
+
+    def block(s: int, used: np.ndarray, g: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"s": [s], "features": [used.astype(np.int64).tobytes()], "g": [g.tobytes()]},
+                                          schema=pa.schema([("s", pa.int32()), ("features", pa.binary()), ("g", pa.binary())]))
+
+    def added(s: int, rows: Iterator[dict]) -> Iterator[dict]:
+        total, n = np.zeros((1 if s == BIAS_FEATURE else min(width, features - s * width), labels)), 0
+        for r in rows:
+            at = np.frombuffer(r["features"], dtype=np.int64)
+            if s == BIAS_FEATURE:
+                n, at = n + int(at[0]), np.zeros(1, dtype=np.int64)
+            total[at] += np.frombuffer(r["g"]).reshape(len(at), labels)
+        yield {"s": s, "n": n, "g": total.tobytes()}
+
+    sums = streamed(x.select("features", "counts", "labels").mapInArrow(partial, "s int, features binary, g binary"), "s", added, "s int, n long, g binary").collect()
     shared.unpersist()
-    g, gb, own = np.zeros_like(weights), np.zeros_like(bias), sums[sums["label_id"] >= 0]
-    body, side = own[own["feature"] >= 0], own[own["feature"] == BIAS_FEATURE]
-    g[body["feature"].to_numpy(), body["label_id"].to_numpy()] = body["g"].to_numpy()
-    gb[side["label_id"].to_numpy()] = side["g"].to_numpy()
-    return g, gb, int(sums.loc[sums["label_id"] < 0, "g"].sum())
+    g, gb, n = np.zeros_like(weights), np.zeros_like(bias), 0
+    for r in sums:
+        own = np.frombuffer(r["g"]).reshape(-1, labels)
+        if r["s"] == BIAS_FEATURE:
+            gb, n = own[0].copy(), r["n"]
+        else:
+            g[r["s"] * width:r["s"] * width + len(own)] = own
+    return g, gb, n
 
 
 def cell_sums(z: np.ndarray, y: np.ndarray, loss: Loss, threshold: float) -> tuple[int, int, int, int, float]:
@@ -205,16 +277,15 @@ def evaluate(x: DataFrame, weights: np.ndarray, bias: np.ndarray, threshold: flo
     """``(loss, accuracy, f1, precision, recall)`` over all (window, label) cells of ``x``."""
     shared = x.sparkSession.sparkContext.broadcast((weights, bias))
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, b = shared.value
         total = np.zeros(4, dtype=np.int64), 0.0
-        for batch in batches:
-            for c in chunks(batch, len(b)):
-                *counts, value = cell_sums(c.logits(w, b), c.truth, loss, threshold)
-                total = total[0] + counts, total[1] + value
-        yield pd.DataFrame([[*total[0], total[1]]], columns=["tp", "fp", "fn", "tn", "loss"])
+        for c in some_windows(batches, len(b)):
+            *counts, value = cell_sums(c.logits(w, b), c.truth, loss, threshold)
+            total = total[0] + counts, total[1] + value
+        yield pa.RecordBatch.from_pydict(dict(zip(("tp", "fp", "fn", "tn", "loss"), ([v] for v in (*total[0].tolist(), total[1])), strict=True)))
 
-    got = measures(x.select("features", "counts", "labels").mapInPandas(partial, SUMS))
+    got = measures(x.select("features", "counts", "labels").mapInArrow(partial, SUMS))
     shared.unpersist()
     return got
 
