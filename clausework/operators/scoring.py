@@ -10,22 +10,28 @@ the clause's token ids and gives the logits of all its windows, so nothing is
 shuffled, joined or fanned out by label. Any batch model plugs in through
 ``make_predict_fn``; the default is the linear head, whose weights are
 broadcast behind a check of their size. A head beyond that size is scored by
-``score_windows``: feature counts joined with the head table.
+``score_windows``: blocks of windows meet the head's shards.
 """
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
+from urllib.parse import unquote, urlparse
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import (BIAS_FEATURE, CLS_ID, MAX_LENGTH, N_FEATURES, PAD_ID, PREDICT_OVERLAP, SEP_ID, THRESHOLD, TRAIN_STEP,
                               feature_of, md5_bits)
-from ._util import bounded_broadcast, built, identity_of
+from ._util import bounded_broadcast, built, identity_of, stored
 
 HEAD_SCHEMA = T.StructType([
     T.StructField("label_id", T.IntegerType(), False),
@@ -88,11 +94,24 @@ def shipped(spark, folder: str, load: Callable[[str], Callable]) -> Callable:
 
     ``folder`` (on any store that Spark reads) goes to every executor by Spark's
     own file distribution; ``load(local folder)`` builds the model once per
-    Python worker, which keeps it until another model comes. Two folders of one
-    name cannot be shipped by one session: give a version its own name.
+    Python worker, which keeps it until another model comes. A folder of a
+    local file system, which Spark ships file by file alone, goes as one
+    archive. Two folders of one name on another store cannot be shipped by one
+    session: give a version its own name.
     """
-    spark.sparkContext.addFile(folder, recursive=True)
+    path = urlparse(folder)
     name = folder.rstrip("/").rsplit("/", 1)[1]
+    if path.scheme in ("", "file"):
+        local = os.path.abspath(unquote(path.path) if path.scheme else folder)
+        if not os.path.isdir(local):
+            raise FileNotFoundError(f"there is no folder {folder}")
+        name = f"{name}-{uuid.uuid4().hex[:12]}.zip"
+        # executors fetch it when they first need it: it stays as long as the driver's process
+        own = tempfile.mkdtemp(prefix="clausework-shipped-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        spark.sparkContext.addArchive(shutil.make_archive(os.path.join(own, name.removesuffix(".zip")), "zip", local))
+    else:
+        spark.sparkContext.addFile(folder, recursive=True)
 
     def make() -> Callable:
         from pyspark import SparkFiles
@@ -167,14 +186,19 @@ def window_logits(ids: Column, make_predict_fn: Callable, *, windowing: str = "o
         except Exception:
             return [None] if len(windows) == 1 else [x for w in windows for x in score(predict, [w])]
 
-    @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())) if finish is None else finish[1])
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    kind = T.ArrayType(T.ArrayType(T.DoubleType())) if finish is None else finish[1]
+
+    # Arrow arrays, so that a batch of token ids is not copied into Python objects
+    @F.arrow_udf(kind)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        from pyspark.sql.pandas.types import to_arrow_type
+
         predict = built(f"model-{windowing}", identity, make_predict_fn)
         for clauses in batches:
+            values, ends = clauses.values.to_numpy(zero_copy_only=False), clauses.offsets.to_numpy()
             out, held = [[] for _ in range(len(clauses))], []
-            for n, own in enumerate(clauses):
-                own = np.zeros(0, dtype=np.int64) if own is None else np.asarray(own, dtype=np.int64)
-                held += [(n, w) for w in _windows(own, windowing, max_length, move, cls_id, sep_id)]
+            for n, (first, end) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+                held += [(n, w) for w in _windows(values[first:end].astype(np.int64), windowing, max_length, move, cls_id, sep_id)]
                 while len(held) >= batch_size:
                     for (i, _), z in zip(held[:batch_size], score(predict, [w for _, w in held[:batch_size]]), strict=True):
                         out[i].append(z)
@@ -183,7 +207,7 @@ def window_logits(ids: Column, make_predict_fn: Callable, *, windowing: str = "o
                 for (i, _), z in zip(held, score(predict, [w for _, w in held]), strict=True):
                     out[i].append(z)
             done = [None if any(z is None for z in w) else w for w in out]
-            yield pd.Series(done if finish is None else [None if w is None else finish[0](w) for w in done], dtype=object)
+            yield pa.array(done if finish is None else [None if w is None else finish[0](w) for w in done], type=to_arrow_type(kind))
 
     return run(ids)
 
@@ -208,15 +232,18 @@ def score_windows(windows: DataFrame, head: DataFrame, keys: tuple[str, ...] = (
                   window_ids: str = "window_ids", head_rows: int | None = None, n_features: int = N_FEATURES) -> DataFrame:
     """I1 for a head of any size: ``(keys..., label_id, logit)`` for every window and label.
 
-    A window's features are counted before they meet the head, and the bias is
-    added at the end, so no feature occurs in every window. Heads within the
-    broadcast bound are broadcast; the shuffle join beyond it splits features
-    that are frequent.
+    A window's features are counted in its row; the head's shards meet blocks of
+    windows (``sharded``), so that no row is made for a feature of a window. The
+    bias is added at the end, to the sum of windows with equal keys.
     """
-    counts = (windows.select(*keys, F.explode(F.transform(F.col(window_ids), lambda t: feature_of(t, n_features))).alias("feature"))
-              .groupBy(*keys, "feature").agg(F.count(F.lit(1)).alias("x")))
-    h = bounded_broadcast(head.where(F.col("feature") >= 0).select("feature", "label_id", "weight"), rows=head_rows)
-    sums = counts.join(h, "feature").groupBy(*keys, "label_id").agg(F.sum(F.col("x") * F.col("weight")).alias("z"))
+    from .head import counted
+    from .sharded import ShardedModel
+
+    rows = windows.select(*keys, F.monotonically_increasing_id().alias("win"),
+                          F.transform(F.col(window_ids), lambda t: feature_of(t, n_features)).alias("features"), F.array().cast("array<int>").alias("labels"))
+    x = stored(counted(rows.where(F.size("features") > 0)), "window-counts")
+    z = ShardedModel.of(head).sums(x, keys)
+    sums = z.select(*keys, F.posexplode("z").alias("label_id", "z")).groupBy(*keys, "label_id").agg(F.sum("z").alias("z"))
     bias = bounded_broadcast(head.where(F.col("feature") == BIAS_FEATURE).select("label_id", F.col("weight").alias("bias")), rows=head_rows)
     return sums.join(bias, "label_id").select(*keys, "label_id", (F.col("z") + F.col("bias")).alias("logit"))
 
@@ -231,6 +258,13 @@ def overlap_pair_model():
     import re
 
     word = re.compile(r"[^ \t\n\r]+")
+    last: list = [None, {}]  # the pairs of a premise come one after another: its words are found once
+
+    def places(premise: str) -> dict[str, int]:
+        if last[0] != premise:
+            found = word.findall(premise.lower())
+            last[:] = premise, dict(zip(reversed(found), range(len(found) - 1, -1, -1)))
+        return last[1]
 
     def fn(premises, hypotheses, max_length):
         out = np.zeros((len(premises), 3))
@@ -240,8 +274,8 @@ def overlap_pair_model():
             distinct = list(dict.fromkeys(hyp))
             if not distinct or (room is not None and room < 0):
                 raise ValueError("hypothesis does not fit beside the premise")
-            seen = set(word.findall(p.lower())[:room])
-            out[k, 0] = sum(1 for x in distinct if x in seen) / len(distinct)
+            first = places(p)
+            out[k, 0] = sum(1 for x in distinct if x in first and (room is None or first[x] < room)) / len(distinct)
         return out
 
     return fn
