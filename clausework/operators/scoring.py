@@ -42,6 +42,9 @@ HEAD_SCHEMA = T.StructType([
 # weights (labels x features) that are collected and broadcast at most: 64 MB of doubles
 MAX_CELLS = 1 << 23
 BATCH_SIZE = 16
+# hypotheses whose words a worker of the overlap model keeps, and the longest that it keeps
+HYPOTHESES = 4096
+HYPOTHESIS_CHARS = 1000
 
 
 def hash_head(vocab: DataFrame, salt: str = "init", scale: float = 0.1, n_features: int = N_FEATURES) -> DataFrame:
@@ -256,26 +259,49 @@ def overlap_pair_model():
     the plug-in path end to end against the relational one; a real
     entailment model plugs in the same way."""
     import re
+    from functools import lru_cache
 
     word = re.compile(r"[^ \t\n\r]+")
-    last: list = [None, {}]  # the pairs of a premise come one after another: its words are found once
+    last: list = [None, None, None]  # the pairs of a premise come one after another: its words are found once
 
-    def places(premise: str) -> dict[str, int]:
+    def split(hypothesis: str) -> tuple[int, frozenset]:
+        found = word.findall(hypothesis.lower())
+        return len(found), frozenset(found)
+
+    # the hypotheses of an actor come back with every premise
+    remembered = lru_cache(HYPOTHESES)(split)
+
+    def of(premise: str) -> None:
         if last[0] != premise:
-            found = word.findall(premise.lower())
-            last[:] = premise, dict(zip(reversed(found), range(len(found) - 1, -1, -1)))
+            last[:] = premise, None, None
+
+    def among(premise: str) -> set:
+        of(premise)
+        if last[1] is None:
+            # the empty text between two blanks is a word of no hypothesis
+            last[1] = set(premise.lower().replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" "))
         return last[1]
 
+    def places(premise: str) -> dict[str, int]:
+        of(premise)
+        if last[2] is None:
+            found = word.findall(premise.lower())
+            last[2] = dict(zip(reversed(found), range(len(found) - 1, -1, -1)))
+        return last[2]
+
     def fn(premises, hypotheses, max_length):
         out = np.zeros((len(premises), 3))
         for k, (p, h) in enumerate(zip(premises, hypotheses, strict=True)):
-            hyp = word.findall(h.lower())
-            room = None if max_length is None else max_length - 3 - len(hyp)
-            distinct = list(dict.fromkeys(hyp))
-            if not distinct or (room is not None and room < 0):
+            n, own = (remembered if len(h) <= HYPOTHESIS_CHARS else split)(h)
+            room = None if max_length is None else max_length - 3 - n
+            if not own or (room is not None and room < 0):
                 raise ValueError("hypothesis does not fit beside the premise")
-            first = places(p)
-            out[k, 0] = sum(1 for x in distinct if x in first and (room is None or first[x] < room)) / len(distinct)
+            if room is None:
+                hits = len(own & among(p))
+            else:
+                first = places(p)
+                hits = sum(1 for x in own if x in first and first[x] < room)
+            out[k, 0] = hits / len(own)
         return out
 
     return fn

@@ -50,6 +50,41 @@ def test_failed_pairs_count_their_tries(spark):
         assert r.scores[4] is None and sum(s is None for s in r.scores) == 1 and r.calls == [2] * 9
 
 
+def test_a_hypothesis_is_read_once():
+    """Actors come back with every premise; the words of their hypotheses are found once."""
+    class Read(str):
+        times = 0
+
+        def lower(self):
+            Read.times += 1
+            return str.lower(self)
+
+    fn = scoring.overlap_pair_model()
+    h = Read("The tone regarding Rebels is supportive.")
+    got = fn([f"{i} the rebels\tis\x0b the" for i in range(50)], [h] * 50, None)
+    assert Read.times == 1
+    # "is" and a vertical tab are one word
+    assert got[:, 0].tolist() == [2 / 6] * 50
+
+
+def test_a_worker_takes_few_pairs_of_a_batch(spark, monkeypatch):
+    """Pairs leave an Arrow batch some at a time, in the model calls that the whole batch would give."""
+    sizes = spark.createDataFrame([(str(i), [f"a{j}" for j in range(3)]) for i in range(9)], "clause string, predicted_actors array<string>").coalesce(1)
+
+    def counting():
+        return lambda premises, hypotheses, _: [[len(premises), 0, 0]] * len(premises)
+
+    monkeypatch.setattr(pairs, "PAIRS", 8)
+    one = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = pairs.distinct_scores(sizes, counting, batch_size=4).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", one)
+    seen = sorted(x for r in got for x in r.scores)
+    assert len(got) == 27 and seen == [3.0] * 3 + [4.0] * 240
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], "row_id long, clause string, predicted_actors string")
     assert pairs.stance_distinct(df, scoring.overlap_pair_model).count() == 0
