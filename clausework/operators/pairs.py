@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +26,8 @@ from .stance import _SLOT, BATCH_SIZE, ENTAIL_IDX, TEMPLATES, _decided, _prepare
 
 # rows of one pair that a join's task takes; a pair of more rows is split
 SALT_ROWS = 100_000
+# pairs that a worker takes out of an Arrow batch at once
+PAIRS = 256
 # frequent pairs that are broadcast at most
 MOST_HOT = 10_000
 
@@ -36,30 +38,39 @@ def _model_scores(premise: Column, actor: Column, make_pair_fn: Callable, templa
     identity = identity_of(make_pair_fn)
     texts = [t for _, t in templates]
 
-    def score(fn, asked: list[tuple[str, str]], at: list[int], scores: list, calls: list) -> None:
-        for i in at:
-            calls[i] += 1
+    def score(fn, premises: list[str], hypotheses: list[str], first: int, end: int, scores: list, calls: np.ndarray) -> None:
+        calls[first:end] += 1
         try:
-            got = np.asarray(fn([asked[i][0] for i in at], [asked[i][1] for i in at], max_length), dtype=float).reshape(len(at), -1)
+            got = np.asarray(fn(premises[first:end], hypotheses[first:end], max_length), dtype=float).reshape(end - first, -1)
         except Exception:
-            for i in at if len(at) > 1 else ():
-                score(fn, asked, [i], scores, calls)
+            for i in range(first, end) if end - first > 1 else ():
+                score(fn, premises, hypotheses, i, i + 1, scores, calls)
             return
-        for i, row in zip(at, got, strict=True):
-            scores[i] = float(row[entail_idx])
+        scores[first:end] = got[:, entail_idx].tolist()
 
     kind = T.StructType([T.StructField("scores", T.ArrayType(T.DoubleType())), T.StructField("calls", T.ArrayType(T.IntegerType()))])
+    # pairs taken out of an Arrow batch at once; whole calls of the model, so that these stay what they are
+    step = batch_size * max(1, PAIRS // batch_size)
+
+    @F.arrow_udf(kind)
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        from pyspark.sql.pandas.types import to_arrow_type
 
-    @F.pandas_udf(kind)
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         fn = built("pair-model", identity, make_pair_fn)
+
+        def of(premises: list[str], actors: list[str]) -> pa.Array:
+            first = [p for p in premises for _ in texts]
+            second = [t.replace(_SLOT, a) for a in actors for t in texts]
+            scores, calls = [None] * len(first), np.zeros(len(first), dtype=np.int32)
+            for at in range(0, len(first), batch_size):
+                score(fn, first, second, at, min(at + batch_size, len(first)), scores, calls)
+            ends = pa.array(np.arange(len(premises) + 1) * len(texts), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x, y)) for x, y in ((scores, pa.float64()), (calls, pa.int32()))]
+            return pa.StructArray.from_arrays(lists, names=["scores", "calls"]).cast(to_arrow_type(kind))
+
         for premises, actors in batches:
-            asked = [(p, t.replace(_SLOT, a)) for p, a in zip(premises, actors, strict=True) for t in texts]
-            scores, calls = [None] * len(asked), [0] * len(asked)
-            for at in range(0, len(asked), batch_size):
-                score(fn, asked, list(range(at, min(at + batch_size, len(asked)))), scores, calls)
-            cut = range(0, len(asked), len(texts))
-            yield pd.DataFrame({"scores": [scores[i:i + len(texts)] for i in cut], "calls": [calls[i:i + len(texts)] for i in cut]})
+            parts = [of(premises.slice(at, step).to_pylist(), actors.slice(at, step).to_pylist()) for at in range(0, len(premises), step)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], type=to_arrow_type(kind))
 
     return run(premise, actor)
 
