@@ -34,11 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import BIAS_FEATURE, N_FEATURES, THRESHOLD, feature_of
+from ..functions.text import BIAS_FEATURE, CLS_ID, MAX_LENGTH, N_FEATURES, SEP_ID, THRESHOLD, TRAIN_STEP
 from . import metrics as M
-from ._util import stored
+from ._util import built, identity_of, stored
 from .batches import SEED, Order
 from .scoring import HEAD_SCHEMA, head_arrays
+from .windows import encoded, make_word_ids
 
 # The training settings being matched.
 EPOCHS = 5
@@ -101,31 +102,40 @@ def list_column(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(values))
 
 
-def counted(windows: DataFrame) -> DataFrame:
-    """``windows`` with the different ones of each list of ``features``, ascending, and, in ``counts``, how often each stands there.
+def different(ids: np.ndarray, lengths: np.ndarray, n_features: int) -> tuple[pa.Array, pa.Array]:
+    """The different features (id mod ``n_features``) of some windows, ascending, and how often each stands in its window."""
+    own = ids % n_features
+    most = int(own.max(initial=0)) + 1
+    # one sorted run of (window, feature)
+    found, n = np.unique(np.repeat(np.arange(len(lengths)), lengths) * most + own, return_counts=True)
+    many = np.bincount(found // most, minlength=len(lengths))
+    return list_column((found % most).astype(np.int32), many), list_column(n.astype(np.float64), many)
+
+
+def counted(windows: DataFrame, n_features: int) -> DataFrame:
+    """``windows`` whose ``features``, token ids, become their different features (id mod ``n_features``), ascending, and, in ``counts``, how often each stands there.
 
     Arrow's batches are taken ``WINDOWS`` windows at a time, so that a worker holds little beside its batch.
     """
-    schema = T.StructType([*windows.schema.fields, T.StructField("counts", T.ArrayType(T.DoubleType()))])
+    found_as = {"features": T.StructField("features", T.ArrayType(T.IntegerType()))}
+    schema = T.StructType([*(found_as.get(f.name, f) for f in windows.schema.fields), T.StructField("counts", T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, WINDOWS):
                 b = batch.slice(at, WINDOWS)
                 values, ends = lists(b.column("features"))
-                lengths = np.diff(ends)
-                own = values[ends[0]:ends[-1]].astype(np.int64)
-                most = int(own.max(initial=0)) + 1
-                # one sorted run of (window, feature)
-                found, n = np.unique(np.repeat(np.arange(len(lengths)), lengths) * most + own, return_counts=True)
-                different = np.bincount(found // most, minlength=len(lengths))
-                once = list_column((found % most).astype(np.int32), different)
-                yield pa.RecordBatch.from_arrays([*[once if c == "features" else b.column(c) for c in b.schema.names],
-                                                  list_column(n.astype(np.float64), different)], names=[*b.schema.names, "counts"])
+                once, n = different(values[ends[0]:ends[-1]].astype(np.int64), np.diff(ends), n_features)
+                yield pa.RecordBatch.from_arrays([*[once if c == "features" else b.column(c) for c in b.schema.names], n], names=[*b.schema.names, "counts"])
 
     return windows.mapInArrow(run, schema)
 
 
+def _window_rows(counts: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    return stored(counts.select(F.monotonically_increasing_id().alias("win"), F.concat_ws(":", *[F.col(k).cast("string") for k in keys]).alias("key"),
+                                F.pmod(F.xxhash64(*keys), F.lit(1 << 20)).cast("int").alias("part"), "features", "counts", "labels"), "windows")
+
+
 def window_rows(windows: DataFrame, n_features: int = N_FEATURES, window_ids: str = "window_ids",
                 label_ids: str = "label_ids", keys: tuple[str, ...] = ("row_id", "window")) -> DataFrame:
     """X, one row per window: ``(win, key, part, features, counts, labels)``, written and read back.
@@ -133,11 +143,43 @@ def window_rows(windows: DataFrame, n_features: int = N_FEATURES, window_ids: st
     ``win`` is a row number, ``key`` the window's key as text, ``part`` a hash
     of it in [0, 2^20), by which fixed shares are cut.
     """
-    rows = windows.select(F.monotonically_increasing_id().alias("win"), F.concat_ws(":", *[F.col(k).cast("string") for k in keys]).alias("key"),
-                          F.pmod(F.xxhash64(*keys), F.lit(1 << 20)).cast("int").alias("part"),
-                          F.transform(F.col(window_ids), lambda t: feature_of(t, n_features)).alias("features"),
-                          F.col(label_ids).alias("labels"))
-    return stored(counted(rows).select("win", "key", "part", "features", "counts", "labels"), "windows")
+    rows = windows.select(*keys, F.col(window_ids).alias("features"), F.col(label_ids).alias("labels"))
+    return _window_rows(counted(rows, n_features), keys)
+
+
+def text_rows(rows: DataFrame, n_features: int = N_FEATURES, *, key: str = "row_id", text: str = "clause", label_ids: str = "label_ids",
+              max_length: int = MAX_LENGTH, step: int = TRAIN_STEP, cls_id: int = CLS_ID, sep_id: int = SEP_ID) -> DataFrame:
+    """``window_rows`` of the fixed windows of texts (T1 + T2 + T4) by the default tokenizer.
+
+    Words, ids, windows and counts are found in one worker; no token leaves it.
+    """
+    if step < 1 or max_length < 1:
+        raise ValueError("step and max_length must be positive")
+    src = rows.select(F.col(key).alias("row_id"), F.col(label_ids).alias("labels"), F.lower(text).alias("text"))
+    schema = T.StructType([src.schema["row_id"], T.StructField("window", T.IntegerType()), src.schema["labels"],
+                           T.StructField("features", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.DoubleType()))])
+    identity = identity_of(make_word_ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = built("word-ids", identity, make_word_ids)
+        for batch in batches:
+            held: list[tuple[int, int, np.ndarray]] = []
+            for i, own in enumerate(encoded(batch.column("text"), encode)):
+                full = np.concatenate([[cls_id], () if own is None else own, [sep_id]]).astype(np.int64)
+                held += [(i, w, full[s:s + max_length]) for w, s in enumerate(range(0, len(full), step))]
+                while len(held) >= WINDOWS:
+                    yield packed(batch, held[:WINDOWS])
+                    held = held[WINDOWS:]
+            if held:
+                yield packed(batch, held)
+
+    def packed(batch: pa.RecordBatch, some: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+        at = pa.array([i for i, _, _ in some], pa.int64())
+        once, n = different(np.concatenate([x for _, _, x in some]), np.array([len(x) for _, _, x in some]), n_features)
+        return pa.RecordBatch.from_arrays([batch.column("row_id").take(at), pa.array([w for _, w, _ in some], pa.int32()), batch.column("labels").take(at), once, n],
+                                          names=["row_id", "window", "labels", "features", "counts"])
+
+    return _window_rows(src.mapInArrow(run, schema), ("row_id", "window"))
 
 
 class Windows(NamedTuple):
@@ -156,8 +198,14 @@ class Windows(NamedTuple):
 
     def add_gradient(self, g: np.ndarray, slopes: np.ndarray) -> None:
         """Add every window's counts times its slopes to ``g``; no feature stands twice in a window."""
+        most = int(np.diff(self.ends).max(initial=0))
+        own, terms = np.empty((2, most, g.shape[1]))
         for i, (first, end) in enumerate(zip(self.ends[:-1].tolist(), self.ends[1:].tolist(), strict=True)):
-            g[self.features[first:end]] += self.counts[first:end, None] * slopes[i]
+            f, n = self.features[first:end], end - first
+            # "clip" writes into its buffer at once; writing back refuses a feature that ``g`` does not have
+            new = g.take(f, axis=0, out=own[:n], mode="clip")
+            new += np.multiply(self.counts[first:end, None], slopes[i], out=terms[:n])
+            g[f] = new
 
 
 def add_by_feature(g: np.ndarray, features: np.ndarray, terms: np.ndarray) -> None:

@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import (BIAS_FEATURE, CLS_ID, MAX_LENGTH, N_FEATURES, PAD_ID, PREDICT_OVERLAP, SEP_ID, THRESHOLD, TRAIN_STEP,
-                              feature_of, md5_bits)
+                              md5_bits)
 from ._util import bounded_broadcast, built, identity_of, stored
+from .windows import encoded
 
 HEAD_SCHEMA = T.StructType([
     T.StructField("label_id", T.IntegerType(), False),
@@ -76,6 +77,11 @@ def head_arrays(head: DataFrame, rows: int | None = None, most: int | None = Non
     return weights, bias
 
 
+def _added(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """The sum of the weights of some features, repeats included."""
+    return np.ones(len(features)) @ weights.take(features, axis=0)
+
+
 def linear_predict_fn(spark, weights: np.ndarray, bias: np.ndarray) -> Callable:
     """``make_predict_fn`` of a linear head."""
     shared = spark.sparkContext.broadcast((weights, bias))
@@ -85,7 +91,7 @@ def linear_predict_fn(spark, weights: np.ndarray, bias: np.ndarray) -> Callable:
 
         def predict(input_ids: np.ndarray, attention_mask: np.ndarray) -> np.ndarray:
             features = input_ids % len(w)
-            return np.stack([w[f[m]].sum(axis=0) for f, m in zip(features, attention_mask.astype(bool), strict=True)]) + b
+            return np.stack([_added(w, f[m]) for f, m in zip(features, attention_mask.astype(bool), strict=True)]) + b
 
         return predict
 
@@ -136,7 +142,7 @@ def load_head(folder: str) -> Callable:
 
     def predict(input_ids: np.ndarray, attention_mask: np.ndarray) -> np.ndarray:
         features = input_ids % len(weights)
-        return np.stack([weights[f[m]].sum(axis=0) for f, m in zip(features, attention_mask.astype(bool), strict=True)]) + bias
+        return np.stack([_added(weights, f[m]) for f, m in zip(features, attention_mask.astype(bool), strict=True)]) + bias
 
     return predict
 
@@ -160,11 +166,13 @@ def _windows(ids: np.ndarray, windowing: str, max_length: int, step: int, cls_id
 def window_logits(ids: Column, make_predict_fn: Callable, *, windowing: str = "overlap", max_length: int = MAX_LENGTH,
                   overlap: int = PREDICT_OVERLAP, step: int = TRAIN_STEP, cls_id: int = CLS_ID, sep_id: int = SEP_ID,
                   pad_id: int = PAD_ID, batch_size: int = BATCH_SIZE,
-                  finish: tuple[Callable, T.DataType] | None = None) -> Column:
+                  finish: tuple[Callable, T.DataType] | None = None, make_encode: Callable | None = None) -> Column:
     """``array<array<double>>``, the logits of each window of a clause's token ids, in order.
 
     With ``finish``, a function of these arrays and its type, what it makes of a
-    clause's logits is returned instead of them.
+    clause's logits is returned instead of them. With ``make_encode``, which
+    returns ``encode(text as UTF-8) -> ids``, the column holds texts, whose ids
+    are found here and do not leave the worker.
 
     ``make_predict_fn()`` returns ``predict(input_ids[n, L], attention_mask[n,
     L]) -> logits[n, labels]`` and is built once per Python worker. Windows of
@@ -178,6 +186,7 @@ def window_logits(ids: Column, make_predict_fn: Callable, *, windowing: str = "o
     if move < 1 or max_length < 3:
         raise ValueError("windows must move on: max_length - 2 > overlap, step > 0")
     identity = identity_of(make_predict_fn)
+    encoder = None if make_encode is None else identity_of(make_encode)
 
     def score(predict, windows: list[np.ndarray]) -> list:
         width = max(map(len, windows))
@@ -189,6 +198,10 @@ def window_logits(ids: Column, make_predict_fn: Callable, *, windowing: str = "o
         except Exception:
             return [None] if len(windows) == 1 else [x for w in windows for x in score(predict, [w])]
 
+    def given(clauses: pa.Array) -> Iterator[np.ndarray]:
+        values, ends = clauses.values.to_numpy(zero_copy_only=False), clauses.offsets.to_numpy()
+        return (values[first:end] for first, end in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
+
     kind = T.ArrayType(T.ArrayType(T.DoubleType())) if finish is None else finish[1]
 
     # Arrow arrays, so that a batch of token ids is not copied into Python objects
@@ -197,11 +210,12 @@ def window_logits(ids: Column, make_predict_fn: Callable, *, windowing: str = "o
         from pyspark.sql.pandas.types import to_arrow_type
 
         predict = built(f"model-{windowing}", identity, make_predict_fn)
+        encode = None if make_encode is None else built("encode", encoder, make_encode)
         for clauses in batches:
-            values, ends = clauses.values.to_numpy(zero_copy_only=False), clauses.offsets.to_numpy()
             out, held = [[] for _ in range(len(clauses))], []
-            for n, (first, end) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
-                held += [(n, w) for w in _windows(values[first:end].astype(np.int64), windowing, max_length, move, cls_id, sep_id)]
+            for n, own in enumerate(given(clauses) if encode is None else encoded(clauses, encode)):
+                own = np.zeros(0, dtype=np.int64) if own is None else own.astype(np.int64)
+                held += [(n, w) for w in _windows(own, windowing, max_length, move, cls_id, sep_id)]
                 while len(held) >= batch_size:
                     for (i, _), z in zip(held[:batch_size], score(predict, [w for _, w in held[:batch_size]]), strict=True):
                         out[i].append(z)
@@ -242,9 +256,9 @@ def score_windows(windows: DataFrame, head: DataFrame, keys: tuple[str, ...] = (
     from .head import counted
     from .sharded import ShardedModel
 
-    rows = windows.select(*keys, F.monotonically_increasing_id().alias("win"),
-                          F.transform(F.col(window_ids), lambda t: feature_of(t, n_features)).alias("features"), F.array().cast("array<int>").alias("labels"))
-    x = stored(counted(rows.where(F.size("features") > 0)), "window-counts")
+    rows = windows.select(*keys, F.monotonically_increasing_id().alias("win"), F.col(window_ids).alias("features"),
+                          F.array().cast("array<int>").alias("labels"))
+    x = stored(counted(rows.where(F.size("features") > 0), n_features), "window-counts")
     z = ShardedModel.of(head).sums(x, keys)
     sums = z.select(*keys, F.posexplode("z").alias("label_id", "z")).groupBy(*keys, "label_id").agg(F.sum("z").alias("z"))
     bias = bounded_broadcast(head.where(F.col("feature") == BIAS_FEATURE).select("label_id", F.col("weight").alias("bias")), rows=head_rows)

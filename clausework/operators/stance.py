@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from ..functions.lists import FAILED, parse_list
 from ..functions.text import MAX_LENGTH, UNKNOWN, cut_text, render_template, tokens
-from ._util import built, identity_of
+from ._util import built, identity_of, let
 
 # Stances in tie-break order, three hypothesis templates each,
 # with one {actor} slot; the first version writes U+2019 for the apostrophe.
@@ -85,11 +85,6 @@ def _template_array(templates) -> Column:
                      for r, s, i, t in template_rows(templates)])
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once per row, however often it is named."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def overlap_score(premise_tokens: Column, hypothesis: Column, max_length: int | None = None) -> Column:
     """Z2 + T8 (relational pair scorer): share of distinct hypothesis tokens found
     in the premise tokens (those that fit beside the hypothesis, if ``max_length`` is given); null when the

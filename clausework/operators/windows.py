@@ -15,7 +15,9 @@ built once from the token array (linear in the text length).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._util import built, identity_of
-from ..functions.text import CLS_ID, MAX_LENGTH, PAD_ID, PREDICT_OVERLAP, SEP_ID, TRAIN_STEP, token_ids
+from ._util import built, identity_of, let
+from ..functions.text import CLS_ID, FIRST_WORD_ID, MAX_LENGTH, PAD_ID, PREDICT_OVERLAP, SEP_ID, TRAIN_STEP, WORD_BUCKETS, token_ids
 
 # texts that a plug-in tokenizer is given at once
 TEXTS = 256
+# different words whose ids a worker keeps, and the bytes of the longest that it keeps
+WORDS = 1 << 18
+WORD_BYTES = 64
 
 
 def with_token_ids(df: DataFrame, text: str = "clause", out: str = "ids") -> DataFrame:
@@ -46,9 +51,9 @@ def fixed_step_windows(df: DataFrame, ids: str = "ids", max_length: int = MAX_LE
     """One row per window ``(keep..., window, window_ids)``; carried columns repeat per window."""
     if step < 1 or max_length < 1:
         raise ValueError("step and max_length must be positive")
-    full = F.concat(F.array(F.lit(cls_id)), _tokens(ids), F.array(F.lit(sep_id)))
-    starts = F.sequence(F.lit(0), F.size(full) - 1, F.lit(step))
-    wins = F.transform(starts, lambda s: F.slice(full, s + 1, max_length))
+    whole = F.concat(F.array(F.lit(cls_id)), _tokens(ids), F.array(F.lit(sep_id)))
+    # bound once: a window takes its slice of it and does not build it again
+    wins = let(whole, lambda full: F.transform(F.sequence(F.lit(0), F.size(full) - 1, F.lit(step)), lambda s: F.slice(full, s + 1, max_length)))
     return df.select(*keep, F.posexplode(wins).alias("window", out))
 
 
@@ -87,6 +92,52 @@ def pad_windows(df: DataFrame, window_ids: str = "window_ids", max_length: int =
             .withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), pad))))
 
 
+# --- the default tokenizer in a Python worker ---------------------------------
+
+def make_word_ids() -> Callable[[bytes], np.ndarray]:
+    """``encode`` that gives a lower-cased text (UTF-8) the ids of ``token_ids``; a word that comes back is not hashed again."""
+    word = re.compile(rb"[^ \t\n\r]+")
+
+    class Known(dict):
+        def __missing__(self, w: bytes) -> int:
+            own = FIRST_WORD_ID + int.from_bytes(hashlib.md5(w, usedforsecurity=False).digest()[:4], "big") % WORD_BUCKETS
+            if len(w) <= WORD_BYTES:
+                if len(self) >= WORDS:
+                    self.clear()
+                self[w] = own
+            return own
+
+    known = Known()
+
+    def encode(text: bytes) -> np.ndarray:
+        # a vertical tab and a form feed are no blanks here
+        words = word.findall(text) if b"\x0b" in text or b"\x0c" in text else text.split()
+        return np.fromiter(map(known.__getitem__, words), dtype=np.int32, count=len(words))
+
+    return encode
+
+
+def encoded(texts: pa.Array, encode: Callable[[bytes], np.ndarray]) -> Iterator[np.ndarray | None]:
+    """The ids of each text of an Arrow array, one after another; null stays None."""
+    for t in texts.cast(pa.binary()):
+        own = t.as_py()
+        yield None if own is None else encode(own)
+
+
+def word_token_ids(text: Column) -> Column:
+    """The ids of ``token_ids`` by an Arrow UDF that hashes a word once."""
+    identity = identity_of(make_word_ids)
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encode = built("word-ids", identity, make_word_ids)
+        for texts in batches:
+            parts = [pa.array(list(encoded(texts.slice(at, TEXTS), encode)), type=pa.list_(pa.int32())) for at in range(0, len(texts), TEXTS)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], type=pa.list_(pa.int32()))
+
+    return ids(F.lower(text))
+
+
 # --- foreign tokenizers (U1) -------------------------------------------------
 
 def foreign_token_ids(text: Column, make_tokenizer) -> Column:

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import (CLS_ID, MAX_LENGTH, N_FEATURES, PAD_ID, PREDICT_OVERLAP, SEP_ID, THRESHOLD, TRAIN_STEP, as_text,
-                              token_ids)
+from ..functions.text import (CLS_ID, MAX_LENGTH, N_FEATURES, PAD_ID, PREDICT_OVERLAP, SEP_ID, THRESHOLD, TRAIN_STEP, as_text)
 from ..operators._util import ROW, numbered, stored
 from ..operators import clean, labels as L, scoring, stance as stance_ops, tagging, windows
 from ..operators.sampling import SEED, sample_exact
@@ -21,7 +20,7 @@ MAX_NAMES = 100_000
 
 def clause_ids(text, make_tokenizer: Callable | None = None):
     """Token ids of a text column by the default or a plug-in tokenizer."""
-    return token_ids(text) if make_tokenizer is None else windows.foreign_token_ids(text, make_tokenizer)
+    return windows.word_token_ids(text) if make_tokenizer is None else windows.foreign_token_ids(text, make_tokenizer)
 
 
 def clause_logits(clauses: DataFrame, head: DataFrame | None, *, key: str = "row_id", text: str = "clause", keep: tuple[str, ...] = (),
@@ -37,6 +36,10 @@ def clause_logits(clauses: DataFrame, head: DataFrame | None, *, key: str = "row
             return None
         make_predict_fn = scoring.linear_predict_fn(clauses.sparkSession, *arrays)
     col = F.col(text) if null_text is None else as_text(F.col(text), null_text)
+    if make_tokenizer is None:
+        # words and their ids are found where the windows are scored
+        lower = F.lower(col)
+        return clauses.select(key, *keep, scoring.window_logits(lower, make_predict_fn, make_encode=windows.make_word_ids, **window_options).alias("logits"))
     ids = clauses.select(key, *keep, clause_ids(col, make_tokenizer).alias("ids"))
     return ids.select(key, *keep, scoring.window_logits(F.col("ids"), make_predict_fn, **window_options).alias("logits"))
 
@@ -124,6 +127,8 @@ def fit_tables(clauses: DataFrame, *, key: str = "row_id", text: str = "clause",
     train, test = (split_exact if exact_split else split_hash)(rows, test_share, seed, "row_id")
 
     def table(side: DataFrame) -> DataFrame:
+        if make_tokenizer is None:
+            return H.text_rows(side, n_features, max_length=max_length, step=step, cls_id=cls_id, sep_id=sep_id)
         wins = training_windows(side, make_tokenizer=make_tokenizer, max_length=max_length, step=step, cls_id=cls_id, sep_id=sep_id)
         return H.window_rows(wins, n_features)
 
