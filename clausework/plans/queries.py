@@ -179,8 +179,9 @@ def _probs(spark, sf):
 def q_tag_probs(spark, sf):
     """A1: pooled probability per (document, label)."""
     probs, _, _ = _probs(spark, sf)
-    return probs.select("row_id", F.posexplode("probs").alias("label_id", "p")).select(
-        "row_id", F.col("label_id").cast("int").alias("label_id"), _r6("p").alias("p"))
+    # the outer form keeps the planner from scoring every text a second time, in a filter on the array's size
+    each = probs.select("row_id", F.posexplode_outer("probs").alias("label_id", "p")).where(F.col("label_id").isNotNull())
+    return each.select("row_id", F.col("label_id").cast("int").alias("label_id"), _r6("p").alias("p"))
 
 
 # --- step 1: cleaning, validation, parsing ----------------------------------
