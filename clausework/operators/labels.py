@@ -77,7 +77,8 @@ def vocabulary(df: DataFrame, actors: str = "actors") -> DataFrame:
 
 def vocabulary_sized(df: DataFrame, actors: str = "actors") -> tuple[DataFrame, int]:
     """``vocabulary`` and its number of labels."""
-    labels = df.select(F.explode(actors).alias("label"))
+    # the outer form keeps the planner from parsing every list again, in a filter on its size; null is no label
+    labels = df.select(F.explode_outer(actors).alias("label"))
     return dense_ids_sized(labels, "label", "label_id")
 
 
